@@ -1,0 +1,6 @@
+"""Queries over the driver's tables, one for each operator, with their DuckDB counterparts."""
+
+from __future__ import annotations
+
+QUERIES = {}
+ORACLE_SQL = {}
