@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import simhash
+from textgraph.llm import packing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash,)}
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs, word_tokenizer()).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op8_simhash, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
