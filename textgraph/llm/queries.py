@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import decontaminate, packing, simhash
+from textgraph.llm import decontaminate, packing, quality_rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -45,6 +49,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op8_simhash, op10_packing)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_rules, op8_simhash, op10_packing)}
+
+OP6_SQL = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
+w as (select r, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from d),
+k as (select r, i, array_to_string(ws[i:i+4], ' ') as k from (select r, ws, unnest(range(1, len(ws) - 3)) as i from w where len(ws) >= 5)),
+c as (select distinct r, i + unnest(range(5)) as i from (select r, i from k qualify count(*) over (partition by r, k) > 1)),
+rep as (select r, count(*) as n from c group by r),
+l as (select r, host, unnest(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) as x from d),
+dup as (select r, count(*) - count(distinct x) as n, sum(length(x)) as total from l group by r),
+n as (select r, host, length(x) as c, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) as h from l),
+f as (select host, h from (select host, h, count(distinct r) as n from n group by host, h) join (select host, count(*) as docs from d group by host) using (host)
+      where n > 20 and n > 0.05 * docs),
+gone as (select r, sum(c) as n from n where (host, h) in (select (host, h) from f) group by r),
+m as (select d.doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+      length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines,
+      coalesce(rep.n, 0)::bigint as n_repeat_words, coalesce(gone.n, 0)::bigint as removed_chars, coalesce(dup.total, 0)::bigint as line_chars
+      from d join w using (r) left join rep using (r) left join dup using (r) left join gone using (r))
+select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and line_chars - removed_chars >= 0.5 * line_chars as kept from m
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
