@@ -54,7 +54,7 @@ def batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     batches(df.sparkSession)
     return df.mapInArrow(f, schema)
 
@@ -65,7 +65,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
-    wide = isinstance(column.type, pa.LargeStringType)
+    wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     limits = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textgraph.llm.common import map_arrow
 
@@ -256,8 +257,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 13, carry:
     (sorted ids) and spans (the runs as code points)."""
     row = F.struct(*[F.col(f"`{c}`") for c in carry or ["doc_id"]]).alias("row")
     out = docs.select(row, F.encode(text_col, "UTF-8").alias("raw"), F.expr(f"cast(array() as {_SPAN})").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
-    kind = out.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, raw binary, n_words long, hits {_SPAN}, items array<string>, spans {_SPAN}"
+    rest = T._parse_datatype_string(f"raw binary, n_words long, hits {_SPAN}, items array<string>, spans {_SPAN}")
+    schema = T.StructType([out.schema["row"], *rest.fields])
     blocks = n_blocks(benchmark, block_bytes)
     for k in range(blocks):
         items = block_of(benchmark, k, blocks)
