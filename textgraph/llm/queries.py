@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import decontaminate, packing, quality_cnn, quality_rules, simhash
+from textgraph.llm import decontaminate, packing, quality_cnn, quality_rules, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
@@ -60,7 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_quality_cnn, op6_quality_rules, op8_simhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_warc, op4_quality_cnn, op6_quality_rules, op8_simhash, op10_packing)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
@@ -82,4 +87,14 @@ select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
        not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and line_chars - removed_chars >= 0.5 * line_chars as kept from m
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
+OP3_SQL = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, strlen(h)::bigint as payload_bytes, sha1(h) as payload_digest from p),
+r as (select payload_digest, max(page_id) as response from d where payload_bytes >= 1000 group by payload_digest)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id < response then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id < response then response end as refers_to
+from d left join r using (payload_digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
