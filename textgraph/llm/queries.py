@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import decontaminate, packing, quality_cnn, quality_rules, simhash, warc
+from textgraph.llm import chat, decontaminate, packing, quality_cnn, quality_rules, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    vocabulary = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    return chat.read_back(chat.trees(rows, *vocabulary), *vocabulary)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -65,7 +75,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_warc, op4_quality_cnn, op6_quality_rules, op8_simhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op6_quality_rules, op8_simhash, op10_packing)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
