@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import chat, decontaminate, packing, quality_cnn, quality_rules, simhash, warc
+from textgraph.llm import chat, decontaminate, packing, quality_cnn, quality_rules, repeats, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -75,7 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op6_quality_rules, op8_simhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op6_quality_rules, op7_repeats, op8_simhash, op10_packing)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
