@@ -1,16 +1,56 @@
-"""The corpus pipeline: quality, lines, near-duplicates, benchmark passages, packing."""
+"""The corpus pipeline: quality, fuzzy lines, near-duplicates, benchmark passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textgraph.llm import decontaminate, lines, quality_cnn, queries, simhash
+from textgraph.llm.common import keyed, stored
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte network doesn't reject (operator 4)."""
+    net = quality_cnn.fit(docs, queries.table(spark, sf_dir, "labels"))
+    return quality_cnn.score(docs, net, docs.columns).where(F.col("score") >= 0.3).select("row.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that are similar to an earlier one (operator 5); n_chars follows the text."""
+    found = lines.dedup_lines(docs)
+    own = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component: the one with the smallest id (operator 8)."""
+    own = keyed(docs, "doc_id", "text")
+    first = simhash.near_duplicates(own, id_col="id", text_col="text").where("id = component").select("id")
+    return own.join(first, "id", "left_semi").select("row.*")
+
+
+def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the contamination rule leaves (operator 1)."""
+    found = decontaminate.find_passages(docs, queries.table(spark, sf_dir, "benchmark"), carry=docs.columns)
+    return found.where(~decontaminate.contaminated(F.col("n_hit"), F.col("n_words"))).select("row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences (operator 10)."""
+    return queries.packed(docs)
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontaminate", without_passages), ("pack", pack)]
 
+#: SQL can't express the network, the sketches or the tokenizer; the stages are tested one by one instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = queries.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

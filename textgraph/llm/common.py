@@ -77,6 +77,27 @@ def run_starts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]]))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Scramble 64-bit values, one to one."""
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, row): row holds the columns of docs, text no nulls, and ids are unique and in order.  Other ids than
+    the table's own are made only where those are null or not unique; they follow id and text, nulls first."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), row)
+    counts = rows.groupBy("id").agg(F.count("*").alias("n"))
+    if counts.where("n > 1 or id is null").limit(1).count() == 0:
+        return rows
+    ordered = rows.repartitionByRange(partitions(docs.sparkSession), "id", "text").sortWithinPartitions("id", "text")
+    return stored(ordered.withColumn("id", F.monotonically_increasing_id()), "keyed")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

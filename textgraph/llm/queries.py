@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import chat, decontaminate, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
+from textgraph.llm import chat, decontaminate, lines, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -86,7 +91,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import map_arrow, partitions, run_starts, stored, text_bytes
+from textgraph.llm.common import keyed, map_arrow, mixed, partitions, run_starts, stored, text_bytes
 
 GRAM = 24
 #: Bytes of a block, and bits that number its places.
@@ -43,21 +43,13 @@ ROWS = "kind int, k1 long, k2 long, id long, at long, n int, marked boolean"
 _NAMES = [x.split()[0] for x in ROWS.split(", ")]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random value per byte, and the powers of an odd base and of its inverse modulo 2**64."""
     base = 0x9E3779B97F4A7C15
     size = BLOCK + (BLOCK >> 1)
     power = lambda b: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, b, np.uint64))])
-    return _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base)), power(base), power(pow(base, -1, 1 << 64))
+    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base)), power(base), power(pow(base, -1, 1 << 64))
 
 
 class Block:
@@ -68,7 +60,7 @@ class Block:
         self.raw, self.sums = raw, np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * power[: len(raw)])])
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
+        return mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
 
     def phrases(self, limits: np.ndarray, width: int):
         """Of each phrase its first string's place, how many strings it has, trigger and content hash."""
@@ -76,7 +68,7 @@ class Block:
         places = [np.arange(a, b - width + 1) for a, b in zip(limits[:-1], limits[1:]) if b - a >= width]
         if not places:
             return none, none, none, none
-        grams = _mixed((self.sums[GRAM:] - self.sums[:-GRAM]) * self.inverse[: len(self.sums) - GRAM])
+        grams = mixed((self.sums[GRAM:] - self.sums[:-GRAM]) * self.inverse[: len(self.sums) - GRAM])
         mask = np.uint64((1 << PLACE_BITS) - 1)
         least = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
         span, wide = width - GRAM + 1, 1
@@ -90,7 +82,7 @@ class Block:
         first = run_starts(trigger)
         n = np.diff(np.append(first, len(trigger)))
         start, trigger = at[first], trigger[first]
-        inside = self.hashes(start, start + n - 1 + width) ^ _mixed((trigger - start).astype(np.uint64))
+        inside = self.hashes(start, start + n - 1 + width) ^ mixed((trigger - start).astype(np.uint64))
         return start, n, grams[trigger].view(np.int64), inside.view(np.int64)
 
 
@@ -126,7 +118,7 @@ def _removed(ids: np.ndarray, at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     n = np.add.reduceat(n, first) if len(first) else n
     ids, at = ids[first], at[first]
     # keys that deal these rows evenly
-    return _rows(REMOVED, _mixed((ids * 31 + at).view(np.uint64)).view(np.int64), None, ids, at, n)
+    return _rows(REMOVED, mixed((ids * 31 + at).view(np.uint64)).view(np.int64), None, ids, at, n)
 
 
 def _strings(block: Block, width: int, start: np.ndarray, n: np.ndarray, k1: np.ndarray, ids: np.ndarray, shift: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -181,13 +173,13 @@ def parsed(docs: DataFrame, width: int) -> DataFrame:
             # triggers with different phrases
             head = run_starts(k1[keep])
             several = np.diff(np.append(head, len(keep))) > 1
-            mixed = np.repeat(several, np.diff(np.append(head, len(keep))))
+            different = np.repeat(several, np.diff(np.append(head, len(keep))))
             passed = np.zeros(len(keep), bool)
             passed[head] = True
-            passed |= ~mixed
+            passed |= ~different
             p = keep[passed]
-            yield _rows(PHRASE, k1[p], k2[p], doc[p], start[p] + shift[p], n[p], mixed[passed])
-            m = keep[mixed]
+            yield _rows(PHRASE, k1[p], k2[p], doc[p], start[p] + shift[p], n[p], different[passed])
+            m = keep[different]
             yield from _strings(block, width, start[m], n[m], k1[m], doc[m], shift[m])
 
     return map_arrow(docs, run, ROWS)
@@ -278,19 +270,9 @@ def merged_spans(at: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
     return np.stack([start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]], 1)
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
-    """(id, text, doc_id) with ids that are unique, not null and in order; made only where the table's own are not."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    counts = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
-    if counts.where("n > 1 or doc_id is null").limit(1).count() == 0:
-        return rows.select(F.col("doc_id").alias("id"), "text", "doc_id"), False
-    ordered = rows.repartitionByRange(partitions(docs.sparkSession), "doc_id", "text").sortWithinPartitions("doc_id", "text")
-    return stored(ordered.select(F.monotonically_increasing_id().alias("id"), "text", "doc_id"), "keyed"), True
-
-
 def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (start, end in bytes) and kept (the bytes left)."""
-    own, _ = keyed(docs, id_col, text_col)
+    own = keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
     texts = own.select("id", "text")
     found = stored(met(parsed(texts, width)), "met")
     more = stored(asked(texts, found.where(F.col("kind") == PHRASE), width), "asked")
@@ -312,7 +294,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
                     c.append(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), span, pa.binary())))], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    joined = own.join(gone, "id", "left").select("doc_id", "text", "at", "n")
+    joined = own.join(gone, "id", "left").select("row.doc_id", own.text, "at", "n")
     return map_arrow(joined, run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
 
 
