@@ -13,6 +13,7 @@ packed as separate documents (rows); extra columns are ignored; an empty table g
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +25,23 @@ from pyspark.sql import functions as F
 
 from textgraph.llm.common import map_arrow
 
-#: Words whose ids a task remembers.
-REMEMBERED = 300_000
+#: Words, and parts of words, whose ids a task remembers.
+REMEMBERED = 500_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+#: Words of printable ASCII and precomposed Latin letters (but U+0130, which lowers to two characters): what the
+#: tokenizer's normalizer and splitter do with these is lower-casing and this split.
+_PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+")
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+
+
 class WordTokenizer:
-    """Ids of whole texts, for tokenizers whose white space separates words without leaving ids of its own."""
+    """Ids of whole texts, for the vocabulary of lower-case words: white space separates words and leaves no ids.
+
+    Words are found and numbered by Arrow, and a task remembers the ids of words and of their parts.  Parts not seen before are
+    encoded many at once; an id that ends a word tells where the next one's begin.  Other words go to the tokenizer whole.
+    """
 
     def __init__(self, path: str):
         import os
@@ -39,25 +50,45 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
+        split = {w: _SPLIT.findall(w.lower()) for w in words if "<|" not in w and _PLAIN.fullmatch(w)}
+        other = [w for w in words if w not in split]
+        self.words.update(zip(other, self._whole(other)))
+        new = list({p for parts in split.values() for p in parts if p not in self.parts})
+        for at in range(0, len(new), 2048):
+            part = new[at : at + 2048]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            limits = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            pieces = [ids[a:b].tobytes() for a, b in zip(limits, limits[1:])] if len(limits) == len(part) + 1 else self._whole(part)
+            self.parts.update(zip(part, pieces))
+        for w, parts in split.items():
+            self.words[w] = b"".join([self.parts[p] for p in parts])
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and each text's limits in them."""
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = words.flatten().dictionary_encode()
         unique = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in unique if w not in self.known]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.uint32)
-        parts = [self.known[w] for w in unique]
-        size = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.concatenate([np.zeros(0, np.uint32), *parts])
+        if new := [w for w in unique if w not in self.words]:
+            self._learn(new if len(self.words) <= REMEMBERED else unique)
+        parts = [self.words[w] for w in unique]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), np.uint32)
         first = np.cumsum(size) - size
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        at = coded.indices.to_numpy(zero_copy_only=False)
         lengths = size[at]
         ends = np.cumsum(lengths)
         which = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[at] - (ends - lengths), lengths)
