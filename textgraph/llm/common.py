@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -28,11 +29,15 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/textgraph/{kind}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, kind: str = "table") -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, kind: str = "table", release: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
+    release: let Spark delete the shuffle files behind it at once, instead of when the driver happens to collect garbage."""
     spark = df.sparkSession
     path = new_folder(spark, kind)
     df.write.parquet(path)
+    if release:
+        gc.collect()
+        spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -10,11 +10,12 @@ Order.  Suffixes of phrases only matter up to ``width`` bytes, and only their eq
 dictionary and parse is that of (trigger hash, content hash, id, offset): equal content is adjacent, earliest place first.
 
 1. A task sorts the phrases of a block of text.  All but the first of equal phrases are removed there, so copies, however
-   many, leave one phrase per block.  Where a trigger has phrases with different content, their strings are compared one
-   by one; the block passes on one phrase, marked, and each distinct string.
-2. Phrases meet by trigger.  Of equal ones the first stays.  Where a trigger has different phrases or a marked one, the
-   strings of those that are not marked have to be compared one by one as well: these documents are read again.
-3. Strings meet by trigger and content hash; all but the first are removed.
+   many, leave one phrase per block.  A trigger with CROWD different phrases in a block, as a very common line makes, is
+   crowded: its strings are compared one by one, and the block passes on one phrase, marked, and each distinct string.
+2. Phrases meet by trigger.  Of equal ones the first stays.  Where a trigger has different phrases, their texts are read
+   again; where it is crowded in any block, or here, their strings are.
+3. Texts meet by trigger: their strings are sorted, and all but the first of equal ones removed.  Strings of crowded
+   triggers meet by trigger and content hash, so no task gets a crowd.
 4. Each document's removed strings are merged to spans.
 
 A trigger's hash and a content hash together have 128 bits; the strings that a content hash tells apart share their trigger.
@@ -33,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import keyed, map_arrow, mixed, partitions, run_starts, stored, text_bytes
+from textgraph.llm.common import dropped, keyed, map_arrow, mixed, partitions, run_starts, stored, text_bytes
 
 GRAM = 24
 #: Bytes of a block, and bits that number its places.
 BLOCK, PLACE_BITS = 2 << 20, 22
+#: Different phrases of a trigger in a block, or among blocks, from which it counts as crowded.
+CROWD, CROWD_MET = 4, 2000
 PHRASE, REMOVED, STRING = 0, 1, 2
 ROWS = "kind int, k1 long, k2 long, id long, at long, n int, marked boolean"
 _NAMES = [x.split()[0] for x in ROWS.split(", ")]
@@ -170,23 +173,22 @@ def parsed(docs: DataFrame, width: int) -> DataFrame:
             order, new = _first_of(k1, k2, doc, start + shift)
             gone, keep = order[~new], order[new]
             yield _removed(doc[gone], start[gone] + shift[gone], n[gone])
-            # triggers with different phrases
             head = run_starts(k1[keep])
-            several = np.diff(np.append(head, len(keep))) > 1
-            different = np.repeat(several, np.diff(np.append(head, len(keep))))
+            several = np.diff(np.append(head, len(keep))) >= CROWD
+            crowded = np.repeat(several, np.diff(np.append(head, len(keep))))
             passed = np.zeros(len(keep), bool)
             passed[head] = True
-            passed |= ~different
+            passed |= ~crowded
             p = keep[passed]
-            yield _rows(PHRASE, k1[p], k2[p], doc[p], start[p] + shift[p], n[p], different[passed])
-            m = keep[different]
+            yield _rows(PHRASE, k1[p], k2[p], doc[p], start[p] + shift[p], n[p], crowded[passed])
+            m = keep[crowded]
             yield from _strings(block, width, start[m], n[m], k1[m], doc[m], shift[m])
 
     return map_arrow(docs, run, ROWS)
 
 
-def _sorted_runs(rows: Iterator[pa.RecordBatch], keys: int, least_rows: int = 1 << 17) -> Iterator[list[np.ndarray]]:
-    """Columns of rows sorted by their second (and third) column, cut where those change."""
+def _sorted_runs(rows: Iterator[pa.RecordBatch], keys: int, least_rows: int = 1 << 17, first: int = 1) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by so many columns from the first one on, cut where those change."""
     held, n = [], 0
     for batch in rows:
         held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
@@ -194,7 +196,7 @@ def _sorted_runs(rows: Iterator[pa.RecordBatch], keys: int, least_rows: int = 1
         if n >= least_rows:
             columns = [np.concatenate(c) for c in zip(*held)]
             new = np.zeros(n, bool)
-            for c in columns[1 : 1 + keys]:
+            for c in columns[first : first + keys]:
                 new[1:] |= c[1:] != c[:-1]
             cut = int(np.flatnonzero(new)[-1]) if new.any() else 0
             if cut:
@@ -205,7 +207,7 @@ def _sorted_runs(rows: Iterator[pa.RecordBatch], keys: int, least_rows: int = 1
 
 
 def met(rows: DataFrame) -> DataFrame:
-    """Step 2: the phrases of a trigger.  PHRASE rows of the result are those to be read again."""
+    """Step 2: the phrases of a trigger.  PHRASE rows of the result are those to be read again, marked if crowded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind, k1, k2, ids, at, n, marked in _sorted_runs(batches, 1):
@@ -218,39 +220,74 @@ def met(rows: DataFrame) -> DataFrame:
             gone = p[~new]
             yield _removed(ids[gone], at[gone], n[gone])
             head = run_starts(k1[p])
-            size = np.diff(np.append(head, len(p)))
             if len(head):
-                ask = np.repeat((np.add.reduceat(new.astype(np.int64), head) > 1) | np.logical_or.reduceat(marked[p], head), size) & new & ~marked[p]
-                p = p[ask]
-                yield _rows(PHRASE, k1[p], k2[p], ids[p], at[p], n[p])
+                size = np.diff(np.append(head, len(p)))
+                different = np.add.reduceat(new.astype(np.int64), head)
+                crowd = np.logical_or.reduceat(marked[p], head) | (different > CROWD_MET)
+                ask = np.repeat((different > 1) | crowd, size) & new & ~marked[p]
+                crowd, p = np.repeat(crowd, size)[ask], p[ask]
+                yield _rows(PHRASE, k1[p], k2[p], ids[p], at[p], n[p], crowd)
 
     spark = rows.sparkSession
-    dealt = rows.repartition(partitions(spark), "k1").sortWithinPartitions("k1", "k2")
+    dealt = rows.repartition(partitions(spark), "k1").sortWithinPartitions("k1")
     return map_arrow(dealt, run, ROWS)
 
 
 def asked(docs: DataFrame, requests: DataFrame, width: int) -> DataFrame:
-    """The strings of phrases that have to be compared one by one, from the documents that hold them."""
-    each = requests.groupBy("id").agg(F.collect_list(F.struct("at", "n", "k1")).alias("ask"))
+    """The texts of phrases that have to be compared (body), or their strings where the trigger is crowded."""
+    each = requests.groupBy("id").agg(F.collect_list(F.struct("at", "n", "k1", "marked")).alias("ask"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def with_body(batch: pa.RecordBatch, body=None) -> pa.RecordBatch:
+            return batch.append_column("body", pa.nulls(batch.num_rows, pa.binary()) if body is None else pa.array(body, pa.binary()))
+
         for raw, limits, ids, shifts, asks in _blocks(rows, width):
-            block, found = Block(raw), [[] for _ in range(5)]
+            found = {True: [[] for _ in range(5)], False: [[] for _ in range(5)]}
             for k, ask in enumerate(asks):
                 for a in ask:
                     # a part of a long text has the strings that start in it; a phrase may end in the next part
                     low = max(a["at"], shifts[k])
                     high = min(a["at"] + a["n"], shifts[k] + limits[k + 1] - limits[k] - width + 1)
                     if low < high:
-                        for c, x in zip(found, (low - shifts[k] + limits[k], high - low, a["k1"], ids[k], shifts[k] - limits[k])):
+                        for c, x in zip(found[a["marked"]], (low - shifts[k] + limits[k], high - low, a["k1"], ids[k], shifts[k] - limits[k])):
                             c.append(x)
-            yield from _strings(block, width, *(np.array(c, np.int64) for c in found))
+            start, n, k1, of, shift = (np.array(c, np.int64) for c in found[False])
+            body = [raw[a : a + b - 1 + width].tobytes() for a, b in zip(start.tolist(), n.tolist())]
+            yield with_body(_rows(PHRASE, k1, None, of, start + shift, n), body)
+            if found[True][0]:
+                for batch in _strings(Block(raw), width, *(np.array(c, np.int64) for c in found[True])):
+                    yield with_body(batch)
+
+    return map_arrow(docs.join(each, "id").select("id", "text", "ask"), run, ROWS + ", body binary")
+
+
+def _first_strings(width: int, k1: np.ndarray, ids: np.ndarray, at: np.ndarray, n: np.ndarray, bodies: list[bytes]) -> pa.RecordBatch:
+    """Of phrases with their texts, sorted by trigger: the strings that equal an earlier one."""
+    limits = np.concatenate([[0], np.cumsum([len(x) for x in bodies])]).astype(np.int64)
+    *_, gone = _strings(Block(np.frombuffer(b"".join(bodies), np.uint8)), width, limits[:-1], n.astype(np.int64), k1, ids, at - limits[:-1])
+    return gone
 
-    return map_arrow(docs.join(each, "id").select("id", "text", "ask"), run, ROWS)
+
+def ordered(phrases: DataFrame, width: int) -> DataFrame:
+    """Step 3 for texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k1, ids, at, n, bodies in _sorted_runs(batches, 1, 1 << 12, first=0):
+            # cut at triggers, so that a block holds the texts
+            head = np.append(run_starts(k1), len(k1))
+            begin = 0
+            for a, b in zip(head[:-1], head[1:]):
+                if b - begin > 1 << 13:
+                    yield _first_strings(width, k1[begin:a], ids[begin:a], at[begin:a], n[begin:a], bodies[begin:a].tolist()) if a > begin else _rows(REMOVED, ids=ids[:0], at=at[:0])
+                    begin = a
+            yield _first_strings(width, k1[begin:], ids[begin:], at[begin:], n[begin:], bodies[begin:].tolist())
+
+    dealt = phrases.select("k1", "id", "at", "n", "body").repartition(partitions(phrases.sparkSession), "k1").sortWithinPartitions("k1")
+    return map_arrow(dealt, run, ROWS)
 
 
 def compared(strings: DataFrame) -> DataFrame:
-    """Step 3: all but the first of equal strings are removed."""
+    """Step 3 for strings: all but the first of equal ones are removed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, k1, k2, ids, at, n, _ in _sorted_runs(batches, 2):
@@ -274,10 +311,12 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
     """doc_id, n_bytes, n_removed, spans (start, end in bytes) and kept (the bytes left)."""
     own = keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
     texts = own.select("id", "text")
-    found = stored(met(parsed(texts, width)), "met")
-    more = stored(asked(texts, found.where(F.col("kind") == PHRASE), width), "asked")
-    strings = found.where(F.col("kind") == STRING).union(more.where(F.col("kind") == STRING))
-    gone = found.where(F.col("kind") == REMOVED).union(more.where(F.col("kind") == REMOVED)).union(compared(strings))
+    found = stored(met(parsed(texts, width)), "met", release=True)
+    more = stored(asked(texts, found.where(F.col("kind") == PHRASE), width), "asked", release=True)
+    of = lambda df, kind: df.where(F.col("kind") == kind).drop("body")
+    meet = [compared(of(found, STRING).union(of(more, STRING))), ordered(more.where(F.col("kind") == PHRASE), width)]
+    gone = stored(of(found, REMOVED).union(of(more, REMOVED)).union(meet[0]).union(meet[1]).select("id", "at", "n"), "gone", release=True)
+    dropped(found, more)
     gone = gone.groupBy("id").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
