@@ -1,0 +1,155 @@
+"""Golden rows of the text functions, one for each quirk."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from textgraph.functions import replies as R
+from textgraph.functions import text as X
+from textgraph.functions.chunking import aligned_windows, fixed_windows
+from textgraph.functions.sentences import group_sentences, split_sentences
+from textgraph.operators import sections as S
+from textgraph.operators import triples as T
+
+
+@pytest.fixture(scope="module")
+def one(spark):
+    def evaluate(column):
+        return spark.range(1).select(column.alias("x")).first().x
+
+    return evaluate
+
+
+def columns(spark, f, *values):
+    return spark.createDataFrame([values], ", ".join(f"c{k} string" for k in range(len(values)))).select(f(*[F.col(f"c{k}") for k in range(len(values))]).alias("x")).first().x
+
+
+def test_windows(spark):
+    text = "Ab cd. " * 500
+    spans = lambda f, t: [(c.start, c.end) for c in columns(spark, f, t)]
+    assert spans(lambda c: aligned_windows(c), text) == [(0, 3500), (3003, 3500)]
+    assert spans(lambda c: fixed_windows(c), text) == [(0, 3500), (3000, 3500)]
+    assert spans(lambda c: aligned_windows(c), "") == spans(lambda c: fixed_windows(c), "") == []
+    words = "word " * 3000
+    got = columns(spark, lambda c: aligned_windows(c), words)
+    for a, b in zip(got, got[1:]):
+        assert a.start < b.start < a.end
+    assert all(c.text == words[c.start : c.end].strip() for c in got)
+    wide = "字。 " * 2500
+    assert all(c.text == wide[c.start : c.end].strip() for c in columns(spark, lambda c: aligned_windows(c), wide))
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Mr. Smith ran. He fell.", ["Mr.", "Smith ran.", "He fell."]),
+        ("Go! now. Yes", ["Go! now.", "Yes"]),
+        ("end.\nNext", ["end.\nNext"]),
+        ("J.R Smith left.", ["J.", "R Smith left."]),
+        ("See Mr.. Smith now. ", ["See Mr.. Smith now."]),
+        ("", []),
+        ("a" * 1700 + "\n\n" + "b.", ["a" * 1700, "b."]),
+    ],
+)
+def test_sentences(spark, text, want):
+    assert columns(spark, lambda c: split_sentences(c), text) == want
+
+
+def test_groups_of_sentences(spark):
+    got = spark.createDataFrame([(["aaaa", "bbbb", "cc"],), ([],), (["x" * 20, "y"],)], "s array<string>").select(group_sentences(F.col("s"), 8).alias("x")).collect()
+    assert [r.x for r in got] == [["aaaa bbbb", "cc"], [], ["x" * 20, "y"]]
+
+
+def test_triples_of_replies(spark):
+    block = "[TRIPLES]\n||a||b||c\n- x||y||z||w\na||||b\n[/TRIPLES] [TRIPLES]n||n||n[/TRIPLES]"
+    assert [tuple(t) for t in columns(spark, lambda c: R.triples_of_block(c), block)] == [("a", "b", "c"), ("x", "y", "z")]
+    assert columns(spark, lambda c: R.triples_of_block(c), "none") == []
+    assert [tuple(t) for t in columns(spark, lambda c: R.triples_of_lines(c), "x\n a||||b \nc||d")] == [("a", "", "b")]
+
+
+def test_verdicts(spark):
+    said = lambda t: tuple(columns(spark, lambda c: R.verdict(c), t))
+    assert said("[VERDICT] NOT PASS [/VERDICT]") == (True, "")
+    assert said("nothing") == (False, "")
+    assert said("[verdict]PASS or FAIL[/verdict][FEEDBACK] a\nb [/FEEDBACK]") == (False, "a\nb")
+
+
+def test_choices(spark):
+    picked = lambda t, n=6: columns(spark, lambda c: R.index_range(c, F.lit(n)), t)
+    assert picked("0,2-4，9") == [0, 2, 3, 4]
+    assert picked("5-3, x") == [] and picked("1-2z") == [1, 2]
+    assert picked("ALL", 3) == [0, 1, 2] and picked("all", 0) == []
+
+
+@pytest.mark.parametrize(
+    ("evidence", "source", "want"),
+    [("b" * 30 + "z" * 10, "a" + "b" * 30 + "c", 0.75), ("short and absent", "nothing here", 0.0), ("", "x", 1.0), ("Quote “x”", "a quote “X” b", 1.0), ("ﬁne", "FINE", 1.0)],
+)
+def test_confidence(spark, evidence, source, want):
+    assert columns(spark, lambda e, s: X.confidence(X.normalize_text(e), X.normalize_text(s)), evidence, source) == pytest.approx(want)
+
+
+def test_longest_common_by_brute_force():
+    import random
+
+    r = random.Random(2)
+    for _ in range(200):
+        a, b = ("".join(r.choice("ab") for _ in range(r.randint(0, 14))) for _ in range(2))
+        best = max((j - i for i in range(len(a)) for j in range(i + 1, len(a) + 1) if a[i:j] in b), default=0)
+        assert X.longest_common(a, b, 3) == (best if best >= 3 else 0)
+
+
+def test_citations(spark):
+    assert columns(spark, lambda c: X.normalize_citations(c), "x [46, 47] y [1,2 , 3] z [5]") == "x [46][47] y [1][2][3] z [5]"
+    assert columns(spark, lambda c: X.strip_citations(c), "Fact [3][4]. More [5, 6]") == "Fact. More [5, 6]"
+    assert columns(spark, lambda c: X.citations(c), "[3][1] [3] [x]") == [1, 3]
+
+
+def test_json(spark):
+    fixed = lambda t: columns(spark, lambda c: X.repair_json(c), t)
+    assert fixed('[{"a":1} {"b":2},]') == '[{"a":1},{"b":2}]'
+    assert fixed(' {"a":1} ') == '{"a":1}' and fixed("so [1] ok") == "[1]"
+    assert columns(spark, lambda c: X.strip_code_fence(c), "```JSON\n[1]\n```  ") == "[1]"
+
+
+@pytest.mark.parametrize(("name", "want"), [("Mr. Mr. Sr", ""), ("Mr. Jabez Wilson, Jr.", "Jabez Wilson"), ("old Tom the elder", "Tom"), ("", ""), ("Colonel", ""), (" Mr. A", "Mr. A")])
+def test_titles(spark, name, want):
+    assert columns(spark, lambda c: X.strip_titles(c), name) == want
+
+
+@pytest.mark.parametrize(
+    ("subject", "object_", "low"),
+    [
+        ("Jabez Wilson", "Wilson", True), ("Jabez Wilson", "Mr. Wilson", True), ("Mary Holder", "Miss Holder", True), ("Irene Adler", "Irene", True),
+        ("Neville St. Clair", "St. Clair", True), ("Gabriel Oak", "Colonel", True), ("James Ryder", "Jem", False), ("John Clay", "Vincent Spaulding", False),
+        ("Francis Hay Moulton", "Francis H. Moulton", False), ("Mr.", "Oak", False),
+    ],
+)
+def test_low_value_aliases(spark, subject, object_, low):
+    assert columns(spark, lambda s, o: X.low_value_alias(s, o), subject, object_) is low
+
+
+def test_reasons(spark):
+    reason = lambda s, o: columns(spark, lambda a, b: T.word_reason(a, b), s, o)
+    assert reason("x", "her stepfather and me") == "me"
+    assert reason("A. Smith", "x") == "a" and reason("Théa", "éa") is None
+
+
+def test_bad_aliases(spark):
+    bad = lambda o, main: columns(spark, lambda s, x: T.bad_alias(s, x, main), "S", o)
+    assert bad("King Arthur", True) and bad("King Arthur", False)
+    assert not bad("Edward", True) and bad("Edward", False)
+    assert bad("O'Brien", True) and not bad("O'Brien", False)
+    assert not bad("nothing", True) and not bad("", True)
+
+
+def test_predicates(spark):
+    to = lambda p: columns(spark, lambda c: T.normalized_predicate(c), p)
+    assert (to("杀死"), to("alias"), to("外号"), to("LIKES"), to("KNOWS")) == (None, "ALIAS", "ALIAS", None, "KNOWS")
+
+
+def test_estimates(one):
+    assert one(S.estimate_main(F.lit(100))) == 7 and one(S.estimate_hier(F.lit(100))) == 29
+    assert one(S.reduction(F.lit(0), F.lit(0))) == 0
+    assert one(X.with_number(F.lit("a 3-5 b 3-5"), F.lit("4"))) == "a 4 b 3-5"
+    assert one(X.answer_of(F.lit(""), F.lit("r"))) == "r"
+    assert one(X.snippet(F.lit("a\nb" * 50))) == ("a\nb" * 50)[:80].replace("\n", " ")
