@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.vocabulary import SUFFIXES, TITLES
@@ -20,6 +20,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def each(df: DataFrame, values: Column, *keep: str, place: str = "k", value: str = "c") -> DataFrame:
+    """One row for each element.  Spark infers a filter size(values) > 0 for a plain explode and would compute costly
+    values twice; the outer form has no such filter."""
+    return df.select(*keep, F.posexplode_outer(values).alias(place, value)).where(F.col(place).isNotNull())
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.functions.text import answer_of, citations, confidence, normalize_citations, normalize_text, repair_json, snippet, strip, strip_citations, strip_code_fence
+from textgraph.functions.text import answer_of, citations, confidence, each, normalize_citations, normalize_text, repair_json, snippet, strip, strip_citations, strip_code_fence
 
 MAX_SECTIONS, SEPARATOR, OMITTED = 30, "\n\n---\n\n", "... (余下 cited sections 省略)"
 ITEM = "array<struct<book:string,question:string,answer:string,response:string>>"
@@ -17,9 +17,9 @@ def qa_items(replies: DataFrame, key: str = "reply_id", reply: str = "reply") ->
     text = repair_json(strip_code_fence(F.col(reply)))
     df = replies.select(key, text.alias("t")).withColumn("v", F.try_parse_json("t")).where("v is not null")
     items = F.when(F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
-    each = df.select(key, F.posexplode(items).alias("qa_idx", "item"))
+    df = each(df, items, key, place="qa_idx", value="item")
     field = lambda name: F.try_variant_get("item", f"$.{name}", "string").alias(name)
-    return each.select(key, "qa_idx", field("book"), field("question"), field("answer"), field("response"), F.to_json("item").alias("item"))
+    return df.select(key, "qa_idx", field("book"), field("question"), field("answer"), field("response"), F.to_json("item").alias("item"))
 
 
 def cited(qa: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def cited_text(references: DataFrame, registry: DataFrame, most: int = MAX_SECTI
 def evidence_lines(replies: DataFrame) -> DataFrame:
     """(qa_idx, ev_idx, evidence) of replies (qa_idx, reply): lines, trimmed, without empty ones."""
     lines = F.filter(F.transform(F.split(strip_code_fence(F.col("reply")), "\n"), strip), lambda x: F.length(x) > 0)
-    return replies.select("qa_idx", F.posexplode(lines).alias("ev_idx", "evidence"))
+    return each(replies, lines, "qa_idx", place="ev_idx", value="evidence")
 
 
 def scored(evidence: DataFrame, sources: DataFrame) -> DataFrame:

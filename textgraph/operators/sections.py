@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textgraph.functions.chunking import aligned_windows, fixed_windows
-from textgraph.functions.text import let, strip
+from textgraph.functions.text import each, let, strip
 from textgraph.functions.vocabulary import QUESTION_TYPES, TITLED_BY_NAME
 
 
@@ -31,27 +31,42 @@ def windows(books: DataFrame, aligned: bool = True) -> DataFrame:
     """(book, section_idx, section_total, start, end, text), sections from 1."""
     chunks = let(strip(F.col("text")), lambda t: (aligned_windows if aligned else fixed_windows)(t))
     df = books.withColumn("chunks", chunks).drop("text")
-    df = df.withColumn("section_total", F.size("chunks")).select("*", F.posexplode("chunks").alias("k", "c")).drop("chunks")
+    df = each(df.withColumn("section_total", F.size("chunks")), F.col("chunks"), "*").drop("chunks")
     return df.select(*[c for c in df.columns if c not in ("k", "c")], (F.col("k") + 1).alias("section_idx"), "c.*")
 
 
-def numbered(sections: DataFrame, book: str = "book", order: str | None = None) -> DataFrame:
-    """global_idx over books in selection order: a running sum over the books' totals, not a sort of all windows."""
+def bounds(books: DataFrame, order: str, parts: int = 200, sample: int = 20_000) -> list:
+    """Values that cut the books' order into parts of about equal size, from a bounded sample of that column."""
+    values = sorted(r[0] for r in books.select(order).where(F.col(order).isNotNull()).orderBy(F.rand(7)).limit(sample).collect())
+    return sorted(set(values[:: max(1, len(values) // parts)]))
+
+
+def numbered(sections: DataFrame, book: str = "book", order: str | None = None, cuts: list | None = None) -> DataFrame:
+    """global_idx over books in selection order: running sums over the books' totals, one short row a book, in parts of the
+    order that cuts gives and that add up; no sort of all windows, and no task with all books where there are cuts."""
     order = order or book
-    totals = sections.groupBy(book, *([order] if order != book else [])).agg(F.first("section_total").cast("long").alias("n"))
-    running = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)  # one short row for each book
-    before = totals.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0))).select(book, "before")
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    totals = sections.groupBy(book, *([order] if order != book else [])).agg(F.first("section_total").cast("long").alias("n")).withColumn("part", part)
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = totals.groupBy("part").agg(F.sum("n").alias("n")).select("part", earlier(Window.orderBy("part")).alias("ahead"))  # a row for each cut
+    before = totals.withColumn("before", earlier(Window.partitionBy("part").orderBy(order))).join(F.broadcast(parts), "part")
+    before = before.select(book, (F.col("before") + F.col("ahead")).alias("before"))
     return sections.join(before, book).withColumn("global_idx", F.col("before") + F.col("section_idx")).drop("before")
 
 
+def tasks(books: DataFrame, order: str | None = None, aligned: bool = True) -> DataFrame:
+    """All windows of books (book, text) with their numbers."""
+    return numbered(windows(books, aligned), "book", order, bounds(books, order or "book"))
+
+
 def registry_slim(sections: DataFrame) -> DataFrame:
     return sections.select("global_idx", "book", F.col("section_idx").alias("section_within_book"), "start", "end")
 
 
 def ordered_concat(rows: DataFrame, by: list[str], order: str, text: Column, separator: str) -> DataFrame:
     """Each group's texts in order, joined."""
-    each = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t"))))
-    return rows.groupBy(*by).agg(F.array_join(F.transform(each, lambda x: x["t"]), separator).alias("text"))
+    texts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t"))))
+    return rows.groupBy(*by).agg(F.array_join(F.transform(texts, lambda x: x["t"]), separator).alias("text"))
 
 
 def labelled(order: str, text: str, line_feed: bool = True) -> Column:
@@ -83,8 +98,8 @@ def type_config(spark, wanted: DataFrame) -> DataFrame:
 
 def type_books(types: DataFrame, available: DataFrame) -> DataFrame:
     """(type, k, book): the books of each type that exist, in list order."""
-    each = types.select("type", F.posexplode("books").alias("k", "book"))
-    return each.join(available.select(F.col("name").alias("book")).distinct(), "book", "left_semi").select("type", "k", "book")
+    listed = types.select("type", F.posexplode("books").alias("k", "book"))
+    return listed.join(available.select(F.col("name").alias("book")).distinct(), "book", "left_semi").select("type", "k", "book")
 
 
 def estimate_main(windows_: Column, workers: int = 8) -> Column:

@@ -88,22 +88,22 @@ def book_title(spark, sf_dir):
 
 @query(G1 + """select doc_id, start, "end", text from g1 where text <> ''""")
 def chunk_sentence_aligned(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.inline(aligned_windows(F.col("text"))))
+    return X.each(docs(spark, sf_dir), aligned_windows(F.col("text")), "doc_id").select("doc_id", "c.*")
 
 
 @query(G2 + """select doc_id, start, "end", text from g2 where text <> ''""")
 def chunk_fixed_stride(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.inline(fixed_windows(F.col("text"))))
+    return X.each(docs(spark, sf_dir), fixed_windows(F.col("text")), "doc_id").select("doc_id", "c.*")
 
 
 @query(G2 + """select book, section_idx, section_total, start, "end", global_idx from s""")
 def section_numbering(spark, sf_dir):
-    return S.numbered(S.windows(books(spark, sf_dir), aligned=False)).drop("text")
+    return S.tasks(books(spark, sf_dir), aligned=False).drop("text")
 
 
 @query(G2 + """select global_idx, book, section_idx as section_within_book, start, "end" from s""")
 def registry_slim(spark, sf_dir):
-    return S.registry_slim(S.numbered(S.windows(books(spark, sf_dir), aligned=False)))
+    return S.registry_slim(S.tasks(books(spark, sf_dir), aligned=False))
 
 
 @query(G2 + """select book, string_agg('[Section ' || section_idx || ']' || chr(10) || text, chr(10) || chr(10) order by section_idx) as text from s group by book""")
@@ -128,8 +128,8 @@ q as (select doc_id, row_number() over (partition by doc_id order by x.k) as pos
 
 @query(SENTENCES + "select doc_id, pos, sentence from q")
 def sentence_split(spark, sf_dir):
-    each = docs(spark, sf_dir).select("doc_id", F.posexplode(split_sentences(F.col("text"))).alias("k", "sentence"))
-    return each.select("doc_id", (F.col("k") + 1).alias("pos"), "sentence")
+    found = X.each(docs(spark, sf_dir), split_sentences(F.col("text")), "doc_id", value="sentence")
+    return found.select("doc_id", (F.col("k") + 1).alias("pos"), "sentence")
 
 
 @query(SENTENCES.replace("with d", "with recursive d") + r""",
@@ -140,8 +140,8 @@ r as (select doc_id, pos, sentence as now, 1 as grp from q where pos = 1
       from r join q on q.doc_id = r.doc_id and q.pos = r.pos + 1)
 select doc_id, grp as pos, arg_max(now, r.pos) as chunk from r group by doc_id, grp""")
 def sentence_group(spark, sf_dir):
-    each = docs(spark, sf_dir).select("doc_id", F.posexplode(group_sentences(split_sentences(F.col("text")))).alias("k", "chunk"))
-    return each.select("doc_id", (F.col("k") + 1).alias("pos"), "chunk")
+    found = X.each(docs(spark, sf_dir), group_sentences(split_sentences(F.col("text"))), "doc_id", value="chunk")
+    return found.select("doc_id", (F.col("k") + 1).alias("pos"), "chunk")
 
 
 # --- replies -----------------------------------------------------------------------------------------------------
@@ -346,7 +346,7 @@ def citations_strip(spark, sf_dir):
 @query(G2 + f"""select qa_idx, count(*) as n_cited, string_agg('[' || section || '] (' || book || ', chars ' || start || '-' || "end" || ')' || chr(10) || text,
 chr(10) || chr(10) || '---' || chr(10) || chr(10) order by section) as text from ({CITED}) c join s on s.global_idx = c.section group by qa_idx""")
 def cited_sections(spark, sf_dir):
-    registry = S.numbered(S.windows(books(spark, sf_dir), aligned=False))
+    registry = S.tasks(books(spark, sf_dir), aligned=False)
     return E.cited_text(citations_extract(spark, sf_dir), registry)
 
 
@@ -434,7 +434,7 @@ from ({P.ANSWERS}) a left join (select qa_idx as q, list(evidence order by ev_id
 left join (select qa_idx as q2, list(text order by section) as context from ({CITED}) c join s on s.global_idx = c.section group by 1) x on q2 = qa_idx""")
 def qa_assemble(spark, sf_dir):
     qa = P.recipe(spark, sf_dir, P.ANSWERS).select("qa_idx", F.concat(F.lit("file "), (F.col("qa_idx") % 50).cast("string"), F.lit(".cleaned")).alias("book"), F.lit("q").alias("question"), "answer", F.lit(None).cast("string").alias("response"))
-    registry = S.numbered(S.windows(books(spark, sf_dir), aligned=False))
+    registry = S.tasks(books(spark, sf_dir), aligned=False)
     return E.assembled(qa, P.recipe(spark, sf_dir, P.EVIDENCE), registry, P.recipe(spark, sf_dir, TITLES_SQL))
 
 

@@ -19,10 +19,6 @@ from textgraph.sources import sinks as K
 STATE = "global_idx long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
 
 
-def tasks_of(books: DataFrame, order: str | None = None, aligned: bool = True) -> DataFrame:
-    return S.numbered(S.windows(books, aligned), "book", order)
-
-
 def registered(tasks: DataFrame, folder: str) -> DataFrame:
     """The windows of a run, written once: all later stages look their texts up there."""
     tasks.write.mode("overwrite").parquet(f"{folder}/registry")
@@ -55,7 +51,7 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     """Questions for each book: windows, summaries, one QA call a book, evidence, final items, and the books' triples.
     books: (book, text).  Each model stage is written under folder before it is used."""
     spark = books.sparkSession
-    tasks = registered(tasks_of(books), folder)
+    tasks = registered(S.tasks(books), folder)
     found = summaries(tasks, model, folder, triples_on)
     said = found.join(tasks.select("global_idx", "book"), "global_idx")
     per_book = S.ordered_concat(said, ["book"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
@@ -63,9 +59,9 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     K.append_done(mapped(per_book, ask, "reply_id string, reply string", model), folder, "qa")
     replies = B.read_done(spark, folder, "qa", "reply_id string, reply string")
     items = E.qa_items(replies)
-    before = items.groupBy("reply_id").agg(F.count("*").alias("n"))
-    first = before.alias("a").join(before.alias("b"), F.col("b.reply_id") < F.col("a.reply_id"), "left").groupBy("a.reply_id").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    items = items.join(first, "reply_id").withColumn("qa_idx", F.col("before") + F.col("qa_idx")).drop("before", "reply_id")
+    counted = items.join(items.groupBy("reply_id").agg(F.count("*").alias("section_total")), "reply_id").withColumn("section_idx", F.col("qa_idx") + 1)
+    items = S.numbered(counted, "reply_id", cuts=S.bounds(replies, "reply_id")).withColumn("qa_idx", F.col("global_idx") - 1)
+    items = items.drop("global_idx", "section_total", "section_idx", "reply_id")
     quoted = spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")
     if evidence_on:
         texts = E.cited_text(E.cited(items), tasks)
@@ -82,7 +78,7 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
 
 def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, guide: str = "") -> DataFrame:
     """(answer): one answer over all books' summaries, with fences off."""
-    tasks = registered(tasks_of(books), folder)
+    tasks = registered(S.tasks(books), folder)
     found = summaries(tasks, model, folder)
     whole = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
     ask = lambda r, own: {"answer": call_or_raise(own, messages("answer", f"QUESTION:\n{question}\n{guide}\nTEXT:\n{r['text']}"), MAX_ANSWER)}
@@ -109,7 +105,7 @@ def compress(text: DataFrame, model: Callable[[], Model] = OfflineModel, target:
 def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel) -> dict[str, DataFrame]:
     """Clean, summarize, compress, extract triples, polish, answer; two written stages before the run's single text."""
     spark = books.sparkSession
-    tasks = registered(tasks_of(books, aligned=False), folder)
+    tasks = registered(S.tasks(books, aligned=False), folder)
     K.append_done(staged(S.pending(tasks, B.read_done(spark, folder, "preprocess", "global_idx long, text string"), "global_idx"), "preprocess", model), folder, "preprocess")
     tasks = S.overwritten(tasks, B.read_done(spark, folder, "preprocess", "global_idx long, text string"), "global_idx")
     missing = lambda r: f"[Section {r['section_idx']} summary unavailable]"
