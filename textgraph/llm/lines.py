@@ -33,7 +33,8 @@ _BASE = 0x9E3779B97F4A7C15
 
 def lines_of(texts: DataFrame) -> DataFrame:
     """(id, place, line, name) of the lines that take part."""
-    each = texts.select("id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    # outer: no filter over the split text is inferred, which would split it twice; there is a line at least
+    each = texts.select("id", F.posexplode_outer(F.split("text", "\n")).alias("place", "line"))
     return each.select("id", "place", F.lower(F.trim("line")).alias("line")).where(F.length("line") >= MIN_CHARS).withColumn("name", F.xxhash64("line"))
 
 
@@ -119,7 +120,9 @@ def _bands(distinct: DataFrame) -> DataFrame:
             first = run_starts(band)
             size = np.diff(np.append(first, len(band)))
             many = np.repeat(size > 1, size)
-            return pa.RecordBatch.from_arrays([pa.array(band[many]), pa.array(name[many]), pa.array(np.repeat(size, size)[many])], ["band", "name", "size"])
+            # named by their lines, so that bands with the same lines are one
+            same = mixed(np.add.reduceat(mixed(name.view(np.uint64)), first) + size.astype(np.uint64)).view(np.int64) if len(first) else size
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(same, size)[many]), pa.array(name[many]), pa.array(np.repeat(size, size)[many])], ["band", "name", "size"])
 
         for batch in rows:
             held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 0)))
@@ -128,7 +131,7 @@ def _bands(distinct: DataFrame) -> DataFrame:
         if held:
             yield several(True)
 
-    found = each.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band").mapInArrow(run, "band long, name long, size long")
+    found = each.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band").mapInArrow(run, "band long, name long, size long").distinct()
     parts = F.ceil(F.col("size") / PART_LINES).cast("int")
     part = F.pmod(F.xxhash64("name", F.lit(1)), parts).cast("int")
     found = found.select("band", "name", part.alias("p"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("o"))
@@ -175,8 +178,9 @@ def removed_lines(texts: DataFrame) -> DataFrame:
     distinct = stored(signed.groupBy("name").agg(F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"), F.any_value("bands").alias("bands")), "lines")
     joined = components(links(texts, distinct)).withColumnRenamed("node", "name")
     grouped = distinct.select("name", "first", "n").join(joined, "name", "left")
-    kept = grouped.where("component is not null").groupBy("component").agg(F.min("first").alias("kept"))
-    several = grouped.join(kept, "component", "left").where("n > 1 or kept is not null").select("name", F.coalesce("kept", "first").alias("kept"))
+    linked = grouped.where("component is not null")
+    kept = linked.groupBy("component").agg(F.min("first").alias("kept"))
+    several = linked.join(kept, "component").select("name", "kept").union(grouped.where("component is null and n > 1").select("name", "first"))
     each = lines_of(texts).select("id", "place", "name").join(_small(stored(several, "several")), "name")
     return each.where((F.col("id") != F.col("kept.id")) | (F.col("place") != F.col("kept.place"))).select("id", "place")
 
