@@ -1,6 +1,5 @@
 """Operators on documents against brute force."""
 
-import hashlib
 import re
 
 import numpy as np
@@ -332,3 +331,13 @@ def test_tokens_of_odd_words():
     tokenizer = Tokenizer.from_file(queries.word_tokenizer())
     for k, t in enumerate(texts):
         assert ids[limits[k] : limits[k + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_suffix_ranks():
+    r = np.random.default_rng(5)
+    text = r.integers(97, 99, 400).astype(np.uint8)
+    for width in (3, 8, 13, 40):
+        starts = np.arange(0, 400 - width, 3)
+        rank = repeats.suffix_ranks(text, starts, width)
+        strings = [text[s : s + width].tobytes() for s in starts]
+        assert [sorted(set(strings)).index(x) for x in strings] == rank.tolist()

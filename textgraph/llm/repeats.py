@@ -6,19 +6,20 @@ smaller id, or earlier in the same one.
 Parse.  A rolling hash of GRAM bytes marks triggers: the least hash of every ``width``-byte string.  A trigger depends on
 the string's own bytes alone, so equal strings have it at the same place, and each string belongs to one phrase: the
 bytes under all strings that share a trigger.  Phrases are the dictionary, their places in the documents the parse.
-Order.  Suffixes of phrases only matter up to ``width`` bytes, and only their equality does, so the sorted order of
-dictionary and parse is that of (trigger hash, content hash, id, offset): equal content is adjacent, earliest place first.
+Order.  Suffixes of phrases only matter up to ``width`` bytes, and no such string reaches beyond its phrase.  So the suffix
+array of the dictionary, by doubling up to ``width`` bytes, makes equal strings adjacent, and the parse orders equal
+ones as the corpus does, by id and offset.  A task builds it for the phrases of its triggers.
 
 1. A task sorts the phrases of a block of text.  All but the first of equal phrases are removed there, so copies, however
    many, leave one phrase per block.  A trigger with CROWD different phrases in a block, as a very common line makes, is
    crowded: its strings are compared one by one, and the block passes on one phrase, marked, and each distinct string.
 2. Phrases meet by trigger.  Of equal ones the first stays.  Where a trigger has different phrases, their texts are read
    again; where it is crowded in any block, or here, their strings are.
-3. Texts meet by trigger: their strings are sorted, and all but the first of equal ones removed.  Strings of crowded
+3. Texts meet by trigger: the suffix array orders their strings, and all but the first of equal ones are removed.  Strings of crowded
    triggers meet by trigger and content hash, so no task gets a crowd.
 4. Each document's removed strings are merged to spans.
 
-A trigger's hash and a content hash together have 128 bits; the strings that a content hash tells apart share their trigger.
+Equal phrases, and strings of crowded triggers, are found by 128 bits of hashes; all other strings by their bytes.
 
 Defined cases: a null or empty text has no bytes; a null id comes before all others; rows with equal ids are separate
 documents in the order of their texts; extra columns are ignored; an empty table gives no rows.
@@ -229,7 +230,9 @@ def met(rows: DataFrame) -> DataFrame:
                 yield _rows(PHRASE, k1[p], k2[p], ids[p], at[p], n[p], crowd)
 
     spark = rows.sparkSession
-    dealt = rows.repartition(partitions(spark), "k1").sortWithinPartitions("k1")
+    # strings only pass through: those of a crowded trigger are dealt by their content
+    key = F.when(F.col("kind") == STRING, F.col("k2")).otherwise(F.col("k1"))
+    dealt = rows.repartition(partitions(spark), key).sortWithinPartitions("k1")
     return map_arrow(dealt, run, ROWS)
 
 
@@ -261,26 +264,39 @@ def asked(docs: DataFrame, requests: DataFrame, width: int) -> DataFrame:
     return map_arrow(docs.join(each, "id").select("id", "text", "ask"), run, ROWS + ", body binary")
 
 
-def _first_strings(width: int, k1: np.ndarray, ids: np.ndarray, at: np.ndarray, n: np.ndarray, bodies: list[bytes]) -> pa.RecordBatch:
-    """Of phrases with their texts, sorted by trigger: the strings that equal an earlier one."""
+def suffix_ranks(text: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """The suffix array of a dictionary as far as it is needed: lexicographic ranks of the ``width`` bytes at each start,
+    equal for equal bytes, by doubling the compared prefix."""
+    size = 8 if width >= 8 else 1
+    views = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, size))
+    rank = np.unique(views.view(">u8" if size == 8 else np.uint8).ravel(), return_inverse=True)[1].astype(np.int64)
+    while 2 * size <= width:
+        rank = np.unique(rank[:-size] * (int(rank.max()) + 1) + rank[size:], return_inverse=True)[1].astype(np.int64)
+        size *= 2
+    return np.unique(rank[starts] * (int(rank.max()) + 1) + rank[starts + width - size], return_inverse=True)[1]
+
+
+def _first_strings(width: int, ids: np.ndarray, at: np.ndarray, n: np.ndarray, bodies: list[bytes]) -> pa.RecordBatch:
+    """Of phrases with their texts: the strings that equal an earlier one.  Strings in the order of their bytes, and
+    equal ones in the order of the parse, which is that of the corpus."""
     limits = np.concatenate([[0], np.cumsum([len(x) for x in bodies])]).astype(np.int64)
-    *_, gone = _strings(Block(np.frombuffer(b"".join(bodies), np.uint8)), width, limits[:-1], n.astype(np.int64), k1, ids, at - limits[:-1])
-    return gone
+    n = n.astype(np.int64)
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    ids, at = np.repeat(ids, n), np.repeat(at, n) + step
+    if not len(ids):
+        return _removed(ids, at, step)
+    rank = suffix_ranks(np.frombuffer(b"".join(bodies), np.uint8), np.repeat(limits[:-1], n) + step, width)
+    order, new = _first_of(rank, ids, at)
+    gone = order[~new]
+    return _removed(ids[gone], at[gone], np.ones(len(gone)))
 
 
 def ordered(phrases: DataFrame, width: int) -> DataFrame:
     """Step 3 for texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k1, ids, at, n, bodies in _sorted_runs(batches, 1, 1 << 12, first=0):
-            # cut at triggers, so that a block holds the texts
-            head = np.append(run_starts(k1), len(k1))
-            begin = 0
-            for a, b in zip(head[:-1], head[1:]):
-                if b - begin > 1 << 13:
-                    yield _first_strings(width, k1[begin:a], ids[begin:a], at[begin:a], n[begin:a], bodies[begin:a].tolist()) if a > begin else _rows(REMOVED, ids=ids[:0], at=at[:0])
-                    begin = a
-            yield _first_strings(width, k1[begin:], ids[begin:], at[begin:], n[begin:], bodies[begin:].tolist())
+        for k1, ids, at, n, bodies in _sorted_runs(batches, 1, 1 << 13, first=0):
+            yield _first_strings(width, ids, at, n, bodies.tolist())
 
     dealt = phrases.select("k1", "id", "at", "n", "body").repartition(partitions(phrases.sparkSession), "k1").sortWithinPartitions("k1")
     return map_arrow(dealt, run, ROWS)
