@@ -1,5 +1,6 @@
 """Operators on documents against brute force."""
 
+import random
 import re
 
 import numpy as np
@@ -183,6 +184,34 @@ def test_line_dedup(docs, no_docs, spark):
     assert lines.dedup_lines(no_docs).count() == 0
 
 
+def test_line_dedup_of_small_edits(spark):
+    """One character or one word is changed in lines of 30 to 100 characters; likeness is that of 5-character shingles."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghiklmnoprstuw") for _ in range(r.randint(2, 8)))
+
+    def likeness(a, b):
+        a, b = ({x[k : k + 5] for k in range(len(x) - 4)} for x in (a, b))
+        return len(a & b) / len(a | b)
+
+    pairs = []
+    for k in range(600):
+        words = [word()]
+        while len(" ".join(words)) < 30 + 62 * k // 600:
+            words.append(word())
+        line = " ".join(words)
+        at = r.randrange(len(words)) if k % 2 else r.randrange(len(line))
+        pairs.append((line, " ".join([*words[:at], word(), *words[at + 1 :]]) if k % 2 else line[:at] + "#" + line[at + 1 :]))
+    assert all(30 <= len(line) <= 100 for line, _ in pairs)
+    df = spark.createDataFrame([(2 * k + j, x) for k, pair in enumerate(pairs) for j, x in enumerate(pair)], "doc_id long, text string")
+    got = {x.doc_id: x.n_removed for x in lines.dedup_lines(df).select("row.doc_id", "n_removed").collect()}
+    near = [k for k, pair in enumerate(pairs) if likeness(*pair) >= 0.8]
+    assert min(sum(k % 2 == j for k in near) for j in (0, 1)) > 80
+    for j in (0, 1):
+        found = [got[2 * k + 1] for k in near if k % 2 == j]
+        assert sum(found) >= 0.96 * len(found)
+    assert not any(got[2 * k] for k in range(600)) and not any(got[2 * k + 1] for k in set(range(600)) - set(near))
+
+
 def test_line_links_of_a_forest():
     a = "the quick brown fox jumps over the lazy dog again and again until night"
     assert lines.forest([1, 2, 3], [a, a + "!", "something else entirely, with no likeness"]) == [(2, 1)]

@@ -2,7 +2,7 @@
 
 Lines are trimmed and lower-cased; those of fewer than MIN_CHARS characters are left alone.  Equal lines are merged by a 64-bit
 hash, their name.  Distinct ones get MinHash signatures over their character shingles and meet in BANDS bands of ROWS
-values; two lines of similarity s meet with probability 1 - (1 - s ** ROWS) ** BANDS, 0.985 at the threshold of 0.8.
+values; two lines of similarity s meet with probability 1 - (1 - s ** ROWS) ** BANDS, 0.986 at the threshold of 0.8.
 Lines that share a band are compared by the exact Jaccard similarity of their shingle sets, distributed union-find joins
 what is similar, and of each component the first line (by document id and place) is kept.  Other lines are removed.
 
@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 
 from textgraph.llm.common import components, keyed, map_arrow, mixed, partitions, run_starts, stored, text_bytes
 
-MIN_CHARS, SHINGLE, SIMILARITY = 16, 10, 0.8
-BANDS, ROWS = 8, 4
+#: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
+#: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
+MIN_CHARS, SHINGLE, SIMILARITY = 16, 5, 0.8
+#: More values a band than the recall needs: lines without likeness share more short shingles, and must not meet by them.
+BANDS, ROWS = 14, 6
 #: Lines of a band value that one task compares; rows that may be broadcast.
 PART_LINES, SMALL_ROWS = 2048, 300_000
 _BASE = 0x9E3779B97F4A7C15
