@@ -212,6 +212,14 @@ def test_line_dedup_of_small_edits(spark):
     assert not any(got[2 * k] for k in range(600)) and not any(got[2 * k + 1] for k in set(range(600)) - set(near))
 
 
+def test_short_line_dedup(spark):
+    """Of short lines, exact copies go from the second on, and blank lines stay; from five characters on, likeness counts."""
+    texts = ["Les.\n\nown line of the first text\n-", "  les. \n\t\n \nand ornd.\nété", "ÉTÉ\nand ornd.\nles\n\t\n-\r", "abcdefghijklmno\nles.\nLES.", "abcdefghijklmn\nabcd\nabcde"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.left for r in lines.dedup_lines(df).select("row.doc_id", F.col("text").alias("left")).collect()}
+    assert got == {0: texts[0], 1: "\t\n \nand ornd.\nété", 2: "les\n\t\n-\r", 3: "abcdefghijklmno", 4: "abcd\nabcde"}
+
+
 def test_line_links_of_a_forest():
     a = "the quick brown fox jumps over the lazy dog again and again until night"
     assert lines.forest([1, 2, 3], [a, a + "!", "something else entirely, with no likeness"]) == [(2, 1)]

@@ -1,7 +1,7 @@
 """Fuzzy line dedup (operator 5).
 
-Lines are trimmed and lower-cased; those of fewer than MIN_CHARS characters are left alone.  Equal lines are merged by a 64-bit
-hash, their name.  Distinct ones get MinHash signatures over their character shingles and meet in BANDS bands of ROWS
+Lines are trimmed and lower-cased; blank ones are left alone.  Equal lines are merged by a 64-bit hash, their name; those of
+fewer than SHINGLE characters take part by it alone.  Other distinct ones get MinHash signatures over their character shingles and meet in BANDS bands of ROWS
 values; two lines of similarity s meet with probability 1 - (1 - s ** ROWS) ** BANDS, 0.986 at the threshold of 0.8.
 Lines that share a band are compared by the exact Jaccard similarity of their shingle sets, distributed union-find joins
 what is similar, and of each component the first line (by document id and place) is kept.  Other lines are removed.
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from textgraph.llm.common import components, keyed, map_arrow, mixed, partitions
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
-MIN_CHARS, SHINGLE, SIMILARITY = 16, 5, 0.8
+MIN_CHARS, SHINGLE, SIMILARITY = 1, 5, 0.8
 #: More values a band than the recall needs: lines without likeness share more short shingles, and must not meet by them.
 BANDS, ROWS = 14, 6
 #: Lines of a band value that one task compares; rows that may be broadcast.
@@ -38,7 +39,7 @@ def lines_of(texts: DataFrame) -> DataFrame:
     """(id, place, line, name) of the lines that take part."""
     # outer: no filter over the split text is inferred, which would split it twice; there is a line at least
     each = texts.select("id", F.posexplode_outer(F.split("text", "\n")).alias("place", "line"))
-    return each.select("id", "place", F.lower(F.trim("line")).alias("line")).where(F.length("line") >= MIN_CHARS).withColumn("name", F.xxhash64("line"))
+    return each.select("id", "place", F.lower(F.trim("line")).alias("line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("name", F.xxhash64("line"))
 
 
 def signatures(raw: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -74,8 +75,11 @@ def signatures(raw: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 def _signed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        bands = signatures(*text_bytes(batch.column(3)))
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
+        lines = batch.column(3)
+        long = pc.greater_equal(pc.utf8_length(lines), SHINGLE)
+        bands = signatures(*text_bytes(lines.filter(long)))
+        sizes = long.to_numpy(zero_copy_only=False) * np.int32(BANDS)  # no bands for lines that hold no shingle
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(bands.ravel()))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists], ["name", "id", "place", "bands"])
 
 
