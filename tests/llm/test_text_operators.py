@@ -247,6 +247,17 @@ def test_boilerplate_lines(spark):
     assert got[101].removed_chars == 0 and got[101].kept
 
 
+def test_texts_without_boilerplate_lines(spark):
+    own = "own line number {} with ten words or more in it, as asked"
+    rows = [(k, f"  Subscribe to\tOUR letter \n\n{own.format(k)}\nsubscribe to our letter", "h") for k in range(40)]
+    rows += [(7, "Subscribe to our letter", "h"), (None, None, "h"), (101, "Subscribe to our letter\n" + own.format(101), "other"), (102, "", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality_rules.apply_rules(df).collect()
+    want = [(k, f"\n{own.format(k)}", 49, True) for k in range(40)] + [(7, "", 23, False), (None, None, 0, False), (101, rows[-2][1], 0, True), (102, "", 0, False)]
+    key = lambda x: (x[0] or -1, x[1] or "")
+    assert sorted([(r.doc_id, r.text, r.removed_chars, r.kept) for r in got], key=key) == sorted(want, key=key)
+
+
 def test_classifier(spark, docs, no_docs):
     from tests.llm.conftest import prose
 

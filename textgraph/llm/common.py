@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch; with texts of some KB a batch stays far below an executor's memory.
 BATCH_ROWS = 512
+#: Rows that may be broadcast.
+SMALL_ROWS = 300_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,6 +54,11 @@ def dropped(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast where its counted rows stay below the bound."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keep the Arrow batches of this session at no more than so many rows."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

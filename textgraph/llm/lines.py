@@ -23,15 +23,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, keyed, map_arrow, mixed, partitions, run_starts, stored, text_bytes
+from textgraph.llm.common import components, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
 MIN_CHARS, SHINGLE, SIMILARITY = 1, 5, 0.8
 #: More values a band than the recall needs: lines without likeness share more short shingles, and must not meet by them.
 BANDS, ROWS = 14, 6
-#: Lines of a band value that one task compares; rows that may be broadcast.
-PART_LINES, SMALL_ROWS = 2048, 300_000
+#: Lines of a band value that one task compares.
+PART_LINES = 2048
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -145,17 +145,12 @@ def _bands(distinct: DataFrame) -> DataFrame:
     return found.select("name", F.xxhash64("band", F.least("p", "o"), F.greatest("p", "o")).alias("key"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its counted rows stay below the bound."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
-
-
 def links(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     """(a, b): names of similar lines."""
     candidates = stored(_bands(distinct), "candidates")
     wanted = stored(candidates.select("name").distinct().join(distinct, "name").select("name", "first.id", "first.place"), "wanted")
-    own = lines_of(texts.join(_small(wanted.select("id").distinct()), "id", "left_semi"))
-    own = own.join(_small(wanted), ["id", "place", "name"], "left_semi").select("name", "line")
+    own = lines_of(texts.join(small(wanted.select("id").distinct()), "id", "left_semi"))
+    own = own.join(small(wanted), ["id", "place", "name"], "left_semi").select("name", "line")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, names, lines = None, [], []
@@ -188,7 +183,7 @@ def removed_lines(texts: DataFrame) -> DataFrame:
     linked = grouped.where("component is not null")
     kept = linked.groupBy("component").agg(F.min("first").alias("kept"))
     several = linked.join(kept, "component").select("name", "kept").union(grouped.where("component is null and n > 1").select("name", "first"))
-    each = lines_of(texts).select("id", "place", "name").join(_small(stored(several, "several")), "name")
+    each = lines_of(texts).select("id", "place", "name").join(small(stored(several, "several")), "name")
     return each.where((F.col("id") != F.col("kept.id")) | (F.col("place") != F.col("kept.place"))).select("id", "place")
 
 
@@ -196,7 +191,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(row, text, n_lines, n_removed): row holds the columns of docs, text is what is left."""
     own = keyed(docs, id_col, text_col)
     gone = stored(removed_lines(own.select("id", "text")).groupBy("id").agg(F.collect_list("place").alias("gone")), "gone")
-    out = own.join(_small(gone), "id", "left")
+    out = own.join(small(gone), "id", "left")
     left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
     original = F.col("row")[text_col]
     return out.select(

@@ -57,7 +57,7 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).drop("text")
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
