@@ -247,6 +247,14 @@ def test_boilerplate_lines(spark):
     assert got[101].removed_chars == 0 and got[101].kept
 
 
+def test_boilerplate_by_number_on_a_large_host(spark):
+    """100 of 4,000 documents are under the share; the absolute limit takes the line all the same."""
+    rows = [(k, ("Subscribe to our letter\n" if k % 40 == 0 else "") + f"own line {k} with ten words or more in it, as asked", "h") for k in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for limit, removed in ((99, 100), (100, 0), (None, 0)):
+        assert quality_rules.apply_rules(df, max_docs=limit).where("removed_chars > 0").count() == removed
+
+
 def test_texts_without_boilerplate_lines(spark):
     own = "own line number {} with ten words or more in it, as asked"
     rows = [(k, f"  Subscribe to\tOUR letter \n\n{own.format(k)}\nsubscribe to our letter", "h") for k in range(40)]

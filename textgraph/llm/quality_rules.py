@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency (operator 6); DataFrame functions only.
 
 A first pass over the texts hashes each document's normalised lines.  A line counts once per document and host.  It is
-boilerplate where it stands in more than ``min_docs`` documents of a host and in more than ``max_share`` of them.  A second
-pass takes the boilerplate lines out of the texts and measures the documents; a document that keeps less than ``min_left`` of
+boilerplate where it stands in more than ``min_docs`` documents of a host and in more than ``max_share`` of them, or, where
+``max_docs`` is given, in more than that many documents of a host of any size.  A second pass takes the boilerplate lines out of the texts and measures the documents; a document that keeps less than ``min_left`` of
 its characters is depleted and rejected.
 
 Counts are pre-aggregated before they are shuffled, the limit by number is applied before the host's size is joined,
@@ -72,21 +72,25 @@ def measured(texts: DataFrame, *carried: str) -> DataFrame:
     return df.withColumn("n_repeat_words", _repeated_words(F.col("windows"))).drop("windows")
 
 
-def boilerplate(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def boilerplate(rows: DataFrame, min_docs: int, max_share: float, max_docs: int | None = None) -> DataFrame:
     """(host, h): the lines that stand in too many of a host's documents."""
     once = rows.select("host", F.explode(F.array_distinct("lines")).alias("h"))
-    often = once.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > min_docs)
+    least = min_docs if max_docs is None else min(min_docs, max_docs)
+    often = once.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > least)
     hosts = rows.groupBy("host").agg(F.count("*").alias("docs"))
-    return often.join(hosts, "host").where(F.col("n") > max_share * F.col("docs")).select("host", "h")
+    many = (F.col("n") > min_docs) & (F.col("n") > max_share * F.col("docs"))
+    if max_docs is not None:
+        many |= F.col("n") > max_docs
+    return often.join(hosts, "host").where(many).select("host", "h")
 
 
 def apply_rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_left: float = 0.5, id_col: str = "doc_id",
-                text_col: str = "text", host_col: str = "source") -> DataFrame:
+                text_col: str = "text", host_col: str = "source", max_docs: int | None = None) -> DataFrame:
     """Per document the base measures, text (without boilerplate lines), removed_chars, line_chars, base_failed and kept."""
     own = keyed(docs, id_col, text_col)
     host = F.coalesce(F.col("row")[host_col].cast("string"), F.lit("")).alias("host")
     rows = stored(own.select("id", host, F.transform(_lines(F.col("text")), _name).alias("lines")), "lines")
-    frequent = boilerplate(rows, min_docs, max_share)
+    frequent = boilerplate(rows, min_docs, max_share, max_docs)
     each = rows.select("id", "host", F.explode(F.array_distinct("lines")).alias("h"))
     gone = stored(each.join(frequent, ["host", "h"], "left_semi").groupBy("id").agg(F.collect_list("h").alias("gone")), "gone")
     stays = lambda x: ~x.rlike(r"[^\x20\x09-\x0D]") | ~F.array_contains("gone", _name(x))
