@@ -220,9 +220,79 @@ def test_short_line_dedup(spark):
     assert got == {0: texts[0], 1: "\t\n \nand ornd.\nété", 2: "les\n\t\n-\r", 3: "abcdefghijklmno", 4: "abcd\nabcde"}
 
 
-def test_line_links_of_a_forest():
-    a = "the quick brown fox jumps over the lazy dog again and again until night"
-    assert lines.forest([1, 2, 3], [a, a + "!", "something else entirely, with no likeness"]) == [(2, 1)]
+def joined(n, pairs):
+    """Component of each of n nodes, by the smallest."""
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [find(k) for k in range(n)]
+
+
+def some_lines(seed, n):
+    """Lines in families of edits, of 5 to 3,000 characters, and unrelated ones."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghiklmnoprstuwé") for _ in range(r.randint(2, 8)))
+    out = []
+    while len(out) < n:
+        words = [word() for _ in range(r.choice([1, 2, 8, 12, 30, 400]))]
+        for _ in range(r.choice([1, 1, 4, 9])):
+            out.append(" ".join(words))
+            words[r.randrange(len(words))] = word()
+    return list(dict.fromkeys(x for x in out if len(x) >= lines.SHINGLE))
+
+
+@pytest.mark.parametrize("few", [32, 2])
+def test_line_links_against_all_pairs(monkeypatch, few):
+    """The sketch loses no pair, within small groups and in tiles of large ones."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "TILE", 16)
+    own = some_lines(3, 240)
+    limits = np.array([0, 1, 3, 40, 60, 200, len(own)])
+    found = lines.Lines(pa.array(own)).links(limits[:-1], limits[1:])
+    sets = [lines.shingles(x) for x in own]
+    assert all(lines.similar(sets[a], sets[b]) for a, b in found)
+    group = np.searchsorted(limits, np.arange(len(own)), "right")
+    want = [(a, b) for a in range(len(own)) for b in range(a) if group[a] == group[b] and lines.similar(sets[a], sets[b])]
+    got = joined(len(own), found)
+    assert len(want) > 100 and got == joined(len(own), want)
+    assert len(found) == len(own) - len(set(got))
+
+
+def test_signatures_of_a_line_do_not_depend_on_its_neighbours():
+    own = some_lines(4, 200)
+    one = lambda xs: lines.signatures(np.frombuffer("".join(xs).encode(), np.uint8), np.cumsum([0, *(len(x.encode()) for x in xs)]))
+    assert (one(own) == np.concatenate([one([x]) for x in own])).all() and max(map(len, own)) > lines.LONG
+
+
+@pytest.mark.parametrize("part", [4096, 2])
+def test_line_components_against_brute_force(spark, monkeypatch, part):
+    """Recall of the links that brute force finds, and no false ones; with every band value dealt in cells as well."""
+    monkeypatch.setattr(lines, "PART_LINES", part)
+    monkeypatch.setattr(lines, "COUNTED", 1 if part == 2 else 64)
+    own = some_lines(6, 900)
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(own)], "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.n_removed for r in lines.dedup_lines(df).select("row.doc_id", "n_removed").collect()}
+    sets = [lines.shingles(x) for x in own]
+    near = [(a, b) for a in range(len(own)) for b in range(a) if lines.similar(sets[a], sets[b])]
+    removed = {k for k, c in enumerate(joined(len(own), near)) if c != k}
+    gone = {k for k, n in got.items() if n}
+    assert len(removed) > 200 and gone <= removed and len(gone) >= 0.97 * len(removed)
+
+
+def test_hot_lines(spark):
+    """One line in nearly all texts, and one template with very many fillings, meet in cells."""
+    df = spark.range(6000).selectExpr("id as doc_id", "concat('all rights are reserved by the owners of this site\n', 'the best offer of this week is made for customer number ', id, ' of ours, do not miss it, we say') as text")
+    got = lines.dedup_lines(df).agg(F.sum("n_removed")).first()[0]
+    assert got >= 5999 * 2 - 30
 
 
 def test_quality_rules(docs, no_docs):

@@ -11,17 +11,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of one Arrow batch; with texts of some KB a batch stays far below an executor's memory.
-BATCH_ROWS = 512
-#: Rows that may be broadcast.
-SMALL_ROWS = 300_000
+#: Rows and bytes of one Arrow batch: what a worker holds of it, index arrays included, is a fixed multiple of these bytes.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+#: Rows and bytes that may be broadcast.
+SMALL_ROWS, SMALL_BYTES = 300_000, 24 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir.  Where that is unset, a folder of our own in local mode; on a
+    cluster each executor would write to its own disk, so there it has to be set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="textgraph-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -54,16 +58,33 @@ def dropped(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def _bytes(column: str, kind: T.DataType):
+    """About how many bytes a value takes in memory."""
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.size(column), F.lit(0)) * 8 + 16
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    return F.lit(8)
+
+
+def is_small(df: DataFrame, copies: int = 1) -> bool:
+    """Whether the counted rows of a table, and their bytes, stay below the bounds of a broadcast.  Arrays hold plain numbers."""
+    size = sum((_bytes(f"`{f.name}`", f.dataType) for f in df.schema.fields), F.lit(0)).cast("long")
+    rows, total = df.select(size.alias("size")).limit(SMALL_ROWS + 1).agg(F.count("*"), F.sum("size")).first()
+    return rows <= SMALL_ROWS and (total or 0) * copies <= SMALL_BYTES
+
+
 def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its counted rows stay below the bound."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+    """Marked for broadcast where its counted rows and bytes stay below the bounds."""
+    return F.broadcast(df) if is_small(df) else df
 
 
-def batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep the Arrow batches of this session at no more than so many rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) != rows:
-        spark.conf.set(key, str(rows))
+def batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
+    """Keep the Arrow batches of this session at no more than so many rows and bytes (a single row may be longer)."""
+    for key, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key, None) != str(value):
+            spark.conf.set(key, str(value))
 
 
 def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

@@ -1,13 +1,17 @@
 """Fuzzy line dedup (operator 5).
 
-Lines are trimmed and lower-cased; blank ones are left alone.  Equal lines are merged by a 64-bit hash, their name; those of
-fewer than SHINGLE characters take part by it alone.  Other distinct ones get MinHash signatures over their character shingles and meet in BANDS bands of ROWS
-values; two lines of similarity s meet with probability 1 - (1 - s ** ROWS) ** BANDS, 0.986 at the threshold of 0.8.
-Lines that share a band are compared by the exact Jaccard similarity of their shingle sets, distributed union-find joins
-what is similar, and of each component the first line (by document id and place) is kept.  Other lines are removed.
-
-Copies are pre-aggregated before anything is shuffled by content.  Within a band value each task hands on a spanning forest.
-A band value with very many lines is cut into parts that meet pairwise.  Texts are fetched for candidate lines alone.
+Lines are trimmed and lower-cased; blank ones are left alone.  Equal lines are merged by their text and get a number; those of
+fewer than SHINGLE characters take part by equality alone.  Other distinct ones get MinHash signatures over their character
+shingles and meet in BANDS bands of ROWS values; two lines of similarity s meet with probability 1 - (1 - s ** ROWS) ** BANDS,
+0.986 at the threshold of 0.8.  Lines that share a band are compared: a sketch of each shingle set, one bit a shingle, bounds
+how many shingles two lines can share, which settles nearly all pairs without loss; the others are decided by the exact
+Jaccard similarity of their sets.  Distributed union-find joins what is similar, and of each component the first line (by
+document id and place) is kept.  Other lines are removed.
+
+Copies are pre-aggregated before anything else, so a line is signed and compared once however often it stands.  Band values
+that very many lines share are found by counting one line in COUNTED of them; this only decides how the work is dealt: such a
+band is cut into parts that meet pairwise in cells, in different tasks, and a band that the count misses is compared whole.
+A cell hands on a spanning forest of its links, never all pairs.  At the end, lines are looked up by 128 bits of hashes.
 
 Defined cases: null and empty texts stay as they are; an id is given to rows with null or equal ids, in the order of id
 and text; other columns are carried along; an empty table stays empty; a document may lose all its lines and keeps the text ''.
@@ -20,67 +24,97 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes
+from textgraph.llm.common import components, dropped, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
 MIN_CHARS, SHINGLE, SIMILARITY = 1, 5, 0.8
 #: More values a band than the recall needs: lines without likeness share more short shingles, and must not meet by them.
 BANDS, ROWS = 14, 6
-#: Lines of a band value that one task compares.
-PART_LINES = 2048
+#: Lines of a band value that one task compares; of how many lines one is counted to find band values beyond that.
+PART_LINES, COUNTED = 4096, 64
+#: Lines that are signed together, and shingles from which a line is signed by itself.
+GROUP, LONG = 512, 1024
+#: Words of 64 bits in a sketch, rows and columns of a tile, lines of a group up to which pairs are listed by distance.
+SKETCH, TILE, FEW = 4, 512, 32
 _BASE = 0x9E3779B97F4A7C15
 
 
+def _normal(line: Column) -> Column:
+    return F.lower(F.trim(line))
+
+
 def lines_of(texts: DataFrame) -> DataFrame:
-    """(id, place, line, name) of the lines that take part."""
+    """(id, place, line) of the lines that take part."""
     # outer: no filter over the split text is inferred, which would split it twice; there is a line at least
     each = texts.select("id", F.posexplode_outer(F.split("text", "\n")).alias("place", "line"))
-    return each.select("id", "place", F.lower(F.trim("line")).alias("line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("name", F.xxhash64("line"))
+    return each.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("id", "place", _normal(F.col("line")).alias("line"))
 
 
-def signatures(raw: np.ndarray, limits: np.ndarray) -> np.ndarray:
-    """Band values (lines, BANDS) of UTF-8 lines of SHINGLE characters or more."""
-    if len(limits) < 2:
-        return np.zeros((0, BANDS), np.int64)
+def shingle_hashes(raw: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of UTF-8 lines of SHINGLE characters or more, and each line's limits in them."""
     chars = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
     begins = (raw & 0xC0) != 0x80
     limits = np.concatenate([[0], np.cumsum(begins)])[limits]
-    n = len(chars)
-    power = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(SHINGLE - 1, _BASE, np.uint64))])
     values = mixed(chars.astype(np.uint64) + np.uint64(1))
-    size = n - SHINGLE + 1
+    size = len(chars) - SHINGLE + 1
     hashes = np.zeros(size, np.uint64)
-    for j in range(SHINGLE):
-        hashes += values[j : j + size] * power[j]
-    hashes = mixed(hashes)
-    inside = np.ones(n, bool)  # shingles that end in their line
+    for j, power in enumerate(np.cumprod(np.array([1] + [_BASE] * (SHINGLE - 1), np.uint64))):
+        hashes += values[j : j + size] * power
+    inside = np.ones(len(chars), bool)  # shingles that end in their line
     for back in range(1, SHINGLE):
         inside[limits[1:] - back] = False
-    hashes = hashes[inside[:size]]
-    first = limits[:-1] - np.arange(len(limits) - 1) * (SHINGLE - 1)
+    return mixed(hashes[inside[:size]]), limits - np.arange(len(limits)) * (SHINGLE - 1)
+
+
+def _least(value: np.ndarray, step: np.ndarray) -> Iterator[np.ndarray]:
+    """For each hash function the least value in each column; both arrays hold a shingle a row."""
+    for _ in range(BANDS * ROWS):
+        yield value.min(0)
+        value += step
+
+
+def signatures(raw: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Band values (lines, BANDS) of UTF-8 lines of SHINGLE characters or more."""
+    if len(limits) < 2:
+        return np.zeros((0, BANDS), np.int64)
+    hashes, limits = shingle_hashes(raw, limits)
     value, step = (hashes >> np.uint64(32)).astype(np.uint32), hashes.astype(np.uint32) | np.uint32(1)
-    out = np.empty((len(first), BANDS), np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(first), band + 1, np.uint64)
-        for _ in range(ROWS):
-            key = mixed(key * np.uint64(_BASE) + np.minimum.reduceat(value, first))
-            value += step
-        out[:, band] = key
+    size = np.diff(limits)
+    out = np.empty((len(size), BANDS), np.uint64)
+
+    def put(rows: np.ndarray, least: Iterator[np.ndarray]) -> None:
+        for band in range(BANDS):
+            key = np.full(len(rows), band + 1, np.uint64)
+            for _ in range(ROWS):
+                key = mixed(key * np.uint64(_BASE) + next(least))
+            out[rows, band] = key
+
+    # lines of about the same length side by side, shorter ones filled up with their first shingle
+    order = np.argsort(size, kind="stable")
+    several = int(np.searchsorted(size[order], LONG))
+    for at in range(0, several, GROUP):
+        rows = order[at : min(at + GROUP, several)]
+        depth = np.arange(size[rows[-1]])[:, None]
+        place = limits[rows] + np.where(depth < size[rows], depth, 0)
+        put(rows, _least(value[place], step[place]))
+    for row in order[several:]:
+        own = slice(limits[row], limits[row + 1])
+        put(np.array([row]), _least(value[own, None].copy(), step[own, None]))
     return out.view(np.int64)
 
 
 def _signed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        lines = batch.column(3)
+        lines = batch.column(1)
         long = pc.greater_equal(pc.utf8_length(lines), SHINGLE)
         bands = signatures(*text_bytes(lines.filter(long)))
         sizes = long.to_numpy(zero_copy_only=False) * np.int32(BANDS)  # no bands for lines that hold no shingle
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(bands.ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists], ["name", "id", "place", "bands"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "bands"])
 
 
 def similar(a: set, b: set) -> bool:
@@ -92,32 +126,117 @@ def shingles(line: str) -> set:
     return {line[k : k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def forest(names: list[int], lines: list[str]) -> list[tuple[int, int]]:
-    """Links that join all lines which are similar, directly or over others of these."""
-    sets = sorted(((len(s), n, s) for n, s in zip(names, map(shingles, lines))), key=lambda x: (x[0], x[1]))
-    group, links = list(range(len(sets))), []
-    members: dict[int, list[int]] = {}
-    for k, (size, name, s) in enumerate(sets):
-        hit = []
-        for g, among in members.items():
-            for j in reversed(among):
-                if sets[j][0] < SIMILARITY * size:
-                    break  # the sizes fall from here on
-                if similar(s, sets[j][2]):
-                    hit.append(g)
-                    links.append((max(name, sets[j][1]), min(name, sets[j][1])))
-                    break
-        group = sorted([k, *(j for g in hit for j in members.pop(g))])
-        members[group[0]] = group
-    return [x for x in links if x[0] != x[1]]
-
-
-def _bands(distinct: DataFrame) -> DataFrame:
-    """(key, name) of the lines that share a band value; values of very many lines in parts that meet pairwise."""
+class Lines:
+    """Lines of several groups, with sketches of their shingle sets."""
+
+    def __init__(self, lines: pa.Array):
+        self.lines, self.sets = lines, {}
+        hashes, limits = shingle_hashes(*text_bytes(lines))
+        first = limits[:-1]
+        bit = hashes & np.uint64(64 * SKETCH - 1)
+        self.sketch = np.empty((len(lines), SKETCH), np.uint64)
+        for word in range(SKETCH):
+            mine = np.where(bit >> np.uint64(6) == word, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
+            self.sketch[:, word] = np.bitwise_or.reduceat(mine, first)
+        # distinct shingles of each line
+        owner = np.repeat(np.arange(len(lines)), np.diff(limits))
+        by = np.lexsort((hashes, owner))
+        new = np.ones(len(by), bool)
+        new[1:] = (hashes[by][1:] != hashes[by][:-1]) | (owner[by][1:] != owner[by][:-1])
+        self.size = np.bincount(owner[by][new], minlength=len(lines))
+
+    def shingles(self, k: int) -> set:
+        if (found := self.sets.get(k)) is None:
+            found = self.sets[k] = shingles(self.lines[k].as_py())
+        return found
+
+    def possible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether lines a and b can be similar: a's bits that b lacks are shingles that b lacks, and the other way round."""
+        x, y, m, n = self.sketch[a], self.sketch[b], self.size[a], self.size[b]
+        only = lambda p, q: np.bitwise_count(p & ~q).sum(-1, dtype=np.int64)
+        both = np.minimum(m - only(x, y), n - only(y, x))
+        return both >= SIMILARITY * (m + n - both)
+
+    def links(self, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+        """A spanning forest of the similar lines of each group [start, end)."""
+        out = []
+        size = end - start
+        few = np.repeat((size > 1) & (size <= FEW), size)
+        group = np.repeat(np.arange(len(size)), size)
+        at = np.flatnonzero(few)
+        found = [np.zeros((0, 2), np.int64)]
+        for shift in range(1, FEW):
+            at = at[at + shift < len(group)]
+            at = at[group[at] == group[at + shift]]
+            if not len(at):
+                break
+            hit = at[self.possible(at, at + shift)]
+            found.append(np.stack([hit + shift, hit], 1))
+        pairs = np.concatenate(found)
+        root: dict[int, int] = {}
+
+        def find(k: int) -> int:
+            while (up := root.get(k, k)) != k:
+                root[k] = k = root.get(up, up)
+            return k
+
+        for a, b in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist():
+            x, y = find(a), find(b)
+            if x != y and similar(self.shingles(a), self.shingles(b)):
+                root[max(x, y)] = min(x, y)
+                out.append((a, b))
+        for a, b in zip(start[size > FEW].tolist(), end[size > FEW].tolist()):
+            out += self.tiled(a, b)
+        return out
+
+    def tiled(self, start: int, end: int) -> list[tuple[int, int]]:
+        """The same for one large group, tile by tile in the order of set sizes; pairs already joined are not compared."""
+        order = np.arange(start, end)[np.argsort(self.size[start:end], kind="stable")]
+        size, root, out = self.size[order], np.arange(len(order)), []
+        for i in range(0, len(order), TILE):
+            a = order[i : i + TILE]
+            for j in range(i - i % TILE, -1, -TILE):
+                b = order[j : j + TILE]
+                if size[min(j + TILE, len(order)) - 1] < SIMILARITY * size[i]:
+                    break  # sizes of all earlier tiles are smaller still
+                x, y = np.nonzero(self.possible(a[:, None], b[None, :]))
+                x, y = x[(keep := x + i > y + j)] + i, y[keep] + j
+                while len(x):
+                    x, y = x[(apart := root[x] != root[y])], y[apart]
+                    first = run_starts(x)  # one open pair of each line, then those still open again
+                    for k, m in zip(x[first].tolist(), y[first].tolist()):
+                        if root[k] != root[m] and similar(self.shingles(int(order[k])), self.shingles(int(order[m]))):
+                            low, high = sorted((root[k], root[m]))
+                            root[root == high] = low
+                            out.append((int(order[k]), int(order[m])))
+                    x, y = np.delete(x, first), np.delete(y, first)
+        return out
+
+
+def _hot(each: DataFrame) -> DataFrame | None:
+    """(band, parts) of the band values that more than PART_LINES lines share, by the count of one line in COUNTED."""
+    counts = each.where(F.pmod(F.xxhash64("name"), F.lit(COUNTED)) == 0).groupBy("band").agg(F.count("*").alias("n"))
+    hot = stored(counts.where(F.col("n") * COUNTED > PART_LINES).select("band", F.ceil(F.col("n") * COUNTED / PART_LINES).cast("int").alias("parts")), "hot")
+    return hot if hot.limit(1).count() else None
+
+
+def in_cells(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """(band, name), with bands that very many share cut into cells: each pair of parts meets in one of them."""
+    if hot is None:
+        return rows
+    part = F.pmod(F.xxhash64("name", F.lit(1)), F.col("parts")).cast("int")
+    other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = rows.join(small(hot), "band", "left").select("band", "name", part.alias("p"), other.alias("o"))
+    cell = F.when(F.col("o") < 0, F.col("band")).otherwise(F.xxhash64("band", F.least("p", "o"), F.greatest("p", "o")))
+    return met.select(cell.alias("band"), "name")
+
+
+def shared_bands(distinct: DataFrame) -> DataFrame:
+    """(key, name) of the lines that share a band value; band values with the same lines are one key."""
     each = distinct.select("name", F.explode("bands").alias("band"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held, n, enough = [], 0, 1 << 17
 
         def several(last: bool) -> pa.RecordBatch:
             band, name = (np.concatenate(c) for c in zip(*held))
@@ -127,70 +246,87 @@ def _bands(distinct: DataFrame) -> DataFrame:
             first = run_starts(band)
             size = np.diff(np.append(first, len(band)))
             many = np.repeat(size > 1, size)
-            # named by their lines, so that bands with the same lines are one
             same = mixed(np.add.reduceat(mixed(name.view(np.uint64)), first) + size.astype(np.uint64)).view(np.int64) if len(first) else size
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(same, size)[many]), pa.array(name[many]), pa.array(np.repeat(size, size)[many])], ["band", "name", "size"])
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(same, size)[many]), pa.array(name[many])], ["key", "name"])
 
         for batch in rows:
-            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 0)))
-            if sum(len(x) for x, _ in held) >= 1 << 17:
+            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)))
+            n += batch.num_rows
+            if n >= enough:
                 yield several(False)
+                n = len(held[0][0])
+                enough = max(1 << 17, 2 * n)  # what one long band holds is joined again only when it has doubled
         if held:
             yield several(True)
 
-    found = each.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band").mapInArrow(run, "band long, name long, size long").distinct()
-    parts = F.ceil(F.col("size") / PART_LINES).cast("int")
-    part = F.pmod(F.xxhash64("name", F.lit(1)), parts).cast("int")
-    found = found.select("band", "name", part.alias("p"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("o"))
-    return found.select("name", F.xxhash64("band", F.least("p", "o"), F.greatest("p", "o")).alias("key"))
+    rows = in_cells(each, _hot(each)).select("band", "name")
+    dealt = rows.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band")
+    return dealt.mapInArrow(run, "key long, name long").distinct()
 
 
-def links(texts: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(a, b): names of similar lines."""
-    candidates = stored(_bands(distinct), "candidates")
-    wanted = stored(candidates.select("name").distinct().join(distinct, "name").select("name", "first.id", "first.place"), "wanted")
-    own = lines_of(texts.join(small(wanted.select("id").distinct()), "id", "left_semi"))
-    own = own.join(small(wanted), ["id", "place", "name"], "left_semi").select("name", "line")
+def links(distinct: DataFrame) -> DataFrame:
+    """(a, b): numbers of similar lines."""
+    candidates = stored(shared_bands(distinct), "candidates")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, names, lines = None, [], []
-
-        def out() -> pa.RecordBatch:
-            found = forest(names, lines)
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+        held, n, enough = [], 0, 1 << 13
+
+        def out(last: bool) -> pa.RecordBatch:
+            nonlocal held
+            whole = pa.Table.from_batches(held).combine_chunks()
+            key = whole.column(0).to_numpy()
+            cut = len(key) if last else int(np.searchsorted(key, key[-1]))
+            held = whole.slice(cut).to_batches()
+            names, found = whole.column(1).to_numpy()[:cut], []
+            if cut:
+                first = run_starts(key[:cut])
+                found = Lines(whole.column(2).slice(0, cut).combine_chunks()).links(first, np.append(first[1:], cut))
+            pairs = names[np.array(found, np.int64).reshape(-1, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(pairs.max(1)), pa.array(pairs.min(1))], ["a", "b"])
 
         for batch in rows:
-            for k, name, line in zip(*(c.to_pylist() for c in batch.columns)):
-                if k != key and names:
-                    if len(names) > 1:
-                        yield out()
-                    names, lines = [], []
-                key = k
-                names.append(name), lines.append(line)
-        if len(names) > 1:
-            yield out()
+            held.append(batch)
+            n += batch.num_rows
+            if n >= enough:
+                yield out(False)
+                n = sum(b.num_rows for b in held)
+                enough = max(1 << 13, 2 * n)
+        if n:
+            yield out(True)
+
+    met = candidates.join(distinct.select("name", "line"), "name").select("key", "name", "line")
+    return map_arrow(met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key"), run, "a long, b long")
 
-    met = candidates.join(own, "name").select("key", "name", "line")
-    return map_arrow(met.repartition(partitions(texts.sparkSession), "key").sortWithinPartitions("key"), run, "a long, b long")
+
+def _hashes() -> list[Column]:
+    return [F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")]
 
 
 def removed_lines(texts: DataFrame) -> DataFrame:
-    """(id, place) of the lines to remove, over (id, text) with unique ids."""
-    signed = map_arrow(lines_of(texts).select("name", "id", "place", "line"), _signed, "name long, id long, place int, bands array<long>")
-    distinct = stored(signed.groupBy("name").agg(F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"), F.any_value("bands").alias("bands")), "lines")
-    joined = components(links(texts, distinct)).withColumnRenamed("node", "name")
-    grouped = distinct.select("name", "first", "n").join(joined, "name", "left")
-    linked = grouped.where("component is not null")
-    kept = linked.groupBy("component").agg(F.min("first").alias("kept"))
-    several = linked.join(kept, "component").select("name", "kept").union(grouped.where("component is null and n > 1").select("name", "first"))
-    each = lines_of(texts).select("id", "place", "name").join(small(stored(several, "several")), "name")
-    return each.where((F.col("id") != F.col("kept.id")) | (F.col("place") != F.col("kept.place"))).select("id", "place")
+    """(id, gone): the places of the lines to remove, over (id, text) with unique ids."""
+    distinct = lines_of(texts).groupBy("line").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    distinct = distinct.select(F.monotonically_increasing_id().alias("name"), "line", "first", "n")
+    distinct = stored(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines")
+    joined = components(links(distinct)).withColumnRenamed("node", "name")
+    grouped = distinct.join(joined, "name", "left").select(F.coalesce("component", "name").alias("component"), F.col("component").isNotNull().alias("linked"), "n", "first", *_hashes())
+    several = grouped.where("linked or n > 1")
+    owner = several.groupBy("component").agg(F.min("first").alias("owner"))
+    several = stored(several.join(owner, "component").select("h1", "h2", "component", "owner"), "several")
+    met = lines_of(texts).select("id", "place", *_hashes()).join(small(several), ["h1", "h2"]).select("id", "place", "component", "owner")
+    # all lines of other documents than the component's first go; of its own, all but the first
+    other = F.col("id") != F.col("owner")
+    found = met.groupBy("id").agg(
+        F.collect_list(F.when(other, F.col("place"))).alias("others"), F.sort_array(F.collect_list(F.when(~other, F.struct("component", "place")))).alias("own")
+    )
+    again = F.filter("own", lambda x, k: F.coalesce(F.get("own", k - 1)["component"] == x["component"], F.lit(False)))
+    gone = found.select("id", F.concat("others", F.transform(again, lambda x: x["place"])).alias("gone"))
+    return gone.where(F.size("gone") > 0)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, text, n_lines, n_removed): row holds the columns of docs, text is what is left."""
     own = keyed(docs, id_col, text_col)
-    gone = stored(removed_lines(own.select("id", "text")).groupBy("id").agg(F.collect_list("place").alias("gone")), "gone")
+    gone = stored(removed_lines(own.select("id", "text")), "gone")
     out = own.join(small(gone), "id", "left")
     left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
     original = F.col("row")[text_col]
