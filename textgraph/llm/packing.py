@@ -5,7 +5,8 @@ tokenizes its rows and gathers pools of pool_sequences sequences.  Full sequence
 remains is taken in descending length, and each goes whole to the sequence of the lowest cost that has room for it.
 Only where no sequence has room is it cut, over the lowest-cost sequences with any capacity left.  A pool opens as many sequences as
 its tokens fill, so none is padded; what is left over moves to the task's next pool, and at the end of a task goes to sequences
-whose lengths are the powers of two that add up to it.  There is no shuffle and memory is bounded by the pool.
+whose lengths are the powers of two that add up to it.  There is no shuffle; a task holds one batch of texts
+and the pool, which keeps the tails' ids alone.
 
 Defined cases: null and empty texts hold the end token alone; a null doc_id stays null; repeated rows and ids are
 packed as separate documents (rows); extra columns are ignored; an empty table gives no rows.
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from textgraph.llm.common import map_arrow
 
-#: Words, and parts of words, whose ids a task remembers.
-REMEMBERED = 500_000
+#: Words, and parts of words, whose ids a task remembers: some 200 bytes each.
+REMEMBERED = 250_000
+#: Pieces of at most a sequence that go out at once.
+OUT_ROWS = 1024
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -109,9 +112,9 @@ class Packer:
     def add(self, doc, ids: np.ndarray) -> None:
         full = len(ids) // self.capacity * self.capacity
         for at in range(0, full, self.capacity):
-            self._put(doc, at, ids, self.capacity, self._open(), 0)
+            self._put(doc, at, ids[at : at + self.capacity], len(ids), self._open(), 0)
         if full < len(ids):
-            self.held.append((doc, full, len(ids), ids))
+            self.held.append((doc, full, len(ids), ids[full:].copy()))  # the tail alone, not the whole document's ids
             self.tokens += len(ids) - full
         if self.tokens >= self.pool:
             self.deal([self.capacity] * (self.tokens // self.capacity))
@@ -120,8 +123,8 @@ class Packer:
         self.made += 1
         return self.made - 1
 
-    def _put(self, doc, start, ids, n, sequence, offset) -> None:
-        self.rows.append((doc, start, n, ids[start : start + n].tobytes(), len(ids), sequence, offset))
+    def _put(self, doc, start, ids, total, sequence, offset) -> None:
+        self.rows.append((doc, start, len(ids), ids.tobytes(), total, sequence, offset))
 
     def deal(self, sizes: list[int]) -> None:
         """Fill sequences of these sizes; what finds no room stays in the pool."""
@@ -129,22 +132,22 @@ class Packer:
         used, cost = np.zeros(len(sizes), np.int64), np.zeros(len(sizes))
         number = [self._open() for _ in sizes]
         kept = []
-        for doc, start, end, ids in sorted(self.held, key=lambda x: (x[1] - x[2], x[1])):
-            while start < end:
-                fits = left >= end - start
+        for doc, start, total, ids in sorted(self.held, key=lambda x: (-len(x[3]), x[1])):
+            while len(ids):
+                fits = left >= len(ids)
                 among = fits if fits.any() else left > 0
                 if not among.any():
-                    kept.append((doc, start, end, ids))
+                    kept.append((doc, start, total, ids))
                     break
                 k = int(np.argmin(np.where(among, cost, np.inf)))
-                n = int(min(left[k], end - start))
-                self._put(doc, start, ids, n, number[k], int(used[k]))
+                n = int(min(left[k], len(ids)))
+                self._put(doc, start, ids[:n], total, number[k], int(used[k]))
                 left[k] -= n
                 used[k] += n
                 cost[k] += self.cost(n)
-                start += n
+                start, ids = start + n, ids[n:]
         self.held = kept
-        self.tokens = sum(end - start for _, start, end, _ in kept)
+        self.tokens = sum(len(ids) for *_, ids in kept)
 
     def finish(self) -> None:
         """Full sequences, then the powers of two that add up to the rest: nothing is padded."""
@@ -172,6 +175,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2,
             ids, limits = words.ids(batch.column(1))
             for k, doc in enumerate(batch.column(0).to_pylist()):
                 packer.add(doc, np.concatenate([ids[limits[k] : limits[k + 1]], end]).astype("<u4"))
+                if len(packer.rows) >= OUT_ROWS:
+                    yield packer.batch()
             yield packer.batch()
         packer.finish()
         yield packer.batch()
