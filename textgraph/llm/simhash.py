@@ -1,9 +1,10 @@
 """SimHash near-duplicates by tiled exact comparison (operator 8).
 
 Fingerprints are compared exactly: numpy exclusive-or and bit counts over tiles that are sorted by population count,
-where a pair of tiles is skipped if its population counts differ by more than the radius.  Two fingerprints of 64 bits
-within radius r agree on at least one of r + 1 blocks of bits, so tiles are built per block value: no pair is lost and
-no task sees all fingerprints.  Equal fingerprints are merged before that, so copies never meet pairwise; each task
+where a pair of tiles is skipped if its population counts differ by more than the radius.  Of r + 3 blocks of bits, two
+fingerprints within radius r agree on three at least, so tiles are built for each value of each three blocks (32 bits of 64
+for a radius of 3, in 20 ways): no pair is lost, no task sees all fingerprints, and the fingerprints of a value stay few
+as the corpus grows.  Equal fingerprints are merged before that, so copies never meet pairwise; each task
 hands on a spanning forest of its links only.
 
 Defined cases: null or empty texts have the fingerprint zero and link like any other; rows with a null id get their
@@ -21,11 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, local_roots, map_arrow, partitions, run_starts, stored
+from textgraph.llm.common import components, local_roots, map_arrow, partitions, run_starts, small, stored
 
 SEED = 42
 #: Hashes whose bits are spread at a time, rows of a tile, rows of one block value that a single task compares.
 SPREAD, TILE, CELL_ROWS = 1 << 15, 1024, 1 << 14
+#: Blocks of bits on which a pair agrees at least, and rows of a block value up to which it isn't cut into tiles.
+EQUAL_BLOCKS, SMALL_GROUP = 3, 64
 
 
 def shingle_hashes(raw: bytes, words: int) -> list[int]:
@@ -90,18 +93,20 @@ def tile_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _group_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside each run of equal keys: small runs by shifted comparison, large ones by tiles."""
+    """Links inside each run of equal keys, which is sorted by population count: runs of less than a tile by shifted
+    comparison, all of them at once, larger ones tile by tile."""
     start = run_starts(keys)
     size = np.diff(np.append(start, len(keys)))
     a, b = [], []
-    for s, n in zip(start[size > 64], size[size > 64]):
+    for s, n in zip(start[size > SMALL_GROUP], size[size > SMALL_GROUP]):
         x, y = tile_links(fps[s : s + n], radius)
         a.append(x), b.append(y)
-    small = np.repeat(size <= 64, size)
-    at = np.flatnonzero(small)
-    for shift in range(1, 64):
+    counts = np.bitwise_count(fps).astype(np.int64)
+    at = np.flatnonzero(np.repeat(size <= SMALL_GROUP, size))
+    for shift in range(1, SMALL_GROUP):
         at = at[at + shift < len(keys)]
-        at = at[keys[at] == keys[at + shift]]
+        # the counts of a run rise: a row that is out of reach now stays so
+        at = at[(keys[at] == keys[at + shift]) & (counts[at + shift] - counts[at] <= radius)]
         if not len(at):
             break
         hit = at[np.bitwise_count(fps[at] ^ fps[at + shift]) <= radius]
@@ -112,16 +117,28 @@ def _group_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.nda
 
 def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     """Links (a, b), b < a as signed 64-bit values, that connect all distinct fingerprints within the radius."""
-    blocks = radius + 1
+    blocks = radius + EQUAL_BLOCKS
     edges = [64 * k // blocks for k in range(blocks + 1)]
-    keys = F.array(*[F.xxhash64(F.lit(k), F.shiftrightunsigned("fp", edges[k]).bitwiseAND((1 << (edges[k + 1] - edges[k])) - 1)) for k in range(blocks)])
+    masks = [(1 << edges[k + 1]) - (1 << edges[k]) for k in range(blocks)]
+    chosen = [sum(c) for c in itertools.combinations(masks, EQUAL_BLOCKS)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in chosen]
+    keys = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for k, m in enumerate(signed)])
     rows = prints.select("fp", F.explode(keys).alias("bucket"))
     # a block value that very many fingerprints share is cut into cells: each pair of its parts meets in one of them
     parts = rows.groupBy("bucket").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts")).where("parts > 1")
     part = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")
     other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.join(parts, "bucket", "left").select("fp", "bucket", F.coalesce(part, F.lit(0)).alias("p"), other.alias("o"))
+    parts = stored(parts, "parts")
+    if not parts.limit(1).count():
+        rows = rows.select("fp", F.col("bucket").alias("key"))
+        return _compared(rows, radius)
+    rows = rows.join(small(parts), "bucket", "left").select("fp", "bucket", F.coalesce(part, F.lit(0)).alias("p"), other.alias("o"))
     rows = rows.select("fp", F.xxhash64("bucket", F.least("p", "o"), F.greatest("p", "o")).alias("key"))
+    return _compared(rows, radius)
+
+
+def _compared(rows: DataFrame, radius: int) -> DataFrame:
+    """Links among the fingerprints of each key, over (fp, key)."""
 
     def run(batch_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -148,7 +165,7 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
         if held and (out := flush(True)) is not None:
             yield out
 
-    dealt = rows.repartition(partitions(prints.sparkSession), "key").sortWithinPartitions("key")
+    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", F.bit_count("fp"))
     return dealt.mapInArrow(run, "a long, b long")
 
 
