@@ -1,19 +1,22 @@
 """WARC archives: a deduplicating writer and a splittable reader (operator 3).
 
 The writer puts each record into a gzip member of its own.  Of records with equal payloads of at least
-``revisit_bytes``, the one with the largest id is written as a response, the others as revisits that refer to it.
+``revisit_bytes``, the one with the largest id is written as a response, the others as revisits that refer to it, by
+WARC-Refers-To and by page id.  What is a revisit is decided on ids and digests alone; while the digests that stand more
+than once are few, they are broadcast and no payload is shuffled.
 
 The reader's tasks get byte ranges.  Each scans its range for gzip magic, checks a candidate by decoding it up to a
 complete WARC header, and owns the records that start inside the range; from the first record on it follows the
-members' ends.  Payload digests are recomputed and compared with the header's.
+members' ends.  A response's payload digest is recomputed from its payload and compared with the header's; a revisit has
+no payload, so its header's digest is given.
 
 Files lie in the shared folder and are reached through the file system of its URI.  A task writes under a name of its
 own, so a repeated or lost attempt leaves at most a file that no manifest names: the manifest is a table that Spark
 commits once.
 
 Defined cases: a null payload is empty; a null or empty url is left out and read back as null; control characters and
-spaces in a url are percent-encoded; rows with equal ids and payloads are responses if theirs is the largest id; a null id
-ranks below all others and is read back as null; extra columns are ignored; an empty table gives no rows.
+spaces in a url are percent-encoded; rows with equal ids and payloads are responses if theirs is the largest id, and share
+a record id; a null id ranks below all others and is read back as null; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import map_arrow, new_folder, stored
+from textgraph.llm.common import is_small, map_arrow, new_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a split, of a read beyond it, and rounds of salt for copies of one payload.
@@ -40,13 +43,18 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _READ = "record_id string, record_type string, page_id long, url string, refers_to long, payload_digest string, payload_bytes long, payload binary, digest_ok boolean"
 
 
-def record(page_id, url: str | None, payload: bytes, full_bytes: int, digest: bytes, refers_to) -> bytes:
-    """One record as a gzip member.  digest: SHA-1 of the payload; refers_to: the response's id, for a revisit."""
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}:{url}")
+def record_id(page_id, digest: bytes) -> str:
+    """The id of a response: anyone who knows its page and payload digest can name it."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest.hex()}')}>"
+
+
+def record(page_id, url: str | None, payload: bytes, full_bytes: int, digest: bytes, refers_to, own_id: str | None = None) -> bytes:
+    """One record as a gzip member.  digest: SHA-1 of the payload; refers_to: the response's id, for a revisit, which then
+    takes own_id."""
     head = [
         b"WARC/1.1",
         b"WARC-Type: " + (b"revisit" if refers_to is not None else b"response"),
-        f"WARC-Record-ID: <urn:uuid:{name}>".encode(),
+        f"WARC-Record-ID: {own_id if refers_to is not None and own_id else record_id(page_id, digest)}".encode(),
         f"WARC-Date: {DATE}".encode(),
         b"WARC-Payload-Digest: sha1:" + base64.b32encode(digest),
         b"Content-Type: application/http; msgtype=response",
@@ -57,7 +65,7 @@ def record(page_id, url: str | None, payload: bytes, full_bytes: int, digest: by
         head.append(f"X-Page-ID: {page_id}".encode())
     http = _HTTP + f"Content-Length: {full_bytes}\r\n\r\n".encode()
     if refers_to is not None:
-        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-ID: {refers_to}".encode()]
+        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to, digest)}".encode(), f"X-Refers-To-Page-ID: {refers_to}".encode()]
         payload = b""
     head.append(f"Content-Length: {len(http) + len(payload)}".encode())
     pack = zlib.compressobj(4, zlib.DEFLATED, 31)
@@ -69,12 +77,15 @@ def decided(pages: DataFrame, revisit_bytes: int = 1000, id_col: str = "page_id"
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.encode(F.coalesce(payload_col, F.lit("")), "UTF-8").alias("payload")
     ).withColumns({"digest": F.unhex(F.sha1("payload")), "bytes": F.length("payload").cast("long")})
-    large = rows.where(F.col("bytes") >= revisit_bytes)
-    # only payloads that stand more than once are sought; the counts are pre-aggregated
-    copies = large.groupBy("digest", "bytes").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1")
-    copies = copies.select("digest", "bytes", "response", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)).cast("int"))
-    rows = rows.join(copies, ["digest", "bytes", "salt"], "left")
+    # only payloads that stand more than once are sought, by narrow rows; the counts are pre-aggregated
+    large = rows.select("page_id", "digest", "bytes").where(F.col("bytes") >= revisit_bytes)
+    copies = stored(large.groupBy("digest", "bytes").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n"), "copies")
+    if is_small(copies):
+        rows = rows.join(F.broadcast(copies), ["digest", "bytes"], "left")
+    else:
+        copies = copies.select("digest", "bytes", "response", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT)).cast("int"))
+        rows = rows.join(copies, ["digest", "bytes", "salt"], "left")
     revisit = F.col("response").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("response")))
     return rows.select("page_id", "url", "payload", "digest", "bytes", F.when(revisit, F.col("response")).alias("refers_to"))
 
@@ -93,7 +104,7 @@ def write(pages: DataFrame, folder: str | None = None, revisit_bytes: int = 1000
                     store.create_dir(at, recursive=True)
                     name = f"part-{uuid.uuid4().hex}.warc.gz"
                     path, out = f"{folder}/{name}", store.open_output_stream(f"{at}/{name}", compression=None)
-                out.write(record(page_id, url, payload, size, digest, refers_to))
+                out.write(record(page_id, url, payload, size, digest, refers_to, f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}:{n}')}>"))
                 n += 1
         if out is not None:
             size = out.tell()
@@ -133,10 +144,11 @@ def parsed(content: bytes) -> tuple:
     page, refers = fields.get("x-page-id"), fields.get("x-refers-to-page-id")
     revisit = fields["warc-type"] == "revisit"
     full = re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)
+    own = digest if revisit else hashlib.sha1(payload).digest()
     return (
         fields.get("warc-record-id"), fields["warc-type"], int(page) if page else None, fields.get("warc-target-uri"),
-        int(refers) if refers else None, digest.hex(), int(full[1]) if revisit and full else len(payload),
-        None if revisit else payload, None if revisit else hashlib.sha1(payload).digest() == digest,
+        int(refers) if refers else None, own.hex(), int(full[1]) if revisit and full else len(payload),
+        None if revisit else payload, None if revisit else own == digest,
     )
 
 
