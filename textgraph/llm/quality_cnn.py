@@ -4,22 +4,26 @@ Bytes are embedded; learned filters slide over the whole document with a stride;
 max-pooled over overlapping chunks of two blocks; the chunks' maxima, means and minima are combined by a hidden layer
 into one probability.  Documents are scored batch by batch where they lie; there is no shuffle of texts.
 
-The network is fitted on a bounded sample of labelled rows (``sample_rows`` rows and ``sample_bytes`` bytes of text, in the order
-of a hash of the id), on the driver.  Scoring reads every byte of every document.
-
-Defined cases: a null or empty text is scored as padding; rows without label, or with a null one, don't train; where the sample is
-empty the score is 1/2 for all, and where it holds one class only the score tends to it; repeated rows are scored
+The network is fitted on a bounded sample of labelled rows (``sample_rows`` rows, in the order of a hash of the id, and
+``sample_bytes`` bytes of text), on the driver.  Rows are chosen by ids and lengths alone.  Where their texts are longer than
+the bytes allow, the longest are shortened, all to the same length, each to a piece at a place that the hash of its id
+gives; no row falls out of the sample for its length or for that of others.  Scoring reads every byte of every document.
+
+Defined cases: a null or empty text is scored as padding; rows without label, or with a null one, don't train; where no row is
+labelled the score is 1/2 for all, with a warning if there are labels that belong to none of the documents; where the sample
+holds one class only the score tends to it; a null id is in the training folds and not held out; repeated rows are scored
 separately; extra columns may be carried along; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,8 +65,8 @@ def laid_out(raw: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = np.cumsum(blocks) - blocks
     total = int(blocks.sum())
     padded = np.zeros(total * BLOCK * STRIDE + WIDTH, np.uint8)
-    if len(raw):
-        padded[np.arange(len(raw)) + np.repeat(first * BLOCK * STRIDE - limits[:-1], length)] = raw
+    for at, a, b in zip((first * BLOCK * STRIDE).tolist(), limits[:-1].tolist(), limits[1:].tolist()):
+        padded[at : at + b - a] = raw[a:b]
     within = np.arange(total) - np.repeat(first, blocks)
     return padded, np.minimum(BLOCK, np.repeat(positions, blocks) - within * BLOCK), first
 
@@ -177,20 +181,40 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int = 600, size: int =
 
 
 def fold(id_col: str) -> Column:
+    """0 for the held-out rows; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
 
 
+def piece_bytes(lengths: list[int], total: int) -> int:
+    """The length to which texts are cut so that they have no more bytes than total, or 1 each: the largest that does."""
+    left, number = total, len(lengths)
+    for n in sorted(lengths):
+        if n * number > left:
+            return max(1, left // number)
+        left, number = left - n, number - 1
+    return max(1, max(lengths, default=1))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, sample_bytes: int = 16 << 20, seed: int = 7) -> Network:
     """Learn from at most sample_rows labelled documents outside the held-out fold, of sample_bytes in all."""
     named = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id") != 0))
     named = named.select("doc_id", (F.col("quality") > 0).cast("int").alias("quality"), F.xxhash64("doc_id").alias("by"))
-    chosen = named.orderBy("by", "doc_id", "quality").limit(sample_rows)
-    texts = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("raw")).join(F.broadcast(chosen), "doc_id")
-    order = Window.orderBy("by", "doc_id", "quality").rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
-    texts = texts.orderBy("by", "doc_id", "quality").limit(sample_rows).withColumn("so_far", F.sum(F.length("raw")).over(order))
-    rows = texts.where(F.col("so_far") <= sample_bytes).select("raw", "quality", "by").collect()
-    rows.sort(key=lambda r: (r.by, bytes(r.raw)))
-    return train([bytes(r.raw) for r in rows], np.array([r.quality for r in rows], np.float32), seed=seed)
+    texts = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("raw")).withColumns({"bytes": F.length("raw"), "same": F.xxhash64("raw")})
+    # labels of other documents take no place in the sample
+    known = named.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = known.orderBy("by", "doc_id", "quality").limit(sample_rows)
+    order = ["by", "doc_id", "quality", "same"]
+    sample = texts.drop("raw").join(F.broadcast(chosen), "doc_id").orderBy(*order).limit(sample_rows)
+    rows = sample.collect()  # ids, lengths and labels
+    if not rows and named.limit(1).count() and docs.limit(1).count():
+        warnings.warn("no labelled document is among the texts: every score will be 1/2", stacklevel=2)
+    most = piece_bytes([r.bytes for r in rows], sample_bytes)
+    wanted = docs.sparkSession.createDataFrame([(r.doc_id, r.same, r.by) for r in rows], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, same long, by long").distinct()
+    start = F.when(F.col("bytes") > most, F.pmod("by", F.col("bytes") - most + 1)).otherwise(0).cast("int")
+    piece = F.substring("raw", start + 1, F.lit(most))
+    found = texts.join(F.broadcast(wanted), ["doc_id", "same"]).select("doc_id", "same", piece.alias("piece")).dropDuplicates(["doc_id", "same"])
+    pieces = {(r.doc_id, r.same): bytes(r.piece) for r in found.collect()}
+    return train([pieces[r.doc_id, r.same] for r in rows], np.array([r.quality for r in rows], np.float32), seed=seed)
 
 
 def score(docs: DataFrame, net: Network, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:
