@@ -4,11 +4,12 @@ Template: a turn is ``[INST]role\\ntext[/INST]``, or ``<s>role\\ntext</s>`` for
 backslash goes before every control string and every backslash (in roles before line feeds too), so no text can hold a control
 string, and dropping those backslashes restores it.
 
-Conversations that share initial turns are merged: their rows are dealt by range over the chain of turn hashes, so
+Conversations that share initial turns are merged: their rows are dealt by range over the list of their turns' hashes, so
 neighbours share the most turns, and each task builds trees depth-first.  A node is a turn, its tokens are emitted once,
 with position ids that count along its own conversation and the intervals of its ancestors' tokens that it attends to.
-A tree is closed at ``tree_tokens`` tokens, and a root that very many conversations share is cut by the ranges, which
-repeats its initial turns once for each tree and drops nothing.  Turns are compared by their texts; the hashes only order them.
+A tree is closed once it holds ``tree_tokens`` tokens beyond those of its first conversation, or ``tree_leaves``
+conversations, which bounds a row; so a shared opening of any length is emitted once for many.  A root that very many
+conversations share is cut by that and by the ranges, which repeats its initial turns once for each tree and drops nothing.  Turns are compared by their texts; the hashes only order them.
 
 Defined cases: null texts and roles are empty; turns go by number, nulls first, then by role and text; rows repeated are
 turns repeated; null conv_id is a conversation of its own; extra columns are ignored; no rows give no rows.
@@ -88,6 +89,7 @@ class Tree:
 
     def __init__(self):
         self.tokens, self.positions, self.nodes, self.leaves, self.stack = [], [], [], [], []
+        self.first = 0  # tokens of the first conversation
 
     def add(self, conv_id, turns: list[tuple[str, str]], coder: ByteBPE) -> None:
         shared = 0
@@ -108,17 +110,17 @@ class Tree:
             loss = (start + len(before), end - len(after)) if turn[0] == "assistant" else (start, start)
             self.nodes.append({"start": start, "end": end, "loss_start": loss[0], "loss_end": loss[1], "attends": attends})
             self.stack.append((turn, len(self.nodes) - 1, end))
+        self.first = self.first or len(self.tokens)
         self.leaves.append({"conv_id": conv_id, "node": self.stack[-1][1] if self.stack else -1})
 
 
-def trees(conversations: DataFrame, ranks_path: str, pattern: str, tree_tokens: int = 16384, conv_col: str = "conv_id", turn_col: str = "turn",
+def trees(conversations: DataFrame, ranks_path: str, pattern: str, tree_tokens: int = 16384, tree_leaves: int = 16384, conv_col: str = "conv_id", turn_col: str = "turn",
           role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per tree: tokens, positions, nodes (with the token intervals they attend to) and leaves."""
     turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
     convs = conversations.groupBy(F.col(conv_col).cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    # the chain of hashes: equal up to the first turn that differs
-    chain = F.aggregate("turns", F.expr("cast(array() as array<bigint>)"), lambda a, t: F.concat(a, F.array(F.xxhash64(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0).cast("long")), t["role"], t["text"]))))
-    convs = convs.withColumn("chain", chain)
+    # conversations that share initial turns have hashes that begin alike, so they are neighbours
+    convs = convs.withColumn("chain", F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"])))
     dealt = convs.repartitionByRange(partitions(conversations.sparkSession), "chain", "conv_id").sortWithinPartitions("chain", "conv_id")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +137,7 @@ def trees(conversations: DataFrame, ranks_path: str, pattern: str, tree_tokens:
 
         for batch in rows:
             for conv_id, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if len(tree.tokens) >= tree_tokens or len(tree.leaves) >= 4096:
+                if len(tree.tokens) - tree.first >= tree_tokens or len(tree.leaves) >= tree_leaves:
                     yield closed()
                     number, tree = number + 1, Tree()
                 tree.add(conv_id, [(t["role"], t["text"]) for t in turns], coder)
