@@ -39,17 +39,28 @@ CANDIDATE = (
     rf"|(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++"
     rf"|\b(?:{'|'.join(TITLES)})\.?\x20\p{{Lu}}\p{{Ll}}++(?:\x20\p{{Lu}}\p{{Ll}}++)?+"
 )
-_SPANS = "array<struct<s:int,e:int,m:string>>"
+#: Matches whose limits are added up at a time.
+STEP = 512
+
+
+def running(values: Column) -> Column:
+    """Running sums of an array of numbers: blocks are summed first, so no fold builds more than a block or the list of blocks."""
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / STEP).cast("int"))
+    part = lambda k: F.slice(values, k * STEP + 1, F.lit(STEP))
+    start = lambda first: F.struct(first.alias("now"), F.expr("cast(array() as array<int>)").alias("out"))
+    after = lambda a, x: F.struct((a["now"] + x).alias("now"), F.concat(a["out"], F.array(a["now"] + x)).alias("out"))
+    before = lambda a, x: F.struct((a["now"] + x).alias("now"), F.concat(a["out"], F.array(a["now"])).alias("out"))
+    totals = F.transform(blocks, lambda k: F.aggregate(part(k), F.lit(0), lambda n, x: n + x))
+    firsts = F.aggregate(totals, start(F.lit(0)), before, lambda a: a["out"])
+    sums = F.transform(firsts, lambda first, k: F.aggregate(part(k), start(first), after, lambda a: a["out"]))
+    return F.when(F.size(values) > 0, F.flatten(sums)).otherwise(F.array().cast("array<int>"))
 
 
 def located(pieces: Column, found: Column) -> Column:
     """Matches with their limits, from the matches and the texts between them."""
-    step = lambda a, x: F.struct(
-        (a["pos"] + F.length(x["p"]) + F.length(x["m"])).alias("pos"),
-        F.concat(a["out"], F.array(F.struct((a["pos"] + F.length(x["p"])).alias("s"), (a["pos"] + F.length(x["p"]) + F.length(x["m"])).alias("e"), x["m"].alias("m")))).alias("out"),
-    )
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    return F.aggregate(pairs, F.expr(f"named_struct('pos', 0, 'out', cast(array() as {_SPANS}))"), step, lambda a: a["out"])
+    lengths = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, m: F.length(p) + F.length(m))
+    ends = F.get(F.transform(F.array(lengths), running), F.lit(0))
+    return F.zip_with(found, ends, lambda m, e: F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("m")))
 
 
 def digits(text: Column) -> Column:

@@ -19,7 +19,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join(F.array_sort("items"), ",", "null"), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
         "spans",
     )
@@ -45,7 +45,7 @@ def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
     return found.select(
         "row.doc_id",
-        (quality_cnn.fold("row.doc_id") == 0).alias("held_out"),
+        F.coalesce(quality_cnn.fold("row.doc_id") == 0, F.lit(False)).alias("held_out"),
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
