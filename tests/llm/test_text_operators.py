@@ -17,15 +17,17 @@ def lower(t):
     return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
 
 
-def test_passages(spark, docs, texts):
-    items = [(1, " ".join(WORD.findall(lower(texts[0]))[5:30])), (2, " ".join(WORD.findall(lower(texts[3]))[:4])), (2, "never seen here"), (None, texts[4].upper()[:200]), (7, ""), (8, None)]
-    bench = spark.createDataFrame(items, "item_id long, text string")
+def test_passages(spark, docs, texts, monkeypatch):
+    items = [(1, " ".join(WORD.findall(lower(texts[0]))[5:30])), (2, " ".join(WORD.findall(lower(texts[3]))[:4])), (2, "never seen here"), (None, texts[4].upper()[:200]), (7, ""), (8, None), ("null", " ".join(WORD.findall(lower(texts[1]))[3:18]))]
+    items = [(None if i is None else str(i), t) for i, t in items]
+    bench = spark.createDataFrame(items, "item_id string, text string")
     windows = {}
     for i, t in items:
         w = WORD.findall(lower(t))
         for k in range(max(len(w) - 13, 0) + 1 if w else 0):
-            windows.setdefault(tuple(w[k : k + 13]), set()).add("null" if i is None else str(i))
-    for block in (1 << 20, 100):
+            windows.setdefault(tuple(w[k : k + 13]), set()).add(i)
+    for block, piece in ((1 << 20, 1 << 16), (100, 1 << 16), (1000, 3)):
+        monkeypatch.setattr(decontaminate, "PIECE_WORDS", piece)
         got = decontaminate.find_passages(docs, bench, carry=docs.columns, block_bytes=block).select("row.*", "n_words", "hits", "items", "spans").collect()
         assert len(got) == docs.count()
         for r in got:
@@ -36,7 +38,7 @@ def test_passages(spark, docs, texts):
                     if (x := tuple(w[k : k + n])) in windows:
                         hit |= set(range(k, k + n))
                         found |= windows[x]
-            assert r.n_words == len(w) and r["items"] == sorted(found)
+            assert r.n_words == len(w) and r["items"] == sorted(found, key=lambda x: (x is None, x or ""))
             assert {k for h in r.hits for k in range(h.start, h.end)} == hit
             for h, s in zip(r.hits, r.spans):
                 assert WORD.findall(lower(r.text[s.start : s.end])) == w[h.start : h.end]
@@ -45,6 +47,21 @@ def test_passages(spark, docs, texts):
     assert decontaminate.find_passages(docs.limit(0), bench).count() == 0
 
 
+def test_windows_of_a_large_benchmark_stay_small():
+    """A block holds its words once, however many windows there are, and takes no more than some bytes a word."""
+    import tracemalloc
+
+    r = random.Random(5)
+    words = ["w%d" % k for k in range(20_000)]
+    items = [(str(k), " ".join(r.choices(words, k=2000)).encode()) for k in range(300)]
+    tracemalloc.start()
+    windows = decontaminate.Windows(items, 13)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(windows.starts[13]) == 300 * 1988 and windows.items[windows.of(windows.starts[13][-1:])[0]] == "299"
+    assert held < 30 * 600_000
+
+
 def test_fm_index_finds_all_occurrences():
     r = np.random.default_rng(3)
     text = r.integers(1, 5, 600)
@@ -349,9 +366,38 @@ def test_classifier(spark, docs, no_docs):
     odd = quality_cnn.score(docs, net, docs.columns).collect()
     assert len(odd) == docs.count() and all(0 <= r.score <= 1 for r in odd)
     assert quality_cnn.score(no_docs, net).count() == 0
+    with pytest.warns(UserWarning, match="no labelled document"):
+        quality_cnn.fit(df, labels.withColumn("doc_id", F.col("doc_id") + 1000))
     assert set(quality_cnn.scores(quality_cnn.fit(df, labels.limit(0)), *__import__("textgraph.llm.common", fromlist=["x"]).text_bytes(__import__("pyarrow").array(["a", None])))) == {0.5}
 
 
+def test_classifier_with_a_giant_text(spark):
+    """A first text far beyond the bytes of the sample costs its own bytes alone, and all rows train."""
+    from tests.llm.conftest import prose
+
+    assert quality_cnn.piece_bytes([5, 100, 7], 32) == 20 and quality_cnn.piece_bytes([5, 7], 32) == 7 and quality_cnn.piece_bytes([], 1) == 1
+    giant = "lorem ipsum dolor " * 60_000
+    rows = [(k, giant if k % 50 == 1 else prose(k, 60) if k % 3 else " ".join(w.upper() + "!!" for w in prose(k, 60).split())) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(300)], "doc_id long, quality int")
+    net = quality_cnn.fit(df, labels, sample_bytes=200_000)
+    got = {r.doc_id: r.score for r in quality_cnn.score(df, net).select("row.doc_id", "score").collect()}
+    assert np.mean([(got[k] >= 0.3) == (k % 3 > 0) for k in range(300) if k % 50 != 1]) > 0.95
+
+
+def area(scores, labels):
+    """Area under the curve of hits over false alarms."""
+    rank = np.argsort(np.argsort(scores)) + 1.0
+    yes = labels.astype(bool)
+    return (rank[yes].sum() - yes.sum() * (yes.sum() + 1) / 2) / (yes.sum() * (~yes).sum())
+
+
+def test_classifier_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    found = queries.op4_quality_cnn(spark, sf).where("held_out").join(queries.table(spark, sf, "labels"), "doc_id").select("score", "quality").toPandas()
+    assert len(found) > 50 and area(found.score.to_numpy(), found.quality.to_numpy()) > 0.95
+
+
 def test_network_gradient():
     """The gradient against differences."""
     net = quality_cnn.Network.fresh(1)

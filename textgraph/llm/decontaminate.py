@@ -6,11 +6,13 @@ searched backward at once through wavelet ranks; occurrences are located by walk
 words that they cover are merged to removal spans.
 
 The index holds what a window can occur in: runs of words that the benchmark uses, at least as long as the shortest
-window.  Words are numbered by exact lookup.  The benchmark's windows are broadcast in blocks of bounded size; each
-block is one more narrow pass over the documents.  There is no shuffle.
+window.  Words are numbered by exact lookup.  The benchmark's items, long ones in overlapping pieces, are written to the
+shared folder in blocks of about ``block_bytes``; nothing of them passes the driver.  A task reads one block at a time, as an
+array of word numbers in which windows are places, and searches each shard for the windows of every block.  The documents
+are read once, and there is no shuffle of them.
 
-Defined cases: a null or empty text has no words; a null item_id counts as the item "null"; items with equal ids are
-one item; repeated documents stay separate rows; an empty benchmark hits nothing; extra columns are ignored.
+Defined cases: a null or empty text has no words; a null item_id is an item of its own, named null among the items; items
+with equal ids are one item; repeated documents stay separate rows; an empty benchmark hits nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,16 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import dataset, fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgraph.llm.common import map_arrow
+from textgraph.llm.common import dropped, map_arrow, new_folder, partitions, stored
 
 #: A word is a run of these bytes of the UTF-8 text: 0-9, a-z, A-Z (lowered) and all bytes beyond ASCII.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Words of a shard, every how many suffix positions one is kept, bytes of benchmark text in a broadcast block.
+#: Words of a shard, every how many suffix positions one is kept, bytes of benchmark text in a block.
 SHARD_WORDS, SAMPLE, BLOCK_BYTES = 1 << 21, 16, 8 << 20
+#: Words of a piece of a long item, windows that are sought at a time, blocks that a task keeps.
+PIECE_WORDS, SOUGHT, KEPT_BLOCKS = 1 << 16, 1 << 16, 2
 _SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -131,19 +136,28 @@ class FMIndex:
 
 
 class Windows:
-    """Windows of a block of benchmark items as numbered words, by length, and the items of each."""
+    """The windows of a block of benchmark items: places in one array of word numbers, by length."""
 
-    def __init__(self, items: list[tuple[str, bytes]], width: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], width: int):
         self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple, set] = {}
-        for item, raw in items:
-            words = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(raw)]
-            for k in range(max(len(words) - width, 0) + 1 if words else 0):
-                owners.setdefault(tuple(words[k : k + width]), set()).add(item)
-        self.by_length = {}
-        for length in sorted({len(w) for w in owners}):
-            rows = [w for w in owners if len(w) == length]
-            self.by_length[length] = np.array(rows, np.int64), [sorted(owners[w]) for w in rows]
+        self.width, self.items = width, [item for item, _ in items]
+        number = self.vocabulary
+        texts = [np.fromiter((number.setdefault(w, len(number) + 1) for w in words_of(raw)), np.int32) for _, raw in items]
+        size = np.array([len(t) for t in texts], np.int64)
+        self.words = np.concatenate([np.zeros(0, np.int32), *texts])
+        limits = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        self.first = limits[:-1]
+        # where windows start, by their length: items of fewer words are one window, longer ones have many
+        self.starts = {int(n): self.first[size == n] for n in np.unique(size[(size > 0) & (size < width)])}
+        full = np.flatnonzero(size >= width)
+        if len(full):
+            n = size[full] - width + 1
+            self.starts[width] = np.repeat(limits[full] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        self.shortest = min(self.starts, default=0)
+
+    def of(self, starts: np.ndarray) -> np.ndarray:
+        """The items in which windows start."""
+        return np.searchsorted(self.first, starts, "right") - 1
 
 
 def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarray, set]]:
@@ -151,7 +165,7 @@ def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarra
     limits = np.concatenate([[0], np.cumsum([len(d) for d in docs], dtype=np.int64)]).astype(np.int64)
     all_words = np.concatenate([np.zeros(0, np.int32), *docs])
     out = [(None, set()) for _ in docs]
-    if not windows.by_length or not len(all_words):
+    if not windows.starts or not len(all_words):
         return out
     used = all_words > 0
     # runs of benchmark words inside one document, as long as the shortest window at least
@@ -159,7 +173,7 @@ def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarra
     edge[limits] = True
     start = np.flatnonzero(used & (edge[:-1] | ~np.concatenate([[False], used[:-1]])))
     end = np.flatnonzero(used & (edge[1:] | ~np.concatenate([used[1:], [False]]))) + 1
-    long_ = end - start >= min(windows.by_length)
+    long_ = end - start >= windows.shortest
     start, size = start[long_], (end - start)[long_]
     if not len(start):
         return out
@@ -172,17 +186,19 @@ def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarra
     text[last] = 0
     index = FMIndex(text, len(windows.vocabulary) + 1)
     delta = np.zeros(len(all_words) + 1, np.int64)
-    for length, (rows, items) in windows.by_length.items():
-        found, low, high = index.search(rows)
-        if not len(found):
-            continue
-        n = high - low
-        which = np.repeat(found, n)
-        at = source[index.locate(np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n))]
-        np.add.at(delta, at, 1)
-        np.add.at(delta, at + length, -1)
-        for doc, w in np.unique(np.stack([np.searchsorted(limits, at, "right") - 1, which], 1), axis=0):
-            out[doc][1].update(items[w])
+    for length, starts in windows.starts.items():
+        for at in range(0, len(starts), SOUGHT):
+            own = starts[at : at + SOUGHT]
+            found, low, high = index.search(windows.words[own[:, None] + np.arange(length)].astype(np.int64))
+            if not len(found):
+                continue
+            n = high - low
+            item = np.repeat(windows.of(own[found]), n)
+            place = source[index.locate(np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n))]
+            np.add.at(delta, place, 1)
+            np.add.at(delta, place + length, -1)
+            for doc, k in np.unique(np.stack([np.searchsorted(limits, place, "right") - 1, item], 1), axis=0).tolist():
+                out[doc][1].add(windows.items[k])
     hit = np.cumsum(delta)[:-1] > 0
     return [(hit[limits[k] : limits[k + 1]], items) if items else (None, items) for k, (_, items) in enumerate(out)]
 
@@ -200,71 +216,107 @@ def _char_spans(raw: bytes, runs: np.ndarray) -> list[dict]:
     return [{"start": int(chars[change[a, 0]]), "end": int(chars[change[b - 1, 1]])} for a, b in runs]
 
 
-def _pass(rows: Iterator[pa.RecordBatch], windows: Windows, last: bool) -> Iterator[pa.RecordBatch]:
-    """Columns row, raw, hits, items of each batch; a shard is as many batches as hold SHARD_WORDS words."""
-    number = windows.vocabulary.get
+def _searched(rows: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
+    """Columns row, n_words, hits, items, spans of each batch; a shard is as many batches as hold SHARD_WORDS words."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    held: list[tuple[pa.RecordBatch, list[bytes], list[np.ndarray]]] = []
+    held: list[tuple[pa.Array, list[list[bytes]], list[bytes]]] = []
 
     def flush():
-        hits = iter(shard_hits([w for _, _, words in held for w in words], windows))
-        for batch, raws, words in held:
-            runs, items, spans = batch.column(2).to_pylist(), batch.column(3).to_pylist(), [[]] * len(raws)
-            for k, raw in enumerate(raws):
-                hit, more = next(hits)
+        tokens = [t for _, words, _ in held for t in words]
+        hits: list = [None] * len(tokens)
+        items: list[set] = [set() for _ in tokens]
+        for windows in blocks:
+            number = windows.vocabulary.get
+            numbered = [np.fromiter(map(number, t, itertools.repeat(0)), np.int32, len(t)) for t in tokens]
+            for k, (hit, more) in enumerate(shard_hits(numbered, windows)):
                 if hit is not None:
-                    hit = hit.copy()
-                    for r in runs[k]:
-                        hit[r["start"] : r["end"]] = True
-                    runs[k] = [{"start": int(a), "end": int(b)} for a, b in _runs(hit)]
-                    items[k] = sorted({*items[k], *more})
-                if runs[k]:
-                    spans[k] = _char_spans(raw, np.array([(r["start"], r["end"]) for r in runs[k]]))
-            kept = pa.nulls(len(raws), pa.binary()) if last else batch.column(1)
-            columns = [batch.column(0), kept, pa.array(list(map(len, words)), pa.int64()), pa.array(runs, span), pa.array(items, pa.list_(pa.string())), pa.array(spans, span)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "raw", "n_words", "hits", "items", "spans"])
+                    hits[k] = hit.copy() if hits[k] is None else hits[k] | hit
+                    items[k] |= more
+        k = 0
+        for row, words, raws in held:
+            found = [_runs(h) if h is not None else () for h in hits[k : k + len(raws)]]
+            columns = [
+                row, pa.array([len(t) for t in words], pa.int64()), pa.array([[{"start": int(a), "end": int(b)} for a, b in f] for f in found], span),
+                pa.array([sorted(i, key=lambda x: (x is None, x or "")) for i in items[k : k + len(raws)]], pa.list_(pa.string())),
+                pa.array([_char_spans(raw, f) if len(f) else [] for raw, f in zip(raws, found)], span),
+            ]
+            k += len(raws)
+            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "hits", "items", "spans"])
         held.clear()
 
     n = 0
     for batch in rows:
         raws = [raw or b"" for raw in batch.column(1).to_pylist()]
-        tokens = [words_of(raw) for raw in raws]
-        held.append((batch, raws, [np.fromiter(map(number, t, itertools.repeat(0)), np.int32, len(t)) for t in tokens]))
-        n += sum(map(len, tokens))
+        words = [words_of(raw) for raw in raws]
+        held.append((batch.column(0), words, raws))
+        n += sum(map(len, words))
         if n >= SHARD_WORDS:
             yield from flush()
             n = 0
     yield from flush()
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
-    return benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("t"))
+class Blocks:
+    """The blocks of a benchmark in the shared folder; a task keeps the last few that it read."""
 
+    def __init__(self, folder: str, blocks: int, width: int):
+        self.folder, self.width, self.numbers, self.kept = folder, width, list(range(blocks)), {}
 
-def n_blocks(benchmark: DataFrame, block_bytes: int) -> int:
-    """How many blocks of bounded size the items take: the table's size decides."""
-    total = _items(benchmark).agg(F.sum(F.length("t") + 64)).first()[0] or 0
-    return -(-total // block_bytes) or 1
+    def __iter__(self) -> Iterator[Windows]:
+        # back and forth, so that the blocks still held come first
+        for k in self.numbers:
+            if k not in self.kept:
+                while len(self.kept) >= KEPT_BLOCKS:
+                    self.kept.pop(next(iter(self.kept)))
+                self.kept[k] = self.read(k)
+            yield self.kept[k]
+        self.numbers.reverse()
 
+    def read(self, k: int) -> Windows:
+        store, at = fs.FileSystem.from_uri(f"{self.folder}/block={k}")
+        if store.get_file_info(at).type == fs.FileType.NotFound:
+            return Windows([], self.width)
+        found = dataset.dataset(at, filesystem=store, format="parquet").to_table(columns=["item", "words"])
+        return Windows(list(zip(found["item"].to_pylist(), found["words"].to_pylist())), self.width)
 
-def block_of(benchmark: DataFrame, k: int, blocks: int) -> list[tuple[str, bytes]]:
-    return [(r.i, bytes(r.t)) for r in _items(benchmark).where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()]
+
+def pieces(benchmark: DataFrame, width: int) -> DataFrame:
+    """(item, words): items as words with blanks between; long ones in pieces, which overlap so that each window is in one."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            item, out = [], []
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = words_of(raw or b"")
+                for at in range(0, max(1, len(words) - width + 1), PIECE_WORDS):
+                    item.append(i)
+                    out.append(b" ".join(words[at : at + PIECE_WORDS + width - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(out, pa.binary())], ["item", "words"])
+
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "UTF-8").alias("raw"))
+    return map_arrow(rows, run, "item string, words binary")
+
+
+def written(benchmark: DataFrame, width: int, block_bytes: int) -> Blocks:
+    """The benchmark's items in as many blocks as their bytes make."""
+    found = stored(pieces(benchmark, width).where(F.length("words") > 0), "pieces")
+    total = found.agg(F.sum(F.length("words") + 64)).first()[0] or 0
+    blocks = -(-total // block_bytes)
+    folder = new_folder(benchmark.sparkSession, "benchmark")
+    block = F.pmod(F.xxhash64("item", "words"), F.lit(max(1, blocks))).cast("int")
+    found.withColumn("block", block).repartition(min(max(1, blocks), partitions(benchmark.sparkSession)), "block").write.partitionBy("block").parquet(folder)
+    dropped(found)
+    return Blocks(folder, blocks, width)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 13, carry: list[str] | None = None, text_col: str = "text",
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: row (a struct of the carried columns), n_words, n_hit, hits (word runs, end exclusive), items
     (sorted ids) and spans (the runs as code points)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in carry or ["doc_id"]]).alias("row")
-    out = docs.select(row, F.encode(text_col, "UTF-8").alias("raw"), F.expr(f"cast(array() as {_SPAN})").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
-    rest = T._parse_datatype_string(f"raw binary, n_words long, hits {_SPAN}, items array<string>, spans {_SPAN}")
-    schema = T.StructType([out.schema["row"], *rest.fields])
-    blocks = n_blocks(benchmark, block_bytes)
-    for k in range(blocks):
-        items = block_of(benchmark, k, blocks)
-        held = docs.sparkSession.sparkContext.broadcast(Windows(items, width))
-        last = k == blocks - 1
-        out = map_arrow(out.select("row", "raw", "hits", "items"), lambda rows, held=held, last=last: _pass(rows, held.value, last), schema)
+    blocks = written(benchmark, width, block_bytes)
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry or ["doc_id"]]).alias("row"), F.encode(text_col, "UTF-8").alias("raw"))
+    rest = T._parse_datatype_string(f"n_words long, hits {_SPAN}, items array<string>, spans {_SPAN}")
+    out = map_arrow(df, lambda rows: _searched(rows, blocks), T.StructType([df.schema["row"], *rest.fields]))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.select("row", "n_words", n_hit.alias("n_hit"), "hits", "items", "spans")
 
