@@ -99,6 +99,7 @@ def test_repeats_crowded_and_split(spark, monkeypatch):
     common = prose(99, 40)[:150]
     rows = [(k, prose(200 + k, 20) + common + prose(300 + k, 20)) for k in range(40)] + [(100, prose(400, 3000) + common + prose(1, 100) + prose(400, 3000))]
     monkeypatch.setattr(repeats, "CROWD_MET", 3)
+    monkeypatch.setattr(repeats, "MERGED_ROWS", 50)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     seen, want = set(), {}
     for i, t in rows:
@@ -112,6 +113,25 @@ def test_repeats_crowded_and_split(spark, monkeypatch):
     assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(df).collect()} == want
 
 
+def test_equal_hashes_of_different_phrases(monkeypatch):
+    """Where the first hash tells nothing apart, the second one does, and a block's phrases stay as they are."""
+    from tests.llm.conftest import prose
+
+    raw = np.frombuffer((prose(1, 400) + prose(2, 400) + prose(1, 400)).encode(), np.uint8)
+    limits = np.array([0, len(raw)])
+
+    def distinct():
+        start, n, k1, k2, k3 = repeats.Block(raw).phrases(limits, 100)
+        _, new = repeats._first_of(k1, k2, k3, np.zeros(len(start), np.int64), start)
+        return len({raw[a : a + m + 99].tobytes() for a, m in zip(start, n)}), int(new.sum()), len(start)
+
+    want = distinct()
+    assert want[0] == want[1] < want[2]
+    of = repeats.Block.hashes
+    monkeypatch.setattr(repeats.Block, "hashes", lambda self, a, b, k=0: of(self, a, b, k) if k else np.zeros(len(a), np.uint64))
+    assert distinct() == want
+
+
 def test_simhash(docs, no_docs):
     def fingerprint(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))

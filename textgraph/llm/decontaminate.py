@@ -282,15 +282,16 @@ class Blocks:
 
 def pieces(benchmark: DataFrame, width: int) -> DataFrame:
     """(item, words): items as words with blanks between; long ones in pieces, which overlap so that each window is in one."""
+    size = PIECE_WORDS
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             item, out = [], []
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(raw or b"")
-                for at in range(0, max(1, len(words) - width + 1), PIECE_WORDS):
+                for at in range(0, max(1, len(words) - width + 1), size):
                     item.append(i)
-                    out.append(b" ".join(words[at : at + PIECE_WORDS + width - 1]))
+                    out.append(b" ".join(words[at : at + size + width - 1]))
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(out, pa.binary())], ["item", "words"])
 
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "UTF-8").alias("raw"))

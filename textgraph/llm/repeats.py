@@ -10,16 +10,22 @@ Order.  Suffixes of phrases only matter up to ``width`` bytes, and no such strin
 array of the dictionary, by doubling up to ``width`` bytes, makes equal strings adjacent, and the parse orders equal
 ones as the corpus does, by id and offset.  A task builds it for the phrases of its triggers.
 
-1. A task sorts the phrases of a block of text.  All but the first of equal phrases are removed there, so copies, however
-   many, leave one phrase per block.  A trigger with CROWD different phrases in a block, as a very common line makes, is
-   crowded: its strings are compared one by one, and the block passes on one phrase, marked, and each distinct string.
+1. A task sorts the phrases of a block of text.  All but the first of equal phrases are removed there.  A trigger with
+   CROWD different phrases in a block, as a very common line makes, is crowded: its strings are compared one by one, and the
+   block passes on one phrase, marked, and each distinct string.  What blocks pass on is gathered and all but the first of
+   equal ones removed again, so copies, however many, leave one phrase or string for MERGED_ROWS of them in a task.
 2. Phrases meet by trigger.  Of equal ones the first stays.  Where a trigger has different phrases, their texts are read
    again; where it is crowded in any block, or here, their strings are.
 3. Texts meet by trigger: the suffix array orders their strings, and all but the first of equal ones are removed.  Strings of crowded
    triggers meet by trigger and content hash, so no task gets a crowd.
 4. Each document's removed strings are merged to spans.
 
-Equal phrases, and strings of crowded triggers, are found by 128 bits of hashes; all other strings by their bytes.
+Strings that meet in step 3 by trigger are compared by their bytes.  Whole phrases, and strings of crowded triggers, are
+compared by hashes, because they must not meet in one task: 64 bits of the polynomial that also finds triggers and 32 of
+another one, with its own base and byte values, beside the 64 bits of the trigger's own hash.
+
+The parse's own suffix array is not built: phrases overlap by all but one byte of a string, so no string that is compared
+reaches into a next phrase, and of the parse only the order of places (id, offset) is needed, which ranks equal strings.
 
 Defined cases: a null or empty text has no bytes; a null id comes before all others; rows with equal ids are separate
 documents in the order of their texts; extra columns are ignored; an empty table gives no rows.
@@ -42,37 +48,51 @@ GRAM = 24
 BLOCK, PLACE_BITS = 2 << 20, 22
 #: Different phrases of a trigger in a block, or among blocks, from which it counts as crowded.
 CROWD, CROWD_MET = 4, 2000
+#: Phrases and strings that a task gathers before it passes them on.
+MERGED_ROWS = 1 << 20
 PHRASE, REMOVED, STRING = 0, 1, 2
-ROWS = "kind int, k1 long, k2 long, id long, at long, n int, marked boolean"
+ROWS = "kind int, k1 long, k2 long, k3 int, id long, at long, n int, marked boolean"
 _NAMES = [x.split()[0] for x in ROWS.split(", ")]
 
 
+#: Two polynomials: a base and a seed of the bytes' values.
+_BASES = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+
+
 @cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tables(k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random value per byte, and the powers of an odd base and of its inverse modulo 2**64."""
-    base = 0x9E3779B97F4A7C15
+    base = _BASES[k]
     size = BLOCK + (BLOCK >> 1)
     power = lambda b: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, b, np.uint64))])
     return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base)), power(base), power(pow(base, -1, 1 << 64))
 
 
 class Block:
-    """Texts side by side, with the hash of any of their strings."""
+    """Texts side by side, with two hashes of any of their strings."""
 
     def __init__(self, raw: np.ndarray):
-        values, power, self.inverse = _tables()
-        self.raw, self.sums = raw, np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * power[: len(raw)])])
+        self.raw, self.sums, self.inverse = raw, [], []
+        for k in range(len(_BASES)):
+            values, power, inverse = _tables(k)
+            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * power[: len(raw)])]))
+            self.inverse.append(inverse)
 
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
+    def hashes(self, start: np.ndarray, end: np.ndarray, k: int = 0) -> np.ndarray:
+        return mixed((self.sums[k][end] - self.sums[k][start]) * self.inverse[k][start])
+
+    def checks(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """32 bits of the second hash."""
+        return (self.hashes(start, end, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def phrases(self, limits: np.ndarray, width: int):
-        """Of each phrase its first string's place, how many strings it has, trigger and content hash."""
+        """Of each phrase its first string's place, how many strings it has, trigger and content hashes."""
         none = np.zeros(0, np.int64)
         places = [np.arange(a, b - width + 1) for a, b in zip(limits[:-1], limits[1:]) if b - a >= width]
         if not places:
-            return none, none, none, none
-        grams = mixed((self.sums[GRAM:] - self.sums[:-GRAM]) * self.inverse[: len(self.sums) - GRAM])
+            return none, none, none, none, none.astype(np.int32)
+        sums = self.sums[0]
+        grams = mixed((sums[GRAM:] - sums[:-GRAM]) * self.inverse[0][: len(sums) - GRAM])
         mask = np.uint64((1 << PLACE_BITS) - 1)
         least = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
         span, wide = width - GRAM + 1, 1
@@ -86,8 +106,9 @@ class Block:
         first = run_starts(trigger)
         n = np.diff(np.append(first, len(trigger)))
         start, trigger = at[first], trigger[first]
-        inside = self.hashes(start, start + n - 1 + width) ^ mixed((trigger - start).astype(np.uint64))
-        return start, n, grams[trigger].view(np.int64), inside.view(np.int64)
+        end = start + n - 1 + width
+        inside = self.hashes(start, end) ^ mixed((trigger - start).astype(np.uint64))
+        return start, n, grams[trigger].view(np.int64), inside.view(np.int64), self.checks(start, end)
 
 
 def _first_of(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,12 +122,12 @@ def _first_of(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def _rows(kind: int, k1=None, k2=None, ids=None, at=None, n=None, marked=None) -> pa.RecordBatch:
+def _rows(kind: int, k1=None, k2=None, k3=None, ids=None, at=None, n=None, marked=None) -> pa.RecordBatch:
     size = len(ids)
     zero = np.zeros(size, np.int64)
     pick = lambda x, y: y if x is None else x
     arrays = [
-        pa.array(np.full(size, kind, np.int32)), pa.array(pick(k1, zero)), pa.array(pick(k2, zero)), pa.array(ids), pa.array(at),
+        pa.array(np.full(size, kind, np.int32)), pa.array(pick(k1, zero)), pa.array(pick(k2, zero)), pa.array(pick(k3, zero.astype(np.int32))), pa.array(ids), pa.array(at),
         pa.array(pick(n, np.ones(size)).astype(np.int32)), pa.array(pick(marked, np.zeros(size, bool))),
     ]
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
@@ -122,17 +143,17 @@ def _removed(ids: np.ndarray, at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     n = np.add.reduceat(n, first) if len(first) else n
     ids, at = ids[first], at[first]
     # keys that deal these rows evenly
-    return _rows(REMOVED, mixed((ids * 31 + at).view(np.uint64)).view(np.int64), None, ids, at, n)
+    return _rows(REMOVED, mixed((ids * 31 + at).view(np.uint64)).view(np.int64), None, None, ids, at, n)
 
 
 def _strings(block: Block, width: int, start: np.ndarray, n: np.ndarray, k1: np.ndarray, ids: np.ndarray, shift: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Compare the strings of phrases one by one: distinct ones are rows, others are removed."""
     place = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     k1, ids, at = np.repeat(k1, n), np.repeat(ids, n), place + np.repeat(shift, n)
-    k2 = block.hashes(place, place + width).view(np.int64)
-    order, new = _first_of(k1, k2, ids, at)
+    k2, k3 = block.hashes(place, place + width).view(np.int64), block.checks(place, place + width)
+    order, new = _first_of(k1, k2, k3, ids, at)
     keep, gone = order[new], order[~new]
-    yield _rows(STRING, k1[keep], k2[keep], ids[keep], at[keep])
+    yield _rows(STRING, k1[keep], k2[keep], k3[keep], ids[keep], at[keep])
     yield _removed(ids[gone], at[gone], np.ones(len(gone)))
 
 
@@ -164,14 +185,15 @@ def _blocks(rows: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
 
 def parsed(docs: DataFrame, width: int) -> DataFrame:
     """Step 1, over (id, text)."""
+    enough = MERGED_ROWS
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for raw, limits, ids, shifts, _ in _blocks(rows, width):
             block = Block(raw)
-            start, n, k1, k2 = block.phrases(limits, width)
+            start, n, k1, k2, k3 = block.phrases(limits, width)
             of = np.searchsorted(limits, start, "right") - 1
             doc, shift = ids[of], shifts[of] - limits[of]
-            order, new = _first_of(k1, k2, doc, start + shift)
+            order, new = _first_of(k1, k2, k3, doc, start + shift)
             gone, keep = order[~new], order[new]
             yield _removed(doc[gone], start[gone] + shift[gone], n[gone])
             head = run_starts(k1[keep])
@@ -181,10 +203,34 @@ def parsed(docs: DataFrame, width: int) -> DataFrame:
             passed[head] = True
             passed |= ~crowded
             p = keep[passed]
-            yield _rows(PHRASE, k1[p], k2[p], doc[p], start[p] + shift[p], n[p], crowded[passed])
+            yield _rows(PHRASE, k1[p], k2[p], k3[p], doc[p], start[p] + shift[p], n[p], crowded[passed])
             m = keep[crowded]
             yield from _strings(block, width, start[m], n[m], k1[m], doc[m], shift[m])
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def merged() -> Iterator[pa.RecordBatch]:
+            kind, k1, k2, k3, ids, at, n, marked = (np.concatenate(c) for c in zip(*held))
+            order, new = _first_of(k1, k2, k3, kind, marked, ids, at)
+            gone, keep = order[~new], order[new]
+            yield _removed(ids[gone], at[gone], n[gone])
+            for k in (PHRASE, STRING):
+                p = keep[kind[keep] == k]
+                yield _rows(k, k1[p], k2[p], k3[p], ids[p], at[p], n[p], marked[p])
+
+        for batch in of_blocks(rows):
+            if batch.num_rows and batch.column(0)[0].as_py() == REMOVED:
+                yield batch
+            elif batch.num_rows:
+                held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                n += batch.num_rows
+                if n >= enough:
+                    yield from merged()
+                    held, n = [], 0
+        if held:
+            yield from merged()
+
     return map_arrow(docs, run, ROWS)
 
 
@@ -209,14 +255,15 @@ def _sorted_runs(rows: Iterator[pa.RecordBatch], keys: int, least_rows: int = 1
 
 def met(rows: DataFrame) -> DataFrame:
     """Step 2: the phrases of a trigger.  PHRASE rows of the result are those to be read again, marked if crowded."""
+    most = CROWD_MET
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kind, k1, k2, ids, at, n, marked in _sorted_runs(batches, 1):
+        for kind, k1, k2, k3, ids, at, n, marked in _sorted_runs(batches, 1):
             for other in (REMOVED, STRING):
                 o = kind == other
-                yield _rows(other, k1[o], k2[o], ids[o], at[o], n[o])
+                yield _rows(other, k1[o], k2[o], k3[o], ids[o], at[o], n[o])
             p = np.flatnonzero(kind == PHRASE)
-            order, new = _first_of(k1[p], k2[p], ids[p], at[p])
+            order, new = _first_of(k1[p], k2[p], k3[p], ids[p], at[p])
             p = p[order]
             gone = p[~new]
             yield _removed(ids[gone], at[gone], n[gone])
@@ -224,10 +271,10 @@ def met(rows: DataFrame) -> DataFrame:
             if len(head):
                 size = np.diff(np.append(head, len(p)))
                 different = np.add.reduceat(new.astype(np.int64), head)
-                crowd = np.logical_or.reduceat(marked[p], head) | (different > CROWD_MET)
+                crowd = np.logical_or.reduceat(marked[p], head) | (different > most)
                 ask = np.repeat((different > 1) | crowd, size) & new & ~marked[p]
                 crowd, p = np.repeat(crowd, size)[ask], p[ask]
-                yield _rows(PHRASE, k1[p], k2[p], ids[p], at[p], n[p], crowd)
+                yield _rows(PHRASE, k1[p], k2[p], k3[p], ids[p], at[p], n[p], crowd)
 
     spark = rows.sparkSession
     # strings only pass through: those of a crowded trigger are dealt by their content
@@ -256,7 +303,7 @@ def asked(docs: DataFrame, requests: DataFrame, width: int) -> DataFrame:
                             c.append(x)
             start, n, k1, of, shift = (np.array(c, np.int64) for c in found[False])
             body = [raw[a : a + b - 1 + width].tobytes() for a, b in zip(start.tolist(), n.tolist())]
-            yield with_body(_rows(PHRASE, k1, None, of, start + shift, n), body)
+            yield with_body(_rows(PHRASE, k1, None, None, of, start + shift, n), body)
             if found[True][0]:
                 for batch in _strings(Block(raw), width, *(np.array(c, np.int64) for c in found[True])):
                     yield with_body(batch)
@@ -306,8 +353,8 @@ def compared(strings: DataFrame) -> DataFrame:
     """Step 3 for strings: all but the first of equal ones are removed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, k1, k2, ids, at, n, _ in _sorted_runs(batches, 2):
-            order, new = _first_of(k1, k2, ids, at)
+        for _, k1, k2, k3, ids, at, n, _ in _sorted_runs(batches, 2):
+            order, new = _first_of(k1, k2, k3, ids, at)
             gone = order[~new]
             yield _removed(ids[gone], at[gone], n[gone])
 
