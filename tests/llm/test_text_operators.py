@@ -210,10 +210,10 @@ def test_line_dedup(docs, no_docs, spark):
     got = lines.dedup_lines(docs).select("row.doc_id", "row.text", "row.size", F.col("text").alias("left"), "n_removed").collect()
     assert len(got) == docs.count()
     kept = [x for r in got if r.left is not None for x in r.left.split("\n") if len(x.strip(" ")) >= lines.MIN_CHARS]
-    sets = [lines.shingles(x.strip(" ").lower()) for x in kept]
-    assert not any(lines.similar(a, b) for k, a in enumerate(sets) for b in sets[:k])
+    sets = [shingles(x.strip(" ").lower()) for x in kept]
+    assert not any(similar(a, b) for k, a in enumerate(sets) for b in sets[:k])
     every = [x for r in got if r.text for x in r.text.split("\n") if len(x.strip(" ")) >= lines.MIN_CHARS]
-    assert all(any(lines.similar(lines.shingles(x.strip(" ").lower()), s) for s in sets) for x in every)
+    assert all(any(similar(shingles(x.strip(" ").lower()), s) for s in sets) for x in every)
     short = lambda t: [x for x in (t or "").split("\n") if x and len(x.strip(" ")) < lines.MIN_CHARS]
     assert all(short(r.text) == short(r.left) and (r.text is None) == (r.left is None) for r in got)
     by_id = {r.doc_id: r for r in got if r.doc_id is not None}
@@ -257,6 +257,14 @@ def test_short_line_dedup(spark):
     assert got == {0: texts[0], 1: "\t\n \nand ornd.\nété", 2: "les\n\t\n-\r", 3: "abcdefghijklmno", 4: "abcd\nabcde"}
 
 
+def shingles(line):
+    return {line[k : k + lines.SHINGLE] for k in range(max(1, len(line) - lines.SHINGLE + 1))}
+
+
+def similar(a, b):
+    return 10 * len(a & b) >= 8 * len(a | b)
+
+
 def joined(n, pairs):
     """Component of each of n nodes, by the smallest."""
     root = list(range(n))
@@ -295,19 +303,24 @@ def test_line_links_against_all_pairs(monkeypatch, few):
     own = some_lines(3, 240)
     limits = np.array([0, 1, 3, 40, 60, 200, len(own)])
     found = lines.Lines(pa.array(own)).links(limits[:-1], limits[1:])
-    sets = [lines.shingles(x) for x in own]
-    assert all(lines.similar(sets[a], sets[b]) for a, b in found)
+    sets = [shingles(x) for x in own]
+    assert all(similar(sets[a], sets[b]) for a, b in found)
     group = np.searchsorted(limits, np.arange(len(own)), "right")
-    want = [(a, b) for a in range(len(own)) for b in range(a) if group[a] == group[b] and lines.similar(sets[a], sets[b])]
+    want = [(a, b) for a in range(len(own)) for b in range(a) if group[a] == group[b] and similar(sets[a], sets[b])]
     got = joined(len(own), found)
     assert len(want) > 100 and got == joined(len(own), want)
     assert len(found) == len(own) - len(set(got))
 
 
-def test_signatures_of_a_line_do_not_depend_on_its_neighbours():
+def test_signatures_of_a_line_do_not_depend_on_its_neighbours(monkeypatch):
+    whole = lines.LONG
     own = some_lines(4, 200)
     one = lambda xs: lines.signatures(np.frombuffer("".join(xs).encode(), np.uint8), np.cumsum([0, *(len(x.encode()) for x in xs)]))
-    assert (one(own) == np.concatenate([one([x]) for x in own])).all() and max(map(len, own)) > lines.LONG
+    want = one(own)
+    for most in (whole, 700):
+        monkeypatch.setattr(lines, "LONG", most)
+        assert (want == np.concatenate([one([x]) for x in own])).all() and (want == one(own)).all()
+    assert max(map(len, own)) > lines.LONG
 
 
 @pytest.mark.parametrize("part", [4096, 2])
@@ -318,8 +331,8 @@ def test_line_components_against_brute_force(spark, monkeypatch, part):
     own = some_lines(6, 900)
     df = spark.createDataFrame([(k, x) for k, x in enumerate(own)], "doc_id long, text string").repartition(6)
     got = {r.doc_id: r.n_removed for r in lines.dedup_lines(df).select("row.doc_id", "n_removed").collect()}
-    sets = [lines.shingles(x) for x in own]
-    near = [(a, b) for a in range(len(own)) for b in range(a) if lines.similar(sets[a], sets[b])]
+    sets = [shingles(x) for x in own]
+    near = [(a, b) for a in range(len(own)) for b in range(a) if similar(sets[a], sets[b])]
     removed = {k for k, c in enumerate(joined(len(own), near)) if c != k}
     gone = {k for k, n in got.items() if n}
     assert len(removed) > 200 and gone <= removed and len(gone) >= 0.97 * len(removed)

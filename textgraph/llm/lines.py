@@ -5,7 +5,7 @@ fewer than SHINGLE characters take part by equality alone.  Other distinct ones
 shingles and meet in BANDS bands of ROWS values; two lines of similarity s meet with probability 1 - (1 - s ** ROWS) ** BANDS,
 0.986 at the threshold of 0.8.  Lines that share a band are compared: a sketch of each shingle set, one bit a shingle, bounds
 how many shingles two lines can share, which settles nearly all pairs without loss; the others are decided by the exact
-Jaccard similarity of their sets.  Distributed union-find joins what is similar, and of each component the first line (by
+Jaccard similarity of their sets, whose shingles are compared by 64-bit hashes.  Distributed union-find joins what is similar, and of each component the first line (by
 document id and place) is kept.  Other lines are removed.
 
 Copies are pre-aggregated before anything else, so a line is signed and compared once however often it stands.  Band values
@@ -36,8 +36,8 @@ MIN_CHARS, SHINGLE, SIMILARITY = 1, 5, 0.8
 BANDS, ROWS = 14, 6
 #: Lines of a band value that one task compares; of how many lines one is counted to find band values beyond that.
 PART_LINES, COUNTED = 4096, 64
-#: Lines that are signed together, and shingles from which a line is signed by itself.
-GROUP, LONG = 512, 1024
+#: Characters of a piece of a line, and about how many are signed together.
+LONG = 1 << 16
 #: Words of 64 bits in a sketch, rows and columns of a tile, lines of a group up to which pairs are listed by distance.
 SKETCH, TILE, FEW = 4, 512, 32
 _BASE = 0x9E3779B97F4A7C15
@@ -54,11 +54,14 @@ def lines_of(texts: DataFrame) -> DataFrame:
     return each.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("id", "place", _normal(F.col("line")).alias("line"))
 
 
-def shingle_hashes(raw: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles of UTF-8 lines of SHINGLE characters or more, and each line's limits in them."""
-    chars = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+def characters(raw: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 lines as code points, and their limits in those."""
     begins = (raw & 0xC0) != 0x80
-    limits = np.concatenate([[0], np.cumsum(begins)])[limits]
+    return np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(begins)])[limits]
+
+
+def shingle_hashes(chars: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of lines of SHINGLE characters or more, and each line's limits in them."""
     values = mixed(chars.astype(np.uint64) + np.uint64(1))
     size = len(chars) - SHINGLE + 1
     hashes = np.zeros(size, np.uint64)
@@ -70,40 +73,42 @@ def shingle_hashes(raw: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.
     return mixed(hashes[inside[:size]]), limits - np.arange(len(limits)) * (SHINGLE - 1)
 
 
-def _least(value: np.ndarray, step: np.ndarray) -> Iterator[np.ndarray]:
-    """For each hash function the least value in each column; both arrays hold a shingle a row."""
-    for _ in range(BANDS * ROWS):
-        yield value.min(0)
-        value += step
+def segments(limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lines cut into pieces of at most LONG characters and a few, which overlap so that each shingle is in one: the lines'
+    numbers, starts and ends."""
+    size = np.diff(limits) - SHINGLE + 1
+    n = -(-size // LONG)
+    line = np.repeat(np.arange(len(n)), n)
+    start = limits[:-1][line] + (np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)) * LONG
+    return line, start, np.minimum(start + LONG + SHINGLE - 1, limits[1:][line])
 
 
 def signatures(raw: np.ndarray, limits: np.ndarray) -> np.ndarray:
     """Band values (lines, BANDS) of UTF-8 lines of SHINGLE characters or more."""
     if len(limits) < 2:
         return np.zeros((0, BANDS), np.int64)
-    hashes, limits = shingle_hashes(raw, limits)
-    value, step = (hashes >> np.uint64(32)).astype(np.uint32), hashes.astype(np.uint32) | np.uint32(1)
-    size = np.diff(limits)
-    out = np.empty((len(size), BANDS), np.uint64)
-
-    def put(rows: np.ndarray, least: Iterator[np.ndarray]) -> None:
-        for band in range(BANDS):
-            key = np.full(len(rows), band + 1, np.uint64)
-            for _ in range(ROWS):
-                key = mixed(key * np.uint64(_BASE) + next(least))
-            out[rows, band] = key
-
-    # lines of about the same length side by side, shorter ones filled up with their first shingle
-    order = np.argsort(size, kind="stable")
-    several = int(np.searchsorted(size[order], LONG))
-    for at in range(0, several, GROUP):
-        rows = order[at : min(at + GROUP, several)]
-        depth = np.arange(size[rows[-1]])[:, None]
-        place = limits[rows] + np.where(depth < size[rows], depth, 0)
-        put(rows, _least(value[place], step[place]))
-    for row in order[several:]:
-        own = slice(limits[row], limits[row + 1])
-        put(np.array([row]), _least(value[own, None].copy(), step[own, None]))
+    chars, limits = characters(raw, limits)
+    line, start, end = segments(limits)
+    least = np.empty((BANDS * ROWS, len(line)), np.uint32)
+    # as many pieces at a time as fit into a processor's cache, for all hash functions
+    group = np.cumsum(end - start) // LONG
+    for a in (first := run_starts(group)).tolist():
+        b = first[np.searchsorted(first, a) + 1] if a != first[-1] else len(line)
+        size = end[a:b] - start[a:b]
+        own = np.concatenate([[0], np.cumsum(size)])
+        place = np.arange(own[-1]) + np.repeat(start[a:b] - own[:-1], size)
+        hashes, own = shingle_hashes(chars[place], own)
+        value, step = (hashes >> np.uint64(32)).astype(np.uint32), hashes.astype(np.uint32) | np.uint32(1)
+        for k in range(BANDS * ROWS):
+            np.minimum.reduceat(value, own[:-1], out=least[k, a:b])
+            value += step
+    least = np.minimum.reduceat(least, run_starts(line), axis=1)
+    out = np.empty((len(limits) - 1, BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(out), band + 1, np.uint64)
+        for row in range(ROWS):
+            key = mixed(key * np.uint64(_BASE) + least[band * ROWS + row])
+        out[:, band] = key
     return out.view(np.int64)
 
 
@@ -117,38 +122,29 @@ def _signed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "bands"])
 
 
-def similar(a: set, b: set) -> bool:
-    both = len(a & b)
-    return both >= SIMILARITY * (len(a) + len(b) - both)
-
-
-def shingles(line: str) -> set:
-    return {line[k : k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
-
-
 class Lines:
-    """Lines of several groups, with sketches of their shingle sets."""
+    """Lines of several groups as sorted sets of shingle hashes, with sketches of those."""
 
     def __init__(self, lines: pa.Array):
-        self.lines, self.sets = lines, {}
-        hashes, limits = shingle_hashes(*text_bytes(lines))
-        first = limits[:-1]
-        bit = hashes & np.uint64(64 * SKETCH - 1)
-        self.sketch = np.empty((len(lines), SKETCH), np.uint64)
-        for word in range(SKETCH):
-            mine = np.where(bit >> np.uint64(6) == word, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
-            self.sketch[:, word] = np.bitwise_or.reduceat(mine, first)
-        # distinct shingles of each line
-        owner = np.repeat(np.arange(len(lines)), np.diff(limits))
-        by = np.lexsort((hashes, owner))
-        new = np.ones(len(by), bool)
-        new[1:] = (hashes[by][1:] != hashes[by][:-1]) | (owner[by][1:] != owner[by][:-1])
-        self.size = np.bincount(owner[by][new], minlength=len(lines))
-
-    def shingles(self, k: int) -> set:
-        if (found := self.sets.get(k)) is None:
-            found = self.sets[k] = shingles(self.lines[k].as_py())
-        return found
+        hashes, limits = shingle_hashes(*characters(*text_bytes(lines)))
+        for a, b in zip(limits[:-1].tolist(), limits[1:].tolist()):
+            hashes[a:b].sort()
+        new = np.ones(len(hashes), bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        new[limits[:-1]] = True
+        self.size = np.add.reduceat(new, limits[:-1], dtype=np.int64)
+        self.hashes, self.ends = hashes[new], np.cumsum(self.size)
+        bits = np.zeros((len(lines), 64 * SKETCH), np.uint8)
+        bits[np.repeat(np.arange(len(lines)), self.size), (self.hashes & np.uint64(64 * SKETCH - 1)).view(np.int64)] = 1
+        self.sketch = np.packbits(bits, axis=1).view(np.uint64)
+
+    def similar(self, a: int, b: int) -> bool:
+        """Whether the exact Jaccard similarity of two lines' shingle sets reaches the threshold."""
+        m, n = int(self.size[a]), int(self.size[b])
+        both = np.concatenate([self.hashes[self.ends[a] - m : self.ends[a]], self.hashes[self.ends[b] - n : self.ends[b]]])
+        both.sort()
+        both = int(np.count_nonzero(both[1:] == both[:-1]))
+        return both >= SIMILARITY * (m + n - both)
 
     def possible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether lines a and b can be similar: a's bits that b lacks are shingles that b lacks, and the other way round."""
@@ -182,7 +178,7 @@ class Lines:
 
         for a, b in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist():
             x, y = find(a), find(b)
-            if x != y and similar(self.shingles(a), self.shingles(b)):
+            if x != y and self.similar(a, b):
                 root[max(x, y)] = min(x, y)
                 out.append((a, b))
         for a, b in zip(start[size > FEW].tolist(), end[size > FEW].tolist()):
@@ -205,7 +201,7 @@ class Lines:
                     x, y = x[(apart := root[x] != root[y])], y[apart]
                     first = run_starts(x)  # one open pair of each line, then those still open again
                     for k, m in zip(x[first].tolist(), y[first].tolist()):
-                        if root[k] != root[m] and similar(self.shingles(int(order[k])), self.shingles(int(order[m]))):
+                        if root[k] != root[m] and self.similar(int(order[k]), int(order[m])):
                             low, high = sorted((root[k], root[m]))
                             root[root == high] = low
                             out.append((int(order[k]), int(order[m])))
@@ -269,7 +265,7 @@ def links(distinct: DataFrame) -> DataFrame:
     candidates = stored(shared_bands(distinct), "candidates")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, enough = [], 0, 1 << 13
+        held, n, enough = [], 0, 1 << 11
 
         def out(last: bool) -> pa.RecordBatch:
             nonlocal held
@@ -290,7 +286,7 @@ def links(distinct: DataFrame) -> DataFrame:
             if n >= enough:
                 yield out(False)
                 n = sum(b.num_rows for b in held)
-                enough = max(1 << 13, 2 * n)
+                enough = max(1 << 11, 2 * n)
         if n:
             yield out(True)
 
