@@ -119,3 +119,77 @@ def test_pipeline(spark):
             if name != "quality":
                 assert out.where("n_chars <> length(text)").count() == 0
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == before
+
+
+def test_pipeline_stages_of_odd_tables(spark, docs, no_docs):
+    """Nulls, repeated rows, clashing columns and empty tables through every stage by itself, and through all of them."""
+    import corpus_pipeline as P
+
+    sf, count = "/root/testdata/sf0.001", docs.count()
+    kept, chain = {}, docs
+    for name, stage in P.STAGES:
+        for df in (docs, chain):
+            out = stage(spark, df, sf)
+            if name != "pack":
+                assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+            rows = out.collect()
+            if df is docs:
+                kept[name] = rows
+        chain = spark.createDataFrame(rows, out.schema) if name != "pack" else None
+        empty = stage(spark, no_docs, sf)
+        assert empty.count() == 0 and (name == "pack" or empty.columns == no_docs.columns)
+    assert len(kept["line_dedup"]) == count and sum(r.text is None for r in kept["line_dedup"]) == docs.where("text is null").count()
+    texts = [r.text for r in kept["near_dedup"] if r.text and len(r.text.split()) > 2]
+    assert len(texts) == len(set(texts))
+    assert len(kept["decontaminate"]) == count
+    assert len({(r.doc_id, r.doc_tokens) for r in kept["pack"]}) > 10
+
+
+def test_pipeline_against_brute_force(spark):
+    """The stages that have one answer: near_dedup keeps the least id of each component of fingerprints, decontaminate what the
+    rule leaves, and pack every token once."""
+    import re
+
+    import corpus_pipeline as P
+    import xxhash
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    docs = queries.table(spark, sf, "documents")
+    rows = docs.collect()
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+    def fingerprint(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        h = [xxhash.xxh64_intdigest(" ".join(w[k : k + 3]).encode(), 42) for k in range(max(1, len(w) - 2))] if w else []
+        return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
+
+    prints = {r.doc_id: fingerprint(r.text) for r in rows}
+    least = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 3 and least[b] < least[a]:
+                    least[a], changed = least[b], True
+    stages = dict(P.STAGES)
+    assert {r.doc_id for r in stages["near_dedup"](spark, docs, sf).collect()} == {i for i, c in least.items() if i == c}
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = set()
+    for r in queries.table(spark, sf, "benchmark").collect():
+        w = word.findall(lower(r.text))
+        windows |= {tuple(w[k : k + 13]) for k in range(max(len(w) - 13, 0) + 1 if w else 0)}
+    sizes = {len(x) for x in windows}
+
+    def clean(t):
+        w = word.findall(lower(t))
+        hit = {j for n in sizes for k in range(len(w) - n + 1) if tuple(w[k : k + n]) in windows for j in range(k, k + n)}
+        return not hit or 20 * len(hit) < len(w)
+
+    assert {r.doc_id for r in stages["decontaminate"](spark, docs, sf).collect()} == {r.doc_id for r in rows if clean(r.text)}
+
+    tokens = Tokenizer.from_file(queries.word_tokenizer())
+    packed = stages["pack"](spark, docs, sf).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id: r.n for r in packed} == {r.doc_id: len(tokens.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in rows}
