@@ -1,6 +1,13 @@
 """The corpus pipeline: quality, fuzzy lines, near-duplicates, benchmark passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+Defined cases: a null text is scored as an empty one and, if kept, stays null; it has no lines, the fingerprint zero, no
+benchmark words and one token, the end.  Of the documents without a word, or of equal texts, near_dedup keeps the one with the
+smallest id.  Rows with null or equal ids are documents of their own; where an order of ids counts, they get one in the order
+of id (nulls first) and text, and keep the id they came with.  Null lang, source and n_chars pass through; n_chars changes only
+where lines were removed.  Extra columns, whatever their names, pass through all stages but the last, which ignores them.  An
+empty table gives an empty one; so does each stage after it.
 """
 
 from __future__ import annotations
