@@ -262,7 +262,7 @@ def shared_bands(distinct: DataFrame) -> DataFrame:
 
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b): numbers of similar lines."""
-    candidates = stored(shared_bands(distinct), "candidates")
+    candidates = stored(shared_bands(distinct), "candidates", release=True)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, enough = [], 0, 1 << 11
@@ -302,7 +302,7 @@ def removed_lines(texts: DataFrame) -> DataFrame:
     """(id, gone): the places of the lines to remove, over (id, text) with unique ids."""
     distinct = lines_of(texts).groupBy("line").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     distinct = distinct.select(F.monotonically_increasing_id().alias("name"), "line", "first", "n")
-    distinct = stored(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines")
+    distinct = stored(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines", release=True)
     joined = components(links(distinct)).withColumnRenamed("node", "name")
     grouped = distinct.join(joined, "name", "left").select(F.coalesce("component", "name").alias("component"), F.col("component").isNotNull().alias("linked"), "n", "first", *_hashes())
     several = grouped.where("linked or n > 1")
