@@ -131,13 +131,147 @@ def test_runs(spark, tmp_path):
     out = runs.automatic(books, f"file://{tmp_path}/a")
     assert {r.book for r in out["items"].collect()} == {"b1", "b2"}
     assert out["tasks"].count() == out["summaries"].count() and out["triples"].count() > 0
-    assert runs.summaries(out["tasks"], M.OfflineModel, f"file://{tmp_path}/a").count() == out["tasks"].count()
-    assert runs.manual(books, "Who?", f"file://{tmp_path}/m").count() == 1
+    assert out["counts"].first().asDict() == {"total": 6, "low": 0, "good": 6}
+    asked = runs.manual(books, "Who?", f"file://{tmp_path}/m")
+    assert asked["answer"].count() == 1 and asked["items"].count() == 0 and asked["triples"].count() > 0
     assert runs.hierarchical(books, "Who?", f"file://{tmp_path}/h")["answer"].first().answer
     done = runs.batch(spark, spark.createDataFrame([("Dracula.cleaned.txt", "A b. C d.")], "book string, text string"), f"file://{tmp_path}/t", types=["relationship", "default"])
     assert done == [("relationship", "Dracula.cleaned.txt", "done")]
 
 
+class Counted(M.OfflineModel):
+    """Leaves a file for each call, by its stage."""
+
+    folder = ""
+
+    def call(self, messages, max_tokens):
+        import uuid
+
+        stage = messages[0]["content"].split(".")[0]
+        open(f"{self.folder}/{stage}-{uuid.uuid4().hex}", "w").close()
+        return super().call(messages, max_tokens)
+
+
+def counting(folder):
+    folder.mkdir(parents=True)
+
+    def model():
+        own = Counted()
+        own.folder = str(folder)
+        return own
+
+    return model, lambda: len(list(folder.iterdir()))
+
+
+def test_reruns_call_and_double_nothing(spark, tmp_path):
+    books = spark.createDataFrame([("b1", "Anna met Ben. Ben met Carl. " * 200), ("b2", "Short text here. It ends.")], "book string, text string")
+    model, calls = counting(tmp_path / "calls")
+    first = runs.automatic(books, f"file://{tmp_path}/a", model, triples_on=False)
+    rows, lines, n = first["items"].collect(), first["evidence"].count(), calls()
+    again = runs.automatic(books, f"file://{tmp_path}/a", model, triples_on=False)
+    assert sorted(again["items"].collect()) == sorted(rows) and again["evidence"].count() == lines and calls() == n
+    # other texts under the same numbers are not taken for those of the first run
+    other = spark.createDataFrame([("b1", "Dora left. " * 300), ("b2", "Short text here. It ends.")], "book string, text string")
+    changed = runs.automatic(other, f"file://{tmp_path}/a", model, triples_on=False)
+    assert {r.summary for r in changed["summaries"].collect()} == {"Dora left.", "Short text here."} and calls() > n
+
+
+def test_question_types_guide_and_override(spark, tmp_path):
+    said = M.type_prompts("timeline", "4")
+    assert "Write 4 questions" in said["qa"] and said["summarize"] != M.PROMPTS["summarize"] and M.type_prompts("nope") == M.type_prompts("default")
+    assert M.type_prompts("timeline", "4", {"qa_prompt": "QA. 3-5 or 3-5", "num_questions": "7"})["qa"] == "QA. 7 or 3-5"
+    books = spark.createDataFrame([("x.cleaned.txt", "Anna met Ben. Ben met Carl.")], "book string, text string")
+    titles = spark.createDataFrame([(0, "x.cleaned.txt", "The Meeting")], "ord int, file string, title string")
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    class Kept(M.OfflineModel):
+        def call(self, messages, max_tokens):
+            import uuid
+
+            (seen / uuid.uuid4().hex).write_text(messages[0]["content"] + "|" + messages[1]["content"])
+            return super().call(messages, max_tokens)
+
+    out = runs.automatic(books, f"file://{tmp_path}/t", Kept, titles, False, question_type="relationship", guide="a||KNOWS||b")
+    assert out["items"].count() == 4 and {r.book for r in out["items"].collect()} == {"The Meeting"}
+    sent = [p.read_text() for p in seen.iterdir()]
+    assert any(x.startswith("QA.") and "The Meeting\nTEXT:" in x and "a||KNOWS||b" in x for x in sent)
+    own = runs.automatic(books, f"file://{tmp_path}/o", titles=titles, triples_on=False, override={"num_questions": "2", "qa_prompt": "QA. Write 3-5 questions."})
+    assert own["items"].count() == 2
+    runs.manual(books, "Who?", f"file://{tmp_path}/m", Kept, titles=titles, triples_on=False)
+    assert any("Books: The Meeting" in p.read_text() for p in seen.iterdir())
+
+
+def test_whole_runs_and_their_files(spark, tmp_path):
+    books = spark.createDataFrame([("b1", "Anna met Ben. Ben met Carl. " * 200), ("b2", "Short text here. It ends.")], "book string, text string")
+    out = runs.process(books, f"file://{tmp_path}/p")
+    assert set(out) == {"answer", "answer_with_evidence", "evidence_text", "per_q_evidence", "total_windows", "total_time", "answer_time", "triples_count", "triples_csv", "registry_path", "run_dir"}
+    items = json.load(open(out["answer_with_evidence"]))
+    assert len(items) == out["answer"].count() == out["per_q_evidence"].count() == 6 and items[0]["evidence"] and items[0]["answer"] == "A"
+    assert open(out["triples_csv"], encoding="utf-8-sig").read().count("KNOWS") == out["triples_count"] > 0
+    assert spark.read.json(out["registry_path"]).count() == out["total_windows"]
+    assert "Evidence: 6 of 6 good" in (tmp_path / "p/result.log").read_text() and not list((tmp_path / "p").glob("stage=*"))
+    asked = runs.process(books, f"file://{tmp_path}/q", "Who?")
+    assert open(asked["answer_with_evidence"]).read().strip() == asked["answer"].first().answer
+    found = runs.process_hierarchical(books, "Who?", f"file://{tmp_path}/h")
+    assert len(found) == 10 and found["answer"] and found["total_windows"] == 3 and (tmp_path / "h/result.log").exists()
+
+
+def test_runs_of_no_books(spark, tmp_path):
+    none = spark.createDataFrame([], "book string, text string")
+    assert runs.automatic(none, f"file://{tmp_path}/a")["items"].count() == 0
+    assert runs.process(none, f"file://{tmp_path}/p")["triples_csv"] is None
+    assert runs.manual(none, "Who?", f"file://{tmp_path}/m")["answer"].count() == 0
+    assert runs.hierarchical(none, "Who?", f"file://{tmp_path}/h")["answer"].count() == 1
+
+
+def test_stages_of_ones_own(spark):
+    tasks = spark.createDataFrame([(1, 0, "b", 1, 2, "ab"), (2, 0, "b", 2, 2, "")], "global_idx long, mark long, book string, section_idx int, section_total int, text string")
+    done = M.staged(tasks, lambda text, book, k, total, model: f"{book}{k}/{total}:{text.upper()}" if text else "").collect()
+    assert {r.global_idx: r.text for r in done} == {1: "b1/2:AB", 2: ""}
+    tries = []
+    assert M.call_or_empty(Counting({"QA": "no"}), M.messages("qa", ""), 1, wait=0, validate=lambda r: tries.append(r)) == "" and tries == ["no"] * 3
+
+
+def test_names_in_blocks(spark):
+    rows = spark.createDataFrame([(k, f"Mr. N{k}", "KNOWS", f"Ann N{k}", "x", 1) for k in range(30)], TRIPLE)
+
+    class Grouping:
+        def call(self, messages, max_tokens):
+            names = sorted(x[2:] for x in messages[1]["content"].split("\n")[1:])
+            last = {}
+            for n in names:
+                last.setdefault(n.split()[-1], []).append(n)
+            return "".join("[GROUP]\n" + "\n".join(g) + "\n[/GROUP]" for g in last.values())
+
+    for most in (2000, 7):
+        got = {r.variant: r.canonical for r in runs.entity_mapping(rows, Grouping, most).collect()}
+        assert got == {f"{t} N{k}": f"Ann N{k}" for k in range(30) for t in ("Mr.", "Ann")}
+
+
+def test_titles_by_parts(spark):
+    files = [(k, f"{n}.cleaned.txt", f"T{n}") for k, n in enumerate(["abba", "ab", "é1", "xx", "abbab"])]
+    raws = ["", "a", "é", "ab", "bba", "abbab", "Tab", "ned", "none", "Txx", "xx.c", "zzzz", None]
+    titles = spark.createDataFrame(files, "ord int, file string, title string")
+    got = {r.raw: r.book for r in E.repaired_titles(spark.createDataFrame([(x,) for x in raws], "raw string"), titles).collect()}
+    assert got == {x: next((t for _, f, t in files if x is not None and (x == t or x in f)), x) for x in raws}
+    assert E.repaired_titles(spark.createDataFrame([("",)], "raw string"), titles.limit(0)).first().book == ""
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from textgraph import __main__ as C
+
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b/a.cleaned.txt").write_text("One\nAnna met Ben. Ben met Carl.")
+    (tmp_path / "b/c.cleaned.txt").write_text("Two\nDora left.")
+    C.main([f"file://{tmp_path}/b", "--books", "1", "--out", f"file://{tmp_path}/o", "--yes"])
+    said = capsys.readouterr().out
+    assert "a.cleaned.txt" in said and "Windows: 1" in said and '"book": "Two"' in said and '"book": "One"' not in said
+    (tmp_path / "t.csv").write_text("subject,predicate,object\nIt,KNOWS,b\nAnna,KNOWS,Ben\n")
+    C.main(["--clean", f"{tmp_path}/t.csv"])
+    assert "kept: 1" in capsys.readouterr().out and (tmp_path / "t_cleaned.csv").read_text().count("\n") == 2
+
+
 def test_compression_stops(spark):
     one = spark.createDataFrame([("x" * 5000,)], "text string")
     assert runs.compress(one).first().text == "x" * 5000

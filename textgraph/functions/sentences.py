@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textgraph.functions.text import WS, strip
+from textgraph.functions.text import WS, let, strip
 from textgraph.functions.vocabulary import ABBREVIATIONS
 
 CHUNK = 800
@@ -22,15 +22,19 @@ def split_sentences(text: Column, chunk: int = CHUNK) -> Column:
 
 
 def group_sentences(sentences: Column, chunk: int = CHUNK) -> Column:
-    """Sentences joined by blanks while their lengths, blanks between not counted at the seam, stay within chunk."""
-    start = F.expr("named_struct('now', '', 'done', cast(array() as array<string>))")
+    """Sentences joined by blanks while their lengths, blanks between not counted at the seam, stay within chunk.  The
+    fold gathers the numbers of the sentences that begin a group, and texts are joined once afterwards."""
+    sizes = F.transform(sentences, lambda s, k: F.struct(F.length(s).alias("n"), k.alias("k")))
+    start = F.expr("named_struct('size', 0, 'firsts', cast(array() as array<int>))")
 
     def step(a: Column, s: Column) -> Column:
-        full = (F.length(a["now"]) > 0) & (F.length(a["now"]) + F.length(s) > chunk)
+        opens = (a["size"] == 0) | (a["size"] + s["n"] > chunk)
         return F.struct(
-            F.when(full | (F.length(a["now"]) == 0), s).otherwise(F.concat(a["now"], F.lit(" "), s)).alias("now"),
-            F.when(full, F.concat(a["done"], F.array(strip(a["now"])))).otherwise(a["done"]).alias("done"),
+            F.when(opens, s["n"]).otherwise(a["size"] + 1 + s["n"]).alias("size"),
+            F.when(opens, F.concat(a["firsts"], F.array(s["k"]))).otherwise(a["firsts"]).alias("firsts"),
         )
 
-    end = lambda a: F.when(F.length(strip(a["now"])) > 0, F.concat(a["done"], F.array(strip(a["now"])))).otherwise(a["done"])
-    return F.aggregate(sentences, start, step, end)
+    firsts = F.aggregate(sizes, start, step, lambda a: a["firsts"])
+    until = lambda f, i: F.coalesce(F.get(f, i + 1), F.size(sentences))
+    joined = lambda f: F.transform(f, lambda a, i: strip(F.array_join(F.slice(sentences, a + 1, until(f, i) - a), " ")))
+    return let(firsts, lambda f: F.filter(joined(f), lambda x: F.length(x) > 0))

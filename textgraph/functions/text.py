@@ -26,8 +26,13 @@ def each(df: DataFrame, values: Column, *keep: str, place: str = "k", value: str
     return df.select(*keep, F.posexplode_outer(values).alias(place, value)).where(F.col(place).isNotNull())
 
 
+#: The characters of WS.
+SPACES = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
+    """Without white space at both ends; a trim looks at the ends alone, where a pattern would be tried at every character."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def tokens(text: Column) -> Column:
@@ -43,11 +48,13 @@ def _nfkc(text: pd.Series) -> pd.Series:
 
 
 def nfkc(text: Column) -> Column:
-    return F.pandas_udf(_nfkc, "string")(text)
+    """ASCII and the letters of Latin-1 are their own NFKC form, so only other texts go to Python; there is no built-in."""
+    plain = ~text.rlike(r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+    return F.when(plain, text).otherwise(F.pandas_udf(_nfkc, "string")(F.when(~plain, text)))
 
 
 def normalize_text(text: Column) -> Column:
-    """Quotes and line feeds unescaped, NFKC where not ASCII, dashes, single spaces, trimmed, lower case."""
+    """Quotes and line feeds unescaped, NFKC, dashes, single spaces, trimmed, lower case."""
     t = F.replace(F.replace(text, F.lit('\\"'), F.lit('"')), F.lit("\\'"), F.lit("'"))
     t = F.replace(t, F.lit("\\n"), F.lit("\n"))
     t = nfkc(t)
@@ -91,15 +98,30 @@ def longest_common(a: str, b: str, least: int) -> int:
     return best if best >= least else 0
 
 
+#: Characters of evidence up to which its parts are sought one by one, each by a plain search in the source.
+SHORT = 400
+
+
+def longest_part(a: str, b: str, least: int) -> int:
+    """The same for a short a: only parts longer than the best one so far are sought, so there are about 2 * len(a) searches."""
+    best = least - 1
+    for start in range(len(a) - least + 1):
+        while start + best < len(a) and a[start : start + best + 1] in b:
+            best += 1
+    return best if best >= least else 0
+
+
 def _partial_confidence(evidence: pd.Series, source: pd.Series) -> pd.Series:
-    return pd.Series([longest_common(e, s, 20) / len(e) if e and s is not None else 0.0 for e, s in zip(evidence, source)])
+    found = lambda e, s: (longest_part if len(e) <= SHORT else longest_common)(e, s, 20) / len(e)
+    return pd.Series([found(e, s) if e and s is not None else 0.0 for e, s in zip(evidence, source)])
 
 
 def confidence(evidence: Column, source: Column) -> Column:
     """Of normalised texts: 1 if contained, else the share of evidence that its longest common substring with the source
-    makes, if that has 20 characters.  Only what isn't contained goes to Python."""
+    makes, if that has 20 characters.  Only what isn't contained, and has them, goes to Python."""
     inside = F.contains(source, evidence)
-    rest = F.pandas_udf(_partial_confidence, "double")(F.when(~inside, evidence), F.when(~inside, source))
+    asked = ~inside & (F.length(evidence) >= 20)
+    rest = F.coalesce(F.pandas_udf(_partial_confidence, "double")(F.when(asked, evidence), F.when(asked, source)), F.lit(0.0))
     return F.when(inside, 1.0).otherwise(rest)
 
 

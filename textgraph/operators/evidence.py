@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgraph.functions.text import answer_of, citations, confidence, each, normalize_citations, normalize_text, repair_json, snippet, strip, strip_citations, strip_code_fence
@@ -28,10 +28,10 @@ def cited(qa: DataFrame) -> DataFrame:
     return qa.select("qa_idx", F.explode(citations(text)).alias("section"))
 
 
-def cited_text(references: DataFrame, registry: DataFrame, most: int = MAX_SECTIONS, headed: bool = True) -> DataFrame:
+def cited_text(references: DataFrame, registry: DataFrame, most: int = MAX_SECTIONS, headed: bool = True, numbers: DataFrame | None = None) -> DataFrame:
     """(qa_idx, n_cited, text): the cited sections that exist, in order, at most so many and then a mark.  The cap is
-    applied to the numbers; only the texts that remain are joined."""
-    numbers = registry.select(F.col("global_idx").alias("section"))
+    applied to the numbers; only the texts that remain are joined.  numbers: the registry's global_idx, where they can be had for less."""
+    numbers = (registry if numbers is None else numbers).select(F.col("global_idx").alias("section"))
     known = references.distinct().join(numbers, "section").groupBy("qa_idx").agg(F.array_sort(F.collect_set("section")).alias("sections"))
     first = known.select("qa_idx", F.size("sections").alias("n_cited"), F.explode(F.slice("sections", 1, most)).alias("section"))
     body = F.concat(F.lit("["), F.col("section").cast("string"), F.lit("] ("), F.col("book"), F.lit(", chars "), F.col("start").cast("string"), F.lit("-"), F.col("end").cast("string"), F.lit(")\n"), F.col("text")) if headed else F.col("text")
@@ -64,12 +64,31 @@ def evidence_counts(rows: DataFrame, least: float = 0.5) -> DataFrame:
     return rows.agg(F.count("*").alias("total"), low.alias("low"), (F.count("*") - low).alias("good"))
 
 
+def _grams(text: Column, size: Column) -> Column:
+    """The distinct parts of so many characters."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(starts, lambda k: F.substring(text, k, size)))).otherwise(F.array().cast("array<string>"))
+
+
 def repaired_titles(names: DataFrame, titles: DataFrame) -> DataFrame:
     """(raw, book): the first title, in selection order, that raw equals or whose file name contains it; else raw.
-    titles (ord, file, title) is the selection of a run."""
-    hit = (F.col("raw") == F.col("title")) | F.contains("file", F.col("raw"))
-    found = names.select("raw").distinct().join(titles, hit, "left").groupBy("raw").agg(F.min_by("title", "ord").alias("t"))
-    return found.select("raw", F.coalesce("t", "raw").alias("book"))
+    titles (ord, file, title) is the selection of a run.
+
+    File names that contain raw are sought by the rarest of its parts of three characters (or its one or two), so names
+    and files meet by an equal key and only then are compared."""
+    wanted = names.select("raw").where("raw is not null").distinct()
+    files = titles.select("ord", "file", "title")
+    parts = F.flatten(F.array(*[_grams(F.col("file"), F.lit(n)) for n in (1, 2, 3)]))
+    parts = files.select("ord", "file", "title", F.explode(parts).alias("gram"))
+    own = wanted.where("raw <> ''").select("raw", F.explode(_grams(F.col("raw"), F.least(F.length("raw"), F.lit(3)))).alias("gram"))
+    counted = own.join(parts.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
+    rarest = counted.groupBy("raw").agg(F.min_by("gram", F.coalesce("n", F.lit(0))).alias("gram"))
+    inside = rarest.join(parts, "gram").where(F.contains("file", F.col("raw"))).select("raw", "ord", "title")
+    equal = wanted.join(files.select(F.col("title").alias("raw"), "ord", "title"), "raw").select("raw", "ord", "title")
+    first = files.agg(F.min_by(F.struct("ord", "title"), "ord").alias("f")).select("f.*").where("ord is not null")
+    every = wanted.where("raw = ''").join(F.broadcast(first)).select("raw", "ord", "title")  # one row: the first file
+    found = inside.union(equal).union(every).groupBy("raw").agg(F.min_by("title", "ord").alias("t"))
+    return names.select("raw").distinct().join(found, "raw", "left").select("raw", F.coalesce("t", "raw").alias("book"))
 
 
 def assembled(qa: DataFrame, evidence: DataFrame, registry: DataFrame, titles: DataFrame) -> DataFrame:

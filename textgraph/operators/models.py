@@ -38,6 +38,27 @@ PROMPTS = {
 }
 
 
+#: What each question type has sections summed up for, and what it asks; types without a focus of the first kind take the plain summary.
+TYPE_FOCUS = {
+    "default": (None, "on any part of the book"),
+    "relationship": ("Keep to the people: who meets whom, what they are to each other, what they feel, and what changes between them.", "on how two or more named people stand to each other"),
+    "timeline": ("Keep to the course of events: what happens in which order, when, and what follows from what.", "on the order of events, and on what comes before, after or because of what"),
+    "detail": ("Keep the particulars: names, numbers, places, things, and words that are said.", "on one particular that a single section gives"),
+    "global": (None, "that only several sections together can answer"),
+}
+
+
+def type_prompts(question_type: str = "default", number: str = "3-5", override: dict | None = None) -> dict[str, str]:
+    """The prompts of a question type (the default's for an unknown one) with its number of questions; override may hold
+    summary_prompt, qa_prompt and num_questions, which go before the type's own."""
+    override = override or {}
+    focus, asked = TYPE_FOCUS.get(question_type, TYPE_FOCUS["default"])
+    summary = PROMPTS["summarize"] + (f" {focus}" if focus else "")
+    qa = f"QA. Write 3-5 questions {asked}, with answers, as a JSON array of book, question, answer; cite sections as [N] in answers, never in questions."
+    qa = override.get("qa_prompt", qa).replace("3-5", override.get("num_questions", "3-5" if override else number), 1)
+    return {"summarize": override.get("summary_prompt", summary), "qa": qa}
+
+
 class Model(Protocol):
     def call(self, messages: Messages, max_tokens: int) -> str: ...
 
@@ -63,9 +84,11 @@ class OfflineModel:
         if stage == "CANONICALIZE":
             return ""
         if stage == "QA":
-            return json.dumps([{"book": text.split("\n")[0], "question": f"Q {words[0] if words else ''}?", "answer": "A [1]"}])
+            number, section = (re.search(p, t) for p, t in ((r"\d+", messages[0]["content"]), (r"\[Section (\d+)\]", text)))
+            cited = f"A [{section[1] if section else 1}]"
+            return json.dumps([{"book": text.split("\n")[0], "question": f"Q {k}?", "answer": cited} for k in range(1, int(number[0] if number else 1) + 1)])
         if stage == "EVIDENCE":
-            return text.split("\n")[1][:80] if "\n" in text else ""
+            return text.split("\n")[2][:80] if text.count("\n") > 1 else ""
         if stage == "COMPRESS":
             return text.split("TEXT:\n")[-1][: max(1, len(text.split("TEXT:\n")[-1]) // 2)]
         if stage in ("PREPROCESS", "POLISH"):
@@ -101,11 +124,11 @@ def call_or_raise(model: Model, sent: Messages, max_tokens: int, attempts: int =
     raise AssertionError
 
 
-def call_or_empty(model: Model, sent: Messages, max_tokens: int, attempts: int = 3, wait: float = 2.0) -> str:
-    """Errors wait and empty replies don't; "" after the last attempt."""
+def call_or_empty(model: Model, sent: Messages, max_tokens: int, attempts: int = 3, wait: float = 2.0, validate: Callable[[str], bool] | None = None) -> str:
+    """Errors wait; empty replies, and those that validate refuses, don't; "" after the last attempt."""
     for attempt in range(attempts):
         try:
-            if reply := model.call(sent, max_tokens):
+            if (reply := model.call(sent, max_tokens)) and (validate is None or validate(reply)):
                 return reply
         except Exception:
             if attempt < attempts - 1:
@@ -126,13 +149,13 @@ def passed(reply: str) -> tuple[bool, str]:
     return "PASS" in word and "FAIL" not in word, told[1].strip() if told else ""
 
 
-def summarized(model: Model, text: str, where: str, triples_on: bool = True, wait: float = 2.0) -> tuple[str, list[tuple[str, str, str]]]:
+def summarized(model: Model, text: str, where: str, triples_on: bool = True, wait: float = 2.0, prompt: str | None = None) -> tuple[str, list[tuple[str, str, str]]]:
     """Summary and triples of a window: extract, then validate up to three times with a revision after the first two
     failures.  Triples stay if the last validation fails too; a revision without triples keeps the ones before."""
     lines = lambda ts: "\n".join("||".join(t) for t in ts)
     for attempt in range(OUTER_ATTEMPTS):
         try:
-            summary = call_or_raise(model, messages("summarize", f"{where}\nTEXT:\n{text}"), MAX_SUMMARY, wait=wait) or NO_SUMMARY
+            summary = call_or_raise(model, messages("summarize", f"{where}\nTEXT:\n{text}", prompt), MAX_SUMMARY, wait=wait) or NO_SUMMARY
             triples = parse_block(call_or_raise(model, messages("extract", f"SUMMARY:\n{summary}\nTEXT:\n{text}"), MAX_SUMMARY, wait=wait)) if triples_on else []
             for k in range(MAX_ITERATIONS if triples else 0):
                 good, feedback = passed(call_or_raise(model, messages("validate", f"TRIPLES:\n{lines(triples)}\nTEXT:\n{text}"), max(512, MAX_SUMMARY // 2), wait=wait))
@@ -161,22 +184,31 @@ def mapped(df: DataFrame, row: Callable[[dict, Model], dict], schema: str, model
     return df.mapInPandas(run, schema)
 
 
-def summarize_windows(tasks: DataFrame, model: Callable[[], Model] = OfflineModel, triples_on: bool = True) -> DataFrame:
-    """(global_idx, summary, triples) over (global_idx, book, section_idx, section_total, text)."""
+def summarize_windows(tasks: DataFrame, model: Callable[[], Model] = OfflineModel, triples_on: bool = True, prompt: str | None = None) -> DataFrame:
+    """(global_idx, mark, summary, triples) over (global_idx, mark, book, section_idx, section_total, text)."""
 
     def row(r: dict, own: Model) -> dict:
-        summary, triples = summarized(own, r["text"], f"Book {r['book']}, section {r['section_idx']} of {r['section_total']}", triples_on)
-        return {"global_idx": r["global_idx"], "summary": summary, "triples": [dict(zip(("subject", "predicate", "object"), t)) for t in triples]}
+        summary, triples = summarized(own, r["text"], f"Book {r['book']}, section {r['section_idx']} of {r['section_total']}", triples_on, prompt=prompt)
+        return {"global_idx": r["global_idx"], "mark": r["mark"], "summary": summary, "triples": [dict(zip(("subject", "predicate", "object"), t)) for t in triples]}
 
-    schema = "global_idx long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
-    return mapped(tasks.select("global_idx", "book", "section_idx", "section_total", "text"), row, schema, model)
+    schema = "global_idx long, mark long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
+    return mapped(tasks.select("global_idx", "mark", "book", "section_idx", "section_total", "text"), row, schema, model)
 
 
-def staged(tasks: DataFrame, stage: str, model: Callable[[], Model] = OfflineModel, fallback: Callable[[dict], str] | None = None) -> DataFrame:
-    """(global_idx, text): one call a row; the pluggable stage of the hierarchical plan."""
+#: A stage of one's own: (text, book, section, sections, model) -> text.
+StageFunction = Callable[[str, str, int, int, Model], str]
 
-    def row(r: dict, own: Model) -> dict:
-        reply = call_or_empty(own, messages(stage, f"Book {r['book']}, section {r['section_idx']} of {r['section_total']}\nTEXT:\n{r['text']}"), MAX_SUMMARY)
-        return {"global_idx": r["global_idx"], "text": reply or (fallback(r) if fallback else r["text"])}
 
-    return mapped(tasks.select("global_idx", "book", "section_idx", "section_total", "text"), row, "global_idx long, text string", model)
+def staged(tasks: DataFrame, stage: str | StageFunction, model: Callable[[], Model] = OfflineModel, fallback: Callable[[dict], str] | None = None,
+           validate: Callable[[str], bool] | None = None) -> DataFrame:
+    """(global_idx, mark, text): one call a row, by the name of a prompt or by a function; what fails keeps the fallback, or its text."""
+
+    def row(r: dict, own: Model) -> dict:
+        if callable(stage):
+            reply = stage(r["text"], r["book"], r["section_idx"], r["section_total"], own)
+        else:
+            where = f"Book {r['book']}, section {r['section_idx']} of {r['section_total']}"
+            reply = call_or_empty(own, messages(stage, f"{where}\nTEXT:\n{r['text']}"), MAX_SUMMARY, validate=validate)
+        return {"global_idx": r["global_idx"], "mark": r["mark"], "text": reply or (fallback(r) if fallback else r["text"])}
+
+    return mapped(tasks.select("global_idx", "mark", "book", "section_idx", "section_total", "text"), row, "global_idx long, mark long, text string", model)

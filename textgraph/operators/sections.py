@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textgraph.functions.chunking import aligned_windows, fixed_windows
+from textgraph.functions.chunking import aligned_spans, fixed_spans, window_texts
 from textgraph.functions.text import each, let, strip
 from textgraph.functions.vocabulary import QUESTION_TYPES, TITLED_BY_NAME
 
@@ -16,7 +16,7 @@ def catalog(books: DataFrame) -> DataFrame:
         strip(F.col("text")),
         lambda t: F.struct(
             F.floor(F.octet_length(t) / 1024).alias("size_kb"), F.length(t).cast("long").alias("chars"),
-            F.floor(F.length(t) / 4).alias("est_tokens"), F.size(aligned_windows(t)).cast("long").alias("windows"),
+            F.floor(F.length(t) / 4).alias("est_tokens"), F.size(aligned_spans(t)).cast("long").alias("windows"),
         ),
     )
     return books.select("name", stats.alias("s")).where("s.chars > 0").select("name", "s.*")
@@ -27,36 +27,59 @@ def title(name: Column, raw: Column) -> Column:
     return F.when(base.isin(*TITLED_BY_NAME), base).otherwise(strip(F.split_part(raw, F.lit("\n"), F.lit(1))))
 
 
-def windows(books: DataFrame, aligned: bool = True) -> DataFrame:
+def _spanned(books: DataFrame, aligned: bool) -> DataFrame:
+    """Books with stripped texts and the limits of their windows."""
+    df = books.withColumn("text", strip(F.col("text")))
+    return df.withColumn("spans", (aligned_spans if aligned else fixed_spans)(F.col("text")))
+
+
+def windows(books: DataFrame, aligned: bool = True, texts: bool = True) -> DataFrame:
     """(book, section_idx, section_total, start, end, text), sections from 1."""
-    chunks = let(strip(F.col("text")), lambda t: (aligned_windows if aligned else fixed_windows)(t))
-    df = books.withColumn("chunks", chunks).drop("text")
-    df = each(df.withColumn("section_total", F.size("chunks")), F.col("chunks"), "*").drop("chunks")
-    return df.select(*[c for c in df.columns if c not in ("k", "c")], (F.col("k") + 1).alias("section_idx"), "c.*")
+    df = _spanned(books, aligned).withColumn("section_total", F.size("spans"))
+    keep = [c for c in df.columns if c not in ("text", "spans")]
+    df = each(df, window_texts(F.col("text"), F.col("spans")) if texts else F.col("spans"), *keep)
+    return df.select(*keep, (F.col("k") + 1).alias("section_idx"), "c.*")
 
 
 def bounds(books: DataFrame, order: str, parts: int = 200, sample: int = 20_000) -> list:
-    """Values that cut the books' order into parts of about equal size, from a bounded sample of that column."""
-    values = sorted(r[0] for r in books.select(order).where(F.col(order).isNotNull()).orderBy(F.rand(7)).limit(sample).collect())
+    """Values that cut the books' order into parts of about equal size, from a bounded sample of that column; none where
+    the books are no more than that sample, which one task can put in order."""
+    ids = books.select(order).where(F.col(order).isNotNull())
+    if ids.limit(sample + 1).count() <= sample:
+        return []
+    values = sorted(r[0] for r in ids.orderBy(F.rand(7)).limit(sample).collect())
     return sorted(set(values[:: max(1, len(values) // parts)]))
 
 
-def numbered(sections: DataFrame, book: str = "book", order: str | None = None, cuts: list | None = None) -> DataFrame:
-    """global_idx over books in selection order: running sums over the books' totals, one short row a book, in parts of the
-    order that cuts gives and that add up; no sort of all windows, and no task with all books where there are cuts."""
-    order = order or book
+def before(totals: DataFrame, book: str, order: str, cuts: list) -> DataFrame:
+    """(book, before): how many windows stand before each book's, over (book, order, n), one short row a book: running sums
+    in parts of the order that cuts gives and that add up; no sort of all windows, no task with all books where there are cuts."""
     part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))) if cuts else F.lit(0)
-    totals = sections.groupBy(book, *([order] if order != book else [])).agg(F.first("section_total").cast("long").alias("n")).withColumn("part", part)
+    totals = totals.withColumn("part", part)
     earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = totals.groupBy("part").agg(F.sum("n").alias("n")).select("part", earlier(Window.orderBy("part")).alias("ahead"))  # a row for each cut
-    before = totals.withColumn("before", earlier(Window.partitionBy("part").orderBy(order))).join(F.broadcast(parts), "part")
-    before = before.select(book, (F.col("before") + F.col("ahead")).alias("before"))
-    return sections.join(before, book).withColumn("global_idx", F.col("before") + F.col("section_idx")).drop("before")
+    each_book = totals.withColumn("before", earlier(Window.partitionBy("part").orderBy(order))).join(F.broadcast(parts), "part")
+    return each_book.select(book, (F.col("before") + F.col("ahead")).alias("before"))
+
+
+#: Books up to which their numbers of windows are broadcast; beyond, the windows are shuffled by book.
+FEW_BOOKS = 300_000
+
+
+def numbered(sections: DataFrame, totals: DataFrame, book: str = "book", order: str | None = None) -> DataFrame:
+    """global_idx over books in selection order.  totals: (book, order, n), a row for each book with its number of sections."""
+    order = order or book
+    found = before(totals, book, order, bounds(totals, order))
+    if totals.limit(FEW_BOOKS + 1).count() <= FEW_BOOKS:
+        found = F.broadcast(found)
+    return sections.join(found, book).withColumn("global_idx", F.col("before") + F.col("section_idx")).drop("before")
 
 
-def tasks(books: DataFrame, order: str | None = None, aligned: bool = True) -> DataFrame:
-    """All windows of books (book, text) with their numbers."""
-    return numbered(windows(books, aligned), "book", order, bounds(books, order or "book"))
+def tasks(books: DataFrame, order: str | None = None, aligned: bool = True, texts: bool = True) -> DataFrame:
+    """All windows of books (book, text) with their numbers.  The books' numbers of windows come from their limits alone."""
+    columns = ["book"] + ([order] if order and order != "book" else [])
+    totals = _spanned(books, aligned).select(*columns, F.size("spans").cast("long").alias("n")).where("n > 0")
+    return numbered(windows(books, aligned, texts), totals, "book", order)
 
 
 def registry_slim(sections: DataFrame) -> DataFrame:

@@ -145,11 +145,9 @@ def post_process_hier(triples: DataFrame) -> DataFrame:
 
 def word_reason(subject: Column, object_: Column) -> Column:
     """The first pronoun or article, in list order, that stands in either name; null if none does."""
-    words = F.array(*[F.lit(w) for w in FILTER_WORDS])
-    here = lambda w: F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}_])"), w, F.lit(r"(?![\p{L}\p{N}_])"))
-    found = F.filter(words, lambda w: F.rlike(subject, here(w)) | F.rlike(object_, here(w)))
-    any_word = whole_word(F.lower(F.concat_ws(" ", subject, object_)), FILTER_WORDS)
-    return F.when(any_word, F.get(found, F.lit(0)))
+    names = F.lower(F.concat_ws(" ", subject, object_))
+    first = F.coalesce(*[F.when(whole_word(names, (w,)), w) for w in FILTER_WORDS])
+    return F.when(whole_word(names, FILTER_WORDS), first)
 
 
 def clean_reasons(triples: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,12 +99,12 @@ def chunk_fixed_stride(spark, sf_dir):
 
 @query(G2 + """select book, section_idx, section_total, start, "end", global_idx from s""")
 def section_numbering(spark, sf_dir):
-    return S.tasks(books(spark, sf_dir), aligned=False).drop("text")
+    return S.tasks(books(spark, sf_dir), aligned=False, texts=False)
 
 
 @query(G2 + """select global_idx, book, section_idx as section_within_book, start, "end" from s""")
 def registry_slim(spark, sf_dir):
-    return S.registry_slim(S.tasks(books(spark, sf_dir), aligned=False))
+    return S.registry_slim(S.tasks(books(spark, sf_dir), aligned=False, texts=False))
 
 
 @query(G2 + """select book, string_agg('[Section ' || section_idx || ']' || chr(10) || text, chr(10) || chr(10) order by section_idx) as text from s group by book""")
@@ -113,7 +114,7 @@ def section_concat(spark, sf_dir):
 
 @query(G2 + "select count(*) as total_windows, count(distinct book) as books from s")
 def windows_total(spark, sf_dir):
-    return S.windows(books(spark, sf_dir), aligned=False).agg(F.count("*").alias("total_windows"), F.countDistinct("book").alias("books"))
+    return S.windows(books(spark, sf_dir), aligned=False, texts=False).agg(F.count("*").alias("total_windows"), F.countDistinct("book").alias("books"))
 
 
 SENTENCES = r"""
@@ -347,7 +348,7 @@ def citations_strip(spark, sf_dir):
 chr(10) || chr(10) || '---' || chr(10) || chr(10) order by section) as text from ({CITED}) c join s on s.global_idx = c.section group by qa_idx""")
 def cited_sections(spark, sf_dir):
     registry = S.tasks(books(spark, sf_dir), aligned=False)
-    return E.cited_text(citations_extract(spark, sf_dir), registry)
+    return E.cited_text(citations_extract(spark, sf_dir), registry, numbers=S.tasks(books(spark, sf_dir), aligned=False, texts=False))
 
 
 @query("""select doc_id as reply_id, 0 as qa_idx, 'b' as book, 'q' || doc_id as question, case when doc_id % 3 = 0 then 'a [1]' else 'a' end as answer, cast(null as varchar) as response from documents where doc_id % 3 < 2
@@ -364,9 +365,9 @@ def qa_pairs(spark, sf_dir):
     return found.select("reply_id", (F.col("qa_idx") + 1).alias("pos"), F.coalesce("question", blank).alias("question"), F.coalesce("answer", blank).alias("answer"))
 
 
-@query(r"select doc_id, regexp_replace(left(text, 100), '^\s+|\s+$', '', 'g') as text from documents")
+@query(r"select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as text from documents")
 def strip_fence(spark, sf_dir):
-    fenced = F.concat(F.lit(" ```JSON \n"), F.left("text", F.lit(100)), F.lit("\n``` "))
+    fenced = F.concat(F.lit(" ```JSON \n"), "text", F.lit("\n``` "))
     return docs(spark, sf_dir).select("doc_id", X.strip_code_fence(fenced).alias("text"))
 
 
@@ -377,10 +378,10 @@ def repair_json(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", X.repair_json(broken).alias("text"))
 
 
-@query(r"""select doc_id, lower(regexp_replace(regexp_replace('say "' || left(text, 300) || '" -- - x', '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g')) as text from documents where lang = 'en'""")
+@query(r"""select doc_id, lower(regexp_replace(regexp_replace('say "' || nfc_normalize(text) || '" -- - x', '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g')) as text from documents""")
 def normalize_text(spark, sf_dir):
-    raw = F.concat(F.lit('say \\"'), F.left("text", F.lit(300)), F.lit('\\" — –\\nx'))
-    return docs(spark, sf_dir).where("lang = 'en'").select("doc_id", X.normalize_text(raw).alias("text"))
+    raw = F.concat(F.lit('say \\"'), F.col("text"), F.lit('\\" — –\\nx'))
+    return docs(spark, sf_dir).select("doc_id", X.normalize_text(raw).alias("text"))
 
 
 CONFIDENCE = rf"""select qa_idx, ev_idx, evidence, case when contains(src, ev) then 1.0::double else
@@ -419,8 +420,8 @@ def evidence_lines(spark, sf_dir):
     return E.evidence_lines(docs(spark, sf_dir).select(F.col("doc_id").alias("qa_idx"), F.concat(F.lit("```\n"), F.col("text"), F.lit("\n```")).alias("reply")))
 
 
-TITLES_SQL = "select doc_id as ord, 'file ' || doc_id || '.cleaned.txt' as file, 'Title ' || doc_id as title from documents where doc_id < 50"
-RAW_NAMES = "select distinct case doc_id % 4 when 0 then 'Title ' || (doc_id % 60) when 1 then cast(doc_id % 60 as varchar(9)) when 2 then '' else 'unknown ' || doc_id end as raw from documents"
+TITLES_SQL = "select doc_id as ord, 'file ' || doc_id || '.cleaned.txt' as file, 'Title ' || doc_id as title from documents"
+RAW_NAMES = "select distinct case doc_id % 4 when 0 then 'Title ' || (doc_id * 2) when 1 then cast(doc_id as varchar(9)) when 2 then '' else 'unknown ' || doc_id end as raw from documents"
 
 
 @query(f"""select raw, coalesce(arg_min(title, ord), raw) as book from ({RAW_NAMES}) n left join ({TITLES_SQL}) t on raw = title or contains(file, raw) group by raw""")
@@ -428,12 +429,12 @@ def title_repair(spark, sf_dir):
     return E.repaired_titles(P.recipe(spark, sf_dir, RAW_NAMES), P.recipe(spark, sf_dir, TITLES_SQL))
 
 
-@query(G2 + f"""select qa_idx, 'Title ' || (qa_idx % 50) as book, 'q' as question, 'Claim A. Claim B [' || (qa_idx % 20 + 1) || ', ' || (qa_idx % 20 + 2) || '] end' as answer, cast(null as varchar) as response,
+@query(G2 + f"""select qa_idx, 'Title ' || qa_idx as book, 'q' as question, 'Claim A. Claim B [' || (qa_idx % 20 + 1) || ', ' || (qa_idx % 20 + 2) || '] end' as answer, cast(null as varchar) as response,
   coalesce(ev, []) as evidence, context
 from ({P.ANSWERS}) a left join (select qa_idx as q, list(evidence order by ev_idx) as ev from ({P.EVIDENCE}) e group by 1) v on q = qa_idx
 left join (select qa_idx as q2, list(text order by section) as context from ({CITED}) c join s on s.global_idx = c.section group by 1) x on q2 = qa_idx""")
 def qa_assemble(spark, sf_dir):
-    qa = P.recipe(spark, sf_dir, P.ANSWERS).select("qa_idx", F.concat(F.lit("file "), (F.col("qa_idx") % 50).cast("string"), F.lit(".cleaned")).alias("book"), F.lit("q").alias("question"), "answer", F.lit(None).cast("string").alias("response"))
+    qa = P.recipe(spark, sf_dir, P.ANSWERS).select("qa_idx", F.concat(F.lit("file "), F.col("qa_idx").cast("string"), F.lit(".cleaned")).alias("book"), F.lit("q").alias("question"), "answer", F.lit(None).cast("string").alias("response"))
     registry = S.tasks(books(spark, sf_dir), aligned=False)
     return E.assembled(qa, P.recipe(spark, sf_dir, P.EVIDENCE), registry, P.recipe(spark, sf_dir, TITLES_SQL))
 
@@ -508,23 +509,49 @@ def answer_text(spark, sf_dir):
 # --- runs with the offline model ---------------------------------------------------------------------------------
 
 
-def _few_books(spark, sf_dir):
+def _questions(number: int) -> str:
+    """The offline model's items: so many a book, each citing the book's first section and quoting its first line."""
+    return G1 + f""", s as (select cast(doc_id as varchar) as book, text, row_number() over (order by cast(doc_id as varchar), start) as global_idx from g1 where text <> ''),
+b as (select book, arg_min(text, global_idx) as t from s group by book),
+f as (select b.book, min(o.book) as title from b join b o on contains(o.book, b.book) group by b.book)
+select row_number() over (order by book, k) - 1 as qa_idx, title as book, 'Q ' || k || '?' as question, 'A' as answer, cast(null as varchar) as response,
+  [regexp_replace(left(split_part(t, chr(10), 1), 80), '^\\s+|\\s+$', '', 'g')] as evidence, [t] as context
+from (select book, t, title, unnest(generate_series(1, {number})) as k from b join f using (book))"""
+
+
+def _books(spark, sf_dir):
     return docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("book"), "text")
 
 
-@query()
+@query(_questions(3))
 def adversarial_offline(spark, sf_dir):
     """Automatic questions over all documents; work files go to the session's own folder for intermediate results."""
-    return runs.automatic(_few_books(spark, sf_dir), _work(spark))["items"]
+    return runs.automatic(_books(spark, sf_dir), _work(spark))["items"]
+
+
+@query(_questions(4))
+def typed_offline(spark, sf_dir):
+    """The same with the prompts and the number of questions of another type, without triples."""
+    return runs.automatic(_books(spark, sf_dir), _work(spark), triples_on=False, question_type="relationship")["items"]
+
+
+@query(G1 + """select count(*) as total, 0 as low, count(*) as good from (select doc_id from g1 where text <> '' group by doc_id) cross join range(3)""")
+def soft_check_offline(spark, sf_dir):
+    """The soft check of an automatic run: every quoted line is found in the section that it is from."""
+    return runs.automatic(_books(spark, sf_dir), _work(spark), triples_on=False)["counts"]
 
 
 @query()
 def hierarchy_offline(spark, sf_dir):
-    return runs.hierarchical(_few_books(spark, sf_dir), "Who?", _work(spark))["answer"]
+    return runs.hierarchical(_books(spark, sf_dir), "Who?", _work(spark))["answer"]
 
 
 def _work(spark) -> str:
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="textgraph-")
-    return f"{root}/runs/{uuid.uuid4().hex}"
+    """A folder for a run's tables, in the one that all executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="textgraph-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/runs/{uuid.uuid4().hex}"

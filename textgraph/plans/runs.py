@@ -1,22 +1,34 @@
-"""Whole runs: automatic and manual questions over books, the hierarchical answer, and batches over question types."""
+"""Whole runs: automatic and manual questions over books, the hierarchical answer, and batches over question types.
+
+Each model stage is a table under the run's folder, keyed by window or question and by a mark, a hash of all that the call
+depends on (texts and prompts).  A rerun in the same folder sends only what has no row with its key and mark yet, so it
+repeats no call and doubles nothing, and other books or prompts never meet foreign replies.
+"""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgraph.functions.replies import triples_of_lines
 from textgraph.functions.sentences import group_sentences, split_sentences
 from textgraph.functions.text import let, strip_code_fence
+from textgraph.functions.vocabulary import QUESTION_TYPES
 from textgraph.operators import evidence as E
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
-from textgraph.operators.models import MAX_ANSWER, MAX_SUMMARY, NO_ANSWER, NO_TRIPLES, Model, OfflineModel, call_or_empty, call_or_raise, mapped, messages, staged, summarize_windows
+from textgraph.operators.models import (
+    MAX_ANSWER, MAX_SUMMARY, NO_ANSWER, NO_TRIPLES, Model, OfflineModel, StageFunction, call_or_empty, call_or_raise, mapped, messages, staged, summarize_windows, type_prompts,
+)
 from textgraph.sources import books as B
 from textgraph.sources import sinks as K
 
-STATE = "global_idx long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
+SUMMARY = "global_idx long, mark long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
+#: Names of one canonicalization call.
+NAMES = 2000
 
 
 def registered(tasks: DataFrame, folder: str) -> DataFrame:
@@ -25,11 +37,24 @@ def registered(tasks: DataFrame, folder: str) -> DataFrame:
     return tasks.sparkSession.read.schema(tasks.schema).parquet(f"{folder}/registry")
 
 
-def summaries(tasks: DataFrame, model: Callable[[], Model], folder: str, triples_on: bool = True) -> DataFrame:
-    """Summaries of all windows, written before use; windows that an earlier run finished aren't sent again."""
-    done = B.read_done(tasks.sparkSession, folder, "summary", STATE)
-    K.append_done(summarize_windows(S.pending(tasks, done, "global_idx"), model, triples_on), folder, "summary")
-    return B.read_done(tasks.sparkSession, folder, "summary", STATE)
+def resumed(asked: DataFrame, folder: str, stage: str, keys: list[str], schema: str, call: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage's rows for what is asked: those that an earlier run wrote for the same keys and mark, and the others by call,
+    written before use.  One row for each key, whatever was written twice."""
+    spark, both = asked.sparkSession, [*keys, "mark"]
+    done = B.read_done(spark, folder, stage, schema).select(*both).distinct()
+    K.append_done(call(asked.join(done, both, "left_anti")), folder, stage)
+    found = B.read_done(spark, folder, stage, schema)
+    return found.join(asked.select(*both).distinct(), both, "left_semi").dropDuplicates(both)
+
+
+def marked(*parts: Column | str) -> Column:
+    return F.xxhash64(*[F.col(p) if isinstance(p, str) else p for p in parts])
+
+
+def summaries(tasks: DataFrame, model: Callable[[], Model], folder: str, triples_on: bool = True, prompt: str | None = None) -> DataFrame:
+    """Summaries and triples of all windows."""
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "section_total", "text", F.lit(triples_on), F.lit(prompt or "")))
+    return resumed(asked, folder, "summary", ["global_idx"], SUMMARY, lambda rows: summarize_windows(rows, model, triples_on, prompt))
 
 
 def raw_triples(found: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -39,103 +64,231 @@ def raw_triples(found: DataFrame, tasks: DataFrame) -> DataFrame:
     return each.select((F.col("global_idx") * 1048576 + F.col("k")).alias("ord"), "t.subject", "t.predicate", "t.object", "book", "win")
 
 
-def entity_mapping(raw: DataFrame, model: Callable[[], Model]) -> DataFrame:
-    """One call over all names; none where there is no more than one."""
+def entity_mapping(raw: DataFrame, model: Callable[[], Model], most: int = NAMES) -> DataFrame:
+    """One call over all names, none where there is no more than one.  Beyond ``most`` names there are several calls, over
+    names that are dealt by their last word, so that the forms of one name are asked together."""
     names = T.entity_candidates(raw)
-    listed = names.agg(F.count("*").alias("n"), F.concat_ws("\n", F.array_sort(F.collect_list(F.concat(F.lit("- "), "entity")))).alias("text")).where("n > 1")
-    replies = mapped(listed, lambda r, own: {"reply_id": 0, "reply": call_or_empty(own, messages("canonicalize", f"TEXT:\n{r['text']}"), 4096, 1)}, "reply_id long, reply string", model)
-    return T.mapping_of(replies)
+    n = names.count()
+    last = F.lower(F.regexp_extract("entity", r"(\S+)\s*$", 1))
+    block = F.pmod(F.xxhash64(last), F.lit(-(-n // most))) if n > most else F.lit(0).cast("long")
+    listed = names.groupBy(block.alias("reply_id")).agg(F.count("*").alias("n"), F.concat_ws("\n", F.array_sort(F.collect_list(F.concat(F.lit("- "), "entity")))).alias("text")).where("n > 1")
+    ask = lambda r, own: {"reply_id": r["reply_id"], "reply": call_or_empty(own, messages("canonicalize", f"TEXT:\n{r['text']}"), 4096, 1)}
+    return T.mapping_of(mapped(listed, ask, "reply_id long, reply string", model))
+
+
+def _guided(guide: str) -> str:
+    return f"\n\nReference triples:\n{guide}" if guide else ""
+
+
+def named(books: DataFrame, titles: DataFrame | None) -> DataFrame:
+    """The selection's (ord, file, title); a book without a title goes by its name."""
+    if titles is None:
+        return books.select(F.col("book").alias("ord"), F.col("book").alias("file"), F.col("book").alias("title"))
+    return titles
+
+
+def checked(items: DataFrame, tasks: DataFrame, folder: str, model: Callable[[], Model], audit: bool = True) -> dict[str, DataFrame]:
+    """Evidence of the items that cite sections: lines, their confidence, the low ones, and counts; nothing is dropped."""
+    references = E.cited(items)
+    texts = E.cited_text(references, tasks).join(items.select("qa_idx", "item"), "qa_idx").withColumn("mark", marked("text", "item"))
+    texts = _kept(texts, folder, "evidence_asked")
+    quote = lambda r, own: {"qa_idx": r["qa_idx"], "mark": r["mark"], "reply": call_or_empty(own, messages("evidence", f"CITED SECTIONS:\n{r['text']}\n\nQA:\n{r['item']}"), MAX_ANSWER)}
+    schema = "qa_idx long, mark long, reply string"
+    lines = E.evidence_lines(resumed(texts, folder, "evidence", ["qa_idx"], schema, lambda rows: mapped(rows, quote, schema, model)))
+    scored = E.scored(lines, E.cited_text(references, tasks, headed=False))
+    scored.write.mode("overwrite").parquet(f"{folder}/scored")
+    scored = lines.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
+    low = E.low_confidence(scored)
+    if audit:
+        K.write_audit(low, f"{folder}/evidence_audit")
+    return {"evidence": scored.select("qa_idx", "ev_idx", "evidence"), "low": low, "counts": E.evidence_counts(scored)}
+
+
+def _prompts(spark: SparkSession, question_type: str, override: dict | None) -> tuple[dict[str, str], str]:
+    """The prompts and the label of a type; an override goes before both."""
+    known = {t[0]: t for t in QUESTION_TYPES}
+    own = known.get(question_type, known["default"])
+    return type_prompts(own[0], own[4], override), (override or {}).get("label", "custom") if override else own[1]
 
 
-def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, triples_on: bool = True, evidence_on: bool = True) -> dict[str, DataFrame]:
+def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, triples_on: bool = True, evidence_on: bool = True,
+              question_type: str = "default", guide: str = "", override: dict | None = None) -> dict[str, DataFrame]:
     """Questions for each book: windows, summaries, one QA call a book, evidence, final items, and the books' triples.
-    books: (book, text).  Each model stage is written under folder before it is used."""
+    books: (book, text); titles: (ord, file, title).  The question type's prompts and number, or the override's, and the
+    guide of triples go into the calls."""
     spark = books.sparkSession
+    prompts, _ = _prompts(spark, question_type, override)
+    titles = named(books, titles)
     tasks = registered(S.tasks(books), folder)
-    found = summaries(tasks, model, folder, triples_on)
+    found = summaries(tasks, model, folder, triples_on, prompts["summarize"])
     said = found.join(tasks.select("global_idx", "book"), "global_idx")
     per_book = S.ordered_concat(said, ["book"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
-    ask = lambda r, own: {"reply_id": r["book"], "reply": call_or_raise(own, messages("qa", f"{r['book']}\nTEXT:\n{r['text']}"), MAX_ANSWER)}
-    K.append_done(mapped(per_book, ask, "reply_id string, reply string", model), folder, "qa")
-    replies = B.read_done(spark, folder, "qa", "reply_id string, reply string")
-    items = E.qa_items(replies)
-    counted = items.join(items.groupBy("reply_id").agg(F.count("*").alias("section_total")), "reply_id").withColumn("section_idx", F.col("qa_idx") + 1)
-    items = S.numbered(counted, "reply_id", cuts=S.bounds(replies, "reply_id")).withColumn("qa_idx", F.col("global_idx") - 1)
-    items = items.drop("global_idx", "section_total", "section_idx", "reply_id")
-    quoted = spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")
+    per_book = per_book.join(titles.select(F.col("file").alias("book"), "title").dropDuplicates(["book"]), "book", "left")
+    asked = per_book.select(F.col("book").alias("reply_id"), F.concat(F.coalesce("title", "book"), F.lit("\nTEXT:\n"), "text", F.lit(_guided(guide))).alias("text"))
+    asked = _kept(asked.withColumn("mark", marked("text", F.lit(prompts["qa"]))), folder, "qa_asked")
+    ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("qa", r["text"], prompts["qa"]), MAX_ANSWER)}
+    schema = "reply_id string, mark long, reply string"
+    items = E.qa_items(resumed(asked, folder, "qa", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model)))
+    totals = items.groupBy("reply_id").agg(F.count("*").alias("n"))
+    items = S.numbered(items.withColumn("section_idx", F.col("qa_idx") + 1), totals, "reply_id").withColumn("qa_idx", F.col("global_idx") - 1)
+    items = _kept(items.drop("global_idx", "section_idx", "reply_id"), folder, "qa_items")
+    out = {"tasks": tasks, "summaries": found, "evidence": spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")}
     if evidence_on:
-        texts = E.cited_text(E.cited(items), tasks)
-        quote = lambda r, own: {"qa_idx": r["qa_idx"], "reply": call_or_empty(own, messages("evidence", f"CITED SECTIONS:\n{r['text']}\nQA:\n{r['item']}"), MAX_ANSWER)}
-        K.append_done(mapped(texts.join(items.select("qa_idx", "item"), "qa_idx"), quote, "qa_idx long, reply string", model), folder, "evidence")
-        quoted = E.evidence_lines(B.read_done(spark, folder, "evidence", "qa_idx long, reply string"))
-    titles = titles if titles is not None else books.select(F.col("book").alias("ord"), F.col("book").alias("file"), F.col("book").alias("title"))
-    out = {"tasks": tasks, "summaries": found, "items": E.assembled(items, quoted, tasks, titles), "evidence": quoted}
+        out |= checked(items, tasks, folder, model)
+    out["items"] = E.assembled(items, out["evidence"], tasks, titles)
     if triples_on:
         raw = raw_triples(found, tasks)
         out["triples"] = T.post_process_main(raw, entity_mapping(raw, model))
     return out
 
 
-def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, guide: str = "") -> DataFrame:
-    """(answer): one answer over all books' summaries, with fences off."""
+def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, guide: str = "", titles: DataFrame | None = None, triples_on: bool = True,
+           evidence_on: bool = True, question_type: str = "default", override: dict | None = None) -> dict[str, DataFrame]:
+    """One answer over all books' summaries: answer (one row, fences off), items (what of it is JSON, with evidence) and triples.
+    The prompt names the books by their titles, in selection order.  Items get no context, since only lists do."""
+    spark = books.sparkSession
+    prompts, _ = _prompts(spark, question_type, override)
+    titles = named(books, titles)
     tasks = registered(S.tasks(books), folder)
-    found = summaries(tasks, model, folder)
+    found = summaries(tasks, model, folder, triples_on, prompts["summarize"])
     whole = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
-    ask = lambda r, own: {"answer": call_or_raise(own, messages("answer", f"QUESTION:\n{question}\n{guide}\nTEXT:\n{r['text']}"), MAX_ANSWER)}
-    return mapped(whole, ask, "answer string", model).select(strip_code_fence(F.col("answer")).alias("answer"))
+    listed = titles.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda t: t["title"]), ", ").alias("titles"))
+    asked = whole.join(listed).select(F.concat(F.lit("Books: "), "titles", F.lit("\nTEXT:\n"), "text", F.lit(f"\n\nQUESTION:\n{question}{_guided(guide)}")).alias("text"))
+    asked = _kept(asked.select(F.lit(0).cast("long").alias("reply_id"), "text", marked("text").alias("mark")), folder, "answer_asked")
+    ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("answer", r["text"]), MAX_ANSWER)}
+    schema = "reply_id long, mark long, reply string"
+    replies = resumed(asked, folder, "answer", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model))
+    items = E.qa_items(replies).drop("reply_id").withColumn("qa_idx", F.col("qa_idx").cast("long"))
+    out = {"tasks": tasks, "summaries": found, "answer": replies.select(strip_code_fence(F.col("reply")).alias("answer")), "evidence": spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")}
+    if evidence_on:
+        out |= checked(items, tasks, folder, model)
+    out["items"] = E.assembled(items, out["evidence"], tasks, titles)
+    if triples_on:
+        raw = raw_triples(found, tasks)
+        out["triples"] = T.post_process_main(raw, entity_mapping(raw, model))
+    return out
+
+
+def process(books: DataFrame, folder: str, question: str | None = None, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, guide: str = "", triples_on: bool = True,
+            evidence_on: bool = True, question_type: str = "default", override: dict | None = None, resume: bool = False) -> dict:
+    """A whole run with its files: result, triples CSV, registry, audit, report.  Gives what the run is reported by; what grows
+    with the books is a table.  The stages' tables are deleted after success, unless the folder is to be resumed from."""
+    began = time.time()
+    more = dict(model=model, titles=titles, guide=guide, triples_on=triples_on, evidence_on=evidence_on, question_type=question_type, override=override)
+    out = manual(books, question, folder, **more) if question else automatic(books, folder, **more)
+    answered = time.time() - began
+    spark, at = books.sparkSession, K.local(folder)
+    _, label = _prompts(spark, question_type, override)
+    K.write_registry(out["tasks"], f"{folder}/chunk_registry")
+    K.write_items(out["items"], f"{folder}/items")
+    result = K.write_result(out["items"], folder, label)
+    if question and not out["items"].limit(1).count():
+        with open(result, "w", encoding="utf-8") as f:  # an answer that is no JSON goes out as it is
+            f.write("".join(r.answer for r in out["answer"].collect()).strip() + "\n")
+    csv = K.write_triples_file(out["triples"], f"{at}/triples.csv") if triples_on else None
+    windows = out["tasks"].count()
+    found = {
+        "answer": out.get("answer", out["items"]), "answer_with_evidence": result, "evidence_text": out.get("low"), "per_q_evidence": out["evidence"], "total_windows": windows,
+        "total_time": time.time() - began, "answer_time": answered, "triples_count": out["triples"].count() if triples_on else 0, "triples_csv": csv,
+        "registry_path": f"{folder}/chunk_registry", "run_dir": folder,
+    }
+    found["answer"] = found["answer"].sparkSession.createDataFrame(found["answer"].collect(), found["answer"].schema) if question else _kept(found["answer"], folder, "final_items")
+    found["per_q_evidence"] = _kept(found["per_q_evidence"], folder, "final_evidence")
+    if found["evidence_text"] is not None:
+        found["evidence_text"] = _kept(found["evidence_text"], folder, "final_low")
+    said = {"Question type": label, "Windows": windows, "Total time": f"{found['total_time']:.0f}s", "Triples": found["triples_count"]}
+    if "counts" in out:
+        said["Evidence"] = "{good} of {total} good, {low} low".format(**out["counts"].first().asDict())
+    K.write_report(said | ({"Triples CSV": csv} if csv else {}) | {"Chunk registry": found["registry_path"]}, f"{at}/result.log")
+    if not resume:
+        for stage in ("summary", "qa", "evidence", "answer"):
+            K.drop_done(spark, folder, stage)
+    return found
+
+
+def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Written under the run's folder, so that it outlives the stages' tables."""
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
 def compress(text: DataFrame, model: Callable[[], Model] = OfflineModel, target: int = 4000, chunk: int = 800, rounds: int = 10) -> DataFrame:
-    """(text): sentences are grouped and shortened, round by round, until the text is within the target."""
+    """(text): sentences are grouped and shortened, round by round, until the text is within the target.  No text stays none."""
     for _ in range(rounds):
-        size = text.select(F.length("text")).first()[0]
-        if size <= target:
+        found = text.select(F.length("text")).first()
+        if found is None or (size := found[0]) <= target:
             break
         groups = text.select(F.posexplode(group_sentences(split_sentences(F.col("text"), chunk), chunk)).alias("k", "text"))
         n = groups.count()
         if n <= 1 and size <= 1.5 * target:
             break
-        tasks = groups.select((F.col("k") + 1).cast("long").alias("global_idx"), F.lit("").alias("book"), (F.col("k") + 1).alias("section_idx"), F.lit(n).alias("section_total"), "text")
+        tasks = groups.select((F.col("k") + 1).cast("long").alias("global_idx"), F.lit(0).cast("long").alias("mark"), F.lit("").alias("book"), (F.col("k") + 1).alias("section_idx"), F.lit(n).alias("section_total"), "text")
         done = staged(tasks, "compress", model)
         joined = S.ordered_concat(done.withColumn("run", F.lit(0)), ["run"], "global_idx", F.col("text"), " ").select("text")
         text = text.sparkSession.createDataFrame(joined.collect(), "text string")  # one row: the run's single text
     return text
 
 
-def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel) -> dict[str, DataFrame]:
-    """Clean, summarize, compress, extract triples, polish, answer; two written stages before the run's single text."""
+def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, preprocess: str | StageFunction = "preprocess",
+                 summarize: str | StageFunction = "summarize", resume: bool = False) -> dict[str, DataFrame]:
+    """Clean, summarize, compress, extract triples, polish, answer; two written stages, by prompts or by functions of one's own,
+    before the run's single text.  Books without a window give an answer from nothing."""
     spark = books.sparkSession
+    schema = "global_idx long, mark long, text string"
     tasks = registered(S.tasks(books, aligned=False), folder)
-    K.append_done(staged(S.pending(tasks, B.read_done(spark, folder, "preprocess", "global_idx long, text string"), "global_idx"), "preprocess", model), folder, "preprocess")
-    tasks = S.overwritten(tasks, B.read_done(spark, folder, "preprocess", "global_idx long, text string"), "global_idx")
+    own = lambda stage: F.lit(stage if isinstance(stage, str) else getattr(stage, "__qualname__", "stage"))
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(preprocess)))
+    cleaned = resumed(asked, folder, "preprocess", ["global_idx"], schema, lambda rows: staged(rows, preprocess, model))
+    tasks = S.overwritten(tasks, cleaned, "global_idx")
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(summarize)))
     missing = lambda r: f"[Section {r['section_idx']} summary unavailable]"
-    K.append_done(staged(S.pending(tasks, B.read_done(spark, folder, "summary", "global_idx long, text string"), "global_idx"), "summarize", model, missing), folder, "summary")
-    found = B.read_done(spark, folder, "summary", "global_idx long, text string")
-    whole = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "text", line_feed=False), "\n\n").select("text")
+    found = resumed(asked, folder, "hier_summary", ["global_idx"], schema, lambda rows: staged(rows, summarize, model, missing))
+    joined = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "text", line_feed=False), "\n\n").select("text")
+    whole = spark.createDataFrame(joined.collect() or [("",)], "text string")  # one row: the run's single text
     short = compress(whole, model)
     one = lambda stage, tokens: lambda r, own: {"text": call_or_empty(own, messages(stage, f"TEXT:\n{r['text']}"), tokens)}
-    from textgraph.functions.replies import triples_of_lines
-
     listed = mapped(short, one("extract", MAX_SUMMARY), "text string", model).select(F.posexplode(triples_of_lines(F.col("text"))).alias("ord", "t")).select("ord", "t.*")
-    final = T.post_process_hier(listed)
-    polished = mapped(short, one("polish", MAX_SUMMARY), "text string", model).join(short.select(F.col("text").alias("before"))).select(F.coalesce(F.nullif("text", F.lit("")), "before").alias("text"))
+    final = _kept(T.post_process_hier(listed), folder, "triples")
+    polish = mapped(short, one("polish", MAX_SUMMARY), "text string", model).join(short.select(F.col("text").alias("before"))).select(F.coalesce(F.nullif("text", F.lit("")), "before").alias("text"))
+    polished = _kept(polish, folder, "polished")
     facts = final.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_ord", F.concat(F.lit("- "), F.concat_ws(" || ", "subject", "predicate", "object")).alias("x")))), lambda t: t["x"]), "\n").alias("facts"))
     ready = polished.join(facts).select(let(F.col("facts"), lambda f: F.when(f == "", NO_TRIPLES).otherwise(f)).alias("facts"), "text")
     ask = lambda r, own: {"answer": call_or_empty(own, messages("answer", f"QUESTION:\n{question}\nTRIPLES:\n{r['facts']}\nTEXT:\n{r['text']}"), MAX_ANSWER) or NO_ANSWER}
-    answer = mapped(ready, ask, "answer string", model)
-    K.drop_done(spark, folder, "preprocess")
-    return {"compressed": short, "triples": final, "polished": polished, "answer": answer}
+    answer = _kept(mapped(ready, ask, "answer string", model), folder, "answer")
+    if not resume:
+        K.drop_done(spark, folder, "preprocess")
+        K.drop_done(spark, folder, "hier_summary")
+    return {"tasks": tasks, "compressed": short, "triples": final, "polished": polished, "answer": answer}
+
+
+def process_hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, resume: bool = False) -> dict:
+    """A hierarchical run with its files, and what it is reported by."""
+    began = time.time()
+    windows = S.tasks(books, aligned=False, texts=False).count()
+    out = hierarchical(books, question, folder, model, resume=resume)
+    answer, short, polished = (out[k].first()[0] for k in ("answer", "compressed", "polished"))
+    at = K.local(folder)
+    csv = K.write_triples_file(out["triples"].orderBy("first_ord"), f"{at}/triples.csv", T.KEY)
+    spent = time.time() - began
+    found = {
+        "answer": answer, "compressed_summary": short, "polished_summary": polished, "total_windows": windows, "total_time": spent, "answer_time": spent,
+        "triples_count": out["triples"].count(), "triples_csv": csv, "compressed_chars": len(short), "polished_chars": len(polished),
+    }
+    K.write_report({"Question": question, "Answer": answer, **{k.replace("_", " ").capitalize(): v for k, v in found.items() if k not in ("answer", "compressed_summary", "polished_summary")}}, f"{at}/result.log")
+    return found
 
 
-def batch(spark: SparkSession, books: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, types: list[str] | None = None) -> list[tuple[str, str, str]]:
-    """(type, book, state) of each type's books; a book that fails is reported and the others go on."""
+def batch(spark: SparkSession, books: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, types: list[str] | None = None, titles: DataFrame | None = None) -> list[tuple[str, str, str]]:
+    """(type, book, state) of each type's books, each asked by its type's prompts; a book that fails is reported and the
+    others go on."""
     wanted = S.question_types(spark)
     wanted = wanted.where(F.col("type").isin(*types)) if types else wanted
     out = []
     for r in S.type_books(wanted, books.select(F.col("book").alias("name"))).orderBy("type", "k").collect():
         try:
-            items = automatic(books.where(F.col("book") == r.book), f"{folder}/{r.type}/{r.book}", model)["items"]
-            K.write_by_type(items.withColumn("type", F.lit(r.type)), f"{folder}/by_type")
+            own = titles.where(F.col("file") == r.book) if titles is not None else None
+            found = process(books.where(F.col("book") == r.book), f"{folder}/{r.type}/{r.book}", None, model, own, question_type=r.type)
+            K.write_by_type(found["answer"].withColumns({"type": F.lit(r.type), "source": F.lit(r.book)}), f"{folder}/by_type")
             out.append((r.type, r.book, "done"))
         except Exception as e:
             out.append((r.type, r.book, f"failed: {e}"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 import os
 import time
 
@@ -59,20 +60,36 @@ def write_registry(sections: DataFrame, folder: str) -> None:
     registry_slim(sections).write.mode("overwrite").json(folder)
 
 
-def result_json(items: DataFrame) -> DataFrame:
-    """One row: all items of a run as a JSON array in order."""
-    each = F.array_sort(F.collect_list(F.struct("qa_idx", F.struct(*[c for c in items.columns if c != "qa_idx"]).alias("item"))))
-    return items.agg(F.to_json(F.transform(each, lambda x: x["item"]), {"pretty": "true"}).alias("value"))
+def _item(items: DataFrame) -> DataFrame:
+    """Items as JSON, in order; what an item lacks is left out."""
+    return items.select("qa_idx", F.to_json(F.struct(*[c for c in items.columns if c != "qa_idx"])).alias("value"))
+
+
+def write_items(items: DataFrame, folder: str) -> None:
+    """An item a line, written by all tasks."""
+    _item(items).select("value").write.mode("overwrite").text(folder)
 
 
 def write_result(items: DataFrame, folder: str, label: str) -> str:
-    path = f"{folder}/result_{label.replace(' ', '_')}"
-    result_json(items).write.mode("overwrite").text(path)
+    """One JSON array of a run's items in order, streamed from the driver partition by partition."""
+    path = f"{local(folder)}/result_{label.replace(' ', '_')}.json"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("[")
+        for k, r in enumerate(_item(items).orderBy("qa_idx").toLocalIterator()):
+            f.write(("," if k else "") + "\n" + json.dumps(json.loads(r.value), ensure_ascii=False, indent=2))
+        f.write("\n]\n")
     return path
 
 
+def local(path: str) -> str:
+    """A folder's path on the driver."""
+    return path.removeprefix("file://")
+
+
 def write_by_type(items: DataFrame, folder: str) -> None:
-    items.write.mode("append").partitionBy("type").json(folder)
+    """One folder for each type and book; those that are written anew replace what was there."""
+    items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("type", "source").json(folder)
 
 
 def write_audit(low: DataFrame, folder: str) -> None:
@@ -87,6 +104,14 @@ def append_done(rows: DataFrame, folder: str, stage: str) -> None:
     rows.write.mode("append").parquet(f"{folder}/stage={stage}")
 
 
+def write_report(values: dict, path: str) -> str:
+    """The log of a run, a line for each value."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(report(values))
+    return path
+
+
 def drop_done(spark: SparkSession, folder: str, stage: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/stage={stage}")
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
