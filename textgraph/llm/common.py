@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows and bytes of one Arrow batch: what a worker holds of it, index arrays included, is a fixed multiple of these bytes.
-BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 8192, 2 << 20
 #: Rows and bytes that may be broadcast.
 SMALL_ROWS, SMALL_BYTES = 300_000, 24 << 20
 
@@ -87,9 +88,27 @@ def batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES
             spark.conf.set(key, str(value))
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(f: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """f, which at the end of its task gives back to the system what memory it used: workers are kept for further tasks."""
+
+    def run(rows: Batches) -> Batches:
+        yield from f(rows)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another system's library
+            pass
+
+    return run
+
+
+def map_arrow(df: DataFrame, f: Callable[[Batches], Batches], schema) -> DataFrame:
     batches(df.sparkSession)
-    return df.mapInArrow(f, schema)
+    return df.mapInArrow(tidy(f), schema)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +169,7 @@ def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             root = up
 
 
-def _contract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def contract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace each run of links by stars on their local components' smallest nodes."""
     for batch in rows:
         if batch.num_rows:
@@ -161,18 +180,19 @@ def _contract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contracted(edges: DataFrame) -> DataFrame:
     """Links as (a, b) with b < a: batches of links become spanning stars, in bounded memory."""
-    return edges.mapInArrow(_contract, "a long, b long")
+    return map_arrow(edges, contract, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, forests: bool = False) -> DataFrame:
     """Distributed union-find.  edges: a long, b long, none null.  Gives (node, component): the smallest node
-    that each node reaches; nodes without links don't appear.
+    that each node reaches; nodes without links don't appear.  forests: the links are contracted batch by batch already.
 
     Alternates large-star and small-star steps with local contraction of each batch.  Every step is a join and an
     aggregation on the node; sums and minima are pre-aggregated, and a hot node's rows can be split by adaptive
     skew handling.  Tables in the shared folder cut the lineage.  No links reach the driver, only counts.
     """
-    edges = stored(contracted(edges.select("a", "b").where("a <> b")).distinct(), "links")
+    edges = edges.select("a", "b").where("a <> b")
+    edges = stored((edges if forests else contracted(edges)).distinct(), "links", release=True)
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

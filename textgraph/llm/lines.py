@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, dropped, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes
+from textgraph.llm.common import components, contract, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
@@ -257,7 +257,7 @@ def shared_bands(distinct: DataFrame) -> DataFrame:
 
     rows = in_cells(each, _hot(each)).select("band", "name")
     dealt = rows.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band")
-    return dealt.mapInArrow(run, "key long, name long").distinct()
+    return map_arrow(dealt, run, "key long, name long").distinct()
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -291,7 +291,8 @@ def links(distinct: DataFrame) -> DataFrame:
             yield out(True)
 
     met = candidates.join(distinct.select("name", "line"), "name").select("key", "name", "line")
-    return map_arrow(met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key"), run, "a long, b long")
+    dealt = met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key")
+    return map_arrow(dealt, lambda rows: contract(run(rows)), "a long, b long")  # in one worker, not in two
 
 
 def _hashes() -> list[Column]:
@@ -303,7 +304,7 @@ def removed_lines(texts: DataFrame) -> DataFrame:
     distinct = lines_of(texts).groupBy("line").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     distinct = distinct.select(F.monotonically_increasing_id().alias("name"), "line", "first", "n")
     distinct = stored(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines", release=True)
-    joined = components(links(distinct)).withColumnRenamed("node", "name")
+    joined = components(links(distinct), forests=True).withColumnRenamed("node", "name")
     grouped = distinct.join(joined, "name", "left").select(F.coalesce("component", "name").alias("component"), F.col("component").isNotNull().alias("linked"), "n", "first", *_hashes())
     several = grouped.where("linked or n > 1")
     owner = several.groupBy("component").agg(F.min("first").alias("owner"))

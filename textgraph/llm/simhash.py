@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, local_roots, map_arrow, partitions, run_starts, small, stored
+from textgraph.llm.common import components, contract, local_roots, map_arrow, partitions, run_starts, small, stored
 
 SEED = 42
 #: Hashes whose bits are spread at a time, rows of a tile, rows of one block value that a single task compares.
@@ -115,8 +115,9 @@ def _group_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.nda
     return np.concatenate([empty, *a]), np.concatenate([empty, *b])
 
 
-def links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Links (a, b), b < a as signed 64-bit values, that connect all distinct fingerprints within the radius."""
+def links(prints: DataFrame, radius: int = 3, forests: bool = False) -> DataFrame:
+    """Links (a, b), b < a as signed 64-bit values, that connect all distinct fingerprints within the radius.
+    forests: each batch of links is contracted to stars, in the worker that finds them."""
     blocks = radius + EQUAL_BLOCKS
     edges = [64 * k // blocks for k in range(blocks + 1)]
     masks = [(1 << edges[k + 1]) - (1 << edges[k]) for k in range(blocks)]
@@ -131,13 +132,13 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     parts = stored(parts, "parts")
     if not parts.limit(1).count():
         rows = rows.select("fp", F.col("bucket").alias("key"))
-        return _compared(rows, radius)
+        return _compared(rows, radius, forests)
     rows = rows.join(small(parts), "bucket", "left").select("fp", "bucket", F.coalesce(part, F.lit(0)).alias("p"), other.alias("o"))
     rows = rows.select("fp", F.xxhash64("bucket", F.least("p", "o"), F.greatest("p", "o")).alias("key"))
-    return _compared(rows, radius)
+    return _compared(rows, radius, forests)
 
 
-def _compared(rows: DataFrame, radius: int) -> DataFrame:
+def _compared(rows: DataFrame, radius: int, forests: bool) -> DataFrame:
     """Links among the fingerprints of each key, over (fp, key)."""
 
     def run(batch_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,15 +167,15 @@ def _compared(rows: DataFrame, radius: int) -> DataFrame:
             yield out
 
     dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", F.bit_count("fp"))
-    return dealt.mapInArrow(run, "a long, b long")
+    return map_arrow(dealt, (lambda rows: contract(run(rows))) if forests else run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component): the smallest id reachable over fingerprints within the radius, itself included."""
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "prints")
     prints = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    found = links(prints, radius)
-    reached = components(found)
+    found = links(prints, radius, forests=True)
+    reached = components(found, forests=True)
     named = prints.join(reached.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     roots = named.groupBy("component").agg(F.min("least").alias("first"))
     label = named.join(roots, "component").select("fp", F.col("first").alias("component"))
