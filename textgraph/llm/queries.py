@@ -21,7 +21,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",", "null"), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
-        "spans",
+        F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"),
     )
 
 
@@ -123,4 +123,51 @@ select page_id, payload_bytes, payload_digest,
 from d left join r using (payload_digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
+#: Windows by their words; spans as start:end of runs of hit words, in code points.
+OP1_SQL = r"""
+with t as (select row_number() over () as r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+d as (select r, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws, regexp_extract_all(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') as gaps,
+      regexp_matches(t, '^[\x00-\x2F\x3A-\x60\x7B-\x7F]') as led from t),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+v as (select item_id, least(13, len(ws)) as n, ws, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) as i from b where len(ws) > 0),
+win as (select distinct item_id, n, array_to_string(ws[i:i+n-1], ' ') as win from v),
+p as (select r, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, (select distinct n from win) where len(ws) >= n),
+found as (select r, i, n, item_id from (select r, i, n, array_to_string(ws[i:i+n-1], ' ') as win from p) join win using (n, win)),
+hit as (select distinct r, i + unnest(range(n)) as i from (select distinct r, i, n from found)),
+h as (select r, count(*) as n_hit from hit group by r),
+m as (select r, count(distinct item_id) as n_items, array_to_string(list_sort(list(distinct item_id::varchar)), ',') as items from found group by r),
+w as (select r, i, length(ws[i]) as c, coalesce(length(gaps[if(led, i, i - 1)]), 0) as g from (select r, ws, gaps, led, unnest(range(1, len(ws) + 1)) as i from d where r in (select r from hit))),
+places as (select r, i, (sum(g) over o + sum(c) over o - c)::bigint as start, (sum(g) over o + sum(c) over o)::bigint as stop from w window o as (partition by r order by i)),
+runs as (select r, i - row_number() over (partition by r order by i) as run, start, stop from hit join places using (r, i)),
+spans as (select r, string_agg(start || ':' || stop, ',' order by start) as spans from (select r, min(start) as start, max(stop) as stop from runs group by r, run) group by r)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated, coalesce(spans, '') as spans
+from d left join h using (r) left join m using (r) left join spans using (r)
+"""
+
+#: A turn's frame is 13 characters and a line feed, or 7 and a line feed for the assistant; a backslash is added for each match.
+OP2_SQL = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as turns,
+      coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '') as loss,
+      sum(if(role = 'assistant', 8, 14) + length(role) + length(text) + len(regexp_extract_all(role, '\\|\n|\[INST\]|\[/INST\]|<s>|</s>'))
+          + len(regexp_extract_all(text, '\\|\[INST\]|\[/INST\]|<s>|</s>'))) as chars from c group by conv_id)
+select conv_id, n_turns::bigint as n_turns, sha256(turns) as turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256, chars::bigint as formatted_chars from g
+"""
+
+#: Every string of 100 bytes by itself, in the order of the corpus; runs of removed ones; the bytes between them.
+OP7_SQL = """
+with d as (select row_number() over (order by doc_id nulls first, text nulls first) as r, doc_id, encode(coalesce(text, '')) as b from documents),
+s as (select r, i, b[i+1:i+100] as s from (select r, b, unnest(range(octet_length(b) - 99)) as i from d where octet_length(b) >= 100)),
+gone as (select r, i from (select r, i, row_number() over (partition by s order by r, i) as k from s) where k > 1),
+runs as (select r, i, sum(new) over (partition by r order by i) as run from (select r, i, if(i <= lag(i) over (partition by r order by i) + 100, 0, 1) as new from gone)),
+spans as (select r, min(i) as start, max(i) + 100 as stop from runs group by r, run),
+edges as (select r, start, stop from spans union all select r, octet_length(b), null from d),
+pieces as (select r, coalesce(lag(stop) over (partition by r order by start, stop nulls last), 0) as a, start as z, stop from edges),
+kept as (select r, count(stop) as n_spans, sum(z - a) as n_kept, string_agg(hex(b[a+1:z]), '' order by a, z) as kept from pieces join d using (r) group by r)
+select doc_id, octet_length(b)::bigint as n_bytes, (octet_length(b) - n_kept)::bigint as n_removed, n_spans::bigint as n_spans, sha256(unhex(kept)) as kept_sha256
+from d join kept using (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL, "op7_repeats": OP7_SQL, "op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
