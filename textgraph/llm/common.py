@@ -41,7 +41,7 @@ def stored(df: DataFrame, kind: str = "table", release: bool = False) -> DataFra
     release: let Spark delete the shuffle files behind it at once, instead of when the driver happens to collect garbage."""
     spark = df.sparkSession
     path = new_folder(spark, kind)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     if release:
         gc.collect()
         spark._jvm.System.gc()
