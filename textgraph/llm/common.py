@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +90,17 @@ def batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES
             spark.conf.set(key, str(value))
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a small file of the driver's (a vocabulary) to all workers; its name, by which they find it."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def local_file(name: str) -> str:
+    """Where a worker has a file that was shipped."""
+    return SparkFiles.get(name)
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import chat, decontaminate, lines, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
+from textgraph.llm import bpe, chat, decontaminate, lines, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,7 +91,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, P.PATTERN, carry=["doc_id"]), path)
+    return found.select("row.doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing, op11_bpe)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
