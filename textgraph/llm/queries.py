@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import bpe, chat, decontaminate, lines, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
+from textgraph.llm import bpe, chat, decontaminate, lines, negatives, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,7 +99,12 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing, op11_bpe)}
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing, op11_bpe, op12_hard_negatives)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
@@ -178,4 +183,14 @@ select doc_id, octet_length(b)::bigint as n_bytes, (octet_length(b) - n_kept)::b
 from d join kept using (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL, "op7_repeats": OP7_SQL, "op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
+OP12_SQL = """
+with v as (select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+           where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same, list_inner_product(a.e, r.e)::bigint as score from v a join v r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (select anchor_id, positive_id, id as negative_id, positive_score, score as negative_score, row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank
+      from p join s using (anchor_id) where not same and 80 * positive_score <= 100 * score and score <= positive_score)
+select * from n where rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL, "op7_repeats": OP7_SQL, "op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op12_hard_negatives": OP12_SQL}
