@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgraph.llm import bpe, chat, decontaminate, lines, negatives, packing, pii, quality_cnn, quality_rules, repeats, simhash, warc
+from textgraph.llm import bpe, chat, decontaminate, lines, negatives, packing, pii, prefixes, quality_cnn, quality_rules, repeats, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,7 +104,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing, op11_bpe, op12_hard_negatives)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    return prefixes.trie(table(spark, sf_dir, "conversations"), conv - conv % 100, F.crc32(conv.cast("string")) % 6)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_chat, op3_warc, op4_quality_cnn, op5_lines, op6_quality_rules, op7_repeats, op8_simhash, op9_personal_data, op10_packing, op11_bpe, op12_hard_negatives, op13_prefix_trie)}
 
 OP6_SQL = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
@@ -193,4 +198,22 @@ n as (select anchor_id, positive_id, id as negative_id, positive_score, score as
 select * from n where rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL, "op7_repeats": OP7_SQL, "op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op12_hard_negatives": OP12_SQL}
+#: The CRC bit by bit; nodes by the lists of their turns; sums over subtrees by each node's ancestors.
+OP13_SQL = """
+with c as (select conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as ts
+           from conversations where conv_id is not null group by conv_id),
+x as (select conv_id, ts, list_transform(string_split(conv_id::varchar, ''), lambda a: ascii(a)::bigint) as bytes from c),
+h as (select conv_id, ts, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b:
+             list_reduce(list_prepend(xor(a, b), range(8)), lambda v, k: if(v % 2 = 1, xor(v // 2, 3988292384), v // 2))), 4294967295) % 6 as h from x),
+b as (select h.conv_id, list_concat(coalesce(o.ts[1:h.h], []), h.ts[h.h+1:]) as ts from h left join c o on o.conv_id = h.conv_id - h.conv_id % 100),
+m as (select conv_id, depth, ts[1:depth] as prefix, len(ts) = depth as ended from (select conv_id, ts, unnest(range(0, len(ts) + 1)) as depth from b)),
+n as (select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * coalesce(length(prefix[depth].t), 0) as saved,
+             coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '') as ids from m group by prefix, depth),
+k as (select prefix[1:depth-1] as prefix, count(*) as n_children from n where depth > 0 group by 1),
+j as (select n.*, coalesce(n_children, 0) as n_children from n left join k using (prefix)),
+s as (select prefix[1:up] as prefix, sum(saved) as saved, count(*) filter (n_children = 0) as leaves from (select *, unnest(range(0, depth + 1)) as up from j) group by 1)
+select j.conv_id, j.depth, p.conv_id as parent_conv_id, j.n_convs, j.n_children, s.leaves as n_leaves, s.saved::bigint as saved_tokens, sha256(j.ids) as ends_sha256
+from j join s using (prefix) left join n p on j.depth > 0 and p.prefix = j.prefix[1:j.depth-1]
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_chat": OP2_SQL, "op7_repeats": OP7_SQL, "op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op12_hard_negatives": OP12_SQL, "op13_prefix_trie": OP13_SQL}
