@@ -153,3 +153,32 @@ def test_estimates(one):
     assert one(X.with_number(F.lit("a 3-5 b 3-5"), F.lit("4"))) == "a 4 b 3-5"
     assert one(X.answer_of(F.lit(""), F.lit("r"))) == "r"
     assert one(X.snippet(F.lit("a\nb" * 50))) == ("a\nb" * 50)[:80].replace("\n", " ")
+
+
+def test_groups_of_very_many_sentences(spark):
+    """Beyond a block of the fold, against the plain greedy rule; and in linear time."""
+    import random
+    import time
+
+    r = random.Random(5)
+    texts = [["w" * r.randint(0, 30) for _ in range(n)] for n in (0, 1, 255, 256, 257, 2000)]
+    want = []
+    for sentences in texts:
+        groups, size = [], 0
+        for s in sentences:
+            if size == 0 or size + len(s) > 40:
+                groups.append([s])
+                size = len(s)
+            else:
+                groups[-1].append(s)
+                size += 1 + len(s)
+        want.append([x for x in (" ".join(g).strip() for g in groups) if x])
+    got = spark.createDataFrame([(x,) for x in texts], "s array<string>").select(group_sentences(F.col("s"), 40).alias("x"))
+    assert [r.x for r in got.collect()] == want
+    seconds = []
+    for n in (416_000, 416_000, 832_000):
+        df = spark.createDataFrame([(("Anna met Ben in the old town by the river. " * (n // 43)),)], "t string")
+        began = time.time()
+        assert df.select(F.size(group_sentences(split_sentences(F.col("t")))).alias("n")).first().n > n // 900
+        seconds.append(time.time() - began)
+    assert seconds[2] < 2.2 * max(seconds[1], 1)

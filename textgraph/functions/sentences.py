@@ -21,20 +21,43 @@ def split_sentences(text: Column, chunk: int = CHUNK) -> Column:
     return F.flatten(F.transform(parts, lambda s: F.when((F.length(s) > 2 * chunk) & F.contains(s, F.lit("\n\n")), paragraphs(s)).otherwise(F.array(s))))
 
 
+#: Sentences that the inner fold of group_sentences takes.
+BLOCK = 256
+
+
 def group_sentences(sentences: Column, chunk: int = CHUNK) -> Column:
-    """Sentences joined by blanks while their lengths, blanks between not counted at the seam, stay within chunk.  The
-    fold gathers the numbers of the sentences that begin a group, and texts are joined once afterwards."""
-    sizes = F.transform(sentences, lambda s, k: F.struct(F.length(s).alias("n"), k.alias("k")))
-    start = F.expr("named_struct('size', 0, 'firsts', cast(array() as array<int>))")
-
-    def step(a: Column, s: Column) -> Column:
-        opens = (a["size"] == 0) | (a["size"] + s["n"] > chunk)
-        return F.struct(
-            F.when(opens, s["n"]).otherwise(a["size"] + 1 + s["n"]).alias("size"),
-            F.when(opens, F.concat(a["firsts"], F.array(s["k"]))).otherwise(a["firsts"]).alias("firsts"),
-        )
-
-    firsts = F.aggregate(sizes, start, step, lambda a: a["firsts"])
-    until = lambda f, i: F.coalesce(F.get(f, i + 1), F.size(sentences))
-    joined = lambda f: F.transform(f, lambda a, i: strip(F.array_join(F.slice(sentences, a + 1, until(f, i) - a), " ")))
-    return let(firsts, lambda f: F.filter(joined(f), lambda x: F.length(x) > 0))
+    """Sentences joined by blanks while their lengths, blanks between not counted at the seam, stay within chunk.
+
+    Sentences are evaluated once and read by their numbers.  The fold gathers the numbers of those that begin a group, block by
+    block, since an array that grows by one is copied; then each group's texts are joined, so the time is linear."""
+    return let(sentences, lambda s: F.when(F.size(s) == 0, F.array().cast("array<string>")).otherwise(let(_firsts(s, chunk), lambda f: _joined(s, f))))
+
+
+def _firsts(sentences: Column, chunk: int) -> Column:
+    """The numbers of the sentences that begin a group."""
+    nothing = "cast(array() as array<int>)"
+
+    def step(a: Column, k: Column) -> Column:
+        def added(n: Column) -> Column:
+            opens = (a["size"] == 0) | (a["size"] + n > chunk)
+            return F.struct(
+                F.when(opens, n).otherwise(a["size"] + 1 + n).alias("size"),
+                F.when(opens, F.concat(a["firsts"], F.array(k))).otherwise(a["firsts"]).alias("firsts"),
+            )
+
+        return let(F.length(F.get(sentences, k)), added)
+
+    def block(a: Column, b: Column) -> Column:
+        numbers = F.sequence(b * BLOCK, F.least(F.size(sentences), (b + 1) * BLOCK) - 1)
+        start = F.struct(a["size"].alias("size"), F.expr(nothing).alias("firsts"))
+        return let(F.aggregate(numbers, start, step), lambda x: F.struct(x["size"].alias("size"), F.concat(a["parts"], F.array(x["firsts"])).alias("parts")))
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(sentences) - 1) / BLOCK).cast("int"))
+    return F.aggregate(blocks, F.expr("named_struct('size', 0, 'parts', cast(array() as array<array<int>>))"), block, lambda a: F.flatten(a["parts"]))
+
+
+def _joined(sentences: Column, firsts: Column) -> Column:
+    """The texts of groups that begin at these sentences, without empty ones."""
+    last = lambda i: F.coalesce(F.get(firsts, i + 1), F.size(sentences)) - 1
+    texts = F.transform(firsts, lambda a, i: strip(F.array_join(F.transform(F.sequence(a, last(i)), lambda k: F.get(sentences, k)), " ")))
+    return F.filter(texts, lambda x: F.length(x) > 0)
