@@ -176,6 +176,80 @@ def test_reruns_call_and_double_nothing(spark, tmp_path):
     assert {r.summary for r in changed["summaries"].collect()} == {"Dora left.", "Short text here."} and calls() > n
 
 
+def test_a_run_that_breaks_loses_no_more_than_a_slice(spark, tmp_path):
+    """The model fails for good at the 61st summary; the rerun asks for at most ten windows a task again."""
+    books = spark.createDataFrame([("b1", "Anna met Ben. Ben met Carl. " * 15000)], "book string, text string")
+    model, calls = counting(tmp_path / "calls")
+    folder = f"file://{tmp_path}/a"
+    tasks = runs.registered(S.tasks(books), folder)
+    windows, workers = tasks.count(), 3
+    assert windows > 130
+
+    class Dying(Counted):
+        def call(self, messages, max_tokens):
+            import os
+
+            if len(os.listdir(self.folder)) >= 61:
+                os._exit(1)  # the worker itself is gone, again and again
+            return super().call(messages, max_tokens)
+
+    def dying():
+        own = Dying()
+        own.folder = str(tmp_path / "calls")
+        return own
+
+    dying.__qualname__ = "counting"
+    asked = lambda m: runs.resumed(
+        tasks.withColumn("mark", runs.marked("text")), folder, "summary", ["global_idx"], runs.SUMMARY, lambda rows: M.summarize_windows(rows, m, False, None, workers), workers
+    )
+    with pytest.raises(Exception, match="(?i)worker|job aborted|crashed"):
+        asked(dying)
+    kept = runs.B.read_done(spark, folder, "summary", runs.SUMMARY).count()
+    before = calls()
+    assert kept == 60 and before - kept <= 10 * workers
+    assert asked(model).select("global_idx").distinct().count() == windows
+    assert calls() - before == windows - kept  # nothing that was committed is asked again
+    assert not (tmp_path / "a/waiting=summary").exists()
+
+
+@pytest.mark.parametrize(("workers", "tasks"), [(1, 1), (2, 2), (8, 4), (6, 4)])
+def test_calls_in_flight(spark, tmp_path, workers, tasks):
+    """A model that notes how many calls are open at once, over all tasks."""
+    folder = str(tmp_path)
+
+    class Open(M.OfflineModel):
+        def call(self, messages, max_tokens):
+            import os
+            import time
+            import uuid
+
+            name = f"{folder}/open-{uuid.uuid4().hex}"
+            open(name, "w").close()
+            time.sleep(0.02)
+            seen = sum(n.startswith("open-") for n in os.listdir(folder))
+            os.remove(name)
+            return str(seen)
+
+    assert M.tasks_of(spark, workers) == tasks
+    rows = spark.range(160).selectExpr("id as global_idx", "id as mark", "'b' as book", "1 as section_idx", "1 as section_total", "'x' as text").repartition(9)
+    seen = [int(r.text) for r in M.staged(rows, "polish", Open, workers=workers).collect()]
+    assert len(seen) == 160 and max(seen) <= workers and (workers < 2 or max(seen) > 1)
+
+
+def test_replies_of_another_model_are_not_taken(spark, tmp_path):
+    books = spark.createDataFrame([("b1", "Anna met Ben. Ben met Carl.")], "book string, text string")
+
+    class Other(M.OfflineModel):
+        def call(self, messages, max_tokens):
+            return "other"
+
+    tasks = runs.registered(S.tasks(books), f"file://{tmp_path}")
+    assert runs.summaries(tasks, M.OfflineModel, f"file://{tmp_path}", False).first().summary != "other"
+    assert runs.summaries(tasks, Other, f"file://{tmp_path}", False).first().summary == "other"
+    named = M.identity(lambda: M.HttpModel("http://h", "m1"))
+    assert named != M.identity(lambda: M.HttpModel("http://h", "m2")) and "http://h" in named
+
+
 def test_question_types_guide_and_override(spark, tmp_path):
     said = M.type_prompts("timeline", "4")
     assert "Write 4 questions" in said["qa"] and said["summarize"] != M.PROMPTS["summarize"] and M.type_prompts("nope") == M.type_prompts("default")

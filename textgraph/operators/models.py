@@ -1,7 +1,8 @@
 """Language-model stages: one interface, an offline and an HTTP model, and the loops around calls.
 
-Stages run in mapInPandas: each task has its own model and calls it from a few threads.  Calls are costly and not
-deterministic, so callers write a stage's output before they use it twice.
+Stages run in mapInPandas, over no more tasks than there are workers; each task has its own model and its share of them as
+threads, so calls in flight never exceed the workers, however many cores there are.  Calls are costly and not deterministic,
+so callers write a stage's output before they use it twice.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 Messages = list[dict[str, str]]
 NO_SUMMARY, NO_ANSWER, NO_TRIPLES = "[summary unavailable]", "Unable to generate answer.", "(no triples extracted)"
 MAX_SUMMARY, MAX_ANSWER, MAX_ITERATIONS, OUTER_ATTEMPTS = 2048, 8192, 3, 3
+#: Calls in flight: of automatic and manual runs, and of hierarchical ones.
+WORKERS, HIER_WORKERS = 8, 2
 
 #: Our own instructions; each begins with the name of its stage.
 PROMPTS = {
@@ -170,8 +173,21 @@ def summarized(model: Model, text: str, where: str, triples_on: bool = True, wai
     return NO_SUMMARY, []
 
 
-def mapped(df: DataFrame, row: Callable[[dict, Model], dict], schema: str, model: Callable[[], Model], threads: int = 4) -> DataFrame:
-    """row(values, model) for each row, in so many threads a task; schema lists what it returns."""
+def identity(model: Callable[[], Model]) -> str:
+    """What tells a model's replies from another's."""
+    made = model()
+    return ":".join([type(made).__qualname__, *(str(v) for k in ("url", "model") if (v := getattr(made, k, None)))])
+
+
+def tasks_of(spark: SparkSession, workers: int) -> int:
+    """Tasks that share the workers: no more than these, and than the cores."""
+    return max(1, min(workers, spark.sparkContext.defaultParallelism))
+
+
+def mapped(df: DataFrame, row: Callable[[dict, Model], dict], schema: str, model: Callable[[], Model], workers: int = WORKERS) -> DataFrame:
+    """row(values, model) for each row, by so many workers over all tasks; schema lists what it returns."""
+    tasks = tasks_of(df.sparkSession, workers)
+    threads = max(1, workers // tasks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = model()
@@ -181,10 +197,10 @@ def mapped(df: DataFrame, row: Callable[[dict, Model], dict], schema: str, model
                 rows = list(pool.map(lambda r: row(r, own), frame.to_dict("records")))
                 yield pd.DataFrame(rows, columns=names)
 
-    return df.mapInPandas(run, schema)
+    return df.repartition(tasks).mapInPandas(run, schema)
 
 
-def summarize_windows(tasks: DataFrame, model: Callable[[], Model] = OfflineModel, triples_on: bool = True, prompt: str | None = None) -> DataFrame:
+def summarize_windows(tasks: DataFrame, model: Callable[[], Model] = OfflineModel, triples_on: bool = True, prompt: str | None = None, workers: int = WORKERS) -> DataFrame:
     """(global_idx, mark, summary, triples) over (global_idx, mark, book, section_idx, section_total, text)."""
 
     def row(r: dict, own: Model) -> dict:
@@ -192,7 +208,7 @@ def summarize_windows(tasks: DataFrame, model: Callable[[], Model] = OfflineMode
         return {"global_idx": r["global_idx"], "mark": r["mark"], "summary": summary, "triples": [dict(zip(("subject", "predicate", "object"), t)) for t in triples]}
 
     schema = "global_idx long, mark long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
-    return mapped(tasks.select("global_idx", "mark", "book", "section_idx", "section_total", "text"), row, schema, model)
+    return mapped(tasks.select("global_idx", "mark", "book", "section_idx", "section_total", "text"), row, schema, model, workers)
 
 
 #: A stage of one's own: (text, book, section, sections, model) -> text.
@@ -200,7 +216,7 @@ StageFunction = Callable[[str, str, int, int, Model], str]
 
 
 def staged(tasks: DataFrame, stage: str | StageFunction, model: Callable[[], Model] = OfflineModel, fallback: Callable[[dict], str] | None = None,
-           validate: Callable[[str], bool] | None = None) -> DataFrame:
+           validate: Callable[[str], bool] | None = None, workers: int = WORKERS) -> DataFrame:
     """(global_idx, mark, text): one call a row, by the name of a prompt or by a function; what fails keeps the fallback, or its text."""
 
     def row(r: dict, own: Model) -> dict:
@@ -211,4 +227,4 @@ def staged(tasks: DataFrame, stage: str | StageFunction, model: Callable[[], Mod
             reply = call_or_empty(own, messages(stage, f"{where}\nTEXT:\n{r['text']}"), MAX_SUMMARY, validate=validate)
         return {"global_idx": r["global_idx"], "mark": r["mark"], "text": reply or (fallback(r) if fallback else r["text"])}
 
-    return mapped(tasks.select("global_idx", "mark", "book", "section_idx", "section_total", "text"), row, "global_idx long, mark long, text string", model)
+    return mapped(tasks.select("global_idx", "mark", "book", "section_idx", "section_total", "text"), row, "global_idx long, mark long, text string", model, workers)

@@ -519,6 +519,10 @@ select row_number() over (order by book, k) - 1 as qa_idx, title as book, 'Q ' |
 from (select book, t, title, unnest(generate_series(1, {number})) as k from b join f using (book))"""
 
 
+#: The offline model's calls cost nothing, so a task commits many at a time.
+OFFLINE = 100_000
+
+
 def _books(spark, sf_dir):
     return docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("book"), "text")
 
@@ -526,24 +530,24 @@ def _books(spark, sf_dir):
 @query(_questions(3))
 def adversarial_offline(spark, sf_dir):
     """Automatic questions over all documents; work files go to the session's own folder for intermediate results."""
-    return runs.automatic(_books(spark, sf_dir), _work(spark))["items"]
+    return runs.automatic(_books(spark, sf_dir), _work(spark), commit=OFFLINE)["items"]
 
 
 @query(_questions(4))
 def typed_offline(spark, sf_dir):
     """The same with the prompts and the number of questions of another type, without triples."""
-    return runs.automatic(_books(spark, sf_dir), _work(spark), triples_on=False, question_type="relationship")["items"]
+    return runs.automatic(_books(spark, sf_dir), _work(spark), commit=OFFLINE, triples_on=False, question_type="relationship")["items"]
 
 
 @query(G1 + """select count(*) as total, 0 as low, count(*) as good from (select doc_id from g1 where text <> '' group by doc_id) cross join range(3)""")
 def soft_check_offline(spark, sf_dir):
     """The soft check of an automatic run: every quoted line is found in the section that it is from."""
-    return runs.automatic(_books(spark, sf_dir), _work(spark), triples_on=False)["counts"]
+    return runs.automatic(_books(spark, sf_dir), _work(spark), commit=OFFLINE, triples_on=False)["counts"]
 
 
 @query()
 def hierarchy_offline(spark, sf_dir):
-    return runs.hierarchical(_books(spark, sf_dir), "Who?", _work(spark))["answer"]
+    return runs.hierarchical(_books(spark, sf_dir), "Who?", _work(spark), commit=OFFLINE)["answer"]
 
 
 def _work(spark) -> str:

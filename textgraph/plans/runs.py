@@ -1,8 +1,9 @@
 """Whole runs: automatic and manual questions over books, the hierarchical answer, and batches over question types.
 
 Each model stage is a table under the run's folder, keyed by window or question and by a mark, a hash of all that the call
-depends on (texts and prompts).  A rerun in the same folder sends only what has no row with its key and mark yet, so it
-repeats no call and doubles nothing, and other books or prompts never meet foreign replies.
+depends on (texts, prompts, model).  Replies are committed slice by slice, COMMIT rows a task, so a run that is killed or whose
+calls fail for good loses no more than that.  A rerun in the same folder sends only what has no row with its key and mark yet,
+so it doubles nothing, and other books, prompts or models never meet foreign replies.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from textgraph.operators import evidence as E
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.operators.models import (
-    MAX_ANSWER, MAX_SUMMARY, NO_ANSWER, NO_TRIPLES, Model, OfflineModel, StageFunction, call_or_empty, call_or_raise, mapped, messages, staged, summarize_windows, type_prompts,
+    HIER_WORKERS, MAX_ANSWER, MAX_SUMMARY, NO_ANSWER, NO_TRIPLES, WORKERS, Model, OfflineModel, StageFunction, call_or_empty, call_or_raise, identity, mapped, messages, staged, summarize_windows,
+    tasks_of, type_prompts,
 )
 from textgraph.sources import books as B
 from textgraph.sources import sinks as K
@@ -29,6 +31,8 @@ from textgraph.sources import sinks as K
 SUMMARY = "global_idx long, mark long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
 #: Names of one canonicalization call.
 NAMES = 2000
+#: Rows that a task of a model stage commits at a time.
+COMMIT = 10
 
 
 def registered(tasks: DataFrame, folder: str) -> DataFrame:
@@ -37,12 +41,18 @@ def registered(tasks: DataFrame, folder: str) -> DataFrame:
     return tasks.sparkSession.read.schema(tasks.schema).parquet(f"{folder}/registry")
 
 
-def resumed(asked: DataFrame, folder: str, stage: str, keys: list[str], schema: str, call: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def resumed(asked: DataFrame, folder: str, stage: str, keys: list[str], schema: str, call: Callable[[DataFrame], DataFrame], workers: int = WORKERS, commit: int = COMMIT) -> DataFrame:
     """A stage's rows for what is asked: those that an earlier run wrote for the same keys and mark, and the others by call,
-    written before use.  One row for each key, whatever was written twice."""
-    spark, both = asked.sparkSession, [*keys, "mark"]
+    committed slice by slice before use.  One row for each key, whatever was written twice."""
+    spark, both, waiting = asked.sparkSession, [*keys, "mark"], f"{folder}/waiting={stage}"
     done = B.read_done(spark, folder, stage, schema).select(*both).distinct()
-    K.append_done(call(asked.join(done, both, "left_anti")), folder, stage)
+    open_ = asked.join(done, both, "left_anti")
+    if open_.limit(1).count():
+        slices = K.write_slices(open_, waiting, tasks_of(spark, workers), commit)
+        rows = spark.read.schema(f"{open_._jdf.schema().toDDL()}, slice long").parquet(waiting)
+        for k in range(slices):
+            K.append_done(call(rows.where(F.col("slice") == k).drop("slice")), folder, stage)
+        K.drop(spark, waiting)
     found = B.read_done(spark, folder, stage, schema)
     return found.join(asked.select(*both).distinct(), both, "left_semi").dropDuplicates(both)
 
@@ -51,10 +61,11 @@ def marked(*parts: Column | str) -> Column:
     return F.xxhash64(*[F.col(p) if isinstance(p, str) else p for p in parts])
 
 
-def summaries(tasks: DataFrame, model: Callable[[], Model], folder: str, triples_on: bool = True, prompt: str | None = None) -> DataFrame:
+def summaries(tasks: DataFrame, model: Callable[[], Model], folder: str, triples_on: bool = True, prompt: str | None = None,
+              workers: int = WORKERS, commit: int = COMMIT) -> DataFrame:
     """Summaries and triples of all windows."""
-    asked = tasks.withColumn("mark", marked("book", "section_idx", "section_total", "text", F.lit(triples_on), F.lit(prompt or "")))
-    return resumed(asked, folder, "summary", ["global_idx"], SUMMARY, lambda rows: summarize_windows(rows, model, triples_on, prompt))
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "section_total", "text", F.lit(triples_on), F.lit(prompt or ""), F.lit(identity(model))))
+    return resumed(asked, folder, "summary", ["global_idx"], SUMMARY, lambda rows: summarize_windows(rows, model, triples_on, prompt, workers), workers, commit)
 
 
 def raw_triples(found: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -87,14 +98,14 @@ def named(books: DataFrame, titles: DataFrame | None) -> DataFrame:
     return titles
 
 
-def checked(items: DataFrame, tasks: DataFrame, folder: str, model: Callable[[], Model], audit: bool = True) -> dict[str, DataFrame]:
+def checked(items: DataFrame, tasks: DataFrame, folder: str, model: Callable[[], Model], audit: bool = True, workers: int = WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
     """Evidence of the items that cite sections: lines, their confidence, the low ones, and counts; nothing is dropped."""
     references = E.cited(items)
-    texts = E.cited_text(references, tasks).join(items.select("qa_idx", "item"), "qa_idx").withColumn("mark", marked("text", "item"))
+    texts = E.cited_text(references, tasks).join(items.select("qa_idx", "item"), "qa_idx").withColumn("mark", marked("text", "item", F.lit(identity(model))))
     texts = _kept(texts, folder, "evidence_asked")
     quote = lambda r, own: {"qa_idx": r["qa_idx"], "mark": r["mark"], "reply": call_or_empty(own, messages("evidence", f"CITED SECTIONS:\n{r['text']}\n\nQA:\n{r['item']}"), MAX_ANSWER)}
     schema = "qa_idx long, mark long, reply string"
-    lines = E.evidence_lines(resumed(texts, folder, "evidence", ["qa_idx"], schema, lambda rows: mapped(rows, quote, schema, model)))
+    lines = E.evidence_lines(resumed(texts, folder, "evidence", ["qa_idx"], schema, lambda rows: mapped(rows, quote, schema, model, workers), workers, commit))
     scored = E.scored(lines, E.cited_text(references, tasks, headed=False))
     scored.write.mode("overwrite").parquet(f"{folder}/scored")
     scored = lines.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
@@ -112,7 +123,7 @@ def _prompts(spark: SparkSession, question_type: str, override: dict | None) ->
 
 
 def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, triples_on: bool = True, evidence_on: bool = True,
-              question_type: str = "default", guide: str = "", override: dict | None = None) -> dict[str, DataFrame]:
+              question_type: str = "default", guide: str = "", override: dict | None = None, workers: int = WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
     """Questions for each book: windows, summaries, one QA call a book, evidence, final items, and the books' triples.
     books: (book, text); titles: (ord, file, title).  The question type's prompts and number, or the override's, and the
     guide of triples go into the calls."""
@@ -120,21 +131,21 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     prompts, _ = _prompts(spark, question_type, override)
     titles = named(books, titles)
     tasks = registered(S.tasks(books), folder)
-    found = summaries(tasks, model, folder, triples_on, prompts["summarize"])
+    found = summaries(tasks, model, folder, triples_on, prompts["summarize"], workers, commit)
     said = found.join(tasks.select("global_idx", "book"), "global_idx")
     per_book = S.ordered_concat(said, ["book"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
     per_book = per_book.join(titles.select(F.col("file").alias("book"), "title").dropDuplicates(["book"]), "book", "left")
     asked = per_book.select(F.col("book").alias("reply_id"), F.concat(F.coalesce("title", "book"), F.lit("\nTEXT:\n"), "text", F.lit(_guided(guide))).alias("text"))
-    asked = _kept(asked.withColumn("mark", marked("text", F.lit(prompts["qa"]))), folder, "qa_asked")
+    asked = _kept(asked.withColumn("mark", marked("text", F.lit(prompts["qa"]), F.lit(identity(model)))), folder, "qa_asked")
     ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("qa", r["text"], prompts["qa"]), MAX_ANSWER)}
     schema = "reply_id string, mark long, reply string"
-    items = E.qa_items(resumed(asked, folder, "qa", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model)))
+    items = E.qa_items(resumed(asked, folder, "qa", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit))
     totals = items.groupBy("reply_id").agg(F.count("*").alias("n"))
     items = S.numbered(items.withColumn("section_idx", F.col("qa_idx") + 1), totals, "reply_id").withColumn("qa_idx", F.col("global_idx") - 1)
     items = _kept(items.drop("global_idx", "section_idx", "reply_id"), folder, "qa_items")
     out = {"tasks": tasks, "summaries": found, "evidence": spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")}
     if evidence_on:
-        out |= checked(items, tasks, folder, model)
+        out |= checked(items, tasks, folder, model, workers=workers, commit=commit)
     out["items"] = E.assembled(items, out["evidence"], tasks, titles)
     if triples_on:
         raw = raw_triples(found, tasks)
@@ -143,25 +154,25 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
 
 
 def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, guide: str = "", titles: DataFrame | None = None, triples_on: bool = True,
-           evidence_on: bool = True, question_type: str = "default", override: dict | None = None) -> dict[str, DataFrame]:
+           evidence_on: bool = True, question_type: str = "default", override: dict | None = None, workers: int = WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
     """One answer over all books' summaries: answer (one row, fences off), items (what of it is JSON, with evidence) and triples.
     The prompt names the books by their titles, in selection order.  Items get no context, since only lists do."""
     spark = books.sparkSession
     prompts, _ = _prompts(spark, question_type, override)
     titles = named(books, titles)
     tasks = registered(S.tasks(books), folder)
-    found = summaries(tasks, model, folder, triples_on, prompts["summarize"])
+    found = summaries(tasks, model, folder, triples_on, prompts["summarize"], workers, commit)
     whole = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
     listed = titles.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda t: t["title"]), ", ").alias("titles"))
     asked = whole.join(listed).select(F.concat(F.lit("Books: "), "titles", F.lit("\nTEXT:\n"), "text", F.lit(f"\n\nQUESTION:\n{question}{_guided(guide)}")).alias("text"))
-    asked = _kept(asked.select(F.lit(0).cast("long").alias("reply_id"), "text", marked("text").alias("mark")), folder, "answer_asked")
+    asked = _kept(asked.select(F.lit(0).cast("long").alias("reply_id"), "text", marked("text", F.lit(identity(model))).alias("mark")), folder, "answer_asked")
     ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("answer", r["text"]), MAX_ANSWER)}
     schema = "reply_id long, mark long, reply string"
-    replies = resumed(asked, folder, "answer", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model))
+    replies = resumed(asked, folder, "answer", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
     items = E.qa_items(replies).drop("reply_id").withColumn("qa_idx", F.col("qa_idx").cast("long"))
     out = {"tasks": tasks, "summaries": found, "answer": replies.select(strip_code_fence(F.col("reply")).alias("answer")), "evidence": spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")}
     if evidence_on:
-        out |= checked(items, tasks, folder, model)
+        out |= checked(items, tasks, folder, model, workers=workers, commit=commit)
     out["items"] = E.assembled(items, out["evidence"], tasks, titles)
     if triples_on:
         raw = raw_triples(found, tasks)
@@ -170,11 +181,11 @@ def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Mod
 
 
 def process(books: DataFrame, folder: str, question: str | None = None, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, guide: str = "", triples_on: bool = True,
-            evidence_on: bool = True, question_type: str = "default", override: dict | None = None, resume: bool = False) -> dict:
+            evidence_on: bool = True, question_type: str = "default", override: dict | None = None, resume: bool = False, workers: int = WORKERS, commit: int = COMMIT) -> dict:
     """A whole run with its files: result, triples CSV, registry, audit, report.  Gives what the run is reported by; what grows
     with the books is a table.  The stages' tables are deleted after success, unless the folder is to be resumed from."""
     began = time.time()
-    more = dict(model=model, titles=titles, guide=guide, triples_on=triples_on, evidence_on=evidence_on, question_type=question_type, override=override)
+    more = dict(model=model, titles=titles, guide=guide, triples_on=triples_on, evidence_on=evidence_on, question_type=question_type, override=override, workers=workers, commit=commit)
     out = manual(books, question, folder, **more) if question else automatic(books, folder, **more)
     answered = time.time() - began
     spark, at = books.sparkSession, K.local(folder)
@@ -230,19 +241,19 @@ def compress(text: DataFrame, model: Callable[[], Model] = OfflineModel, target:
 
 
 def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, preprocess: str | StageFunction = "preprocess",
-                 summarize: str | StageFunction = "summarize", resume: bool = False) -> dict[str, DataFrame]:
+                 summarize: str | StageFunction = "summarize", resume: bool = False, workers: int = HIER_WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
     """Clean, summarize, compress, extract triples, polish, answer; two written stages, by prompts or by functions of one's own,
     before the run's single text.  Books without a window give an answer from nothing."""
     spark = books.sparkSession
     schema = "global_idx long, mark long, text string"
     tasks = registered(S.tasks(books, aligned=False), folder)
     own = lambda stage: F.lit(stage if isinstance(stage, str) else getattr(stage, "__qualname__", "stage"))
-    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(preprocess)))
-    cleaned = resumed(asked, folder, "preprocess", ["global_idx"], schema, lambda rows: staged(rows, preprocess, model))
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(preprocess), F.lit(identity(model))))
+    cleaned = resumed(asked, folder, "preprocess", ["global_idx"], schema, lambda rows: staged(rows, preprocess, model, workers=workers), workers, commit)
     tasks = S.overwritten(tasks, cleaned, "global_idx")
-    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(summarize)))
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(summarize), F.lit(identity(model))))
     missing = lambda r: f"[Section {r['section_idx']} summary unavailable]"
-    found = resumed(asked, folder, "hier_summary", ["global_idx"], schema, lambda rows: staged(rows, summarize, model, missing))
+    found = resumed(asked, folder, "hier_summary", ["global_idx"], schema, lambda rows: staged(rows, summarize, model, missing, workers=workers), workers, commit)
     joined = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "text", line_feed=False), "\n\n").select("text")
     whole = spark.createDataFrame(joined.collect() or [("",)], "text string")  # one row: the run's single text
     short = compress(whole, model)

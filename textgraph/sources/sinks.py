@@ -99,6 +99,15 @@ def write_audit(low: DataFrame, folder: str) -> None:
         low.select(line.alias("value")).write.mode("overwrite").text(folder)
 
 
+def write_slices(rows: DataFrame, path: str, lanes: int, each: int) -> int:
+    """Rows in slices of at most ``each`` rows for each of so many lanes; how many slices there are.  A slice is a folder with one
+    file, so that reading one touches no other."""
+    at = F.monotonically_increasing_id()
+    numbered = rows.repartition(lanes).withColumn("slice", F.floor(at.bitwiseAND((1 << 33) - 1) / each))  # a lane's rows from 0
+    numbered.repartition("slice").write.mode("overwrite").partitionBy("slice").parquet(path)
+    return (numbered.sparkSession.read.schema("slice long").parquet(path).agg(F.max("slice")).first()[0] or 0) + 1
+
+
 def append_done(rows: DataFrame, folder: str, stage: str) -> None:
     """Finished tasks of a stage with their results; a later run leaves them out."""
     rows.write.mode("append").parquet(f"{folder}/stage={stage}")
@@ -113,7 +122,11 @@ def write_report(values: dict, path: str) -> str:
 
 
 def drop_done(spark: SparkSession, folder: str, stage: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/stage={stage}")
+    drop(spark, f"{folder}/stage={stage}")
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
