@@ -170,13 +170,14 @@ def subtree_sums(nodes: DataFrame, values: list[str]) -> DataFrame:
     keys = ["conv_id", "depth"]
     state = stored(nodes.select(*keys, F.col("parent_conv_id").alias("up"), *values), "rollup")
     deepest, step = state.agg(F.max("depth")).first()[0] or 0, 1
+    nothing = F.lit(None).cast("long").alias("up")
     while step <= deepest:
-        below = state.where("up is not null").select("*", (F.col("depth") - step).alias("at"))
-        sums = below.groupBy(F.col("up").alias("conv_id"), F.col("at").alias("depth")).agg(*[F.sum(v).alias(f"more_{v}") for v in values])
+        below = state.where("up is not null").withColumn("at", F.col("depth") - step)
         above = state.where("up is not null").select(F.col("conv_id").alias("up"), F.col("depth").alias("at"), F.col("up").alias("far"))
-        far = below.join(above, ["up", "at"]).select(*keys, "far")
-        after = state.join(sums, keys, "left").join(far, keys, "left")
-        after = stored(after.select(*keys, F.col("far").alias("up"), *[(F.col(v) + F.coalesce(f"more_{v}", F.lit(0))).alias(v) for v in values]), "rollup")
+        far = below.select("conv_id", "depth", "up", "at").join(above, ["up", "at"]).select(*keys, F.col("far").alias("up"), *[F.lit(0).cast("long").alias(v) for v in values])
+        more = below.select(F.col("up").alias("conv_id"), F.col("at").alias("depth"), nothing, *values)
+        after = state.select(*keys, nothing, *values).union(more).union(far)
+        after = stored(after.groupBy(*keys).agg(F.max("up").alias("up"), *[F.sum(v).alias(v) for v in values]), "rollup")
         dropped(state)
         state, step = after, 2 * step
     return state.drop("up")
