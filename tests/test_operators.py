@@ -346,10 +346,35 @@ def test_command_line(spark, tmp_path, capsys):
     assert "kept: 1" in capsys.readouterr().out and (tmp_path / "t_cleaned.csv").read_text().count("\n") == 2
 
 
-def test_compression_stops(spark):
-    one = spark.createDataFrame([("x" * 5000,)], "text string")
-    assert runs.compress(one).first().text == "x" * 5000
-    assert len(runs.compress(spark.createDataFrame([("Some words. " * 1000,)], "text string")).first().text) <= 4000
+def test_compression_stops(spark, tmp_path):
+    text = lambda *pieces: spark.createDataFrame([("a", k, x) for k, x in enumerate(pieces)], "text_id string, k long, text string")
+    assert runs.compress(text("x" * 5000), f"file://{tmp_path}/1").first().text == "x" * 5000
+    assert len(runs.compress(text("Some words. " * 1000), f"file://{tmp_path}/2").first().text) <= 4000
+    several = text("Short.", "Text.").union(spark.createDataFrame([("b", k, "Some words here. " * 90) for k in range(40)], "text_id string, k long, text string"))
+    got = {r.text_id: r.text for r in runs.compress(several, f"file://{tmp_path}/3").collect()}
+    assert got["a"] == "Short.\n\nText." and 0 < len(got["b"]) <= 4000
+    assert runs.compress(spark.createDataFrame([], "text_id string, k long, text string"), f"file://{tmp_path}/4").count() == 0
+
+
+@pytest.mark.parametrize(("block", "chunk"), [(4096, 800), (3, 40), (1, 12), (7, 200)])
+def test_texts_in_pieces(spark, tmp_path, monkeypatch, block, chunk):
+    """Groups over seams of pieces and blocks equal those of the whole text in one row."""
+    import random
+
+    from textgraph.functions.sentences import group_sentences, split_sentences
+    from textgraph.operators import longtext as L
+
+    monkeypatch.setattr(L, "BLOCK", block)
+    r = random.Random(block)
+    words = ["Mr..", "Mr.", "one", "Two", "x.", "Y!", "é", "e.\n", "\n\nNew", "  gap", "A", "St.. ", "[S]", "W" * 30 + "."]
+    rows = [(f"t{n}", k, f"{r.choice(['Go', 'x', '.', 'É', '[1]'])}{' '.join(r.choice(words) for _ in range(r.randint(0, 40)))}") for n in range(5) for k in range((1, 2, 9, 30, 40)[n])]
+    pieces = spark.createDataFrame(rows, "text_id string, k long, text string").repartition(3)
+    for number, separator in enumerate((" ", "\n\n")):
+        keep = lambda df, name, number=number: runs._kept(df, f"file://{tmp_path}/{number}", name)
+        whole = [(n, separator.join(x for t, _, x in rows if t == n)) for n in sorted({t for t, _, _ in rows})]
+        want = spark.createDataFrame(whole, "text_id string, text string").select("text_id", F.posexplode(group_sentences(split_sentences(F.col("text"), chunk), chunk)))
+        assert sorted(map(tuple, L.groups(pieces, separator, keep, chunk).collect())) == sorted(map(tuple, want.collect()))
+        assert {r.text_id: r.size for r in L.sizes(pieces, separator).collect()} == {n: len(x) for n, x in whole}
 
 
 def test_stream_of_windows(spark, tmp_path):

@@ -11,14 +11,24 @@ from textgraph.functions.vocabulary import ABBREVIATIONS
 CHUNK = 800
 
 
-def split_sentences(text: Column, chunk: int = CHUNK) -> Column:
-    """A sentence ends at . ! or ? if nothing but space follows, or if a capital follows next to a blank.  An abbreviation
-    only holds a sentence together before two full stops.  Long sentences are split at empty lines."""
+def sentence_parts(text: Column) -> Column:
+    """A text cut behind its sentences; white space between two belongs to the second.  A sentence ends at . ! or ? if nothing but
+    space follows, or if a capital follows next to a blank.  An abbreviation only holds a sentence together before two full stops."""
     guards = "".join(rf"(?<!\b{a}\.\.)" for a in ABBREVIATIONS)
     ahead = rf"(?={WS}*\z| {WS}*\p{{Lu}}|{WS} {WS}*\p{{Lu}}|\p{{Lu}} )"
-    parts = F.filter(F.transform(F.split(text, rf"(?<=[.!?]){guards}{ahead}"), strip), lambda s: F.length(s) > 0)
-    paragraphs = lambda s: F.filter(F.transform(F.split(s, "\n\n"), strip), lambda p: F.length(p) > 0)
-    return F.flatten(F.transform(parts, lambda s: F.when((F.length(s) > 2 * chunk) & F.contains(s, F.lit("\n\n")), paragraphs(s)).otherwise(F.array(s))))
+    return F.split(text, rf"(?<=[.!?]){guards}{ahead}")
+
+
+def paragraphs(sentence: Column, chunk: int = CHUNK) -> Column:
+    """A stripped sentence, or its paragraphs where it is over two chunks long."""
+    parts = F.filter(F.transform(F.split(sentence, "\n\n"), strip), lambda p: F.length(p) > 0)
+    return F.when((F.length(sentence) > 2 * chunk) & F.contains(sentence, F.lit("\n\n")), parts).otherwise(F.array(sentence))
+
+
+def split_sentences(text: Column, chunk: int = CHUNK) -> Column:
+    """The sentences of a text, stripped, without empty ones; long ones are split at empty lines."""
+    parts = F.filter(F.transform(sentence_parts(text), strip), lambda s: F.length(s) > 0)
+    return F.flatten(F.transform(parts, lambda s: paragraphs(s, chunk)))
 
 
 #: Sentences that the inner fold of group_sentences takes.

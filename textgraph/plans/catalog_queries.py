@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textgraph.functions import replies as R
@@ -14,11 +14,15 @@ from textgraph.functions.chunking import aligned_windows, fixed_windows
 from textgraph.functions.sentences import group_sentences, split_sentences
 from textgraph.functions.vocabulary import CANONICAL_PREDICATES, EVENT_WORDS, FILTER_WORDS, PREDICATE_MAP, QUESTION_TYPES, SUFFIXES, TITLES
 from textgraph.operators import evidence as E
+from textgraph.operators import longtext as L
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.plans import recipes as P
 from textgraph.plans import runs
 
+#: The offline model's calls cost nothing, so a task commits many at a time.
+OFFLINE = 100_000
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -145,6 +149,48 @@ def sentence_group(spark, sf_dir):
     return found.select("doc_id", (F.col("k") + 1).alias("pos"), "chunk")
 
 
+#: Documents bound in volumes, each one text: of every fiftieth document, joined by empty lines.
+VOLUMES = r"""
+with recursive d as (select 'v' || (doc_id % 50) as text_id, string_agg(t, chr(10) || chr(10) order by doc_id, t) as t
+  from (select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as t from documents) where t <> '' group by 1),
+c as (select text_id, unnest(string_split(t, '')) as c, generate_subscripts(string_split(t, ''), 1) as i from d),
+n as (select text_id, t, length(t) as n from d),
+e as (select text_id, i from c join n using (text_id) where c in ('.', '!', '?') and (i = n or regexp_matches(substring(t, i + 1), '^\s*$')
+  or (regexp_matches(substring(t, i + 1, 100), '^\s*\p{Lu}') and contains(substring(t, i + 1, 2), ' ')))),
+f as (select text_id, i as fin, coalesce(lag(i) over (partition by text_id order by i), 0) as st from (select text_id, i from e union select text_id, n from n)),
+p as (select text_id, fin, regexp_replace(substring(t, st + 1, fin - st), '^\s+|\s+$', '', 'g') as s from f join n using (text_id)),
+u as (select text_id, fin, case when length(s) > 1600 and contains(s, chr(10) || chr(10)) then string_split(s, chr(10) || chr(10)) else [s] end as l from p where s <> ''),
+v as (select text_id, fin, unnest(range(1, len(l) + 1)) as k, regexp_replace(unnest(l), '^\s+|\s+$', '', 'g') as sentence from u),
+q as (select text_id, sentence, row_number() over (partition by text_id order by fin, k) as pos from v where sentence <> ''),
+r as (select text_id, pos, sentence as now, 0::bigint as grp from q where pos = 1
+      union all
+      select r.text_id, q.pos, case when length(now) + length(sentence) > 800 then sentence else now || ' ' || sentence end,
+             case when length(now) + length(sentence) > 800 then grp + 1 else grp end
+      from r join q on q.text_id = r.text_id and q.pos = r.pos + 1),
+g as (select text_id, grp as pos, arg_max(now, r.pos) as text from r group by text_id, grp)
+"""
+
+
+def _volumes(spark, sf_dir):
+    rows = docs(spark, sf_dir).select(F.concat(F.lit("v"), (F.col("doc_id") % 50).cast("string")).alias("text_id"), "doc_id", X.strip(F.col("text")).alias("text")).where("text <> ''")
+    order = Window.partitionBy("text_id").orderBy("doc_id", "text")
+    return rows.select("text_id", (F.row_number().over(order) - 1).cast("long").alias("k"), "text")
+
+
+@query(VOLUMES + "select text_id, pos, text from g")
+def long_text_groups(spark, sf_dir):
+    """Sentences grouped over whole volumes, no row of which holds a volume."""
+    folder = _work(spark)
+    return L.groups(_volumes(spark, sf_dir), "\n\n", lambda df, name: runs._kept(df, folder, name))
+
+
+@query(VOLUMES + r""", z as (select text_id, pos, coalesce(nullif(regexp_replace(left(text, greatest(1, length(text) // 2)), '\s+$', ''), ''), text) as text from g)
+select d.text_id, case when length(t) > 4000 then x else t end as text from d join (select text_id, string_agg(text, ' ' order by pos) as x from z group by text_id) using (text_id)""")
+def compress_round(spark, sf_dir):
+    """Volumes after a round of compression by the offline model, which keeps the first half of each group."""
+    return runs.compress(_volumes(spark, sf_dir), _work(spark), rounds=1, workers=runs.WORKERS, commit=OFFLINE)
+
+
 # --- replies -----------------------------------------------------------------------------------------------------
 
 
@@ -519,10 +565,6 @@ select row_number() over (order by book, k) - 1 as qa_idx, title as book, 'Q ' |
 from (select book, t, title, unnest(generate_series(1, {number})) as k from b join f using (book))"""
 
 
-#: The offline model's calls cost nothing, so a task commits many at a time.
-OFFLINE = 100_000
-
-
 def _books(spark, sf_dir):
     return docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("book"), "text")
 

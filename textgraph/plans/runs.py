@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgraph.functions.replies import triples_of_lines
-from textgraph.functions.sentences import group_sentences, split_sentences
 from textgraph.functions.text import let, strip_code_fence
 from textgraph.functions.vocabulary import QUESTION_TYPES
 from textgraph.operators import evidence as E
+from textgraph.operators import longtext as L
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.operators.models import (
@@ -223,27 +223,44 @@ def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def compress(text: DataFrame, model: Callable[[], Model] = OfflineModel, target: int = 4000, chunk: int = 800, rounds: int = 10) -> DataFrame:
-    """(text): sentences are grouped and shortened, round by round, until the text is within the target.  No text stays none."""
-    for _ in range(rounds):
-        found = text.select(F.length("text")).first()
-        if found is None or (size := found[0]) <= target:
+def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, separator: str = "\n\n", target: int = 4000, chunk: int = 800, rounds: int = 10,
+             workers: int = HIER_WORKERS, commit: int = COMMIT) -> DataFrame:
+    """(text_id, text) of texts that lie in pieces (text_id, k, text): sentences are grouped and shortened, round by round, until a
+    text is within the target.  Texts stay in pieces until then; each round is resumed like any stage."""
+    spark, finished, at = pieces.sparkSession, [], []
+    schema = "text_id string, pos long, mark long, text string"
+
+    def ask(r: dict, own: Model) -> dict:
+        reply = call_or_empty(own, messages("compress", f"Section {r['pos'] + 1}\nTEXT:\n{r['text']}"), MAX_SUMMARY)
+        return {"text_id": r["text_id"], "pos": r["pos"], "mark": r["mark"], "text": reply.strip() or r["text"]}
+
+    for number in range(rounds):
+        at.append(f"{folder}/compressing/{number}")
+        keep = lambda df, name, at=at[-1]: _kept(df, at, name)
+        long = keep(L.sizes(pieces, separator).where(F.col("size") > target), "long")
+        if not long.limit(1).count():
             break
-        groups = text.select(F.posexplode(group_sentences(split_sentences(F.col("text"), chunk), chunk)).alias("k", "text"))
-        n = groups.count()
-        if n <= 1 and size <= 1.5 * target:
+        groups = keep(L.groups(pieces.join(long, "text_id", "left_semi"), separator, keep, chunk), "groups")
+        open_ = groups.groupBy("text_id").agg(F.count("*").alias("n")).join(long, "text_id").where((F.col("n") > 1) | (F.col("size") > 1.5 * target))
+        open_ = keep(open_.select("text_id"), "open")
+        if not open_.limit(1).count():
             break
-        tasks = groups.select((F.col("k") + 1).cast("long").alias("global_idx"), F.lit(0).cast("long").alias("mark"), F.lit("").alias("book"), (F.col("k") + 1).alias("section_idx"), F.lit(n).alias("section_total"), "text")
-        done = staged(tasks, "compress", model)
-        joined = S.ordered_concat(done.withColumn("run", F.lit(0)), ["run"], "global_idx", F.col("text"), " ").select("text")
-        text = text.sparkSession.createDataFrame(joined.collect(), "text string")  # one row: the run's single text
-    return text
+        finished.append(keep(L.joined(pieces.join(open_, "text_id", "left_anti"), separator), "finished"))
+        asked = groups.join(open_, "text_id", "left_semi").withColumn("mark", marked("text", F.lit(identity(model))))
+        done = resumed(asked, folder, f"compress{number}", ["text_id", "pos"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
+        pieces, separator = keep(done.select("text_id", F.col("pos").alias("k"), "text"), "pieces"), " "
+    out = L.joined(pieces, separator)
+    for more in finished:
+        out = out.union(more)
+    out = _kept(out, folder, "compressed")
+    K.drop(spark, f"{folder}/compressing")
+    return out
 
 
 def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, preprocess: str | StageFunction = "preprocess",
                  summarize: str | StageFunction = "summarize", resume: bool = False, workers: int = HIER_WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
     """Clean, summarize, compress, extract triples, polish, answer; two written stages, by prompts or by functions of one's own,
-    before the run's single text.  Books without a window give an answer from nothing."""
+    before the run's text, which stays in pieces until it is short.  Books without a window give an answer from nothing."""
     spark = books.sparkSession
     schema = "global_idx long, mark long, text string"
     tasks = registered(S.tasks(books, aligned=False), folder)
@@ -254,9 +271,9 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
     asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(summarize), F.lit(identity(model))))
     missing = lambda r: f"[Section {r['section_idx']} summary unavailable]"
     found = resumed(asked, folder, "hier_summary", ["global_idx"], schema, lambda rows: staged(rows, summarize, model, missing, workers=workers), workers, commit)
-    joined = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "text", line_feed=False), "\n\n").select("text")
-    whole = spark.createDataFrame(joined.collect() or [("",)], "text string")  # one row: the run's single text
-    short = compress(whole, model)
+    pieces = found.select(F.lit("run").alias("text_id"), (F.col("global_idx") - 1).alias("k"), S.labelled("global_idx", "text", line_feed=False).alias("text"))
+    short = compress(pieces, folder, model, workers=workers, commit=commit).select("text")
+    short = short if short.limit(1).count() else spark.createDataFrame([("",)], "text string")
     one = lambda stage, tokens: lambda r, own: {"text": call_or_empty(own, messages(stage, f"TEXT:\n{r['text']}"), tokens)}
     listed = mapped(short, one("extract", MAX_SUMMARY), "text string", model).select(F.posexplode(triples_of_lines(F.col("text"))).alias("ord", "t")).select("ord", "t.*")
     final = _kept(T.post_process_hier(listed), folder, "triples")
@@ -269,6 +286,8 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
     if not resume:
         K.drop_done(spark, folder, "preprocess")
         K.drop_done(spark, folder, "hier_summary")
+        for number in range(10):
+            K.drop_done(spark, folder, f"compress{number}")
     return {"tasks": tasks, "compressed": short, "triples": final, "polished": polished, "answer": answer}
 
 
