@@ -370,7 +370,7 @@ def test_texts_in_pieces(spark, tmp_path, monkeypatch, block, chunk):
     rows = [(f"t{n}", k, f"{r.choice(['Go', 'x', '.', 'É', '[1]'])}{' '.join(r.choice(words) for _ in range(r.randint(0, 40)))}") for n in range(5) for k in range((1, 2, 9, 30, 40)[n])]
     pieces = spark.createDataFrame(rows, "text_id string, k long, text string").repartition(3)
     for number, separator in enumerate((" ", "\n\n")):
-        keep = lambda df, name, number=number: runs._kept(df, f"file://{tmp_path}/{number}", name)
+        keep = lambda df, name, number=number: runs.kept(df, f"file://{tmp_path}/{number}", name)
         whole = [(n, separator.join(x for t, _, x in rows if t == n)) for n in sorted({t for t, _, _ in rows})]
         want = spark.createDataFrame(whole, "text_id string, text string").select("text_id", F.posexplode(group_sentences(split_sentences(F.col("text"), chunk), chunk)))
         assert sorted(map(tuple, L.groups(pieces, separator, keep, chunk).collect())) == sorted(map(tuple, want.collect()))

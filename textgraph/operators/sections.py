@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textgraph.functions.chunking import aligned_spans, fixed_spans, window_texts
 from textgraph.functions.text import each, let, strip
 from textgraph.functions.vocabulary import QUESTION_TYPES, TITLED_BY_NAME
+from textgraph.sources.workspace import kept, work_folder
 
 
 def catalog(books: DataFrame) -> DataFrame:
@@ -62,24 +63,47 @@ def before(totals: DataFrame, book: str, order: str, cuts: list) -> DataFrame:
     return each_book.select(book, (F.col("before") + F.col("ahead")).alias("before"))
 
 
-#: Books up to which their numbers of windows are broadcast; beyond, the windows are shuffled by book.
-FEW_BOOKS = 300_000
+#: Books, and bytes of their names and numbers, up to which these are broadcast; beyond, the windows are shuffled by book.
+FEW_BOOKS, FEW_BYTES = 300_000, 24 << 20
 
 
 def numbered(sections: DataFrame, totals: DataFrame, book: str = "book", order: str | None = None) -> DataFrame:
     """global_idx over books in selection order.  totals: (book, order, n), a row for each book with its number of sections."""
     order = order or book
     found = before(totals, book, order, bounds(totals, order))
-    if totals.limit(FEW_BOOKS + 1).count() <= FEW_BOOKS:
+    size = F.octet_length(F.col(book).cast("string")) + 24
+    books, taken = totals.select(size.cast("long").alias("size")).limit(FEW_BOOKS + 1).agg(F.count("*"), F.sum("size")).first()
+    if books <= FEW_BOOKS and (taken or 0) <= FEW_BYTES:
         found = F.broadcast(found)
     return sections.join(found, book).withColumn("global_idx", F.col("before") + F.col("section_idx")).drop("before")
 
 
-def tasks(books: DataFrame, order: str | None = None, aligned: bool = True, texts: bool = True) -> DataFrame:
-    """All windows of books (book, text) with their numbers.  The books' numbers of windows come from their limits alone."""
-    columns = ["book"] + ([order] if order and order != "book" else [])
-    totals = _spanned(books, aligned).select(*columns, F.size("spans").cast("long").alias("n")).where("n > 0")
-    return numbered(windows(books, aligned, texts), totals, "book", order)
+def limits(books: DataFrame, order: str | None = None, aligned: bool = True, folder: str | None = None) -> DataFrame:
+    """All windows of books (book, text) with their numbers, without texts.  The windows' limits are evaluated once and written,
+    a row a book; numbers of windows, their sums and the windows themselves all come from that table."""
+    df = _spanned(books, aligned).drop("text").where(F.size("spans") > 0)
+    df = kept(df, folder or work_folder(books.sparkSession, "limits"), "limits")
+    columns = [c for c in df.columns if c != "spans"]
+    each_window = each(df.withColumn("section_total", F.size("spans")), F.col("spans"), *columns, "section_total")
+    each_window = each_window.select(*columns, "section_total", (F.col("k") + 1).alias("section_idx"), "c.*")
+    totals = df.select(*dict.fromkeys(["book", order or "book"]), F.size("spans").cast("long").alias("n"))
+    return numbered(each_window, totals, "book", order)
+
+
+def texts_of(sections: DataFrame, books: DataFrame) -> DataFrame:
+    """Some sections (book, start, end) with their texts, cut from their books: for few sections of a book."""
+    own = books.select("book", strip(F.col("text")).alias("whole"))
+    text = F.substring("whole", F.col("start") + 1, F.col("end") - F.col("start"))
+    return sections.join(own, "book").withColumn("text", strip(text)).drop("whole")
+
+
+def tasks(books: DataFrame, order: str | None = None, aligned: bool = True, texts: bool = True, folder: str | None = None) -> DataFrame:
+    """All windows of books (book, text) with their numbers.  With texts, each text is read once more, which no shuffle moves."""
+    if not texts:
+        return limits(books, order, aligned, folder)
+    totals = _spanned(books, aligned).select(*dict.fromkeys(["book", order or "book"]), F.size("spans").cast("long").alias("n")).where("n > 0")
+    totals = kept(totals, folder or work_folder(books.sparkSession, "limits"), "totals")
+    return numbered(windows(books, aligned), totals, "book", order)
 
 
 def registry_slim(sections: DataFrame) -> DataFrame:

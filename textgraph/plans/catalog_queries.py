@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +16,7 @@ from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.plans import recipes as P
 from textgraph.plans import runs
+from textgraph.sources.workspace import kept, work_folder
 
 #: The offline model's calls cost nothing, so a task commits many at a time.
 OFFLINE = 100_000
@@ -180,15 +178,15 @@ def _volumes(spark, sf_dir):
 @query(VOLUMES + "select text_id, pos, text from g")
 def long_text_groups(spark, sf_dir):
     """Sentences grouped over whole volumes, no row of which holds a volume."""
-    folder = _work(spark)
-    return L.groups(_volumes(spark, sf_dir), "\n\n", lambda df, name: runs._kept(df, folder, name))
+    folder = work_folder(spark)
+    return L.groups(_volumes(spark, sf_dir), "\n\n", lambda df, name: kept(df, folder, name))
 
 
 @query(VOLUMES + r""", z as (select text_id, pos, coalesce(nullif(regexp_replace(left(text, greatest(1, length(text) // 2)), '\s+$', ''), ''), text) as text from g)
 select d.text_id, case when length(t) > 4000 then x else t end as text from d join (select text_id, string_agg(text, ' ' order by pos) as x from z group by text_id) using (text_id)""")
 def compress_round(spark, sf_dir):
     """Volumes after a round of compression by the offline model, which keeps the first half of each group."""
-    return runs.compress(_volumes(spark, sf_dir), _work(spark), rounds=1, workers=runs.WORKERS, commit=OFFLINE)
+    return runs.compress(_volumes(spark, sf_dir), work_folder(spark), rounds=1, workers=runs.WORKERS, commit=OFFLINE)
 
 
 # --- replies -----------------------------------------------------------------------------------------------------
@@ -393,8 +391,17 @@ def citations_strip(spark, sf_dir):
 @query(G2 + f"""select qa_idx, count(*) as n_cited, string_agg('[' || section || '] (' || book || ', chars ' || start || '-' || "end" || ')' || chr(10) || text,
 chr(10) || chr(10) || '---' || chr(10) || chr(10) order by section) as text from ({CITED}) c join s on s.global_idx = c.section group by qa_idx""")
 def cited_sections(spark, sf_dir):
-    registry = S.tasks(books(spark, sf_dir), aligned=False)
-    return E.cited_text(citations_extract(spark, sf_dir), registry, numbers=S.tasks(books(spark, sf_dir), aligned=False, texts=False))
+    return _cited_text(spark, sf_dir, citations_extract(spark, sf_dir))
+
+
+def _cited_text(spark, sf_dir, references):
+    limits = S.limits(books(spark, sf_dir), aligned=False)
+    return E.cited_text(references, _texts(spark, sf_dir, limits, references), numbers=limits)
+
+
+def _texts(spark, sf_dir, limits, references):
+    """The sections that are cited at all, with their texts."""
+    return S.texts_of(limits.join(references.select(F.col("section").alias("global_idx")).distinct(), "global_idx", "left_semi"), books(spark, sf_dir))
 
 
 @query("""select doc_id as reply_id, 0 as qa_idx, 'b' as book, 'q' || doc_id as question, case when doc_id % 3 = 0 then 'a [1]' else 'a' end as answer, cast(null as varchar) as response from documents where doc_id % 3 < 2
@@ -481,7 +488,7 @@ from ({P.ANSWERS}) a left join (select qa_idx as q, list(evidence order by ev_id
 left join (select qa_idx as q2, list(text order by section) as context from ({CITED}) c join s on s.global_idx = c.section group by 1) x on q2 = qa_idx""")
 def qa_assemble(spark, sf_dir):
     qa = P.recipe(spark, sf_dir, P.ANSWERS).select("qa_idx", F.concat(F.lit("file "), F.col("qa_idx").cast("string"), F.lit(".cleaned")).alias("book"), F.lit("q").alias("question"), "answer", F.lit(None).cast("string").alias("response"))
-    registry = S.tasks(books(spark, sf_dir), aligned=False)
+    registry = _texts(spark, sf_dir, S.limits(books(spark, sf_dir), aligned=False), E.cited(qa))
     return E.assembled(qa, P.recipe(spark, sf_dir, P.EVIDENCE), registry, P.recipe(spark, sf_dir, TITLES_SQL))
 
 
@@ -572,32 +579,21 @@ def _books(spark, sf_dir):
 @query(_questions(3))
 def adversarial_offline(spark, sf_dir):
     """Automatic questions over all documents; work files go to the session's own folder for intermediate results."""
-    return runs.automatic(_books(spark, sf_dir), _work(spark), commit=OFFLINE)["items"]
+    return runs.automatic(_books(spark, sf_dir), work_folder(spark), commit=OFFLINE)["items"]
 
 
 @query(_questions(4))
 def typed_offline(spark, sf_dir):
     """The same with the prompts and the number of questions of another type, without triples."""
-    return runs.automatic(_books(spark, sf_dir), _work(spark), commit=OFFLINE, triples_on=False, question_type="relationship")["items"]
+    return runs.automatic(_books(spark, sf_dir), work_folder(spark), commit=OFFLINE, triples_on=False, question_type="relationship")["items"]
 
 
 @query(G1 + """select count(*) as total, 0 as low, count(*) as good from (select doc_id from g1 where text <> '' group by doc_id) cross join range(3)""")
 def soft_check_offline(spark, sf_dir):
     """The soft check of an automatic run: every quoted line is found in the section that it is from."""
-    return runs.automatic(_books(spark, sf_dir), _work(spark), commit=OFFLINE, triples_on=False)["counts"]
+    return runs.automatic(_books(spark, sf_dir), work_folder(spark), commit=OFFLINE, triples_on=False)["counts"]
 
 
 @query()
 def hierarchy_offline(spark, sf_dir):
-    return runs.hierarchical(_books(spark, sf_dir), "Who?", _work(spark), commit=OFFLINE)["answer"]
-
-
-def _work(spark) -> str:
-    """A folder for a run's tables, in the one that all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="textgraph-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/runs/{uuid.uuid4().hex}"
+    return runs.hierarchical(_books(spark, sf_dir), "Who?", work_folder(spark), commit=OFFLINE)["answer"]

@@ -27,6 +27,7 @@ from textgraph.operators.models import (
 )
 from textgraph.sources import books as B
 from textgraph.sources import sinks as K
+from textgraph.sources.workspace import kept
 
 SUMMARY = "global_idx long, mark long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
 #: Names of one canonicalization call.
@@ -102,7 +103,7 @@ def checked(items: DataFrame, tasks: DataFrame, folder: str, model: Callable[[],
     """Evidence of the items that cite sections: lines, their confidence, the low ones, and counts; nothing is dropped."""
     references = E.cited(items)
     texts = E.cited_text(references, tasks).join(items.select("qa_idx", "item"), "qa_idx").withColumn("mark", marked("text", "item", F.lit(identity(model))))
-    texts = _kept(texts, folder, "evidence_asked")
+    texts = kept(texts, folder, "evidence_asked")
     quote = lambda r, own: {"qa_idx": r["qa_idx"], "mark": r["mark"], "reply": call_or_empty(own, messages("evidence", f"CITED SECTIONS:\n{r['text']}\n\nQA:\n{r['item']}"), MAX_ANSWER)}
     schema = "qa_idx long, mark long, reply string"
     lines = E.evidence_lines(resumed(texts, folder, "evidence", ["qa_idx"], schema, lambda rows: mapped(rows, quote, schema, model, workers), workers, commit))
@@ -130,19 +131,19 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     spark = books.sparkSession
     prompts, _ = _prompts(spark, question_type, override)
     titles = named(books, titles)
-    tasks = registered(S.tasks(books), folder)
+    tasks = registered(S.tasks(books, folder=folder), folder)
     found = summaries(tasks, model, folder, triples_on, prompts["summarize"], workers, commit)
     said = found.join(tasks.select("global_idx", "book"), "global_idx")
     per_book = S.ordered_concat(said, ["book"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
     per_book = per_book.join(titles.select(F.col("file").alias("book"), "title").dropDuplicates(["book"]), "book", "left")
     asked = per_book.select(F.col("book").alias("reply_id"), F.concat(F.coalesce("title", "book"), F.lit("\nTEXT:\n"), "text", F.lit(_guided(guide))).alias("text"))
-    asked = _kept(asked.withColumn("mark", marked("text", F.lit(prompts["qa"]), F.lit(identity(model)))), folder, "qa_asked")
+    asked = kept(asked.withColumn("mark", marked("text", F.lit(prompts["qa"]), F.lit(identity(model)))), folder, "qa_asked")
     ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("qa", r["text"], prompts["qa"]), MAX_ANSWER)}
     schema = "reply_id string, mark long, reply string"
     items = E.qa_items(resumed(asked, folder, "qa", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit))
     totals = items.groupBy("reply_id").agg(F.count("*").alias("n"))
     items = S.numbered(items.withColumn("section_idx", F.col("qa_idx") + 1), totals, "reply_id").withColumn("qa_idx", F.col("global_idx") - 1)
-    items = _kept(items.drop("global_idx", "section_idx", "reply_id"), folder, "qa_items")
+    items = kept(items.drop("global_idx", "section_idx", "reply_id"), folder, "qa_items")
     out = {"tasks": tasks, "summaries": found, "evidence": spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")}
     if evidence_on:
         out |= checked(items, tasks, folder, model, workers=workers, commit=commit)
@@ -160,12 +161,12 @@ def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Mod
     spark = books.sparkSession
     prompts, _ = _prompts(spark, question_type, override)
     titles = named(books, titles)
-    tasks = registered(S.tasks(books), folder)
+    tasks = registered(S.tasks(books, folder=folder), folder)
     found = summaries(tasks, model, folder, triples_on, prompts["summarize"], workers, commit)
     whole = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
     listed = titles.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda t: t["title"]), ", ").alias("titles"))
     asked = whole.join(listed).select(F.concat(F.lit("Books: "), "titles", F.lit("\nTEXT:\n"), "text", F.lit(f"\n\nQUESTION:\n{question}{_guided(guide)}")).alias("text"))
-    asked = _kept(asked.select(F.lit(0).cast("long").alias("reply_id"), "text", marked("text", F.lit(identity(model))).alias("mark")), folder, "answer_asked")
+    asked = kept(asked.select(F.lit(0).cast("long").alias("reply_id"), "text", marked("text", F.lit(identity(model))).alias("mark")), folder, "answer_asked")
     ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("answer", r["text"]), MAX_ANSWER)}
     schema = "reply_id long, mark long, reply string"
     replies = resumed(asked, folder, "answer", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
@@ -203,10 +204,10 @@ def process(books: DataFrame, folder: str, question: str | None = None, model: C
         "total_time": time.time() - began, "answer_time": answered, "triples_count": out["triples"].count() if triples_on else 0, "triples_csv": csv,
         "registry_path": f"{folder}/chunk_registry", "run_dir": folder,
     }
-    found["answer"] = found["answer"].sparkSession.createDataFrame(found["answer"].collect(), found["answer"].schema) if question else _kept(found["answer"], folder, "final_items")
-    found["per_q_evidence"] = _kept(found["per_q_evidence"], folder, "final_evidence")
+    found["answer"] = found["answer"].sparkSession.createDataFrame(found["answer"].collect(), found["answer"].schema) if question else kept(found["answer"], folder, "final_items")
+    found["per_q_evidence"] = kept(found["per_q_evidence"], folder, "final_evidence")
     if found["evidence_text"] is not None:
-        found["evidence_text"] = _kept(found["evidence_text"], folder, "final_low")
+        found["evidence_text"] = kept(found["evidence_text"], folder, "final_low")
     said = {"Question type": label, "Windows": windows, "Total time": f"{found['total_time']:.0f}s", "Triples": found["triples_count"]}
     if "counts" in out:
         said["Evidence"] = "{good} of {total} good, {low} low".format(**out["counts"].first().asDict())
@@ -217,12 +218,6 @@ def process(books: DataFrame, folder: str, question: str | None = None, model: C
     return found
 
 
-def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Written under the run's folder, so that it outlives the stages' tables."""
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-
 def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, separator: str = "\n\n", target: int = 4000, chunk: int = 800, rounds: int = 10,
              workers: int = HIER_WORKERS, commit: int = COMMIT) -> DataFrame:
     """(text_id, text) of texts that lie in pieces (text_id, k, text): sentences are grouped and shortened, round by round, until a
@@ -236,7 +231,7 @@ def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = Offlin
 
     for number in range(rounds):
         at.append(f"{folder}/compressing/{number}")
-        keep = lambda df, name, at=at[-1]: _kept(df, at, name)
+        keep = lambda df, name, at=at[-1]: kept(df, at, name)
         long = keep(L.sizes(pieces, separator).where(F.col("size") > target), "long")
         if not long.limit(1).count():
             break
@@ -252,7 +247,7 @@ def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     out = L.joined(pieces, separator)
     for more in finished:
         out = out.union(more)
-    out = _kept(out, folder, "compressed")
+    out = kept(out, folder, "compressed")
     K.drop(spark, f"{folder}/compressing")
     return out
 
@@ -263,7 +258,7 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
     before the run's text, which stays in pieces until it is short.  Books without a window give an answer from nothing."""
     spark = books.sparkSession
     schema = "global_idx long, mark long, text string"
-    tasks = registered(S.tasks(books, aligned=False), folder)
+    tasks = registered(S.tasks(books, aligned=False, folder=folder), folder)
     own = lambda stage: F.lit(stage if isinstance(stage, str) else getattr(stage, "__qualname__", "stage"))
     asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(preprocess), F.lit(identity(model))))
     cleaned = resumed(asked, folder, "preprocess", ["global_idx"], schema, lambda rows: staged(rows, preprocess, model, workers=workers), workers, commit)
@@ -276,13 +271,13 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
     short = short if short.limit(1).count() else spark.createDataFrame([("",)], "text string")
     one = lambda stage, tokens: lambda r, own: {"text": call_or_empty(own, messages(stage, f"TEXT:\n{r['text']}"), tokens)}
     listed = mapped(short, one("extract", MAX_SUMMARY), "text string", model).select(F.posexplode(triples_of_lines(F.col("text"))).alias("ord", "t")).select("ord", "t.*")
-    final = _kept(T.post_process_hier(listed), folder, "triples")
+    final = kept(T.post_process_hier(listed), folder, "triples")
     polish = mapped(short, one("polish", MAX_SUMMARY), "text string", model).join(short.select(F.col("text").alias("before"))).select(F.coalesce(F.nullif("text", F.lit("")), "before").alias("text"))
-    polished = _kept(polish, folder, "polished")
+    polished = kept(polish, folder, "polished")
     facts = final.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_ord", F.concat(F.lit("- "), F.concat_ws(" || ", "subject", "predicate", "object")).alias("x")))), lambda t: t["x"]), "\n").alias("facts"))
     ready = polished.join(facts).select(let(F.col("facts"), lambda f: F.when(f == "", NO_TRIPLES).otherwise(f)).alias("facts"), "text")
     ask = lambda r, own: {"answer": call_or_empty(own, messages("answer", f"QUESTION:\n{question}\nTRIPLES:\n{r['facts']}\nTEXT:\n{r['text']}"), MAX_ANSWER) or NO_ANSWER}
-    answer = _kept(mapped(ready, ask, "answer string", model), folder, "answer")
+    answer = kept(mapped(ready, ask, "answer string", model), folder, "answer")
     if not resume:
         K.drop_done(spark, folder, "preprocess")
         K.drop_done(spark, folder, "hier_summary")
@@ -294,8 +289,8 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
 def process_hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, resume: bool = False) -> dict:
     """A hierarchical run with its files, and what it is reported by."""
     began = time.time()
-    windows = S.tasks(books, aligned=False, texts=False).count()
     out = hierarchical(books, question, folder, model, resume=resume)
+    windows = out["tasks"].count()
     answer, short, polished = (out[k].first()[0] for k in ("answer", "compressed", "polished"))
     at = K.local(folder)
     csv = K.write_triples_file(out["triples"].orderBy("first_ord"), f"{at}/triples.csv", T.KEY)
