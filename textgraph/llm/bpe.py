@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from textgraph.llm.common import local_file, map_arrow, ship_file
 
 #: Entries of a memo before it is emptied: matches and pairs of tokens.  Bytes of a match that is remembered.
-MATCHES, PAIRS, SHORT = 200_000, 500_000, 64
+MATCHES, PAIRS, SHORT = 400_000, 500_000, 64
 #: Characters of a text that are matched at a time, at least; ids that are decoded at a time.
 SLICE, IDS = 1 << 18, 1 << 16
 #: Later than any merge.
@@ -52,12 +52,14 @@ class Vocabulary:
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"a vocabulary of bytes needs all 256; {len(missing)} are missing")
         self.ranks, self.token = ranks, {rank: token for token, rank in ranks.items()}
+        self.size = {rank: len(token) for token, rank in ranks.items()}
+        #: The longest token that a token begins with, itself apart; -1 if there is none.
+        self.shorter = {rank: next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1) for token, rank in ranks.items()}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._shorter: dict[int, int] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
@@ -76,34 +78,24 @@ class Vocabulary:
             self._halves[token] = ends if len(parts) <= 2 else None
         return self._halves[token]
 
-    def shorter(self, token: int) -> int:
-        """The longest token that a token begins with, itself apart; -1 if there is none."""
-        if token not in self._shorter:
-            whole = self.token[token]
-            self._shorter[token] = next((self.ranks[whole[:n]] for n in range(len(whole) - 1, 0, -1) if whole[:n] in self.ranks), -1)
-        return self._shorter[token]
-
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the merges leave two tokens side by side."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) >= PAIRS:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self._seam_holds(left, right)
+        """Whether the merges reach the right token and leave the two side by side."""
+        if len(self._pairs) >= PAIRS:
+            self._pairs.clear()
+        known = self._pairs[left, right] = self.halves(right) is not None and self._seam_holds(left, right)
         return known
 
     def _seam_holds(self, a: int, b: int) -> bool:
         """Back in time from the last merge: a and b are the parts next to the seam, and a_until, b_until the merges that took
         them in.  A merge across the seam happens if it comes before both; of equal merges the left one comes first."""
         a_until = b_until = NEVER
-        single = lambda t: len(self.token[t]) == 1
         while True:
             across = self.ranks.get(self.token[a] + self.token[b])
             if across is not None and across < a_until and across <= b_until:
                 return False
-            if single(a) and single(b):
+            if self.size[a] == self.size[b] == 1:
                 return True
-            if single(b) or (a > b and not single(a)):
+            if self.size[b] == 1 or (a > b and self.size[a] > 1):
                 a_until, a = a, self.halves(a)[1]
             else:
                 b_until, b = b, self.halves(b)[0]
@@ -113,29 +105,32 @@ class Vocabulary:
         whole = self.ranks.get(match)
         if whole is not None or not match:
             return [whole] if match else []
+        size, shorter, pairs = self.size, self.shorter, self._pairs
         longest = np.zeros(len(match), np.int64) if len(match) > SHORT else [0] * len(match)
-        for end, (token, size) in self.automaton.iter(match.decode("latin-1")):
-            longest[end - size + 1] = token  # a longer one ends later
-        ids, at, dead = [], 0, bytearray(len(match) + 1)
+        for end, token in self.automaton.iter(match.decode("latin-1")):
+            longest[end - size[token] + 1] = token  # a longer one ends later
+        ids, at, dead, last = [], 0, bytearray(len(match) + 1), -1
         token = int(longest[0])
         while True:
-            last = ids[-1] if ids else -1
             while token >= 0:
-                end = at + len(self.token[token])
-                if not dead[end] and self.halves(token) and (last < 0 or self.compatible(last, token)):
-                    break
-                token = self.shorter(token)
+                end = at + size[token]
+                if not dead[end]:
+                    fits = pairs.get((last, token)) if ids else self.halves(token)
+                    if fits or (ids and fits is None and self.compatible(last, token)):
+                        break
+                token = shorter[token]
             if token >= 0:
                 ids.append(token)
-                at = end
+                at, last = end, token
                 if at == len(match):
                     return ids
                 token = int(longest[at])
             else:
                 dead[at] = 1
                 token = ids.pop()
-                at -= len(self.token[token])
-                token = self.shorter(token)
+                at -= size[token]
+                last = ids[-1] if ids else -1
+                token = shorter[token]
 
 
 class Matches(dict):
