@@ -345,6 +345,43 @@ def test_hot_lines(spark):
     assert got >= 5999 * 2 - 30
 
 
+def test_very_many_fillings_of_a_template(spark):
+    """40,000 lines that all are alike, and a few that are like some of them only, in linear time."""
+    import time
+
+    df = spark.range(40_000).selectExpr("id as doc_id", "concat('the best offer of this week is made for customer number ', id, ' of ours, do not miss it, we say, as it ends soon') as text")
+    odd = spark.range(50).selectExpr("100000 + id as doc_id", "concat('word', id, ' and nothing that is like the rest, number ', id * 7919, ' stands alone') as text")
+    began = time.time()
+    got = lines.dedup_lines(df.union(odd)).groupBy(F.col("row.doc_id") >= 100_000).agg(F.sum("n_removed").alias("n")).collect()
+    assert time.time() - began < 120
+    got = {r[0]: r.n for r in got}
+    assert got[False] >= 39_999 - 40 and got[True] == 0
+
+
+@pytest.mark.parametrize("first", [0, 1, 8])
+def test_tiles_join_what_pairs_join(monkeypatch, first):
+    """Components of a large group, with lines that are known to be linked, against all pairs."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(lines, "FIRST", first)
+    monkeypatch.setattr(lines, "TILE", 16)
+    own = some_lines(first, 160)
+    sets, n = [shingles(x) for x in own], len(own)
+    known = np.zeros(n, np.int64)
+    known[[3, 40, 77]] = 5  # linked elsewhere, alike or not
+    elsewhere = [(40, 3), (77, 40)]
+    want = joined(n, [(a, b) for a in range(n) for b in range(a) if similar(sets[a], sets[b])] + elsewhere)
+    found = lines.Lines(pa.array(own)).links(np.array([0]), np.array([n]), known)
+    assert all(similar(sets[a], sets[b]) for a, b in found)
+    assert joined(n, found + elsewhere) == want and 3 < len(set(want)) < n
+
+
+def test_many_lines_of_one_document(spark):
+    df = spark.createDataFrame([(0, "\n".join(f"a line of its own, {k * k}" for k in range(9))), (1, "again and again the same\n" * 30_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.dedup_lines(df).select("row.doc_id", "text", "n_removed").collect()}
+    assert got[1].n_removed == 29_999 and got[1].text == "again and again the same\n"
+
+
 def test_quality_rules(docs, no_docs):
     got = {(r.doc_id, r.n_words, r.word_chars) for r in quality_rules.apply_rules(docs).collect()}
     want = {(r.doc_id, len(w := re.findall(r"[^\x20\x09-\x0D]+", r.text or "")), len("".join(w))) for r in docs.collect()}

@@ -12,10 +12,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textgraph.functions.text import let
+
 #: Rows and bytes of one Arrow batch: what a worker holds of it, index arrays included, is a fixed multiple of these bytes.
 BATCH_ROWS, BATCH_BYTES = 8192, 2 << 20
 #: Rows and bytes that may be broadcast.
@@ -63,6 +65,8 @@ def dropped(*frames: DataFrame) -> None:
 
 def _bytes(column: str, kind: T.DataType):
     """About how many bytes a value takes in memory."""
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+        return F.aggregate(F.coalesce(column, F.array().cast(kind)), F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 24) + 16
     if isinstance(kind, T.ArrayType):
         return F.coalesce(F.size(column), F.lit(0)) * 8 + 16
     if isinstance(kind, (T.StringType, T.BinaryType)):
@@ -71,7 +75,7 @@ def _bytes(column: str, kind: T.DataType):
 
 
 def is_small(df: DataFrame, copies: int = 1) -> bool:
-    """Whether the counted rows of a table, and their bytes, stay below the bounds of a broadcast.  Arrays hold plain numbers."""
+    """Whether the counted rows of a table, and their bytes, stay below the bounds of a broadcast.  Arrays hold plain numbers or strings."""
     size = sum((_bytes(f"`{f.name}`", f.dataType) for f in df.schema.fields), F.lit(0)).cast("long")
     rows, total = df.select(size.alias("size")).limit(SMALL_ROWS + 1).agg(F.count("*"), F.sum("size")).first()
     return rows <= SMALL_ROWS and (total or 0) * copies <= SMALL_BYTES
@@ -151,6 +155,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def without(items: Column, places: Column) -> Column:
+    """An array without the items at some places: what lies between two of them is taken by number, so the time is linear."""
+
+    def between(own: Column, at: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(at) - 1), lambda j: F.struct((F.get(at, j - 1) + 1).alias("a"), (F.get(at, j) - 1).alias("z")))
+        runs = F.filter(runs, lambda r: r["a"] <= r["z"])
+        return F.flatten(F.transform(runs, lambda r: F.transform(F.sequence(r["a"], r["z"]), lambda k: F.get(own, k))))
+
+    limits = lambda own: F.concat(F.array(F.lit(-1)), F.array_sort(places), F.array(F.size(own)))
+    return let(items, lambda own: let(limits(own), lambda at: between(own, at)))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, row): row holds the columns of docs, text no nulls, and ids are unique and in order.  Other ids than
     the table's own are made only where those are null or not unique; they follow id and text, nulls first."""

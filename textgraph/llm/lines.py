@@ -9,9 +9,10 @@ Jaccard similarity of their sets, whose shingles are compared by 64-bit hashes.
 document id and place) is kept.  Other lines are removed.
 
 Copies are pre-aggregated before anything else, so a line is signed and compared once however often it stands.  Band values
-that very many lines share are found by counting one line in COUNTED of them; this only decides how the work is dealt: such a
-band is cut into parts that meet pairwise in cells, in different tasks, and a band that the count misses is compared whole.
-A cell hands on a spanning forest of its links, never all pairs.  At the end, lines are looked up by 128 bits of hashes.
+that very many lines share are found by counting one line in COUNTED of them; this only decides how the work is dealt.  Their
+lines are compared with a few representatives first, exactly; lines linked in this way are one component and need not
+meet each other, and what is left of the band is cut into parts that meet all its lines' parts in cells, in different tasks.
+A band that the count misses is compared whole.  A cell hands on a spanning forest of its links, never all pairs.  At the end, lines are looked up by 128 bits of hashes.
 
 Defined cases: null and empty texts stay as they are; an id is given to rows with null or equal ids, in the order of id
 and text; other columns are carried along; an empty table stays empty; a document may lose all its lines and keeps the text ''.
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, contract, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes
+from textgraph.llm.common import components, contract, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
@@ -38,8 +39,11 @@ BANDS, ROWS = 14, 6
 PART_LINES, COUNTED = 4096, 64
 #: Characters of a piece of a line, and about how many are signed together.
 LONG = 1 << 16
-#: Words of 64 bits in a sketch, rows and columns of a tile, lines of a group up to which pairs are listed by distance.
-SKETCH, TILE, FEW = 4, 512, 32
+#: Words of 64 bits in a sketch, rows and columns of a tile, lines of a group up to which pairs are listed by distance, and
+#: lines of a larger group that are compared with all its others first.
+SKETCH, TILE, FEW, FIRST = 4, 512, 32, 8
+#: Lines of a hot band that its other lines are compared with first.
+REPRESENTATIVES = 8
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -153,9 +157,11 @@ class Lines:
         both = np.minimum(m - only(x, y), n - only(y, x))
         return both >= SIMILARITY * (m + n - both)
 
-    def links(self, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
-        """A spanning forest of the similar lines of each group [start, end)."""
+    def links(self, start: np.ndarray, end: np.ndarray, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+        """A spanning forest of the similar lines of each group [start, end).  known: numbers of lines that are linked already
+        where these are equal and not 0; they are not compared with each other."""
         out = []
+        known = np.zeros(len(self.size), np.int64) if known is None else known
         size = end - start
         few = np.repeat((size > 1) & (size <= FEW), size)
         group = np.repeat(np.arange(len(size)), size)
@@ -166,7 +172,8 @@ class Lines:
             at = at[group[at] == group[at + shift]]
             if not len(at):
                 break
-            hit = at[self.possible(at, at + shift)]
+            open_ = at[(known[at] != known[at + shift]) | (known[at] == 0)]
+            hit = open_[self.possible(open_, open_ + shift)]
             found.append(np.stack([hit + shift, hit], 1))
         pairs = np.concatenate(found)
         root: dict[int, int] = {}
@@ -182,30 +189,43 @@ class Lines:
                 root[max(x, y)] = min(x, y)
                 out.append((a, b))
         for a, b in zip(start[size > FEW].tolist(), end[size > FEW].tolist()):
-            out += self.tiled(a, b)
+            out += self.tiled(a, b, known)
         return out
 
-    def tiled(self, start: int, end: int) -> list[tuple[int, int]]:
-        """The same for one large group, tile by tile in the order of set sizes; pairs already joined are not compared."""
+    def tiled(self, start: int, end: int, known: np.ndarray) -> list[tuple[int, int]]:
+        """The same for one large group, in the order of set sizes.  A few lines are compared with all others first; what is
+        joined with the most others by then need not be compared with these, so only the rest meets all, tile by tile."""
         order = np.arange(start, end)[np.argsort(self.size[start:end], kind="stable")]
-        size, root, out = self.size[order], np.arange(len(order)), []
-        for i in range(0, len(order), TILE):
-            a = order[i : i + TILE]
-            for j in range(i - i % TILE, -1, -TILE):
-                b = order[j : j + TILE]
-                if size[min(j + TILE, len(order)) - 1] < SIMILARITY * size[i]:
-                    break  # sizes of all earlier tiles are smaller still
-                x, y = np.nonzero(self.possible(a[:, None], b[None, :]))
-                x, y = x[(keep := x + i > y + j)] + i, y[keep] + j
-                while len(x):
-                    x, y = x[(apart := root[x] != root[y])], y[apart]
-                    first = run_starts(x)  # one open pair of each line, then those still open again
-                    for k, m in zip(x[first].tolist(), y[first].tolist()):
-                        if root[k] != root[m] and self.similar(int(order[k]), int(order[m])):
-                            low, high = sorted((root[k], root[m]))
-                            root[root == high] = low
-                            out.append((int(order[k]), int(order[m])))
-                    x, y = np.delete(x, first), np.delete(y, first)
+        size, out = self.size[order], []
+        _, first, root = np.unique(np.where(known[order] == 0, -1 - np.arange(len(order)), known[order]), return_index=True, return_inverse=True)
+        root = first[root]
+
+        def join(x: np.ndarray, y: np.ndarray) -> None:
+            while len(x):
+                x, y = x[(apart := root[x] != root[y])], y[apart]
+                one = run_starts(x)  # one open pair of each line, then those still open again
+                for k, m in zip(x[one].tolist(), y[one].tolist()):
+                    if root[k] != root[m] and self.similar(int(order[k]), int(order[m])):
+                        low, high = sorted((root[k], root[m]))
+                        root[root == high] = low
+                        out.append((max(int(order[k]), int(order[m])), min(int(order[k]), int(order[m]))))
+                x, y = np.delete(x, one), np.delete(y, one)
+
+        everyone = np.arange(len(order))
+        for k in np.linspace(0, len(order) - 1, FIRST).astype(np.int64).tolist():
+            others = everyone[root != root[k]]
+            others = others[self.possible(order[others], np.broadcast_to(order[k], len(others)))]
+            join(others, np.full(len(others), k))
+        main = np.bincount(root).argmax()
+        rest = everyone[root != main]
+        for i in range(0, len(rest), TILE):
+            a = rest[i : i + TILE]
+            low = np.searchsorted(size, SIMILARITY * size[a[0]], "left")  # sizes beyond these can't be similar
+            high = np.searchsorted(size, size[a[-1]] / SIMILARITY, "right")
+            for j in range(low, high, TILE):
+                b = everyone[j : min(j + TILE, high)]
+                x, y = np.nonzero(self.possible(order[a][:, None], order[b][None, :]))
+                join(a[x], b[y])
         return out
 
 
@@ -216,37 +236,117 @@ def _hot(each: DataFrame) -> DataFrame | None:
     return hot if hot.limit(1).count() else None
 
 
+def settled(distinct: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines of hot bands that are linked by a few exact comparisons: (name, known), where equal numbers are linked lines, and the
+    links (a, b).  Each line is compared with REPRESENTATIVES lines of one of its hot bands, which meet it wherever it is, so a
+    template's fillings become one component in linear time and need not meet each other again."""
+    count = REPRESENTATIVES
+    own = distinct.select("name", F.explode("bands").alias("band")).join(small(hot.select("band")), "band")
+    own = stored(own.groupBy("name").agg(F.min("band").alias("band")), "chosen")
+    picked = own.groupBy("band").agg(F.array_distinct(F.array(*[F.min_by("name", F.xxhash64("name", F.lit(k))) for k in range(count)])).alias("reps"))
+    texts = picked.select("band", F.posexplode("reps").alias("k", "name")).join(distinct.select("name", "line"), "name")
+    sorted_ = F.array_sort(F.collect_list(F.struct("k", "name", "line")))  # no more than REPRESENTATIVES
+    reps = texts.groupBy("band").agg(sorted_.alias("r")).select("band", F.transform("r", lambda x: x["name"]).alias("reps"), F.transform("r", lambda x: x["line"]).alias("lines"))
+    reps = stored(reps, "representatives")
+
+    def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            name, band = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            mask = np.zeros(len(name), np.int64)
+            for b in np.unique(band).tolist():
+                at = np.flatnonzero(band == b)
+                first = batch.column(3)[int(at[0])].values
+                n = len(first)
+                both = Lines(pa.concat_arrays([first.cast(pa.string()), batch.column(2).take(pa.array(at)).cast(pa.string())]))
+                for k in range(n):
+                    near = np.flatnonzero(both.possible(n + np.arange(len(at)), np.full(len(at), k)))
+                    mask[at[[x for x in near.tolist() if both.similar(n + x, k)]]] |= 1 << k
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mask)], ["name", "band", "mask"])
+
+    met = own.join(distinct.select("name", "line"), "name").join(small(reps.select("band", "lines")), "band").select("name", "band", "line", "lines")
+    masks = stored(map_arrow(met, compare, "name long, band long, mask long").where("mask <> 0"), "masks")
+
+    def connected(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Masks that share a bit, step by step, are one component; its number is its lowest bit's."""
+        for batch in rows:
+            out = [[], [], []]
+            for band, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                wide = list(own)
+                while (wider := [_joined(wide, m) for m in wide]) != wide:
+                    wide = wider
+                for m, w in zip(own, wide):
+                    for c, x in zip(out, (band, m, (w & -w).bit_length() - 1)):
+                        c.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["band", "mask", "part"])
+
+    parts = map_arrow(masks.groupBy("band").agg(F.collect_set("mask").alias("masks")), connected, "band long, mask long, part long")
+    parts = stored(parts, "mask_parts")  # no more than 2 ** REPRESENTATIVES a band
+    names = small(reps.select("band", "reps"))
+    low = F.expr("length(bin(mask & -mask)) - 1")
+    each = masks.join(names, "band").select(F.col("name").alias("x"), F.get("reps", low).alias("y"))
+    bits = F.explode(F.filter(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k)) != 0))
+    among = parts.join(names, "band").withColumn("bit", bits).select(F.get("reps", "bit").alias("x"), F.get("reps", low).alias("y"))
+    links_ = each.union(among).where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    known = masks.join(small(parts), ["band", "mask"]).select("name", F.xxhash64("band", "part").alias("known"))
+    return known, links_
+
+
+def _joined(masks: list[int], own: int) -> int:
+    """A mask with all that share a bit with it."""
+    for m in masks:
+        if m & own:
+            own |= m
+    return own
+
+
 def in_cells(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """(band, name), with bands that very many share cut into cells: each pair of parts meets in one of them."""
+    """(band, name, known), with bands that very many share cut into cells.  In such a band, the lines that are known to be linked
+    with the most others are many and need not meet; of the others, which are cut into parts like all lines, each part
+    meets all lines' parts.  Where the others are most lines, all pairs of parts meet, each in one cell."""
     if hot is None:
         return rows
-    part = F.pmod(F.xxhash64("name", F.lit(1)), F.col("parts")).cast("int")
-    other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = rows.join(small(hot), "band", "left").select("band", "name", part.alias("p"), other.alias("o"))
-    cell = F.when(F.col("o") < 0, F.col("band")).otherwise(F.xxhash64("band", F.least("p", "o"), F.greatest("p", "o")))
-    return met.select(cell.alias("band"), "name")
-
-
-def shared_bands(distinct: DataFrame) -> DataFrame:
-    """(key, name) of the lines that share a band value; band values with the same lines are one key."""
+    inside = rows.join(small(hot), "band", "left")
+    counts = inside.where("parts is not null").groupBy("band", "known").agg(F.count("*").alias("n"))
+    main = counts.groupBy("band").agg(F.sum("n").alias("n"), F.max_by("known", F.when(F.col("known") != 0, F.col("n"))).alias("main"), F.max(F.when(F.col("known") != 0, F.col("n"))).alias("most"))
+    main = main.select("band", F.coalesce("main", F.lit(0)).alias("main"), (2 * F.coalesce("most", F.lit(0)) < F.col("n")).alias("all_open"), F.ceil((F.col("n") - F.coalesce("most", F.lit(0))) / PART_LINES).cast("int").alias("open_parts"))
+    inside = inside.join(small(main), "band", "left")
+    at = F.xxhash64("name", F.lit(1))
+    part, mine = F.pmod(at, F.col("parts")).cast("int"), F.pmod(at, F.greatest("open_parts", F.lit(1))).cast("int")
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    cell = lambda i, j: F.xxhash64("band", i, j)
+    all_pairs = F.transform(upto(F.col("parts")), lambda o: cell(F.least(part, o), F.greatest(part, o)))
+    as_any = F.transform(upto(F.col("open_parts")), lambda i: cell(i, part))
+    as_open = F.when((F.col("known") == 0) | (F.col("known") != F.col("main")), F.transform(upto(F.col("parts")), lambda j: cell(mine, j))).otherwise(F.array().cast("array<bigint>"))
+    cells = F.when(F.col("parts").isNull(), F.array("band")).when(F.col("all_open"), all_pairs).otherwise(F.array_distinct(F.concat(as_any, as_open)))
+    return inside.select(F.explode(cells).alias("band"), "name", "known")
+
+
+def shared_bands(distinct: DataFrame, hot: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """(key, name, known) of the lines that share a band value; band values with the same lines are one key, and those whose
+    lines are all known to be linked are none."""
     each = distinct.select("name", F.explode("bands").alias("band"))
+    each = each.withColumn("known", F.lit(0).cast("long")) if known is None else each.join(known, "name", "left").withColumn("known", F.coalesce("known", F.lit(0)))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, enough = [], 0, 1 << 17
 
         def several(last: bool) -> pa.RecordBatch:
-            band, name = (np.concatenate(c) for c in zip(*held))
-            cut = len(band) if last else int(np.searchsorted(band, band[-1]))
-            held[:] = [(band[cut:], name[cut:])]
-            band, name = band[:cut], name[:cut]
+            columns = [np.concatenate(c) for c in zip(*held)]
+            cut = len(columns[0]) if last else int(np.searchsorted(columns[0], columns[0][-1]))
+            held[:] = [tuple(c[cut:] for c in columns)]
+            band, name, linked = (c[:cut] for c in columns)
             first = run_starts(band)
             size = np.diff(np.append(first, len(band)))
-            many = np.repeat(size > 1, size)
-            same = mixed(np.add.reduceat(mixed(name.view(np.uint64)), first) + size.astype(np.uint64)).view(np.int64) if len(first) else size
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(same, size)[many]), pa.array(name[many])], ["key", "name"])
+            if len(first):
+                done = (np.minimum.reduceat(linked, first) == np.maximum.reduceat(linked, first)) & (linked[first] != 0)
+                many = np.repeat((size > 1) & ~done, size)
+                same = mixed(np.add.reduceat(mixed(name.view(np.uint64)), first) + size.astype(np.uint64)).view(np.int64)
+            else:
+                many, same = np.zeros(0, bool), size
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(same, size)[many]), pa.array(name[many]), pa.array(linked[many])], ["key", "name", "known"])
 
         for batch in rows:
-            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)))
+            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2)))
             n += batch.num_rows
             if n >= enough:
                 yield several(False)
@@ -255,14 +355,17 @@ def shared_bands(distinct: DataFrame) -> DataFrame:
         if held:
             yield several(True)
 
-    rows = in_cells(each, _hot(each)).select("band", "name")
+    rows = in_cells(each, hot).select("band", "name", "known")
     dealt = rows.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band")
-    return map_arrow(dealt, run, "key long, name long").distinct()
+    return map_arrow(dealt, run, "key long, name long, known long").distinct()
 
 
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b): numbers of similar lines."""
-    candidates = stored(shared_bands(distinct), "candidates", release=True)
+    hot = _hot(distinct.select("name", F.explode("bands").alias("band")))
+    known, early = settled(distinct, hot) if hot else (None, None)
+    known = stored(known, "known") if hot else None
+    candidates = stored(shared_bands(distinct, hot, known), "candidates", release=True)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, enough = [], 0, 1 << 11
@@ -276,7 +379,7 @@ def links(distinct: DataFrame) -> DataFrame:
             names, found = whole.column(1).to_numpy()[:cut], []
             if cut:
                 first = run_starts(key[:cut])
-                found = Lines(whole.column(2).slice(0, cut).combine_chunks()).links(first, np.append(first[1:], cut))
+                found = Lines(whole.column(2).slice(0, cut).combine_chunks()).links(first, np.append(first[1:], cut), whole.column(3).to_numpy()[:cut])
             pairs = names[np.array(found, np.int64).reshape(-1, 2)]
             return pa.RecordBatch.from_arrays([pa.array(pairs.max(1)), pa.array(pairs.min(1))], ["a", "b"])
 
@@ -290,9 +393,10 @@ def links(distinct: DataFrame) -> DataFrame:
         if n:
             yield out(True)
 
-    met = candidates.join(distinct.select("name", "line"), "name").select("key", "name", "line")
+    met = candidates.join(distinct.select("name", "line"), "name").select("key", "name", "line", "known")
     dealt = met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key")
-    return map_arrow(dealt, lambda rows: contract(run(rows)), "a long, b long")  # in one worker, not in two
+    found = map_arrow(dealt, lambda rows: contract(run(rows)), "a long, b long")  # in one worker, not in two
+    return found.union(early) if hot else found
 
 
 def _hashes() -> list[Column]:
@@ -325,7 +429,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = keyed(docs, id_col, text_col)
     gone = stored(removed_lines(own.select("id", "text")), "gone")
     out = own.join(small(gone), "id", "left")
-    left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i))
+    left = without(F.split("text", "\n"), F.col("gone"))
     original = F.col("row")[text_col]
     return out.select(
         "row",
