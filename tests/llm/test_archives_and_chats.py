@@ -51,6 +51,18 @@ def test_warc_skips_false_magic_and_damage(spark, pages, tmp_path):
     assert warc.read(df, 1000).count() in (28, 29)
 
 
+def test_time_of_a_split_of_many_records(tmp_path):
+    """A member is decoded from what it holds, not from a copy of all that follows it."""
+    import time
+
+    rows = [warc.record(k, "u", f"payload {k} ".encode() * 30, 330, hashlib.sha1(str(k).encode()).digest(), None) for k in range(6700)]
+    path = tmp_path / "many.warc.gz"
+    path.write_bytes(b"".join(rows))
+    began = time.process_time()
+    assert sum(1 for _ in warc.owned(f"file://{path}", 0, path.stat().st_size)) == 6700
+    assert time.process_time() - began < 1
+
+
 def test_warc_of_nothing(spark, pages):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 

@@ -62,6 +62,29 @@ def test_windows_of_a_large_benchmark_stay_small():
     assert held < 30 * 600_000
 
 
+def test_a_preamble_that_all_items_share(spark):
+    """14,000 items and 1,000 documents with one common window, which is sought and located once."""
+    import hashlib
+
+    preamble = "answer the question below with the letter of the right choice and nothing else"
+    items = [(f"i{k}", f"{preamble} own words {k}") for k in range(14_000)]
+    rows = [(k, f"before {k} it all {preamble.upper()} then more words {k}") for k in range(1000)] + [(1000, "none of it")]
+    found = decontaminate.find_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), spark.createDataFrame(items, "item_id string, text string"))
+    got = found.select("row.doc_id", "n_hit", F.size("items").alias("n"), F.sha2(F.array_join("items", ","), 256).alias("h")).collect()
+    every = hashlib.sha256(",".join(sorted(i for i, _ in items)).encode()).hexdigest()
+    assert {(r.n_hit, r.n, r.h) for r in got if r.doc_id < 1000} == {(14, 14_000, every)}
+    assert [(r.n_hit, r.n) for r in got if r.doc_id == 1000] == [(0, 0)]
+
+
+def test_equal_hashes_of_windows_are_told_apart(monkeypatch):
+    items = [("a", b"x y z"), ("b", b"x y q"), ("c", b"x y z"), ("d", b"u v w"), (None, b"x y z")]
+    monkeypatch.setattr(decontaminate, "mixed", lambda x: x * np.uint64(0))
+    windows = decontaminate.Windows(items, 3)
+    starts, limits, places = windows.distinct[3]
+    named = sorted(sorted((windows.ids[int(p)].as_py() or "null") for p in places[a:z]) for a, z in zip(limits, limits[1:]))
+    assert len(starts) == 3 and named == [["a", "c", "null"], ["b"], ["d"]]
+
+
 def test_fm_index_finds_all_occurrences():
     r = np.random.default_rng(3)
     text = r.integers(1, 5, 600)
@@ -404,6 +427,18 @@ def test_boilerplate_lines(spark):
     assert got[101].removed_chars == 0 and got[101].kept
 
 
+def test_very_many_boilerplate_lines_in_one_text(spark):
+    """Linear in the lines of a text; blank lines stay where they are."""
+    import time
+
+    lines_ = [f"common line number {k}" for k in range(30_000)]
+    rows = [(k, "\n".join(lines_[:3000]), "h") for k in range(22)] + [(99, "\n \n".join(lines_[:3000]) + "\nown line\n", "h")]
+    began = time.time()
+    got = {r.doc_id: r for r in quality_rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert time.time() - began < 60
+    assert got[99].text == "\n".join([" "] * 2999 + ["own line", ""]) and got[0].text == "" and not got[0].kept
+
+
 def test_boilerplate_by_number_on_a_large_host(spark):
     """100 of 4,000 documents are under the share; the absolute limit takes the line all the same."""
     rows = [(k, ("Subscribe to our letter\n" if k % 40 == 0 else "") + f"own line {k} with ten words or more in it, as asked", "h") for k in range(4000)]

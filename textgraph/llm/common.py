@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import os
@@ -105,6 +106,25 @@ def local_file(name: str) -> str:
     return SparkFiles.get(name)
 
 
+#: Of Spark's runtime filters: from how many bytes of the filtered side on they pay; the size of a filter is bounded by Spark.
+FILTERED_BYTES = 64 << 20
+
+
+@contextlib.contextmanager
+def filtered_joins(spark: SparkSession):
+    """Within this, a join whose one side holds few of the other's keys sends a Bloom filter of them (at most 8 MB, whatever the
+    input) to the other side's scan, so that rows without a partner are not shuffled.  Spark does so by itself beyond 10 GB."""
+    prefix, old = "spark.sql.optimizer.runtime.bloomFilter", {}
+    for key, value in {"enabled": "true", "applicationSideScanSizeThreshold": str(FILTERED_BYTES), "creationSideThreshold": str(1 << 40)}.items():
+        old[key] = spark.conf.get(f"{prefix}.{key}", None)
+        spark.conf.set(f"{prefix}.{key}", value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(f"{prefix}.{key}") if value is None else spark.conf.set(f"{prefix}.{key}", value)
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

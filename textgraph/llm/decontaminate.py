@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgraph.llm.common import dropped, map_arrow, new_folder, partitions, stored
+from textgraph.llm.common import dropped, map_arrow, mixed, new_folder, partitions, run_starts, stored
 
 #: A word is a run of these bytes of the UTF-8 text: 0-9, a-z, A-Z (lowered) and all bytes beyond ASCII.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -35,6 +35,8 @@ _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <
 SHARD_WORDS, SAMPLE, BLOCK_BYTES = 1 << 21, 16, 8 << 20
 #: Words of a piece of a long item, windows that are sought at a time, blocks that a task keeps.
 PIECE_WORDS, SOUGHT, KEPT_BLOCKS = 1 << 16, 1 << 16, 2
+#: Item ids of the documents that go out together, one document's at least.
+OUT_ITEMS = 1 << 18
 _SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -152,21 +154,49 @@ class Windows:
         full = np.flatnonzero(size >= width)
         if len(full):
             n = size[full] - width + 1
-            self.starts[width] = np.repeat(limits[full] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            starts = np.repeat(limits[full] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            self.starts[width] = starts.astype(np.int32 if len(self.words) < 1 << 31 else np.int64)
         self.shortest = min(self.starts, default=0)
+        #: Ids in the order of the output, and each item's place among them.
+        ids = sorted(set(self.items), key=lambda x: (x is None, x or ""))
+        place = {x: k for k, x in enumerate(ids)}
+        self.ids, place = pa.array(ids, pa.string()), np.array([place[x] for x in self.items], np.int64)
+        #: Equal windows are one: a place where it stands, and the ids of the items that have it.
+        self.distinct = {n: self._distinct(starts, n, place) for n, starts in self.starts.items()}
 
     def of(self, starts: np.ndarray) -> np.ndarray:
         """The items in which windows start."""
         return np.searchsorted(self.first, starts, "right") - 1
 
-
-def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarray, set]]:
-    """For each document (numbered words, 0: not in the benchmark): which words are hit, and by which items."""
+    def _distinct(self, starts: np.ndarray, n: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first of equal windows, where the ids of each begin, and these ids."""
+        key = np.zeros(len(starts), np.uint64)
+        for k in range(n):
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + self.words[starts + k].astype(np.uint64) + np.uint64(1))
+        _, first, number = np.unique(key, return_index=True, return_inverse=True)
+        same = starts[first][number]
+        if any((self.words[starts + k] != self.words[same + k]).any() for k in range(n)):  # two windows of one hash
+            rows = np.ascontiguousarray(self.words[starts[:, None] + np.arange(n)]).view(np.dtype((np.void, 4 * n))).ravel()
+            _, first, number = np.unique(rows, return_index=True, return_inverse=True)
+        wide = max(1, len(self.ids))
+        pairs = np.unique(number.astype(np.int64) * wide + place[self.of(starts)])
+        small = np.int32 if len(pairs) < 1 << 31 else np.int64
+        return starts[first], np.searchsorted(pairs, np.arange(len(first) + 1) * wide).astype(small), (pairs % wide).astype(small)
+
+
+def _several(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ..., as many as size says, of each."""
+    return np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
+def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarray | None, np.ndarray]]:
+    """For each document (numbered words, 0: not in the benchmark): which words are hit, and the places of the hitting
+    items among the ids.  Equal windows of several items are sought and located once."""
     limits = np.concatenate([[0], np.cumsum([len(d) for d in docs], dtype=np.int64)]).astype(np.int64)
     all_words = np.concatenate([np.zeros(0, np.int32), *docs])
-    out = [(None, set()) for _ in docs]
+    none = [(None, np.zeros(0, np.int64)) for _ in docs]
     if not windows.starts or not len(all_words):
-        return out
+        return none
     used = all_words > 0
     # runs of benchmark words inside one document, as long as the shortest window at least
     edge = np.zeros(len(all_words) + 1, bool)
@@ -176,7 +206,7 @@ def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarra
     long_ = end - start >= windows.shortest
     start, size = start[long_], (end - start)[long_]
     if not len(start):
-        return out
+        return none
     # each run and one end symbol
     step = size + 1
     base = np.cumsum(step) - step
@@ -186,21 +216,33 @@ def shard_hits(docs: list[np.ndarray], windows: Windows) -> list[tuple[np.ndarra
     text[last] = 0
     index = FMIndex(text, len(windows.vocabulary) + 1)
     delta = np.zeros(len(all_words) + 1, np.int64)
-    for length, starts in windows.starts.items():
+    items: list[list[np.ndarray]] = [[] for _ in docs]
+    for length, (starts, limits_of, places) in windows.distinct.items():
         for at in range(0, len(starts), SOUGHT):
             own = starts[at : at + SOUGHT]
             found, low, high = index.search(windows.words[own[:, None] + np.arange(length)].astype(np.int64))
             if not len(found):
                 continue
             n = high - low
-            item = np.repeat(windows.of(own[found]), n)
-            place = source[index.locate(np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n))]
+            place = source[index.locate(_several(low, n))]
             np.add.at(delta, place, 1)
             np.add.at(delta, place + length, -1)
-            for doc, k in np.unique(np.stack([np.searchsorted(limits, place, "right") - 1, item], 1), axis=0).tolist():
-                out[doc][1].add(windows.items[k])
+            doc = np.searchsorted(limits, place, "right") - 1
+            pairs = np.unique(doc * len(starts) + np.repeat(found + at, n))
+            doc, window = pairs // len(starts), pairs % len(starts)
+            for a, z in zip(first := run_starts(doc), np.append(first[1:], len(doc))):
+                begins = limits_of[window[a:z]]
+                items[doc[a]].append(np.unique(places[_several(begins, limits_of[window[a:z] + 1] - begins)]))
     hit = np.cumsum(delta)[:-1] > 0
-    return [(hit[limits[k] : limits[k + 1]], items) if items else (None, items) for k, (_, items) in enumerate(out)]
+    return [(hit[limits[k] : limits[k + 1]], np.unique(np.concatenate(found))) if found else none[k] for k, found in enumerate(items)]
+
+
+def _named(parts: list[tuple[pa.Array, np.ndarray]]) -> pa.Array:
+    """The ids that a document's places stand for, over one or more blocks of the benchmark, in order."""
+    found = [ids.take(pa.array(places)) for ids, places in parts]
+    if len(found) < 2:
+        return found[0] if found else pa.array([], pa.string())
+    return pa.array(sorted({x for f in found for x in f.to_pylist()}, key=lambda x: (x is None, x or "")), pa.string())
 
 
 def _runs(hit: np.ndarray) -> np.ndarray:
@@ -224,24 +266,28 @@ def _searched(rows: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.Rec
     def flush():
         tokens = [t for _, words, _ in held for t in words]
         hits: list = [None] * len(tokens)
-        items: list[set] = [set() for _ in tokens]
+        items: list[list] = [[] for _ in tokens]
         for windows in blocks:
             number = windows.vocabulary.get
             numbered = [np.fromiter(map(number, t, itertools.repeat(0)), np.int32, len(t)) for t in tokens]
             for k, (hit, more) in enumerate(shard_hits(numbered, windows)):
                 if hit is not None:
                     hits[k] = hit.copy() if hits[k] is None else hits[k] | hit
-                    items[k] |= more
-        k = 0
+                    items[k].append((windows.ids, more))
+        base = 0
         for row, words, raws in held:
-            found = [_runs(h) if h is not None else () for h in hits[k : k + len(raws)]]
-            columns = [
-                row, pa.array([len(t) for t in words], pa.int64()), pa.array([[{"start": int(a), "end": int(b)} for a, b in f] for f in found], span),
-                pa.array([sorted(i, key=lambda x: (x is None, x or "")) for i in items[k : k + len(raws)]], pa.list_(pa.string())),
-                pa.array([_char_spans(raw, f) if len(f) else [] for raw, f in zip(raws, found)], span),
-            ]
-            k += len(raws)
-            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "hits", "items", "spans"])
+            # documents that many items hit go out in batches of their own
+            many = np.cumsum([sum(len(p) for _, p in items[base + k]) for k in range(len(raws))], dtype=np.int64) // OUT_ITEMS
+            for a, z in zip(first := run_starts(many).tolist(), [*first[1:], len(raws)]):
+                found = [_runs(h) if h is not None else () for h in hits[base + a : base + z]]
+                names = [_named(p) for p in items[base + a : base + z]]
+                columns = [
+                    row.slice(a, z - a), pa.array([len(t) for t in words[a:z]], pa.int64()), pa.array([[{"start": int(x), "end": int(y)} for x, y in f] for f in found], span),
+                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, names)]), pa.int32()), pa.concat_arrays(names)),
+                    pa.array([_char_spans(raw, f) if len(f) else [] for raw, f in zip(raws[a:z], found)], span),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "hits", "items", "spans"])
+            base += len(raws)
         held.clear()
 
     n = 0

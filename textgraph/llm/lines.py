@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, contract, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
+from textgraph.llm.common import components, contract, filtered_joins, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
@@ -393,9 +393,11 @@ def links(distinct: DataFrame) -> DataFrame:
         if n:
             yield out(True)
 
-    met = candidates.join(distinct.select("name", "line"), "name").select("key", "name", "line", "known")
-    dealt = met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key")
-    found = map_arrow(dealt, lambda rows: contract(run(rows)), "a long, b long")  # in one worker, not in two
+    with filtered_joins(distinct.sparkSession):  # most lines share no band, and their texts stay where they are
+        met = distinct.select("name", "line").join(candidates.where("name >= 0"), "name").select("key", "name", "line", "known")
+        dealt = met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key")
+        found = map_arrow(dealt, lambda rows: contract(run(rows)), "a long, b long")  # in one worker, not in two
+        found = stored(found, "found", release=True)
     return found.union(early) if hot else found
 
 

@@ -2,12 +2,13 @@
 
 A first pass over the texts hashes each document's normalised lines.  A line counts once per document and host.  It is
 boilerplate where it stands in more than ``min_docs`` documents of a host and in more than ``max_share`` of them, or, where
-``max_docs`` is given, in more than that many documents of a host of any size.  A second pass takes the boilerplate lines out of the texts and measures the documents; a document that keeps less than ``min_left`` of
-its characters is depleted and rejected.
+``max_docs`` is given, in more than that many documents of a host of any size, so that what is boilerplate doesn't fade as a host
+grows.  A second pass takes the boilerplate lines out of the texts, by their places, and measures the documents; a document that
+keeps less than ``min_left`` of its characters is depleted and rejected.
 
 Counts are pre-aggregated before they are shuffled, the limit by number is applied before the host's size is joined,
 and a hot line meets the short list of boilerplate in a join that adaptive execution can broadcast or split.  Only ids and
-hashes of lines that go meet the texts, broadcast while they are few.
+places of lines that go meet the texts, broadcast while they are few.
 
 Defined cases: a null or empty text has no words and no lines and fails the base rules, and stays as it is; a null host is the
 host ''; equal and null ids stay separate rows; lines without a word are never counted or removed; extra columns are ignored;
@@ -19,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import keyed, small, stored
+from textgraph.functions.text import let
+from textgraph.llm.common import keyed, small, stored, without
 
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -84,6 +86,12 @@ def boilerplate(rows: DataFrame, min_docs: int, max_share: float, max_docs: int
     return often.join(hosts, "host").where(many).select("host", "h")
 
 
+def _staying(lines: Column, gone: Column) -> Column:
+    """A text's lines without those at some places, counted over the lines that hold a word."""
+    real = F.filter(F.transform(lines, lambda x, k: F.when(x.rlike(r"[^\x20\x09-\x0D]"), k)), lambda k: k.isNotNull())
+    return let(real, lambda own: without(lines, F.transform(gone, lambda k: F.get(own, k))))
+
+
 def apply_rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_left: float = 0.5, id_col: str = "doc_id",
                 text_col: str = "text", host_col: str = "source", max_docs: int | None = None) -> DataFrame:
     """Per document the base measures, text (without boilerplate lines), removed_chars, line_chars, base_failed and kept."""
@@ -91,11 +99,10 @@ def apply_rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, mi
     host = F.coalesce(F.col("row")[host_col].cast("string"), F.lit("")).alias("host")
     rows = stored(own.select("id", host, F.transform(_lines(F.col("text")), _name).alias("lines")), "lines")
     frequent = boilerplate(rows, min_docs, max_share, max_docs)
-    each = rows.select("id", "host", F.explode(F.array_distinct("lines")).alias("h"))
-    gone = stored(each.join(frequent, ["host", "h"], "left_semi").groupBy("id").agg(F.collect_list("h").alias("gone")), "gone")
-    stays = lambda x: ~x.rlike(r"[^\x20\x09-\x0D]") | ~F.array_contains("gone", _name(x))
+    each = rows.select("id", "host", F.posexplode("lines").alias("k", "h"))
+    gone = stored(each.join(frequent, ["host", "h"], "left_semi").groupBy("id").agg(F.collect_list("k").alias("gone")), "gone")
     # the lines of texts that lose none are not hashed again
-    left = F.when(F.col("gone").isNotNull(), F.array_join(F.filter(F.split("text", "\n"), stays), "\n"))
+    left = F.when(F.col("gone").isNotNull(), let(F.split("text", "\n"), lambda own: F.array_join(_staying(own, F.col("gone")), "\n")))
     original = F.col("row")[text_col]
     texts = own.join(small(gone), "id", "left").select(F.col("row")[id_col].alias("doc_id"), original.alias("original"), "text", left.alias("left"))
     out = measured(texts, "doc_id", "original", "left")

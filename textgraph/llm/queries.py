@@ -57,7 +57,7 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).drop("text")
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), max_docs=1000).drop("text")
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ l as (select r, host, unnest(list_filter(string_split(t, chr(10)), lambda x: reg
 dup as (select r, count(*) - count(distinct x) as n, sum(length(x)) as total from l group by r),
 n as (select r, host, length(x) as c, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) as h from l),
 f as (select host, h from (select host, h, count(distinct r) as n from n group by host, h) join (select host, count(*) as docs from d group by host) using (host)
-      where n > 20 and n > 0.05 * docs),
+      where n > 20 and n > 0.05 * docs or n > 1000),
 gone as (select r, sum(c) as n from n where (host, h) in (select (host, h) from f) group by r),
 m as (select d.doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
       length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines,

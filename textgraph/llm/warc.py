@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from textgraph.llm.common import is_small, map_arrow, new_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
-#: Bytes of a split, of a read beyond it, and rounds of salt for copies of one payload.
-SPLIT_BYTES, AHEAD, SALT = 4 << 20, 1 << 18, 32
+#: Bytes of a split, of a read beyond it, and that are decoded at a time; rounds of salt for copies of one payload.
+SPLIT_BYTES, AHEAD, FED, SALT = 4 << 20, 1 << 18, 1 << 14, 32
 DATE = "2024-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _READ = "record_id string, record_type string, page_id long, url string, refers_to long, payload_digest string, payload_bytes long, payload binary, digest_ok boolean"
@@ -117,14 +117,17 @@ def write(pages: DataFrame, folder: str | None = None, revisit_bytes: int = 1000
 def member(data: memoryview, at: int, limit: int | None = None):
     """Decode the gzip member at this place: its content and end, (None, None) if data ends first, False if it is none.
     With a limit, only so many decoded bytes are wanted, and the end is not."""
-    unpack = zlib.decompressobj(31)
+    unpack, parts = zlib.decompressobj(31), []
     try:
         if limit:
             return unpack.decompress(data[at : at + 4096], limit), None
-        content = unpack.decompress(data[at:])
+        for k in range(at, len(data), FED):  # all the rest at once would be copied for each member
+            parts.append(unpack.decompress(data[k : k + FED]))
+            if unpack.eof:
+                return b"".join(parts), min(k + FED, len(data)) - len(unpack.unused_data)
     except zlib.error:
         return False
-    return (content, len(data) - len(unpack.unused_data)) if unpack.eof else (None, None)
+    return None, None
 
 
 def header(content: bytes) -> dict[str, str] | None:
