@@ -307,20 +307,56 @@ def test_stages_of_ones_own(spark):
     assert M.call_or_empty(Counting({"QA": "no"}), M.messages("qa", ""), 1, wait=0, validate=lambda r: tries.append(r)) == "" and tries == ["no"] * 3
 
 
-def test_names_in_blocks(spark):
-    rows = spark.createDataFrame([(k, f"Mr. N{k}", "KNOWS", f"Ann N{k}", "x", 1) for k in range(30)], TRIPLE)
+class Grouping:
+    """Groups names by their last word; the canonical name is the longest, then the first."""
 
-    class Grouping:
-        def call(self, messages, max_tokens):
-            names = sorted(x[2:] for x in messages[1]["content"].split("\n")[1:])
-            last = {}
-            for n in names:
-                last.setdefault(n.split()[-1], []).append(n)
-            return "".join("[GROUP]\n" + "\n".join(g) + "\n[/GROUP]" for g in last.values())
-
-    for most in (2000, 7):
-        got = {r.variant: r.canonical for r in runs.entity_mapping(rows, Grouping, most).collect()}
-        assert got == {f"{t} N{k}": f"Ann N{k}" for k in range(30) for t in ("Mr.", "Ann")}
+    def call(self, messages, max_tokens):
+        last = {}
+        for n in (x[2:] for x in messages[1]["content"].split("\n")[1:]):
+            last.setdefault(n.split()[-1], []).append(n)
+        return "".join("[GROUP]\n" + "\n".join(sorted(g, key=lambda n: (-len(n), n))) + "\n[/GROUP]" for g in last.values())
+
+
+@pytest.mark.parametrize("most", [2000, 40, 7])
+def test_names_in_several_calls(spark, tmp_path, most):
+    """Several calls give the mapping of one, with a first name that most names have."""
+    rows = [(k, f"Mr. Nob{k}" if k % 3 else f"Anna Nob{k}", "KNOWS", f"Anna Maria Nob{k}", "x", 1) for k in range(60)]
+    rows += [(99, "Bathsheba", "KNOWS", "It", "x", 1), (100, "Boldwood", "KNOWS", "William Boldwood", "x", 1)]
+    got = {r.variant: r.canonical for r in runs.entity_mapping(spark.createDataFrame(rows, TRIPLE), Grouping, f"file://{tmp_path}", most).collect()}
+    want = {x: f"Anna Maria Nob{k}" for k in range(60) for x in (f"Mr. Nob{k}" if k % 3 else f"Anna Nob{k}", f"Anna Maria Nob{k}")} | {n: "William Boldwood" for n in ("Boldwood", "William Boldwood")}
+    alone = {n: c for n, c in got.items() if n in ("Bathsheba", "It")}
+    assert {n: c for n, c in got.items() if n not in alone} == want and all(n == c for n, c in alone.items())
+
+
+def test_calls_hold_no_more_names_than_they_may(spark, tmp_path):
+    """Every two names that share a beginning meet in a call."""
+    from textgraph.operators import names as N
+
+    own = [f"Anna N{k}" for k in range(50)] + [f"Mr. {w} Lee" for w in ("Ben", "Benno", "Carl")] + ["Mr.", "the", "?!", "Carla", "Élise", "Elis"]
+    keep = lambda df, name: runs.kept(df, f"file://{tmp_path}", name)
+    df = spark.createDataFrame([(x,) for x in own], "entity string")
+    begins = {r.entity: set(r.b) for r in df.select("entity", N.beginnings(F.col("entity")).alias("b")).collect()}
+    assert begins["Mr. Benno Lee"] == {"ben", "lee"} and begins["Mr."] == {"mr"} and begins["?!"] == {"?!"} and begins["Élise"] == {"éli"}
+    for most in (4, 10, 64):
+        calls = {}
+        for r in N.calls(df, most, keep).collect():
+            calls.setdefault(r.call, set()).add(r.entity)
+        slack = 2 if most < 20 else 1  # names are dealt to parts by hash, so tiny parts vary
+        assert max(map(len, calls.values())) <= slack * most
+        together = {frozenset((a, b)) for c in calls.values() for a in c for b in c}
+        assert all(frozenset((a, b)) in together for a in own for b in own if a != b and begins[a] & begins[b])
+
+
+def test_linked_names_follow_to_the_last(spark, tmp_path):
+    from textgraph.operators import names as N
+
+    keep = lambda df, name: runs.kept(df, f"file://{tmp_path}", name)
+    lines = [(2, 0, 1, "A", "B"), (1, 0, 1, "B", "C"), (1, 0, 0, "C", "C"), (3, 0, 0, "Z", "Z"), (5, 0, 1, "P", "Q"), (6, 0, 1, "Q", "P"), (7, 1, 1, "K", "L"), (7, 0, 1, "K", "M")]
+    lines += [(8, k, 1, f"chain{k:02}", f"chain{k + 1:02}") for k in range(30)]
+    df = spark.createDataFrame(lines, "call long, g int, k int, variant string, canonical string")
+    got = {r.variant: r.canonical for r in N.merged(df, keep).collect()}
+    want = {"A": "C", "B": "C", "C": "C", "Z": "Z", "P": "P", "Q": "P", "K": "L", "L": "L"} | {f"chain{k:02}": "chain30" for k in range(31)}
+    assert got == want
 
 
 def test_titles_by_parts(spark):

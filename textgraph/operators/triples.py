@@ -35,13 +35,21 @@ def entity_candidates(triples: DataFrame) -> DataFrame:
     return both.where(F.length("entity") >= 2)
 
 
-def mapping_of(replies: DataFrame, reply: str = "reply", order: str = "reply_id") -> DataFrame:
-    """(variant, canonical) from [GROUP] blocks; the last line that names a variant wins."""
+def group_lines(replies: DataFrame, reply: str = "reply", order: str = "reply_id") -> DataFrame:
+    """(r, g, k, variant, canonical): the lines of [GROUP] blocks, each with its group's first."""
     from textgraph.functions.replies import groups
 
     each = replies.select(F.col(order).alias("r"), F.posexplode(groups(F.col(reply))).alias("g", "lines")).where(F.size("lines") > 0)
-    each = each.select("r", "g", F.element_at("lines", 1).alias("canonical"), F.posexplode("lines").alias("k", "variant")).where("k = 0 or variant <> canonical")
-    return each.groupBy("variant").agg(F.max_by("canonical", F.struct("r", "g", "k")).alias("canonical"))
+    return each.select("r", "g", F.element_at("lines", 1).alias("canonical"), F.posexplode("lines").alias("k", "variant")).where("k = 0 or variant <> canonical")
+
+
+def last_lines(lines: DataFrame) -> DataFrame:
+    """(variant, canonical): the last line that names a variant wins."""
+    return lines.groupBy("variant").agg(F.max_by("canonical", F.struct("r", "g", "k")).alias("canonical"))
+
+
+def mapping_of(replies: DataFrame, reply: str = "reply", order: str = "reply_id") -> DataFrame:
+    return last_lines(group_lines(replies, reply, order))
 
 
 def canonicalize(triples: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from textgraph.functions.text import let, strip_code_fence
 from textgraph.functions.vocabulary import QUESTION_TYPES
 from textgraph.operators import evidence as E
 from textgraph.operators import longtext as L
+from textgraph.operators import names as N
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.operators.models import (
@@ -76,16 +77,20 @@ def raw_triples(found: DataFrame, tasks: DataFrame) -> DataFrame:
     return each.select((F.col("global_idx") * 1048576 + F.col("k")).alias("ord"), "t.subject", "t.predicate", "t.object", "book", "win")
 
 
-def entity_mapping(raw: DataFrame, model: Callable[[], Model], most: int = NAMES) -> DataFrame:
-    """One call over all names, none where there is no more than one.  Beyond ``most`` names there are several calls, over
-    names that are dealt by their last word, so that the forms of one name are asked together."""
-    names = T.entity_candidates(raw)
+def entity_mapping(raw: DataFrame, model: Callable[[], Model], folder: str, most: int = NAMES, workers: int = WORKERS, commit: int = COMMIT) -> DataFrame:
+    """One call over all names, none where there is no more than one.  More than ``most`` names are asked in overlapping calls,
+    in which all names that may be one meet, and the replies are merged."""
+    keep = lambda df, name: kept(df, f"{folder}/names", name)
+    names = keep(T.entity_candidates(raw), "names")
     n = names.count()
-    last = F.lower(F.regexp_extract("entity", r"(\S+)\s*$", 1))
-    block = F.pmod(F.xxhash64(last), F.lit(-(-n // most))) if n > most else F.lit(0).cast("long")
-    listed = names.groupBy(block.alias("reply_id")).agg(F.count("*").alias("n"), F.concat_ws("\n", F.array_sort(F.collect_list(F.concat(F.lit("- "), "entity")))).alias("text")).where("n > 1")
-    ask = lambda r, own: {"reply_id": r["reply_id"], "reply": call_or_empty(own, messages("canonicalize", f"TEXT:\n{r['text']}"), 4096, 1)}
-    return T.mapping_of(mapped(listed, ask, "reply_id long, reply string", model))
+    asked = N.calls(names, most, keep) if n > most else names.select(F.lit(0).cast("long").alias("call"), "entity")
+    listed = asked.groupBy("call").agg(F.count("*").alias("n"), F.concat_ws("\n", F.array_sort(F.collect_list(F.concat(F.lit("- "), "entity")))).alias("text")).where("n > 1")
+    listed = keep(listed.select("call", "text", marked("text", F.lit(identity(model))).alias("mark")), "calls")
+    schema = "call long, mark long, reply string"
+    ask = lambda r, own: {"call": r["call"], "mark": r["mark"], "reply": call_or_empty(own, messages("canonicalize", f"TEXT:\n{r['text']}"), 4096, 1)}
+    replies = resumed(listed, folder, "names", ["call"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
+    lines = T.group_lines(replies, order="call")
+    return N.merged(lines.withColumnRenamed("r", "call"), keep) if n > most else keep(T.last_lines(lines), "mapping")
 
 
 def _guided(guide: str) -> str:
@@ -150,7 +155,7 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     out["items"] = E.assembled(items, out["evidence"], tasks, titles)
     if triples_on:
         raw = raw_triples(found, tasks)
-        out["triples"] = T.post_process_main(raw, entity_mapping(raw, model))
+        out["triples"] = T.post_process_main(raw, entity_mapping(raw, model, folder, workers=workers, commit=commit))
     return out
 
 
@@ -177,7 +182,7 @@ def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Mod
     out["items"] = E.assembled(items, out["evidence"], tasks, titles)
     if triples_on:
         raw = raw_triples(found, tasks)
-        out["triples"] = T.post_process_main(raw, entity_mapping(raw, model))
+        out["triples"] = T.post_process_main(raw, entity_mapping(raw, model, folder, workers=workers, commit=commit))
     return out
 
 
@@ -213,7 +218,7 @@ def process(books: DataFrame, folder: str, question: str | None = None, model: C
         said["Evidence"] = "{good} of {total} good, {low} low".format(**out["counts"].first().asDict())
     K.write_report(said | ({"Triples CSV": csv} if csv else {}) | {"Chunk registry": found["registry_path"]}, f"{at}/result.log")
     if not resume:
-        for stage in ("summary", "qa", "evidence", "answer"):
+        for stage in ("summary", "qa", "evidence", "answer", "names"):
             K.drop_done(spark, folder, stage)
     return found
 
