@@ -98,6 +98,34 @@ def test_longest_common_by_brute_force():
         assert X.longest_common(a, b, 3) == (best if best >= 3 else 0)
 
 
+def test_confidences_of_many_lines(spark):
+    """All lines of a source, short and long ones, against all pairs of places."""
+    import random
+
+    from textgraph.operators import evidence as E
+
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdé") for _ in range(r.randint(1, 6)))
+    sources = [" ".join(word() for _ in range(300)) for _ in range(3)] + ["ab " * 400, "", "x"]
+    rows = []
+    for q, t in enumerate(sources):
+        for k in range(8):
+            at = r.randrange(max(1, len(t) - 200))
+            rows.append((q, k, t[at : at + r.choice([5, 30, 150, 700])] + r.choice(["", "q" * 30, " Zz"]) + t[:k]))
+    rows += [(0, 9, ""), (0, 10, None), (0, 2500, sources[0][:50] + "q"), (7, 0, "no source")]
+
+    def best(e, t):
+        if e in t:
+            return 1.0
+        n = max((j - i for i in range(len(e)) for j in range(i + 20, len(e) + 1) if e[i:j] in t), default=0)
+        return n / len(e)
+
+    norm = lambda x: " ".join(x.split()).lower()
+    got = E.scored(spark.createDataFrame(rows, "qa_idx int, ev_idx int, evidence string"), spark.createDataFrame(list(enumerate(sources)), "qa_idx int, text string")).collect()
+    want = {(q, k, e): 0.0 if e is None else best(norm(e), norm(sources[q])) for q, k, e in rows if q < 7}
+    assert {(x.qa_idx, x.ev_idx, x.evidence): x.conf for x in got} == pytest.approx(want) and len(got) == len(want)
+
+
 def test_citations(spark):
     assert columns(spark, lambda c: X.normalize_citations(c), "x [46, 47] y [1,2 , 3] z [5]") == "x [46][47] y [1][2][3] z [5]"
     assert columns(spark, lambda c: X.strip_citations(c), "Fact [3][4]. More [5, 6]") == "Fact. More [5, 6]"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
 import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,48 +64,42 @@ def normalize_text(text: Column) -> Column:
     return F.lower(strip(F.regexp_replace(t, f"{WS}+", " ")))
 
 
+class Suffixes:
+    """The sorted suffixes of a text, by doubling ranks; built once, it serves any number of searches."""
+
+    def __init__(self, text: str):
+        self.text, n = text, len(text)
+        rank = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)[1].astype(np.int64)
+        width = 1
+        while True:
+            key = rank * (n + 1)
+            key[: max(0, n - width)] += rank[width:] + 1
+            order = np.argsort(key, kind="stable")
+            new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])]) if n else key
+            rank = np.empty(n, np.int64)
+            rank[order] = new
+            width *= 2
+            if not n or new[-1] == n - 1 or width >= n:
+                break
+        self.order = order.tolist()
+
+    def __contains__(self, part: str) -> bool:
+        size = len(part)
+        at = bisect.bisect_left(self.order, part, key=lambda p: self.text[p : p + size])
+        return at < len(self.order) and self.text.startswith(part, self.order[at])
+
+
 def longest_common(a: str, b: str, least: int) -> int:
-    """Length of the longest common substring if it has that many characters, else 0; a suffix automaton of a reads b."""
-    if len(a) < least or len(b) < least:
-        return 0
-    link, size, go = [-1], [0], [{}]
-    last = 0
-    for c in a:
-        now = len(size)
-        size.append(size[last] + 1), link.append(0), go.append({})
-        p = last
-        while p >= 0 and c not in go[p]:
-            go[p][c] = now
-            p = link[p]
-        if p >= 0:
-            q = go[p][c]
-            if size[q] == size[p] + 1:
-                link[now] = q
-            else:
-                twin = len(size)
-                size.append(size[p] + 1), link.append(link[q]), go.append(dict(go[q]))
-                while p >= 0 and go[p].get(c) == q:
-                    go[p][c] = twin
-                    p = link[p]
-                link[q] = link[now] = twin
-        last = now
-    state = length = best = 0
-    for c in b:
-        while state and c not in go[state]:
-            state = link[state]
-            length = size[state]
-        if c in go[state]:
-            state, length = go[state][c], length + 1
-        best = max(best, length)
-    return best if best >= least else 0
+    """Length of the longest common substring if it has that many characters, else 0."""
+    return longest_part(a, Suffixes(b), least)
 
 
-#: Characters of evidence up to which its parts are sought one by one, each by a plain search in the source.
+#: Characters of evidence, of all lines of a source, up to which parts are sought by plain searches, without an index.
 SHORT = 400
 
 
-def longest_part(a: str, b: str, least: int) -> int:
-    """The same for a short a: only parts longer than the best one so far are sought, so there are about 2 * len(a) searches."""
+def longest_part(a: str, b: str | Suffixes, least: int) -> int:
+    """The same with b at hand: only parts longer than the best one so far are sought, so there are about 2 * len(a) searches."""
     best = least - 1
     for start in range(len(a) - least + 1):
         while start + best < len(a) and a[start : start + best + 1] in b:
@@ -111,18 +107,31 @@ def longest_part(a: str, b: str, least: int) -> int:
     return best if best >= least else 0
 
 
-def _partial_confidence(evidence: pd.Series, source: pd.Series) -> pd.Series:
-    found = lambda e, s: (longest_part if len(e) <= SHORT else longest_common)(e, s, 20) / len(e)
-    return pd.Series([found(e, s) if e and s is not None else 0.0 for e, s in zip(evidence, source)])
+def _partial_confidences(lines: pd.Series, source: pd.Series) -> pd.Series:
+    out = []
+    for own, text in zip(lines, source):
+        own = [] if own is None else list(own)
+        index = None if text is None else Suffixes(text) if sum(map(len, filter(None, own))) > SHORT else text
+        out.append([longest_part(e, index, 20) / len(e) if e and index is not None else 0.0 for e in own])
+    return pd.Series(out)
+
+
+def in_part(line: Column, source: Column) -> Column:
+    """A line that its source may hold in part: it isn't contained, and has 20 characters."""
+    return F.when(~F.contains(source, line) & (F.length(line) >= 20), line)
+
+
+def partial_confidences(lines: Column, source: Column) -> Column:
+    """For each of an array of lines in_part() the share that its longest common substring with the source makes, if that has 20
+    characters.  A source goes to Python once for all of its lines, and not at all where there are none."""
+    some = F.exists(lines, lambda e: e.isNotNull())
+    return F.pandas_udf(_partial_confidences, "array<double>")(F.when(some, lines), F.when(some, source))
 
 
 def confidence(evidence: Column, source: Column) -> Column:
-    """Of normalised texts: 1 if contained, else the share of evidence that its longest common substring with the source
-    makes, if that has 20 characters.  Only what isn't contained, and has them, goes to Python."""
-    inside = F.contains(source, evidence)
-    asked = ~inside & (F.length(evidence) >= 20)
-    rest = F.coalesce(F.pandas_udf(_partial_confidence, "double")(F.when(asked, evidence), F.when(asked, source)), F.lit(0.0))
-    return F.when(inside, 1.0).otherwise(rest)
+    """Of normalised texts: 1 if contained, else the share of evidence that its longest common substring with the source makes."""
+    rest = F.get(partial_confidences(F.array(in_part(evidence, source)), source), F.lit(0))
+    return F.when(F.contains(source, evidence), 1.0).otherwise(F.coalesce(rest, F.lit(0.0)))
 
 
 def strip_code_fence(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.functions.text import answer_of, citations, confidence, each, normalize_citations, normalize_text, repair_json, snippet, strip, strip_citations, strip_code_fence
+from textgraph.functions.text import answer_of, citations, each, in_part, normalize_citations, normalize_text, partial_confidences, repair_json, snippet, strip, strip_citations, strip_code_fence
 
 MAX_SECTIONS, SEPARATOR, OMITTED = 30, "\n\n---\n\n", "... (余下 cited sections 省略)"
 ITEM = "array<struct<book:string,question:string,answer:string,response:string>>"
@@ -48,11 +48,21 @@ def evidence_lines(replies: DataFrame) -> DataFrame:
     return each(replies, lines, "qa_idx", place="ev_idx", value="evidence")
 
 
+#: Lines of a question that are compared with its source in one row.
+TOGETHER = 1000
+
+
 def scored(evidence: DataFrame, sources: DataFrame) -> DataFrame:
-    """Evidence with its confidence in the question's cited text; each text is normalised once."""
+    """Evidence with its confidence in the question's cited text.  Each text is normalised once, and a source goes with all
+    lines of its question, not with each."""
     plain = sources.select("qa_idx", normalize_text(F.col("text")).alias("_src"))
-    df = evidence.withColumn("_ev", normalize_text(F.col("evidence"))).join(plain, "qa_idx")
-    return df.withColumn("conf", confidence(F.col("_ev"), F.col("_src"))).drop("_ev", "_src")
+    row = F.struct(*evidence.columns)
+    lines = evidence.withColumn("_ev", normalize_text(F.col("evidence"))).groupBy("qa_idx", F.floor(F.col("ev_idx") / TOGETHER).alias("_part"))
+    lines = lines.agg(F.collect_list(F.struct(row.alias("row"), F.col("_ev").alias("ev"))).alias("_lines"))
+    met = lines.join(plain, "qa_idx").withColumn("_rest", partial_confidences(F.transform("_lines", lambda x: in_part(x["ev"], F.col("_src"))), F.col("_src")))
+    conf = lambda x, k: F.when(F.contains(F.col("_src"), x["ev"]), 1.0).otherwise(F.coalesce(F.get("_rest", k), F.lit(0.0)))
+    pairs = F.transform("_lines", lambda x, k: F.struct(x["row"].alias("row"), conf(x, k).alias("conf")))
+    return met.select(F.explode(pairs).alias("x")).select("x.row.*", "x.conf")
 
 
 def low_confidence(rows: DataFrame, least: float = 0.5) -> DataFrame:

@@ -457,6 +457,13 @@ def evidence_confidence(spark, sf_dir):
     return _scored(spark, sf_dir)
 
 
+@query(rf"""select qa_idx, ev_idx, evidence, case when ev_idx = 0 then 1.0::double when length(ev) < 120 then 0.0::double else (length(ev) - 100) / length(ev)::double end as conf
+from (select *, regexp_replace(regexp_replace(evidence, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') as ev from ({P.LONG_EVIDENCE}) e)""")
+def evidence_long(spark, sf_dir):
+    """Evidence of some hundred characters, half of which is quoted in part only."""
+    return E.scored(P.recipe(spark, sf_dir, P.LONG_EVIDENCE), docs(spark, sf_dir).select(F.col("doc_id").alias("qa_idx"), "text"))
+
+
 @query(f"select qa_idx, ev_idx, replace(left(evidence, 80), chr(10), ' ') as snippet, conf from ({CONFIDENCE}) where conf < 0.5")
 def low_conf_audit(spark, sf_dir):
     return E.low_confidence(_scored(spark, sf_dir))

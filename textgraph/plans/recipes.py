@@ -32,6 +32,9 @@ ITEMS = """select doc_id as reply_id, case when doc_id % 3 = 0 then '{"book":"b"
   else 'no json' end as reply from documents"""
 EVIDENCE = """select doc_id as qa_idx, cast(k as int) as ev_idx, case k when 0 then substring(text, place, 40) when 1 then substring(text, place, 30) || 'zzzzzzzzzz' else 'qqqq' end as evidence
 from (select doc_id, text, cast((doc_id * 7919) % greatest(length(text) - 40, 1) + 1 as int) as place from documents) d cross join (select 0 as k union all select 1 union all select 2) v"""
+#: Up to 500 characters of each text, by themselves and before a hundred characters that no text has.
+LONG_EVIDENCE = """select doc_id as qa_idx, cast(k as int) as ev_idx, substring(text, place, 500) || case k when 0 then '' else repeat('\u2603', 100) end as evidence
+from (select doc_id, text, cast((doc_id * 7919) % greatest(length(text) - 500, 1) + 1 as int) as place from documents) d cross join (select 0 as k union all select 1) v"""
 NAMES = f"select distinct prefix || name || suffix as name from (select subject as name from ({TRIPLES}) t union select object from ({TRIPLES}) u) n cross join (select '' as prefix union all select 'Mr. ' union all select 'Lady Old ') p cross join (select '' as suffix union all select ', Jr.' union all select ' the elder') s"
 
 TABLES = ("documents", "events", "labels")
