@@ -347,6 +347,59 @@ def test_calls_hold_no_more_names_than_they_may(spark, tmp_path):
         assert all(frozenset((a, b)) in together for a in own for b in own if a != b and begins[a] & begins[b])
 
 
+def test_moves_of_starts_equal_the_pattern():
+    """Every place of odd texts against the pattern of the column function."""
+    import random
+    import re
+
+    from textgraph.functions import chunking as C
+    from textgraph.operators import longbooks as LB
+
+    space = C.WS.replace("\\p", "p")
+    r = random.Random(6)
+    for look in (5, 12, 200):
+        for _ in range(60):
+            text = "".join(r.choice("ab.!?…\"'」 \n\u3000é。") for _ in range(r.randint(1, 60)))
+            want = []
+            for k in range(len(text)):
+                part = text[k : k + look]
+                m = re.match(rf"(?s)^.*?[.!?。！？…][\"'」』]?{space}+", part) or re.match(rf"(?s)^.*?{space}", part)
+                want.append(m.end() if m else 0)
+            assert LB.moves(text, look).tolist() == want
+
+
+@pytest.mark.parametrize("size", [700, 4300, 100_000])
+def test_windows_of_long_books(spark, tmp_path, size):
+    """Files read by ranges give the windows of whole files; white space at the ends, long lines, letters of several bytes."""
+    import random
+
+    from textgraph.operators import longbooks as LB
+
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdeé日😀") for _ in range(r.randint(1, 9)))
+    prose = lambda n: "".join(word() + r.choice([" ", " ", " ", ". ", "! ", ".\n", "\n", '." ', ".\r\n"]) for _ in range(n))
+    (tmp_path / "b").mkdir()
+    books = {"a b+c": " \n\n" * 900 + prose(9000) + "\n \n" * 2000, "é": prose(40), "blank": " \n" * 3000, "one": "x" * 30_000 + ". " + "y" * 9000, "lines": "\n" * 50 + prose(3000).replace(" ", "\n"), "empty": ""}
+    for name, text in books.items():
+        (tmp_path / f"b/{name}.cleaned.txt").write_text(text, encoding="utf-8", newline="")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        keep = lambda df, name: runs.kept(df, f"file://{tmp_path}/w", name)
+        pieces = LB.read_pieces(spark, f"file://{tmp_path}/b", ".cleaned.txt", keep, size)
+        pieces = keep(pieces, "pieces")
+        if size < 20_000:
+            assert pieces.where("book = 'a b+c.cleaned.txt'").count() > 8
+        joined = {x.book: x.t for x in pieces.groupBy("book").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda p: p["text"]), "").alias("t")).collect()}
+        assert {n: t.strip("\n") for n, t in joined.items()} == {f"{n}.cleaned.txt": t.strip("\n") for n, t in books.items() if t}
+        got = LB.aligned(pieces, keep).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    own = spark.createDataFrame([(f"{n}.cleaned.txt", t) for n, t in books.items()], "book string, text string")
+    want = S.windows(own).select("book", "start", "end", "text").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) > 15
+
+
 def test_linked_names_follow_to_the_last(spark, tmp_path):
     from textgraph.operators import names as N
 

@@ -74,6 +74,11 @@ def aligned_spans(text: Column, window: int = WINDOW, stride: int = STRIDE) -> C
     return F.when(text != "", found).otherwise(F.array().cast(SPAN))
 
 
+def aligned_span_of(text: Column, size: Column, starts: Column, window: int = WINDOW) -> Column:
+    """The windows of known starts; size is that of the whole text, of which at least a window behind each start is given."""
+    return _spans(text, size, starts, window, _END)
+
+
 def fixed_windows(text: Column, window: int = WINDOW, stride: int = STRIDE) -> Column:
     return window_texts(text, fixed_spans(text, window, stride))
 

@@ -11,6 +11,7 @@ from textgraph.functions.chunking import aligned_windows, fixed_windows
 from textgraph.functions.sentences import group_sentences, split_sentences
 from textgraph.functions.vocabulary import CANONICAL_PREDICATES, EVENT_WORDS, FILTER_WORDS, PREDICATE_MAP, QUESTION_TYPES, SUFFIXES, TITLES
 from textgraph.operators import evidence as E
+from textgraph.operators import longbooks as LB
 from textgraph.operators import longtext as L
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
@@ -94,6 +95,17 @@ def chunk_sentence_aligned(spark, sf_dir):
     return X.each(docs(spark, sf_dir), aligned_windows(F.col("text")), "doc_id").select("doc_id", "c.*")
 
 
+@query(G1 + """select doc_id, start, "end", text from g1 where text <> ''""")
+def chunk_aligned_pieces(spark, sf_dir):
+    """The same windows of texts that lie in pieces of some thousand characters, no row of which holds a text."""
+    size, folder = 5000, work_folder(spark)
+    many = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("book"), "text").where("text <> ''")
+    many = many.select("book", "text", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / size))).alias("k"))
+    pieces = many.select("book", F.col("k").cast("long").alias("k"), F.substring("text", (F.col("k") * size + 1).cast("int"), F.lit(size)).alias("text"))
+    found = LB.aligned(pieces, lambda df, name: kept(df, folder, name))
+    return found.select(F.col("book").cast("long").alias("doc_id"), "start", "end", "text")
+
+
 @query(G2 + """select doc_id, start, "end", text from g2 where text <> ''""")
 def chunk_fixed_stride(spark, sf_dir):
     return X.each(docs(spark, sf_dir), fixed_windows(F.col("text")), "doc_id").select("doc_id", "c.*")
