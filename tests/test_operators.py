@@ -435,6 +435,38 @@ def test_command_line(spark, tmp_path, capsys):
     assert "kept: 1" in capsys.readouterr().out and (tmp_path / "t_cleaned.csv").read_text().count("\n") == 2
 
 
+def test_command_line_switches(spark, tmp_path, capsys):
+    """Books read by ranges give the same run; no triples and no evidence are asked for where they are switched off."""
+    from textgraph import __main__ as C
+
+    (tmp_path / "b").mkdir()
+    for name in ("a", "c d"):
+        (tmp_path / f"b/{name}.cleaned.txt").write_text(f"Title {name}\n" + "Anna met Ben. Ben met Carl.\n" * 400)
+    said = []
+    for k, more in enumerate((["--long"], [])):
+        C.main([f"file://{tmp_path}/b", "--out", f"file://{tmp_path}/o{k}", "--yes", "--books", "all", "--no-triples", "--no-evidence", "--workers", "3", *more])
+        said.append([x for x in capsys.readouterr().out.split("\n") if not x.startswith("Time")])
+        assert not list((tmp_path / f"o{k}").glob("*/triples.csv"))
+    assert said[0] == said[1] and any('"Title c d"' in x for x in said[0]) and any("Windows: 8" in x for x in said[0])
+
+
+def test_unknown_types_are_told(spark):
+    with pytest.warns(UserWarning, match="nope"):
+        assert runs._prompts(spark, "nope", None)[1] == runs._prompts(spark, "default", None)[1]
+
+
+def test_files_go_to_the_file_system_of_their_path(spark, tmp_path):
+    """Beside Spark's own tables, wherever these are: here through a file system that only Spark knows."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.out.link./o", f"file://{tmp_path}")
+    spark.conf.set("fs.viewfs.mounttable.out.link./o", f"file://{tmp_path}")
+    items = spark.createDataFrame([(0, "b", "q", "é")], "qa_idx long, book string, question string, answer string")
+    path = K.write_result(items, "viewfs://out/o/deep/er", "My label")
+    assert path == "viewfs://out/o/deep/er/result_My_label.json"
+    assert "é" in (tmp_path / "deep/er/result_My_label.json").read_text(encoding="utf-8")
+    K.write_report(spark, {"a": 1}, "viewfs://out/o/r.log")
+    assert (tmp_path / "r.log").read_text() == "a: 1\n"
+
+
 def test_compression_stops(spark, tmp_path):
     text = lambda *pieces: spark.createDataFrame([("a", k, x) for k, x in enumerate(pieces)], "text_id string, k long, text string")
     assert runs.compress(text("x" * 5000), f"file://{tmp_path}/1").first().text == "x" * 5000
@@ -467,10 +499,11 @@ def test_texts_in_pieces(spark, tmp_path, monkeypatch, block, chunk):
 
 
 def test_stream_of_windows(spark, tmp_path):
-    (tmp_path / "a.cleaned.txt").write_text("Ab cd. " * 500)
+    (tmp_path / "a b+é.cleaned.txt").write_text("Ab cd. " * 500)
     q = stream_windows(spark, f"file://{tmp_path}").writeStream.format("memory").queryName("windows").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [(r.section_idx, r.start) for r in spark.sql("select * from windows order by start").collect()] == [(1, 0), (2, 3003)]
+    assert {r.book for r in spark.sql("select book from windows").collect()} == {"a b+é.cleaned.txt"}
 
 
 def test_types(spark):

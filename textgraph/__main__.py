@@ -1,4 +1,5 @@
-"""python -m textgraph FOLDER [--books 0,2-4|all] [--type TYPE] [--question TEXT] [--hierarchical] [--guide FILE] [--out FOLDER] [--resume FOLDER] [--yes]
+"""python -m textgraph FOLDER [--books 0,2-4|all] [--type TYPE] [--question TEXT] [--hierarchical] [--guide FILE] [--out FOLDER] [--resume FOLDER]
+                           [--no-triples] [--no-evidence] [--workers N] [--long] [--yes]
 python -m textgraph --clean FILE.csv [OUT.csv]
 python -m textgraph FOLDER --batch [TYPE ...]
 
@@ -14,11 +15,13 @@ from pyspark.sql import functions as F
 
 from textgraph.functions.replies import index_range
 from textgraph.functions.vocabulary import QUESTION_TYPES
+from textgraph.operators import longbooks as LB
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.plans import runs
 from textgraph.sources import books as B
 from textgraph.sources import sinks as K
+from textgraph.sources.workspace import kept
 
 
 def books_table(catalog: DataFrame) -> str:
@@ -60,6 +63,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--guide", help="a file of subject||predicate||object lines, up to the first blank one; - reads them here")
     parser.add_argument("--out", default="output")
     parser.add_argument("--resume", help="the folder of a run that broke off")
+    parser.add_argument("--no-triples", action="store_true", help="no triples are asked for")
+    parser.add_argument("--no-evidence", action="store_true", help="no evidence is asked for")
+    parser.add_argument("--workers", type=int, help="calls in flight, at most")
+    parser.add_argument("--long", action="store_true", help="read books by ranges, for files too long for a task")
     parser.add_argument("--batch", nargs="*", help="question types; none: all")
     parser.add_argument("--clean", nargs="+", metavar="CSV")
     parser.add_argument("--yes", action="store_true", help="don't ask")
@@ -92,15 +99,20 @@ def main(arguments: list[str] | None = None) -> None:
         return
     texts = B.read_books(spark, args.folder).join(chosen.select("name"), "name", "left_semi").select(F.col("name").alias("book"), "text")
     if args.hierarchical:
-        found = runs.process_hierarchical(texts, args.question, out, resume=bool(args.resume))
+        found = runs.process_hierarchical(texts, args.question, out, resume=bool(args.resume), **({"workers": args.workers} if args.workers else {}))
         print(found["answer"])
     else:
         guide = B.triples_guide(sys.stdin if args.guide == "-" else open(args.guide, encoding="utf-8")) if args.guide else ""
         named = chosen.join(titles, "name").select("ord", F.col("name").alias("file"), "title")
-        found = runs.process(texts, out, args.question, titles=named, guide=guide, question_type=args.type, resume=bool(args.resume))
-        with open(found["answer_with_evidence"], encoding="utf-8") as f:
-            for line in f:
-                print(line, end="")
+        windows = None
+        if args.long:
+            keep = lambda df, name: kept(df, f"{out}/long", name)
+            pieces = LB.read_pieces(spark, args.folder, B.SUFFIX, keep).join(chosen.select(F.col("name").alias("book")), "book", "left_semi")
+            windows = LB.tasks(keep(pieces, "pieces"), keep)
+        found = runs.process(texts, out, args.question, titles=named, guide=guide, triples_on=not args.no_triples, evidence_on=not args.no_evidence, question_type=args.type,
+                             resume=bool(args.resume), windows=windows, **({"workers": args.workers} if args.workers else {}))
+        for r in spark.read.option("lineSep", "\n").text(found["answer_with_evidence"]).toLocalIterator():
+            print(r.value)
     print(f"Time: {found['total_time']:.0f}s | Windows: {found['total_windows']} | Triples: {found['triples_count']}")
 
 

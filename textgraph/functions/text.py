@@ -139,6 +139,11 @@ def strip_code_fence(text: Column) -> Column:
     return strip(F.regexp_replace(s, rf"\n?```{WS}*$", ""))
 
 
+def is_list(text: Column) -> Column:
+    """Whether a text is JSON and a list."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("ARRAY"), F.lit(False))
+
+
 def is_json(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull()
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from textgraph.functions.chunking import LOOK, STRIDE, WINDOW, aligned_span_of, window_texts
 from textgraph.functions.text import SPACES
+from textgraph.operators import sections as S
 
 #: Characters of a piece that is read from a file; lines are not cut.
 PIECE = 1 << 16
@@ -30,10 +31,11 @@ _ENDS, _QUOTES = ".!?。！？…", "\"'」』"
 def read_pieces(spark: SparkSession, folder: str, suffix: str, keep: Keep, size: int | None = None) -> DataFrame:
     """(book, k, text) of a folder's files, each read by ranges: Spark splits them at line feeds, wherever their bytes lie, and a
     task joins the lines of its range to pieces.  Line feeds at the end of a file are not kept."""
+    from textgraph.sources.books import file_name
+
     size = size or PIECE
-    name = F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B")))
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", f"*{suffix}").text(folder)
-    lines = lines.select(name.alias("book"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("line"))
+    lines = lines.select(file_name().alias("book"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("line"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, own, number, n = ["book", "at", "j", "text"], [], None, 0, 0
@@ -164,3 +166,14 @@ def aligned(pieces: DataFrame, keep: Keep, window: int = WINDOW, stride: int = S
     each = cut.select("book", "begins", F.explode(window_texts(F.col("whole"), F.col("spans"))).alias("w"))
     rows = each.select("book", (F.col("begins") + F.col("w.start")).alias("start"), (F.col("begins") + F.col("w.end")).alias("end"), F.col("w.text").alias("text"))
     return rows if texts else rows.drop("text")
+
+
+def tasks(pieces: DataFrame, keep: Keep) -> DataFrame:
+    """All windows with their numbers, as sections.tasks has them, of books that lie in pieces."""
+    found = keep(aligned(pieces, keep), "windows")
+    short = found.select("book", "start")
+    order = Window.partitionBy("book").orderBy("start")  # two numbers a window
+    numbers = short.select("book", "start", F.row_number().over(order).alias("section_idx"))
+    totals = keep(short.groupBy("book").agg(F.count("*").alias("n")), "totals")
+    rows = found.join(numbers, ["book", "start"]).join(totals, "book").withColumn("section_total", F.col("n").cast("int")).drop("n")
+    return S.numbered(rows.select("book", "section_total", "section_idx", "start", "end", "text"), totals)

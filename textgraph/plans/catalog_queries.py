@@ -416,6 +416,28 @@ def _texts(spark, sf_dir, limits, references):
     return S.texts_of(limits.join(references.select(F.col("section").alias("global_idx")).distinct(), "global_idx", "left_semi"), books(spark, sf_dir))
 
 
+MANY = """select distinct doc_id // 40 as qa_idx, (doc_id * 7919) % n + 1 as section from documents cross join (select count(*) as n from documents)"""
+
+
+@query(G2 + f""", m as (select qa_idx, section, book, start, "end", text, row_number() over (partition by qa_idx order by section) as k, count(*) over (partition by qa_idx) as n_cited
+  from ({MANY}) c join s on s.global_idx = c.section)
+select qa_idx, n_cited, string_agg('[' || section || '] (' || book || ', chars ' || start || '-' || "end" || ')' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by section)
+  || case when n_cited > 30 then chr(10) || chr(10) || '---' || chr(10) || chr(10) || '{E.OMITTED}' else '' end as text from m where k <= 30 group by qa_idx, n_cited""")
+def cited_sections_capped(spark, sf_dir):
+    """Answers that cite forty sections, from all over the books."""
+    rows = docs(spark, sf_dir)
+    number = (F.col("doc_id") * 7919) % F.lit(rows.count()) + 1
+    answers = rows.groupBy(F.floor(F.col("doc_id") / 40).alias("qa_idx")).agg(F.concat_ws(" and ", F.collect_list(F.concat(F.lit("["), number.cast("string"), F.lit("]")))).alias("answer"))
+    return _cited_text(spark, sf_dir, E.cited(answers.withColumn("response", F.lit(""))))
+
+
+@query("""select doc_id, doc_id % 5 in (0, 3) as auto from documents""")
+def auto_answers(spark, sf_dir):
+    d = F.col("doc_id")
+    text = F.when(d % 5 == 0, F.concat(F.lit('[{"question": "q", "answer": "'), d.cast("string"), F.lit('"}]'))).when(d % 5 == 1, '{"a": [1]}').when(d % 5 == 2, "[no list").when(d % 5 == 3, " [] ")
+    return docs(spark, sf_dir).select("doc_id", X.is_list(text).alias("auto"))
+
+
 @query("""select doc_id as reply_id, 0 as qa_idx, 'b' as book, 'q' || doc_id as question, case when doc_id % 3 = 0 then 'a [1]' else 'a' end as answer, cast(null as varchar) as response from documents where doc_id % 3 < 2
 union all select doc_id, 1, null, 'r', null, 's' || doc_id from documents where doc_id % 3 = 1""")
 def qa_explode(spark, sf_dir):
@@ -530,9 +552,13 @@ _TYPE_ROWS = ", ".join("('{}', '{}', {}, {}, '{}')".format(k, label, "null" if b
 TYPES_SQL = f"select * from (values {_TYPE_ROWS}) as t(type, label, books, temperature, num_questions)"
 
 
-@query(f"select type, label, books, temperature::double as temperature, num_questions from ({TYPES_SQL})")
+@query(f"select type, label, books, temperature::double as temperature, num_questions, (select count(*) from documents where list_contains(books, doc_id || '.cleaned.txt')) as available from ({TYPES_SQL})")
 def type_registry(spark, sf_dir):
-    return S.question_types(spark)
+    """The question types, and how many of a type's books there are."""
+    types = S.question_types(spark)
+    names = docs(spark, sf_dir).select(F.concat(F.col("doc_id").cast("string"), F.lit(".cleaned.txt")).alias("name"))
+    found = S.type_books(types, names).groupBy("type").agg(F.count("*").alias("available"))
+    return types.join(found, "type", "left").withColumn("available", F.coalesce("available", F.lit(0)))
 
 
 @query(f"""select w.wanted, t.type, t.label, t.books, t.temperature::double as temperature, t.num_questions from (select distinct case when doc_id % 2 = 0 then 'timeline' else 'type ' || doc_id % 5 end as wanted from documents) w

@@ -9,6 +9,7 @@ so it doubles nothing, and other books, prompts or models never meet foreign rep
 from __future__ import annotations
 
 import time
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,19 +125,21 @@ def checked(items: DataFrame, tasks: DataFrame, folder: str, model: Callable[[],
 def _prompts(spark: SparkSession, question_type: str, override: dict | None) -> tuple[dict[str, str], str]:
     """The prompts and the label of a type; an override goes before both."""
     known = {t[0]: t for t in QUESTION_TYPES}
+    if question_type not in known:
+        warnings.warn(f"unknown question type {question_type!r}; the default's prompts are used", stacklevel=3)
     own = known.get(question_type, known["default"])
     return type_prompts(own[0], own[4], override), (override or {}).get("label", "custom") if override else own[1]
 
 
 def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, triples_on: bool = True, evidence_on: bool = True,
-              question_type: str = "default", guide: str = "", override: dict | None = None, workers: int = WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
+              question_type: str = "default", guide: str = "", override: dict | None = None, workers: int = WORKERS, commit: int = COMMIT, windows: DataFrame | None = None) -> dict[str, DataFrame]:
     """Questions for each book: windows, summaries, one QA call a book, evidence, final items, and the books' triples.
     books: (book, text); titles: (ord, file, title).  The question type's prompts and number, or the override's, and the
     guide of triples go into the calls."""
     spark = books.sparkSession
     prompts, _ = _prompts(spark, question_type, override)
     titles = named(books, titles)
-    tasks = registered(S.tasks(books, folder=folder), folder)
+    tasks = registered(S.tasks(books, folder=folder) if windows is None else windows, folder)
     found = summaries(tasks, model, folder, triples_on, prompts["summarize"], workers, commit)
     said = found.join(tasks.select("global_idx", "book"), "global_idx")
     per_book = S.ordered_concat(said, ["book"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
@@ -160,13 +163,13 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
 
 
 def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, guide: str = "", titles: DataFrame | None = None, triples_on: bool = True,
-           evidence_on: bool = True, question_type: str = "default", override: dict | None = None, workers: int = WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
+           evidence_on: bool = True, question_type: str = "default", override: dict | None = None, workers: int = WORKERS, commit: int = COMMIT, windows: DataFrame | None = None) -> dict[str, DataFrame]:
     """One answer over all books' summaries: answer (one row, fences off), items (what of it is JSON, with evidence) and triples.
     The prompt names the books by their titles, in selection order.  Items get no context, since only lists do."""
     spark = books.sparkSession
     prompts, _ = _prompts(spark, question_type, override)
     titles = named(books, titles)
-    tasks = registered(S.tasks(books, folder=folder), folder)
+    tasks = registered(S.tasks(books, folder=folder) if windows is None else windows, folder)
     found = summaries(tasks, model, folder, triples_on, prompts["summarize"], workers, commit)
     whole = S.ordered_concat(found.withColumn("run", F.lit(0)), ["run"], "global_idx", S.labelled("global_idx", "summary"), "\n\n")
     listed = titles.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda t: t["title"]), ", ").alias("titles"))
@@ -187,22 +190,23 @@ def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Mod
 
 
 def process(books: DataFrame, folder: str, question: str | None = None, model: Callable[[], Model] = OfflineModel, titles: DataFrame | None = None, guide: str = "", triples_on: bool = True,
-            evidence_on: bool = True, question_type: str = "default", override: dict | None = None, resume: bool = False, workers: int = WORKERS, commit: int = COMMIT) -> dict:
-    """A whole run with its files: result, triples CSV, registry, audit, report.  Gives what the run is reported by; what grows
+            evidence_on: bool = True, question_type: str = "default", override: dict | None = None, resume: bool = False, workers: int = WORKERS, commit: int = COMMIT, windows: DataFrame | None = None) -> dict:
+    """A whole run with its files: result, triples CSV, registry, audit, report.  windows, where given, are the books' windows,
+    made elsewhere (of books that are read by ranges), and books needs their names alone.  Gives what the run is reported by; what grows
     with the books is a table.  The stages' tables are deleted after success, unless the folder is to be resumed from."""
     began = time.time()
-    more = dict(model=model, titles=titles, guide=guide, triples_on=triples_on, evidence_on=evidence_on, question_type=question_type, override=override, workers=workers, commit=commit)
+    more = dict(model=model, titles=titles, guide=guide, triples_on=triples_on, evidence_on=evidence_on, question_type=question_type, override=override, workers=workers, commit=commit, windows=windows)
     out = manual(books, question, folder, **more) if question else automatic(books, folder, **more)
     answered = time.time() - began
-    spark, at = books.sparkSession, K.local(folder)
+    spark = books.sparkSession
     _, label = _prompts(spark, question_type, override)
     K.write_registry(out["tasks"], f"{folder}/chunk_registry")
     K.write_items(out["items"], f"{folder}/items")
     result = K.write_result(out["items"], folder, label)
     if question and not out["items"].limit(1).count():
-        with open(result, "w", encoding="utf-8") as f:  # an answer that is no JSON goes out as it is
+        with K.opened(spark, result) as f:  # an answer that is no JSON goes out as it is
             f.write("".join(r.answer for r in out["answer"].collect()).strip() + "\n")
-    csv = K.write_triples_file(out["triples"], f"{at}/triples.csv") if triples_on else None
+    csv = K.write_triples_file(out["triples"], f"{folder}/triples.csv") if triples_on else None
     windows = out["tasks"].count()
     found = {
         "answer": out.get("answer", out["items"]), "answer_with_evidence": result, "evidence_text": out.get("low"), "per_q_evidence": out["evidence"], "total_windows": windows,
@@ -216,7 +220,7 @@ def process(books: DataFrame, folder: str, question: str | None = None, model: C
     said = {"Question type": label, "Windows": windows, "Total time": f"{found['total_time']:.0f}s", "Triples": found["triples_count"]}
     if "counts" in out:
         said["Evidence"] = "{good} of {total} good, {low} low".format(**out["counts"].first().asDict())
-    K.write_report(said | ({"Triples CSV": csv} if csv else {}) | {"Chunk registry": found["registry_path"]}, f"{at}/result.log")
+    K.write_report(spark, said | ({"Triples CSV": csv} if csv else {}) | {"Chunk registry": found["registry_path"]}, f"{folder}/result.log")
     if not resume:
         for stage in ("summary", "qa", "evidence", "answer", "names"):
             K.drop_done(spark, folder, stage)
@@ -291,20 +295,19 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
     return {"tasks": tasks, "compressed": short, "triples": final, "polished": polished, "answer": answer}
 
 
-def process_hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, resume: bool = False) -> dict:
+def process_hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[], Model] = OfflineModel, resume: bool = False, workers: int = HIER_WORKERS) -> dict:
     """A hierarchical run with its files, and what it is reported by."""
     began = time.time()
-    out = hierarchical(books, question, folder, model, resume=resume)
-    windows = out["tasks"].count()
+    out = hierarchical(books, question, folder, model, resume=resume, workers=workers)
+    windows = books.sparkSession.read.parquet(f"{folder}/registry").count()
     answer, short, polished = (out[k].first()[0] for k in ("answer", "compressed", "polished"))
-    at = K.local(folder)
-    csv = K.write_triples_file(out["triples"].orderBy("first_ord"), f"{at}/triples.csv", T.KEY)
+    csv = K.write_triples_file(out["triples"].orderBy("first_ord"), f"{folder}/triples.csv", T.KEY)
     spent = time.time() - began
     found = {
         "answer": answer, "compressed_summary": short, "polished_summary": polished, "total_windows": windows, "total_time": spent, "answer_time": spent,
         "triples_count": out["triples"].count(), "triples_csv": csv, "compressed_chars": len(short), "polished_chars": len(polished),
     }
-    K.write_report({"Question": question, "Answer": answer, **{k.replace("_", " ").capitalize(): v for k, v in found.items() if k not in ("answer", "compressed_summary", "polished_summary")}}, f"{at}/result.log")
+    K.write_report(books.sparkSession, {"Question": question, "Answer": answer, **{k.replace("_", " ").capitalize(): v for k, v in found.items() if k not in ("answer", "compressed_summary", "polished_summary")}}, f"{folder}/result.log")
     return found
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgraph.functions.text import strip
@@ -11,10 +11,15 @@ from textgraph.operators.sections import catalog, title
 SUFFIX = ".cleaned.txt"
 
 
+def file_name() -> Column:
+    """A row's file, decoded: paths come as URLs, in which a plus sign stands for itself."""
+    return F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B")))
+
+
 def read_books(spark: SparkSession, folder: str) -> DataFrame:
     """(name, text, raw) of the folder's books with content; text is stripped."""
     raw = spark.read.option("pathGlobFilter", f"*{SUFFIX}").text(folder, wholetext=True)
-    df = raw.select(F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("raw"))
+    df = raw.select(file_name().alias("name"), F.col("value").alias("raw"))
     return df.select("name", strip(F.col("raw")).alias("text"), "raw").where(F.length("text") > 0)
 
 

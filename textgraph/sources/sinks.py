@@ -14,6 +14,32 @@ from pyspark.sql import functions as F
 TRIPLE_COLUMNS = ["subject", "predicate", "object", "evidence", "evidence_count"]
 
 
+class _Stream(io.RawIOBase):
+    """A file of any of Spark's file systems, written from the driver."""
+
+    def __init__(self, out):
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.out.write(bytes(data))
+        return len(data)
+
+    def close(self) -> None:
+        if not self.closed:
+            self.out.close()
+        super().close()
+
+
+def opened(spark: SparkSession, path: str, encoding: str = "utf-8", newline: str | None = "") -> io.TextIOWrapper:
+    """A text file for writing, in the file system of its path, the default one without a scheme, where Spark's own tables go."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(at, True)
+    return io.TextIOWrapper(io.BufferedWriter(_Stream(out), 1 << 20), encoding=encoding, newline=newline)
+
+
 def run_folder(root: str) -> str:
     return f"{root}/{time.strftime('%Y%m%d_%H%M%S')}"
 
@@ -30,20 +56,18 @@ def write_triples_file(df: DataFrame, path: str, columns: list[str] | None = Non
     first = next(rows, None)
     if first is None:
         return None
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8-sig", newline="") as f:
+    with opened(df.sparkSession, path, "utf-8-sig") as f:
         out = csv.writer(f)
         out.writerow(columns)
         out.writerow(first)
         out.writerows(rows)
-    return path
+    return local(path)
 
 
 def write_cleaned(df: DataFrame, path: str, order: str = "ord") -> None:
     """The rows that a cleaner kept, in their order, with their own columns and no byte order mark."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     columns = [c for c in df.columns if c != order]
-    with open(path, "w", encoding="utf-8", newline="") as f:
+    with opened(df.sparkSession, path) as f:
         out = csv.writer(f)
         out.writerow(columns)
         out.writerows(df.orderBy(order).select(*columns).toLocalIterator())
@@ -72,18 +96,17 @@ def write_items(items: DataFrame, folder: str) -> None:
 
 def write_result(items: DataFrame, folder: str, label: str) -> str:
     """One JSON array of a run's items in order, streamed from the driver partition by partition."""
-    path = f"{local(folder)}/result_{label.replace(' ', '_')}.json"
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
+    path = f"{folder}/result_{label.replace(' ', '_')}.json"
+    with opened(items.sparkSession, path) as f:
         f.write("[")
         for k, r in enumerate(_item(items).orderBy("qa_idx").toLocalIterator()):
             f.write(("," if k else "") + "\n" + json.dumps(json.loads(r.value), ensure_ascii=False, indent=2))
         f.write("\n]\n")
-    return path
+    return local(path)
 
 
 def local(path: str) -> str:
-    """A folder's path on the driver."""
+    """A path as the driver's own tools have it, where it is on the local disk; any other stays as it is."""
     return path.removeprefix("file://")
 
 
@@ -113,12 +136,11 @@ def append_done(rows: DataFrame, folder: str, stage: str) -> None:
     rows.write.mode("append").parquet(f"{folder}/stage={stage}")
 
 
-def write_report(values: dict, path: str) -> str:
+def write_report(spark: SparkSession, values: dict, path: str) -> str:
     """The log of a run, a line for each value."""
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
+    with opened(spark, path) as f:
         f.write(report(values))
-    return path
+    return local(path)
 
 
 def drop_done(spark: SparkSession, folder: str, stage: str) -> None:
