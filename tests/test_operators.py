@@ -450,6 +450,45 @@ def test_command_line_switches(spark, tmp_path, capsys):
     assert said[0] == said[1] and any('"Title c d"' in x for x in said[0]) and any("Windows: 8" in x for x in said[0])
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quoted_csv_by_ranges(spark, tmp_path, seed):
+    """Random files with line feeds, doubled and stray quotes, cut anywhere, against the csv module."""
+    import csv
+    import io
+    import random
+
+    from textgraph.sources import quoted as Q
+
+    r = random.Random(seed)
+    some = lambda n: "".join(r.choice('ab",\n é') for _ in range(r.randint(0, n)))
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\r\n" if seed == 2 else "\n")
+    writer.writerow(["subject", 'pre"dicate', "line\nfeed"])
+    for k in range(1500):
+        if k % 9 == 4:
+            out.write(r.choice(['x"y,"q"z,"a""b"c"d', 'a"b', '"open\nclosed" tail"s,2', ",,"]) + "\n")
+        elif k % 50 == 7:
+            out.write("\n")
+        writer.writerow([some(9), some(300 if k % 40 == 0 else 5), r.choice(["", "x", '"', "\n\n"])])
+    path = tmp_path / "f.csv"
+    path.write_text(out.getvalue(), encoding="utf-8-sig", newline="")
+    want = [x for x in csv.reader(io.StringIO(out.getvalue(), newline="")) if x]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = B.read_triples(spark, f"file://{path}", ordered=True)
+        rows = sorted(got.collect(), key=lambda x: x.ord)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got.columns == [*want[0], "ord"]
+    assert [list(x[:3]) for x in rows] == [[*x[:3], *[None] * (3 - len(x))] for x in want[1:]]
+    for _ in range(2000):
+        line, inside = some(12).replace("\n", ""), r.random() < 0.5
+        whole = ('"' if inside else "") + line + "\nEND"  # a field that goes on holds the line feed
+        rows_ = list(csv.reader(io.StringIO(whole, newline="")))
+        assert Q.ends_inside(line, inside) == (len(rows_) == 1), (line, inside)
+
+
 def test_unknown_types_are_told(spark):
     with pytest.warns(UserWarning, match="nope"):
         assert runs._prompts(spark, "nope", None)[1] == runs._prompts(spark, "default", None)[1]

@@ -46,8 +46,7 @@ def of_type(catalog: DataFrame, spark: SparkSession, question_type: str) -> Data
 
 def clean(spark: SparkSession, path: str, out: str | None) -> str:
     """The cleaner: filters a CSV of triples and reports its counts."""
-    rows = B.read_triples(spark, path)
-    rows = rows.withColumn("ord", F.monotonically_increasing_id())
+    rows = B.read_triples(spark, path, ordered=True)
     out = out or K.cleaned_path(path)
     K.write_cleaned(T.clean_filter(rows), out)
     return K.report({"Output": out, **T.clean_counts(rows).first().asDict()})

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from textgraph.functions.text import strip
 from textgraph.operators.sections import catalog, title
+from textgraph.sources.quoted import read_quoted
+from textgraph.sources.workspace import kept, work_folder
 
 SUFFIX = ".cleaned.txt"
 
@@ -35,9 +37,11 @@ def book_titles(spark: SparkSession, folder: str) -> DataFrame:
     return read_books(spark, folder).select("name", title(F.col("name"), F.col("raw")).alias("title"))
 
 
-def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV of triples with its own columns; quotes are doubled, fields may hold line feeds, a byte order mark is skipped."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+def read_triples(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """A CSV of triples with its own columns, read by ranges; ordered: and ord, its records' order."""
+    folder = work_folder(spark, "csv")
+    rows = read_quoted(spark, path, lambda df, name: kept(df, folder, name))
+    return rows if ordered else rows.select(rows.columns[:-1])
 
 
 def read_done(spark: SparkSession, folder: str, stage: str, schema: str) -> DataFrame:
