@@ -210,3 +210,19 @@ def test_groups_of_very_many_sentences(spark):
         assert df.select(F.size(group_sentences(split_sentences(F.col("t")))).alias("n")).first().n > n // 900
         seconds.append(time.time() - began)
     assert seconds[2] < 2.2 * max(seconds[1], 1)
+
+
+def test_both_parsers_of_replies_agree(spark):
+    """The row functions of the model stages and the column functions, on random replies."""
+    import random
+
+    from textgraph.operators import models as M
+
+    r = random.Random(9)
+    parts = ["[TRIPLES]", "[/TRIPLES]", "[triples]", "\n", "- ", "-- ", "||", "|", "a", "B c", " ", "[VERDICT]", "[/VERDICT]", "PASS", "pass", "FAIL", "[FEEDBACK]", "[/FEEDBACK]", "x\ny", "[/triples]"]
+    replies = ["".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(1500)]
+    replies += ["[TRIPLES]\n" + "\n".join("||".join(r.choice(["a", " b ", "", "- c"]) for _ in range(r.randint(1, 5))) for _ in range(6)) + "\n[/TRIPLES]" for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(replies)), "k int, t string").select("k", R.triples_of_block(F.col("t")).alias("block"), R.verdict(F.col("t")).alias("verdict"))
+    for x in df.collect():
+        assert [tuple(t) for t in x.block] == M.parse_block(replies[x.k]), replies[x.k]
+        assert tuple(x.verdict) == M.passed(replies[x.k]), replies[x.k]
