@@ -618,3 +618,61 @@ def test_suffix_ranks():
         rank = repeats.suffix_ranks(text, starts, width)
         strings = [text[s : s + width].tobytes() for s in starts]
         assert [sorted(set(strings)).index(x) for x in strings] == rank.tolist()
+
+
+def test_dealing_follows_the_rule():
+    """Descending lengths, the lowest cost among those with room, cuts only where none has any: against a plain version."""
+    r = random.Random(8)
+    for capacity, count in ((16, 5), (64, 9), (64, 40)):
+        lengths = [r.choice([1, 2, 3, 5, 5, 5, capacity // 2, capacity - 1]) for _ in range(count)]
+        packer = packing.Packer(capacity, 1 << 30, float(capacity))
+        for doc, n in enumerate(lengths):
+            packer.add(doc, np.arange(n, dtype=np.uint32))
+        sizes = [capacity] * (sum(lengths) // capacity)
+        packer.deal(sizes)
+        got = {(doc, start): (len(ids) // 4, sequence, offset) for doc, start, _, ids, _, sequence, offset in packer.rows}
+        room, used, cost, want, left = list(sizes), [0] * len(sizes), [0.0] * len(sizes), {}, 0
+        for n, _, doc in sorted((-n, doc, doc) for doc, n in enumerate(lengths)):
+            n, start = -n, 0
+            while n:
+                able = [k for k in range(len(sizes)) if room[k] >= n] or [k for k in range(len(sizes)) if room[k]]
+                if not able:
+                    left += n
+                    break
+                k = min(able, key=lambda k: (cost[k], k))
+                part = min(n, room[k])
+                want[doc, start] = (part, k, used[k])
+                room[k], used[k], cost[k] = room[k] - part, used[k] + part, cost[k] + part + part * part / capacity
+                n, start = n - part, start + part
+        assert got == want and packer.tokens == left < capacity and not any(room)
+
+
+def test_added_personal_data_by_planted_spans(spark):
+    """Precision and recall of the spans that the classifier adds, over planted ones and decoys, in cues never seen together."""
+    r = random.Random(11)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    name = lambda: r.choice(["Alma", "Bruno", "Celia", "Dario", "Elif"]) + " " + r.choice(["Okafor", "Lindgren", "Moreau", "Tanaka"])
+    plant = [
+        lambda: ("phone ", f"0{number(2)} {number(3)} {number(4)}"), lambda: ("call ", f"({number(3)}) {number(3)}-{number(4)}"), lambda: ("token ", "".join(r.choice("0123456789abcdef") for _ in range(40))),
+        lambda: ("mail ", f"{r.choice(['jo', 'max.b', 'x_y'])} (at) example (dot) org"), lambda: ("", f"{r.choice(['Mr.', 'Dr.', 'Frau', 'Mme'])} {name()}"), lambda: ("contact ", f"{r.choice(['ann', 'bob'])}[at]mail[dot]net"),
+    ]
+    decoy = [lambda: ("page ", number(8)), lambda: ("isbn ", f"{number(1)}-{number(4)}-{number(4)}-{number(1)}"), lambda: ("volume ", number(9)), lambda: ("chapter ", number(10)), lambda: ("table ", f"{number(4)}.{number(4)}.{number(3)}")]
+    rows, planted, decoys = [], set(), set()
+    for doc in range(400):
+        text = ""
+        for _ in range(r.randint(1, 5)):
+            text += " ".join("".join(r.choice(["th", "er", "in", "ou", "an", "é"]) for _ in range(r.randint(1, 4))) for _ in range(r.randint(4, 20))) + ". "
+            kind = r.random()
+            if kind < 0.8:
+                cue, span = r.choice(plant if kind < 0.5 else decoy)()
+                text += cue
+                (planted if kind < 0.5 else decoys).add((doc, len(text), len(text) + len(span)))
+                text += span + " , "
+        rows.append((doc, text))
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    base = {(x.doc_id, s["s"], s["e"]) for x in found for s in x.base}
+    added = {(x.doc_id, s["s"], s["e"]) for x in found for s in x.spans} - base
+    wanted = planted - base
+    assert len(wanted) > 200 and len(decoys) > 100
+    recall, precision = len(added & wanted) / len(wanted), len(added & wanted) / len(added)
+    assert recall >= 0.9 and precision >= 0.9, (recall, precision, sorted(added - wanted)[:5], sorted(wanted - added)[:5])

@@ -3,6 +3,7 @@
 A piece of n tokens costs ``n + n * n / quadratic``: the linear layers and the attention within the piece.  Each task
 tokenizes its rows and gathers pools of pool_sequences sequences.  Full sequences are cut from longer documents; what
 remains is taken in descending length, and each goes whole to the sequence of the lowest cost that has room for it.
+Tails of equal length go in the order of their starts, then as they came; of sequences of equal cost the first opened takes a tail.
 Only where no sequence has room is it cut, over the lowest-cost sequences with any capacity left.  A pool opens as many sequences as
 its tokens fill, so none is padded; what is left over moves to the task's next pool, and at the end of a task goes to sequences
 whose lengths are the powers of two that add up to it.  There is no shuffle; a task holds one batch of texts
