@@ -64,6 +64,24 @@ def dropped(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+Store = Callable[..., DataFrame]
+
+
+class Scratch:
+    """stored(), with all tables remembered until they are dropped together."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, kind: str = "table", release: bool = False) -> DataFrame:
+        self.tables.append(stored(df, kind, release))
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        dropped(*self.tables)
+        self.tables.clear()
+
+
 def _bytes(column: str, kind: T.DataType):
     """About how many bytes a value takes in memory."""
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
@@ -232,7 +250,7 @@ def contracted(edges: DataFrame) -> DataFrame:
     return map_arrow(edges, contract, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60, forests: bool = False) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, forests: bool = False, store: Store = stored) -> DataFrame:
     """Distributed union-find.  edges: a long, b long, none null.  Gives (node, component): the smallest node
     that each node reaches; nodes without links don't appear.  forests: the links are contracted batch by batch already.
 
@@ -241,7 +259,7 @@ def components(edges: DataFrame, rounds: int = 60, forests: bool = False) -> Dat
     skew handling.  Tables in the shared folder cut the lineage.  No links reach the driver, only counts.
     """
     edges = edges.select("a", "b").where("a <> b")
-    edges = stored((edges if forests else contracted(edges)).distinct(), "links", release=True)
+    edges = store((edges if forests else contracted(edges)).distinct(), "links", release=True)
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -250,7 +268,7 @@ def components(edges: DataFrame, rounds: int = 60, forests: bool = False) -> Dat
         # small star: smaller neighbours, and the node itself, go to the smallest of them
         least_ = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least_, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b")
-        after = stored(small.distinct(), "links")
+        after = store(small.distinct(), "links")
         # a forest of stars: no node is both an end and a centre, and every end has one centre
         ends = after.groupBy("a").agg(F.count("*").alias("n"))
         open_ = ends.where("n > 1").limit(1).count() or after.select("b").join(ends.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import components, contract, filtered_joins, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
+from textgraph.llm.common import Scratch, Store, components, contract, filtered_joins, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
@@ -229,25 +229,25 @@ class Lines:
         return out
 
 
-def _hot(each: DataFrame) -> DataFrame | None:
+def _hot(each: DataFrame, store: Store = stored) -> DataFrame | None:
     """(band, parts) of the band values that more than PART_LINES lines share, by the count of one line in COUNTED."""
     counts = each.where(F.pmod(F.xxhash64("name"), F.lit(COUNTED)) == 0).groupBy("band").agg(F.count("*").alias("n"))
-    hot = stored(counts.where(F.col("n") * COUNTED > PART_LINES).select("band", F.ceil(F.col("n") * COUNTED / PART_LINES).cast("int").alias("parts")), "hot")
+    hot = store(counts.where(F.col("n") * COUNTED > PART_LINES).select("band", F.ceil(F.col("n") * COUNTED / PART_LINES).cast("int").alias("parts")), "hot")
     return hot if hot.limit(1).count() else None
 
 
-def settled(distinct: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def settled(distinct: DataFrame, hot: DataFrame, store: Store = stored) -> tuple[DataFrame, DataFrame]:
     """Lines of hot bands that are linked by a few exact comparisons: (name, known), where equal numbers are linked lines, and the
     links (a, b).  Each line is compared with REPRESENTATIVES lines of one of its hot bands, which meet it wherever it is, so a
     template's fillings become one component in linear time and need not meet each other again."""
     count = REPRESENTATIVES
     own = distinct.select("name", F.explode("bands").alias("band")).join(small(hot.select("band")), "band")
-    own = stored(own.groupBy("name").agg(F.min("band").alias("band")), "chosen")
+    own = store(own.groupBy("name").agg(F.min("band").alias("band")), "chosen")
     picked = own.groupBy("band").agg(F.array_distinct(F.array(*[F.min_by("name", F.xxhash64("name", F.lit(k))) for k in range(count)])).alias("reps"))
     texts = picked.select("band", F.posexplode("reps").alias("k", "name")).join(distinct.select("name", "line"), "name")
     sorted_ = F.array_sort(F.collect_list(F.struct("k", "name", "line")))  # no more than REPRESENTATIVES
     reps = texts.groupBy("band").agg(sorted_.alias("r")).select("band", F.transform("r", lambda x: x["name"]).alias("reps"), F.transform("r", lambda x: x["line"]).alias("lines"))
-    reps = stored(reps, "representatives")
+    reps = store(reps, "representatives")
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -264,7 +264,7 @@ def settled(distinct: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mask)], ["name", "band", "mask"])
 
     met = own.join(distinct.select("name", "line"), "name").join(small(reps.select("band", "lines")), "band").select("name", "band", "line", "lines")
-    masks = stored(map_arrow(met, compare, "name long, band long, mask long").where("mask <> 0"), "masks")
+    masks = store(map_arrow(met, compare, "name long, band long, mask long").where("mask <> 0"), "masks")
 
     def connected(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Masks that share a bit, step by step, are one component; its number is its lowest bit's."""
@@ -280,7 +280,7 @@ def settled(distinct: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["band", "mask", "part"])
 
     parts = map_arrow(masks.groupBy("band").agg(F.collect_set("mask").alias("masks")), connected, "band long, mask long, part long")
-    parts = stored(parts, "mask_parts")  # no more than 2 ** REPRESENTATIVES a band
+    parts = store(parts, "mask_parts")  # no more than 2 ** REPRESENTATIVES a band
     names = small(reps.select("band", "reps"))
     low = F.expr("length(bin(mask & -mask)) - 1")
     each = masks.join(names, "band").select(F.col("name").alias("x"), F.get("reps", low).alias("y"))
@@ -360,12 +360,12 @@ def shared_bands(distinct: DataFrame, hot: DataFrame | None = None, known: DataF
     return map_arrow(dealt, run, "key long, name long, known long").distinct()
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def links(distinct: DataFrame, store: Store = stored) -> DataFrame:
     """(a, b): numbers of similar lines."""
-    hot = _hot(distinct.select("name", F.explode("bands").alias("band")))
-    known, early = settled(distinct, hot) if hot else (None, None)
-    known = stored(known, "known") if hot else None
-    candidates = stored(shared_bands(distinct, hot, known), "candidates", release=True)
+    hot = _hot(distinct.select("name", F.explode("bands").alias("band")), store)
+    known, early = settled(distinct, hot, store) if hot else (None, None)
+    known = store(known, "known") if hot else None
+    candidates = store(shared_bands(distinct, hot, known), "candidates", release=True)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, enough = [], 0, 1 << 11
@@ -397,7 +397,7 @@ def links(distinct: DataFrame) -> DataFrame:
         met = distinct.select("name", "line").join(candidates.where("name >= 0"), "name").select("key", "name", "line", "known")
         dealt = met.repartition(partitions(distinct.sparkSession), "key").sortWithinPartitions("key")
         found = map_arrow(dealt, lambda rows: contract(run(rows)), "a long, b long")  # in one worker, not in two
-        found = stored(found, "found", release=True)
+        found = store(found, "found", release=True)
     return found.union(early) if hot else found
 
 
@@ -405,17 +405,19 @@ def _hashes() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2")]
 
 
-def removed_lines(texts: DataFrame) -> DataFrame:
-    """(id, gone): the places of the lines to remove, over (id, text) with unique ids."""
+def removed_lines(texts: DataFrame, store: Store = stored) -> DataFrame:
+    """(id, gone): the places of the lines to remove, over (id, text) with unique ids.  store keeps what is used several times."""
     distinct = lines_of(texts).groupBy("line").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     distinct = distinct.select(F.monotonically_increasing_id().alias("name"), "line", "first", "n")
-    distinct = stored(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines", release=True)
-    joined = components(links(distinct), forests=True).withColumnRenamed("node", "name")
-    grouped = distinct.join(joined, "name", "left").select(F.coalesce("component", "name").alias("component"), F.col("component").isNotNull().alias("linked"), "n", "first", *_hashes())
+    distinct = store(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines", release=True)
+    joined = components(links(distinct, store), forests=True, store=store).withColumnRenamed("node", "name")
+    named = distinct.select("name", "n", "first", *_hashes())  # texts are hashed before the join, so it moves none
+    grouped = named.join(joined, "name", "left").select(F.coalesce("component", "name").alias("component"), F.col("component").isNotNull().alias("linked"), "n", "first", "h1", "h2")
     several = grouped.where("linked or n > 1")
     owner = several.groupBy("component").agg(F.min("first").alias("owner"))
-    several = stored(several.join(owner, "component").select("h1", "h2", "component", "owner"), "several")
-    met = lines_of(texts).select("id", "place", *_hashes()).join(small(several), ["h1", "h2"]).select("id", "place", "component", "owner")
+    several = store(several.join(owner, "component").select("h1", "h2", "component", "owner"), "several", release=True)
+    # several grows with the corpus; a hot line's rows are split by adaptive joins
+    met = lines_of(texts).select("id", "place", *_hashes()).join(several, ["h1", "h2"]).select("id", "place", "component", "owner")
     # all lines of other documents than the component's first go; of its own, all but the first
     other = F.col("id") != F.col("owner")
     found = met.groupBy("id").agg(
@@ -428,14 +430,17 @@ def removed_lines(texts: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, text, n_lines, n_removed): row holds the columns of docs, text is what is left."""
-    own = keyed(docs, id_col, text_col)
-    gone = stored(removed_lines(own.select("id", "text")), "gone")
-    out = own.join(small(gone), "id", "left")
-    left = without(F.split("text", "\n"), F.col("gone"))
+    own, scratch = keyed(docs, id_col, text_col), Scratch()
+    gone = stored(removed_lines(own.select("id", "text"), scratch), "gone", release=True)
+    scratch.drop()  # before texts are shuffled
+    # where gone is not small, texts are shuffled once, within their rows
+    out = own.select("id", "row").join(small(gone), "id", "left")
     original = F.col("row")[text_col]
+    text = F.coalesce(original, F.lit(""))
+    left = without(F.split(text, "\n"), F.col("gone"))
     return out.select(
         "row",
         F.when(F.col("gone").isNull(), original).otherwise(F.array_join(left, "\n")).alias("text"),
-        F.when(original.isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
+        F.when(original.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
     )
