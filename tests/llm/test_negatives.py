@@ -38,11 +38,11 @@ def frame(spark, rows):
     return spark.createDataFrame([(*x, "x", 1.5, None) for x in rows], SCHEMA).repartition(5)
 
 
-@pytest.mark.parametrize(("bits", "gathered", "anchors", "tile"), [(8, 32, 512, 1 << 21), (2, 0, 3, 7), (1, 5, 1, 1)])
+@pytest.mark.parametrize(("bits", "gathered", "anchors", "tile"), [(8, 32, 512, 1 << 21), (4, 0, 3, 7), (3, 5, 1, 1)])
 def test_rows(spark, monkeypatch, bits, gathered, anchors, tile):
     for name, value in (("BITS", bits), ("GATHERED", gathered), ("ANCHORS", anchors), ("TILE", tile)):
         monkeypatch.setattr(negatives, name, value)
-    rows = clusters(1, 150) if bits < 8 else clusters(1, 700, common=250)  # very many equal vectors
+    rows = clusters(1, 120, common=30) if bits < 8 else clusters(1, 700, common=250)  # very many equal vectors
     got = negatives.mine(frame(spark, rows), F.col("id") % 10 == 0)
     wanted = plain(rows, lambda i: i % 10 == 0)
     assert len(wanted) > 40

@@ -147,7 +147,7 @@ def _each_pair(blocks: DataFrame, packed: DataFrame, f: Callable[[Pair], Iterato
         for batch in batches:
             for k in range(batch.num_rows):
                 for columns in f(Pair({name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)})):
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _schema(schema))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_schema(schema))
 
     return map_arrow(met, run, schema)
 
