@@ -548,3 +548,22 @@ def test_stream_of_windows(spark, tmp_path):
 def test_types(spark):
     wanted = spark.createDataFrame([("timeline",), ("nope",)], "type string")
     assert {r.wanted: r.type for r in S.type_config(spark, wanted).collect()} == {"timeline": "timeline", "nope": "default"}
+
+
+def test_questions_that_cite_the_same_share_a_text(spark):
+    from textgraph.operators import evidence as E
+
+    references = spark.createDataFrame([(0, 1), (0, 2), (1, 2), (1, 1), (2, 2), (3, 2), (3, 9), (4, 9)], "qa_idx long, section int")
+    members = E.by_sections(references, spark.createDataFrame([(1,), (2,)], "global_idx long"))
+    assert sorted((r.qa_idx, r.cited, r.sections) for r in members.collect()) == [(0, 0, [1, 2]), (1, 0, [1, 2]), (2, 2, [2]), (3, 2, [2])]
+    assert sorted((r.qa_idx, r.section) for r in E.first_members(members).collect()) == [(0, 1), (0, 2), (2, 2)]
+
+
+def test_stages_move_no_texts(spark, tmp_path):
+    """Rows wait in chunks where they lie; many are read by a stage's tasks without a shuffle, few are dealt evenly."""
+    rows = spark.range(250, numPartitions=3)
+    chunks = K.write_chunks(rows, f"file://{tmp_path}/waiting", 40)
+    sizes = [spark.read.parquet(c).count() for c in chunks]
+    assert max(sizes) == 40 and sum(sizes) == 250 and len(sizes) == 9
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(M.dealt(rows, 10**6)) and "Exchange" in plan(M.dealt(rows, 250))

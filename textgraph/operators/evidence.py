@@ -42,6 +42,24 @@ def cited_text(references: DataFrame, registry: DataFrame, most: int = MAX_SECTI
     return texts.select("qa_idx", "n_cited", F.array_join(parts, SEPARATOR if headed else "\n").alias("text"))
 
 
+#: Questions with the same cited sections that go together in one row.
+MEMBERS = 100
+
+
+def by_sections(references: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(qa_idx, cited, part, sections): which cited sections that exist a question has.  Questions with the same ones share the
+    number cited, their smallest qa_idx, so that texts are gathered once for all of them; part deals them MEMBERS or so to a row."""
+    known = references.distinct().join(numbers.select(F.col("global_idx").alias("section")), "section").groupBy("qa_idx").agg(F.array_sort(F.collect_set("section")).alias("sections"))
+    alike = known.groupBy("sections").agg(F.min("qa_idx").alias("cited"), F.count("*").alias("_n"))
+    part = F.pmod(F.xxhash64("qa_idx"), F.ceil(F.col("_n") / MEMBERS)).alias("part")
+    return known.join(alike, "sections").select("qa_idx", "cited", part, "sections")
+
+
+def first_members(members: DataFrame) -> DataFrame:
+    """(qa_idx, section): the references of one question for each set of sections."""
+    return members.where("qa_idx = cited").select("qa_idx", F.explode("sections").alias("section"))
+
+
 def evidence_lines(replies: DataFrame) -> DataFrame:
     """(qa_idx, ev_idx, evidence) of replies (qa_idx, reply): lines, trimmed, without empty ones."""
     lines = F.filter(F.transform(F.split(strip_code_fence(F.col("reply")), "\n"), strip), lambda x: F.length(x) > 0)
@@ -52,14 +70,19 @@ def evidence_lines(replies: DataFrame) -> DataFrame:
 TOGETHER = 1000
 
 
-def scored(evidence: DataFrame, sources: DataFrame) -> DataFrame:
+def scored(evidence: DataFrame, sources: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """Evidence with its confidence in the question's cited text.  Each text is normalised once, and a source goes with all
-    lines of its question, not with each."""
-    plain = sources.select("qa_idx", normalize_text(F.col("text")).alias("_src"))
+    lines of its question, not with each.  members: (qa_idx, cited, part), where sources are by cited and not by qa_idx."""
+    plain = sources.select(F.col("qa_idx").alias("_key"), normalize_text(F.col("text")).alias("_src"))
     row = F.struct(*evidence.columns)
-    lines = evidence.withColumn("_ev", normalize_text(F.col("evidence"))).groupBy("qa_idx", F.floor(F.col("ev_idx") / TOGETHER).alias("_part"))
+    lines = evidence.withColumn("_ev", normalize_text(F.col("evidence")))
+    if members is None:
+        lines = lines.withColumns({"_key": F.col("qa_idx"), "_some": F.lit(0)})
+    else:
+        lines = lines.join(members.select("qa_idx", F.col("cited").alias("_key"), F.col("part").alias("_some")), "qa_idx")
+    lines = lines.groupBy("_key", "_some", F.floor(F.col("ev_idx") / TOGETHER).alias("_part"))
     lines = lines.agg(F.collect_list(F.struct(row.alias("row"), F.col("_ev").alias("ev"))).alias("_lines"))
-    met = lines.join(plain, "qa_idx").withColumn("_rest", partial_confidences(F.transform("_lines", lambda x: in_part(x["ev"], F.col("_src"))), F.col("_src")))
+    met = lines.join(plain, "_key").withColumn("_rest", partial_confidences(F.transform("_lines", lambda x: in_part(x["ev"], F.col("_src"))), F.col("_src")))
     conf = lambda x, k: F.when(F.contains(F.col("_src"), x["ev"]), 1.0).otherwise(F.coalesce(F.get("_rest", k), F.lit(0.0)))
     pairs = F.transform("_lines", lambda x, k: F.struct(x["row"].alias("row"), conf(x, k).alias("conf")))
     return met.select(F.explode(pairs).alias("x")).select("x.row.*", "x.conf")
@@ -105,10 +128,13 @@ def assembled(qa: DataFrame, evidence: DataFrame, registry: DataFrame, titles: D
     """Final items: citations stripped, evidence and cited texts attached, titles repaired.  Items without an answer
     keep their response and get no context."""
     ev = evidence.groupBy("qa_idx").agg(F.array_sort(F.collect_list(F.struct("ev_idx", "evidence"))).alias("e")).select("qa_idx", F.transform("e", lambda x: x["evidence"]).alias("evidence"))
-    context = cited(qa).withColumnRenamed("section", "global_idx").join(registry.select("global_idx", "text"), "global_idx")
-    context = context.groupBy("qa_idx").agg(F.array_sort(F.collect_list(F.struct("global_idx", "text"))).alias("c")).select("qa_idx", F.transform("c", lambda x: x["text"]).alias("context"))
+    members = by_sections(cited(qa), registry)
+    context = first_members(members).withColumnRenamed("section", "global_idx").join(registry.select("global_idx", "text"), "global_idx")
+    context = context.groupBy("qa_idx").agg(F.array_sort(F.collect_list(F.struct("global_idx", "text"))).alias("c")).select(F.col("qa_idx").alias("cited"), F.transform("c", lambda x: x["text"]).alias("context"))
     names = repaired_titles(qa.select(F.col("book").alias("raw")), titles).withColumnRenamed("book", "title")
-    df = qa.join(ev, "qa_idx", "left").join(context, "qa_idx", "left").join(names, F.col("book") == F.col("raw"), "left")
+    # texts come last: they are moved once for all questions that cite the same, and copied only into the rows that are given
+    df = qa.join(ev, "qa_idx", "left").join(names, F.col("book") == F.col("raw"), "left")
+    df = df.join(members.select("qa_idx", "cited"), "qa_idx", "left").join(context, "cited", "left")
     empty = F.array().cast("array<string>")
     return df.select(
         "qa_idx", F.coalesce("title", "book").alias("book"), "question", strip_citations(F.col("answer")).alias("answer"), "response",

@@ -24,12 +24,12 @@ from textgraph.operators import names as N
 from textgraph.operators import sections as S
 from textgraph.operators import triples as T
 from textgraph.operators.models import (
-    HIER_WORKERS, MAX_ANSWER, MAX_SUMMARY, NO_ANSWER, NO_TRIPLES, WORKERS, Model, OfflineModel, StageFunction, call_or_empty, call_or_raise, identity, mapped, messages, staged, summarize_windows,
+    HIER_WORKERS, MAX_ANSWER, MAX_SUMMARY, NO_ANSWER, NO_TRIPLES, WORKERS, Model, OfflineModel, StageFunction, call_or_empty, call_or_raise, dealt, identity, mapped, messages, staged, summarize_windows,
     tasks_of, type_prompts,
 )
 from textgraph.sources import books as B
 from textgraph.sources import sinks as K
-from textgraph.sources.workspace import kept
+from textgraph.sources.workspace import kept, release
 
 SUMMARY = "global_idx long, mark long, summary string, triples array<struct<subject:string,predicate:string,object:string>>"
 #: Names of one canonicalization call.
@@ -40,23 +40,31 @@ COMMIT = 10
 
 def registered(tasks: DataFrame, folder: str) -> DataFrame:
     """The windows of a run, written once: all later stages look their texts up there."""
-    tasks.write.mode("overwrite").parquet(f"{folder}/registry")
-    return tasks.sparkSession.read.schema(tasks.schema).parquet(f"{folder}/registry")
+    return kept(tasks, folder, "registry")
 
 
 def resumed(asked: DataFrame, folder: str, stage: str, keys: list[str], schema: str, call: Callable[[DataFrame], DataFrame], workers: int = WORKERS, commit: int = COMMIT) -> DataFrame:
     """A stage's rows for what is asked: those that an earlier run wrote for the same keys and mark, and the others by call,
-    committed slice by slice before use.  One row for each key, whatever was written twice."""
+    committed slice by slice before use.  One row for each key, whatever was written twice.  asked is a stored table; call gets
+    rows that are dealt to the workers' tasks."""
     spark, both, waiting = asked.sparkSession, [*keys, "mark"], f"{folder}/waiting={stage}"
-    done = B.read_done(spark, folder, stage, schema).select(*both).distinct()
-    open_ = asked.join(done, both, "left_anti")
-    if open_.limit(1).count():
-        slices = K.write_slices(open_, waiting, tasks_of(spark, workers), commit)
-        rows = spark.read.schema(f"{open_._jdf.schema().toDDL()}, slice long").parquet(waiting)
-        for k in range(slices):
-            K.append_done(call(rows.where(F.col("slice") == k).drop("slice")), folder, stage)
+    done = B.read_done(spark, folder, stage, schema).select(*both)
+    fresh = not done.limit(1).count()
+    open_ = asked if fresh else asked.join(done.distinct(), both, "left_anti")
+    n, lanes = open_.count(), tasks_of(spark, workers)
+    if fresh and n <= lanes * commit:  # a single slice, read where it lies
+        if n:
+            K.append_done(call(dealt(open_, n, workers)), folder, stage)
+    elif n:
+        chunks = K.write_chunks(open_, waiting, commit)
+        for k in range(0, len(chunks), lanes):
+            rows = spark.read.schema(open_.schema).parquet(*chunks[k : k + lanes])
+            K.append_done(call(dealt(rows, min(n, lanes * commit), workers)), folder, stage)
         K.drop(spark, waiting)
+    release(spark)
     found = B.read_done(spark, folder, stage, schema)
+    if fresh and found.select(*both).distinct().count() == n == found.count():
+        return found  # all rows are this call's, once each: none has to be looked up or moved
     return found.join(asked.select(*both).distinct(), both, "left_semi").dropDuplicates(both)
 
 
@@ -68,7 +76,7 @@ def summaries(tasks: DataFrame, model: Callable[[], Model], folder: str, triples
               workers: int = WORKERS, commit: int = COMMIT) -> DataFrame:
     """Summaries and triples of all windows."""
     asked = tasks.withColumn("mark", marked("book", "section_idx", "section_total", "text", F.lit(triples_on), F.lit(prompt or ""), F.lit(identity(model))))
-    return resumed(asked, folder, "summary", ["global_idx"], SUMMARY, lambda rows: summarize_windows(rows, model, triples_on, prompt, workers), workers, commit)
+    return resumed(asked, folder, "summary", ["global_idx"], SUMMARY, lambda rows: summarize_windows(rows, model, triples_on, prompt, workers, ready=True), workers, commit)
 
 
 def raw_triples(found: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -89,7 +97,7 @@ def entity_mapping(raw: DataFrame, model: Callable[[], Model], folder: str, most
     listed = keep(listed.select("call", "text", marked("text", F.lit(identity(model))).alias("mark")), "calls")
     schema = "call long, mark long, reply string"
     ask = lambda r, own: {"call": r["call"], "mark": r["mark"], "reply": call_or_empty(own, messages("canonicalize", f"TEXT:\n{r['text']}"), 4096, 1)}
-    replies = resumed(listed, folder, "names", ["call"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
+    replies = resumed(listed, folder, "names", ["call"], schema, lambda rows: mapped(rows, ask, schema, model, workers, ready=True), workers, commit)
     lines = T.group_lines(replies, order="call")
     return N.merged(lines.withColumnRenamed("r", "call"), keep) if n > most else keep(T.last_lines(lines), "mapping")
 
@@ -107,15 +115,19 @@ def named(books: DataFrame, titles: DataFrame | None) -> DataFrame:
 
 def checked(items: DataFrame, tasks: DataFrame, folder: str, model: Callable[[], Model], audit: bool = True, workers: int = WORKERS, commit: int = COMMIT) -> dict[str, DataFrame]:
     """Evidence of the items that cite sections: lines, their confidence, the low ones, and counts; nothing is dropped."""
-    references = E.cited(items)
-    texts = E.cited_text(references, tasks).join(items.select("qa_idx", "item"), "qa_idx").withColumn("mark", marked("text", "item", F.lit(identity(model))))
-    texts = kept(texts, folder, "evidence_asked")
+    members = kept(E.by_sections(E.cited(items), tasks), folder, "evidence_members")
+    references = E.first_members(members)
+    # a text is moved once for all items that cite the same sections; their rows then lie beside each other and compress to one
+    alike = items.select("qa_idx", "item").join(members.select("qa_idx", "cited", "part"), "qa_idx").groupBy("cited", "part").agg(F.collect_list(F.struct("qa_idx", "item")).alias("_items"))
+    texts = alike.join(E.cited_text(references, tasks).withColumnRenamed("qa_idx", "cited"), "cited").select("n_cited", "text", F.inline("_items"))
+    texts = kept(texts.withColumn("mark", marked("text", "item", F.lit(identity(model)))), folder, "evidence_asked")
+    release(items.sparkSession)
     quote = lambda r, own: {"qa_idx": r["qa_idx"], "mark": r["mark"], "reply": call_or_empty(own, messages("evidence", f"CITED SECTIONS:\n{r['text']}\n\nQA:\n{r['item']}"), MAX_ANSWER)}
     schema = "qa_idx long, mark long, reply string"
-    lines = E.evidence_lines(resumed(texts, folder, "evidence", ["qa_idx"], schema, lambda rows: mapped(rows, quote, schema, model, workers), workers, commit))
-    scored = E.scored(lines, E.cited_text(references, tasks, headed=False))
-    scored.write.mode("overwrite").parquet(f"{folder}/scored")
-    scored = lines.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
+    lines = E.evidence_lines(resumed(texts, folder, "evidence", ["qa_idx"], schema, lambda rows: mapped(rows, quote, schema, model, workers, ready=True), workers, commit))
+    scored = kept(E.scored(lines, E.cited_text(references, tasks, headed=False), members), folder, "scored")
+    K.drop(items.sparkSession, f"{folder}/evidence_asked")
+    release(items.sparkSession)
     low = E.low_confidence(scored)
     if audit:
         K.write_audit(low, f"{folder}/evidence_audit")
@@ -148,7 +160,7 @@ def automatic(books: DataFrame, folder: str, model: Callable[[], Model] = Offlin
     asked = kept(asked.withColumn("mark", marked("text", F.lit(prompts["qa"]), F.lit(identity(model)))), folder, "qa_asked")
     ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("qa", r["text"], prompts["qa"]), MAX_ANSWER)}
     schema = "reply_id string, mark long, reply string"
-    items = E.qa_items(resumed(asked, folder, "qa", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit))
+    items = E.qa_items(resumed(asked, folder, "qa", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers, ready=True), workers, commit))
     totals = items.groupBy("reply_id").agg(F.count("*").alias("n"))
     items = S.numbered(items.withColumn("section_idx", F.col("qa_idx") + 1), totals, "reply_id").withColumn("qa_idx", F.col("global_idx") - 1)
     items = kept(items.drop("global_idx", "section_idx", "reply_id"), folder, "qa_items")
@@ -177,7 +189,7 @@ def manual(books: DataFrame, question: str, folder: str, model: Callable[[], Mod
     asked = kept(asked.select(F.lit(0).cast("long").alias("reply_id"), "text", marked("text", F.lit(identity(model))).alias("mark")), folder, "answer_asked")
     ask = lambda r, own: {"reply_id": r["reply_id"], "mark": r["mark"], "reply": call_or_raise(own, messages("answer", r["text"]), MAX_ANSWER)}
     schema = "reply_id long, mark long, reply string"
-    replies = resumed(asked, folder, "answer", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
+    replies = resumed(asked, folder, "answer", ["reply_id"], schema, lambda rows: mapped(rows, ask, schema, model, workers, ready=True), workers, commit)
     items = E.qa_items(replies).drop("reply_id").withColumn("qa_idx", F.col("qa_idx").cast("long"))
     out = {"tasks": tasks, "summaries": found, "answer": replies.select(strip_code_fence(F.col("reply")).alias("answer")), "evidence": spark.createDataFrame([], "qa_idx long, ev_idx int, evidence string")}
     if evidence_on:
@@ -251,7 +263,7 @@ def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = Offlin
             break
         finished.append(keep(L.joined(pieces.join(open_, "text_id", "left_anti"), separator), "finished"))
         asked = groups.join(open_, "text_id", "left_semi").withColumn("mark", marked("text", F.lit(identity(model))))
-        done = resumed(asked, folder, f"compress{number}", ["text_id", "pos"], schema, lambda rows: mapped(rows, ask, schema, model, workers), workers, commit)
+        done = resumed(asked, folder, f"compress{number}", ["text_id", "pos"], schema, lambda rows: mapped(rows, ask, schema, model, workers, ready=True), workers, commit)
         pieces, separator = keep(done.select("text_id", F.col("pos").alias("k"), "text"), "pieces"), " "
     out = L.joined(pieces, separator)
     for more in finished:
@@ -266,15 +278,17 @@ def hierarchical(books: DataFrame, question: str, folder: str, model: Callable[[
     """Clean, summarize, compress, extract triples, polish, answer; two written stages, by prompts or by functions of one's own,
     before the run's text, which stays in pieces until it is short.  Books without a window give an answer from nothing."""
     spark = books.sparkSession
-    schema = "global_idx long, mark long, text string"
+    schema, carried = "global_idx long, mark long, text string", ("book", "section_idx", "section_total")
     tasks = registered(S.tasks(books, aligned=False, folder=folder), folder)
+    whole = ", ".join([schema, *(f"{c} {tasks.schema[c].dataType.simpleString()}" for c in carried)])
     own = lambda stage: F.lit(stage if isinstance(stage, str) else getattr(stage, "__qualname__", "stage"))
-    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(preprocess), F.lit(identity(model))))
-    cleaned = resumed(asked, folder, "preprocess", ["global_idx"], schema, lambda rows: staged(rows, preprocess, model, workers=workers), workers, commit)
-    tasks = S.overwritten(tasks, cleaned, "global_idx")
-    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(summarize), F.lit(identity(model))))
+    # what the next stage needs of a window goes with its text, which is then joined with nothing
+    asked = tasks.withColumn("mark", marked("book", "section_idx", "text", own(preprocess), F.lit(identity(model)), F.lit("carried")))
+    cleaned = resumed(asked, folder, "preprocess", ["global_idx"], whole, lambda rows: staged(rows, preprocess, model, workers=workers, ready=True, carried=carried), workers, commit)
+    tasks = tasks.drop("text", *carried).join(cleaned.drop("mark"), "global_idx").select(*tasks.columns)
+    asked = cleaned.drop("mark").withColumn("mark", marked("book", "section_idx", "text", own(summarize), F.lit(identity(model))))
     missing = lambda r: f"[Section {r['section_idx']} summary unavailable]"
-    found = resumed(asked, folder, "hier_summary", ["global_idx"], schema, lambda rows: staged(rows, summarize, model, missing, workers=workers), workers, commit)
+    found = resumed(asked, folder, "hier_summary", ["global_idx"], schema, lambda rows: staged(rows, summarize, model, missing, workers=workers, ready=True), workers, commit)
     pieces = found.select(F.lit("run").alias("text_id"), (F.col("global_idx") - 1).alias("k"), S.labelled("global_idx", "text", line_feed=False).alias("text"))
     short = compress(pieces, folder, model, workers=workers, commit=commit).select("text")
     short = short if short.limit(1).count() else spark.createDataFrame([("",)], "text string")

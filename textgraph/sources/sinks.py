@@ -122,18 +122,19 @@ def write_audit(low: DataFrame, folder: str) -> None:
         low.select(line.alias("value")).write.mode("overwrite").text(folder)
 
 
-def write_slices(rows: DataFrame, path: str, lanes: int, each: int) -> int:
-    """Rows in slices of at most ``each`` rows for each of so many lanes; how many slices there are.  A slice is a folder with one
+def write_chunks(rows: DataFrame, path: str, each: int) -> list[str]:
+    """Rows in chunks of at most ``each`` rows, where they lie: no row moves to another task.  The chunks' folders; each has one
     file, so that reading one touches no other."""
     at = F.monotonically_increasing_id()
-    numbered = rows.repartition(lanes).withColumn("slice", F.floor(at.bitwiseAND((1 << 33) - 1) / each))  # a lane's rows from 0
-    numbered.repartition("slice").write.mode("overwrite").partitionBy("slice").parquet(path)
-    return (numbered.sparkSession.read.schema("slice long").parquet(path).agg(F.max("slice")).first()[0] or 0) + 1
+    place = F.struct(F.shiftright(at, 33).alias("part"), F.floor(at.bitwiseAND((1 << 33) - 1) / each).alias("chunk"))  # a task's rows from 0
+    rows.select("*", place.alias("_at")).select(*rows.columns, "_at.part", "_at.chunk").write.mode("overwrite").partitionBy("part", "chunk").parquet(path, compression="zstd")
+    found = rows.sparkSession.read.schema("part long, chunk long").parquet(path).distinct().orderBy("part", "chunk")
+    return [f"{path}/part={r.part}/chunk={r.chunk}" for r in found.toLocalIterator()]
 
 
 def append_done(rows: DataFrame, folder: str, stage: str) -> None:
     """Finished tasks of a stage with their results; a later run leaves them out."""
-    rows.write.mode("append").parquet(f"{folder}/stage={stage}")
+    rows.write.mode("append").parquet(f"{folder}/stage={stage}", compression="zstd")
 
 
 def write_report(spark: SparkSession, values: dict, path: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -20,7 +21,13 @@ def work_folder(spark: SparkSession, kind: str = "runs") -> str:
     return f"{root.rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs at once, instead of when the driver happens to collect garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def kept(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Written under a folder and read back: evaluated once, and no executor's loss repeats it."""
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    df.write.mode("overwrite").parquet(f"{folder}/{name}", compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
