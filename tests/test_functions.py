@@ -226,3 +226,28 @@ def test_both_parsers_of_replies_agree(spark):
     for x in df.collect():
         assert [tuple(t) for t in x.block] == M.parse_block(replies[x.k]), replies[x.k]
         assert tuple(x.verdict) == M.passed(replies[x.k]), replies[x.k]
+
+
+def test_longest_parts_take_few_searches():
+    """Long parts are found by few searches, and right with plain text, index and what begins plainly and gets an index."""
+    import random
+
+    r = random.Random(3)
+
+    class Counted:
+        def __init__(self, text):
+            self.text, self.n = text, 0
+
+        def __contains__(self, part):
+            self.n += 1
+            return part in self.text
+
+    source = "".join(r.choice("abcdefgh ") for _ in range(20000))
+    counted = Counted(source)
+    assert X.longest_part(source[5000:5500] + "#" * 100, counted, 20) == 500 and counted.n < 50
+    for _ in range(200):
+        a, b = ("".join(r.choice("ab") for _ in range(r.randint(0, 60))) for _ in range(2))
+        best = max((j - i for i in range(len(a)) for j in range(i + 1, len(a) + 1) if a[i:j] in b), default=0)
+        late = X.Searched(b)
+        late.left = 5
+        assert {X.longest_part(a, own, 3) for own in (b, X.Suffixes(b), X.Searched(b), late)} == {best if best >= 3 else 0}
