@@ -567,3 +567,15 @@ def test_stages_move_no_texts(spark, tmp_path):
     assert max(sizes) == 40 and sum(sizes) == 250 and len(sizes) == 9
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan(M.dealt(rows, 10**6)) and "Exchange" in plan(M.dealt(rows, 250))
+
+
+def test_last_pieces_get_no_tables(spark, tmp_path):
+    from textgraph.operators import longbooks as LB
+    from textgraph.sources.workspace import kept
+
+    text = "Anna met Ben. " * 600
+    pieces = spark.createDataFrame([("a", 0, text), ("b", 0, text), ("b", 1, text)], "book string, k long, text string")
+    keep = lambda df, name: kept(df, f"file://{tmp_path}", name)
+    assert LB.aligned(pieces, keep).where("book = 'b'").count() == 6
+    assert [(r.book, r.k) for r in spark.read.parquet(f"file://{tmp_path}/tables0").collect()] == [("b", 0)]
+    assert spark.read.parquet(f"file://{tmp_path}/heads").where("head <> ''").count() == 1

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from textgraph.functions.chunking import LOOK, STRIDE, WINDOW, aligned_span_of, window_texts
 from textgraph.functions.text import SPACES
+from textgraph.operators.models import bounded_batches
 from textgraph.operators import sections as S
 
 #: Characters of a piece that is read from a file; lines are not cut.
@@ -112,7 +113,8 @@ def aligned(pieces: DataFrame, keep: Keep, window: int = WINDOW, stride: int = S
     placed = keep(_placed(pieces), "placed")
     met = pieces.join(placed, ["book", "k"])
     # what follows a piece: one head nearly always, since only a range's last piece may be shorter
-    heads = keep(met.select("book", "k", F.left("text", F.lit(reach)).alias("head")), "heads")
+    # a book's first piece follows none
+    heads = keep(met.select("book", "k", F.when(F.col("k") > 0, F.left("text", F.lit(reach))).otherwise(F.lit("")).alias("head")), "heads")
     last = heads.groupBy("book").agg(F.max("k").alias("last"))
     ahead, step, open_ = heads.join(last, "book").select("book", "k", "last", F.lit("").alias("more")), 1, True
     while open_:
@@ -122,7 +124,8 @@ def aligned(pieces: DataFrame, keep: Keep, window: int = WINDOW, stride: int = S
         open_ = ahead.where((F.length("more") < reach) & (F.col("k") + step < F.col("last"))).limit(1).count()
         step += 1
     # positions are counted from the start of the stripped book; a first piece begins before it by its leading white space
-    met = keep(met.join(ahead, ["book", "k"]).select("book", "k", "begins", "size", "text", F.left("more", F.lit(reach)).alias("more")), "met")
+    met = keep(met.join(ahead, ["book", "k"]).select("book", "k", "begins", "size", "text", F.left("more", F.lit(reach)).alias("more"), "last"), "met")
+    bounded_batches(met.sparkSession)
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,10 +136,13 @@ def aligned(pieces: DataFrame, keep: Keep, window: int = WINDOW, stride: int = S
                 at = np.arange(states)
                 while (inside := at < own).any():
                     at[inside] = chain[at[inside]]
-                after.append((at - own).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(after, pa.list_(pa.int32()))], ["book", "k", "after"])
+                after.append((at - own).astype(np.int32))
+            ends = pa.array(np.arange(len(after) + 1, dtype=np.int32) * states)
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int32), *after])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["book", "k", "after"])
 
-    found = keep(met.select("book", "k", "text", "more").mapInArrow(tables, "book string, k long, after array<int>"), "tables0")
+    # nothing enters behind a book's last piece, so a table is made for the others alone
+    found = keep(met.where("k < last").select("book", "k", "text", "more").mapInArrow(tables, "book string, k long, after array<int>"), "tables0")
     most, step, number = placed.agg(F.max("k")).first()[0] or 0, 1, 0
     while step <= most:
         before = found.select("book", (F.col("k") + step).alias("k"), F.col("after").alias("before"))
