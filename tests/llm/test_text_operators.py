@@ -1,7 +1,11 @@
 """Operators on documents against brute force."""
 
+import json
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -381,6 +385,45 @@ def test_very_many_fillings_of_a_template(spark):
     assert got[False] >= 39_999 - 40 and got[True] == 0
 
 
+NOTHING_COLLECTED = r"""
+import glob, json, os, sys, time
+from pyspark.sql import SparkSession
+from textgraph.llm import common, lines
+
+at = sys.argv[1]
+conf = {"spark.cleaner.referenceTracking": "false", "spark.local.dir": f"{at}/local", "spark.checkpoint.dir": f"file://{at}/shared", "spark.sql.warehouse.dir": f"{at}/warehouse", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+spark = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
+left = []
+
+def size():
+    return sum(os.path.getsize(f) for f in glob.glob(f"{at}/local/**/shuffle_*.data", recursive=True))
+
+class Watched(common.Scratch):
+    def __call__(self, df, kind="table", release=False):
+        before = size()
+        out = super().__call__(df, kind, release)
+        end = time.time() + 10  # files go while the driver goes on
+        while size() > before and time.time() < end:
+            time.sleep(0.1)
+        left.append((kind, size() - before))
+        return out
+
+texts = spark.range(3000).selectExpr("id", "concat_ws('\n', transform(sequence(0, 7), k -> concat(sha2(cast(id % 2900 as string), 256), k, sha2(cast(id % 2900 * 8 + k as string), 256)))) as text")
+n = lines.removed_lines(texts, Watched()).count()
+print(json.dumps([n, left]))
+"""
+
+
+def test_shuffles_go_with_their_table(tmp_path):
+    """No shuffle file outlives the table it was made for, though the driver never collects what refers to it."""
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(p for p in sys.path if p)}
+    run = subprocess.run([sys.executable, "-c", NOTHING_COLLECTED, str(tmp_path)], env=env, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    n, left = json.loads(run.stdout.splitlines()[-1])
+    assert n == 100 and {"lines", "hot", "candidates", "found", "links", "several"} <= {kind for kind, _ in left}
+    assert all(size <= 0 for _, size in left), left
+
+
 @pytest.mark.parametrize("first", [0, 1, 8])
 def test_tiles_join_what_pairs_join(monkeypatch, first):
     """Components of a large group, with lines that are known to be linked, against all pairs."""
