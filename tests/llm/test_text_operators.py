@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -365,6 +366,34 @@ def test_line_components_against_brute_force(spark, monkeypatch, part):
     assert len(removed) > 200 and gone <= removed and len(gone) >= 0.97 * len(removed)
 
 
+@pytest.mark.parametrize("span,values", [(1 << 16, 1 << 20), (50, 1 << 20), (1 << 16, 40)])
+def test_band_values_in_blocks(spark, monkeypatch, span, values):
+    """Lines that share a band value, against plain grouping: numbers jump between files, some lines have no bands, and band
+    values that are left out don't come back.  Values are not dealt row by row."""
+    monkeypatch.setattr(lines, "BLOCK_LINES", span)
+    monkeypatch.setattr(lines, "BUCKET_VALUES", values)
+    rng = np.random.default_rng(5)
+    numbers = [*range(300), *range(1 << 33, (1 << 33) + 300), 1 << 40]
+    value = lambda k: int(lines.mixed(np.array([k], np.uint64)).view(np.int64)[0])
+    bands = {k: [] if k % 7 == 3 else [value(x) for x in rng.choice(900, lines.BANDS, replace=False)] for k in numbers}
+    df = spark.createDataFrame(list(bands.items()), "name long, bands array<long>").repartition(3).sortWithinPartitions("name")
+    by = defaultdict(set)
+    for k, own in bands.items():
+        for x in own:
+            by[x].add(k)
+    several = {x: own for x, own in by.items() if len(own) > 1}
+    assert several and any(len(own) == 1 for own in by.values())
+    hot = sorted(several)[::5]
+    got = lines.in_blocks(df, spark.createDataFrame([(x,) for x in hot], "band long")).collect()
+    assert sorted(map(tuple, got)) == sorted((x, k) for x, own in several.items() if x not in hot for k in own)
+    found = lines.shared_bands(df)
+    sets = defaultdict(set)
+    for r in found.collect():
+        sets[r.key].add(r.name)
+    assert sorted(map(sorted, sets.values())) == sorted(map(list, {tuple(sorted(own)) for own in several.values()}))
+    assert "Generate" not in found._jdf.queryExecution().toString()
+
+
 def test_hot_lines(spark):
     """One line in nearly all texts, and one template with very many fillings, meet in cells."""
     df = spark.range(6000).selectExpr("id as doc_id", "concat('all rights are reserved by the owners of this site\n', 'the best offer of this week is made for customer number ', id, ' of ours, do not miss it, we say') as text")

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textgraph.llm.common import Scratch, Store, components, contract, filtered_joins, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
+from textgraph.llm.common import Scratch, Store, components, contract, filtered_joins, hashed_joins, keyed, map_arrow, mixed, partitions, run_starts, small, stored, text_bytes, without
 
 #: Five characters: of ten, one changed character takes so many that no pair under 99 characters reaches the threshold; of
 #: three, long lines that have nothing in common share so many that candidates grow with the square of the lines.
@@ -37,6 +37,8 @@ MIN_CHARS, SHINGLE, SIMILARITY = 1, 5, 0.8
 BANDS, ROWS = 14, 6
 #: Lines of a band value that one task compares; of how many lines one is counted to find band values beyond that.
 PART_LINES, COUNTED = 4096, 64
+#: Numbers that the lines of a block span at most (two bytes each), and about how many band values a task sorts at a time.
+BLOCK_LINES, BUCKET_VALUES = 1 << 16, 1 << 20
 #: Characters of a piece of a line, and about how many are signed together.
 LONG = 1 << 16
 #: Words of 64 bits in a sketch, rows and columns of a tile, lines of a group up to which pairs are listed by distance, and
@@ -130,7 +132,10 @@ class Lines:
     """Lines of several groups as sorted sets of shingle hashes, with sketches of those."""
 
     def __init__(self, lines: pa.Array):
-        hashes, limits = shingle_hashes(*characters(*text_bytes(lines)))
+        chars, limits = characters(*text_bytes(lines))
+        some = run_starts(limits[:-1] // LONG)  # about as many characters at a time as fit into a processor's cache
+        hashes = [shingle_hashes(chars[limits[a] : limits[b]], limits[a : b + 1] - limits[a])[0] for a, b in zip(some.tolist(), [*some[1:].tolist(), len(lines)])]
+        hashes, limits = np.concatenate(hashes), limits - np.arange(len(limits)) * (SHINGLE - 1)
         for a, b in zip(limits[:-1].tolist(), limits[1:].tolist()):
             hashes[a:b].sort()
         new = np.ones(len(hashes), bool)
@@ -146,7 +151,7 @@ class Lines:
         """Whether the exact Jaccard similarity of two lines' shingle sets reaches the threshold."""
         m, n = int(self.size[a]), int(self.size[b])
         both = np.concatenate([self.hashes[self.ends[a] - m : self.ends[a]], self.hashes[self.ends[b] - n : self.ends[b]]])
-        both.sort()
+        both.sort(kind="stable")  # two runs are merged
         both = int(np.count_nonzero(both[1:] == both[:-1]))
         return both >= SIMILARITY * (m + n - both)
 
@@ -299,14 +304,12 @@ def _joined(masks: list[int], own: int) -> int:
     return own
 
 
-def in_cells(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """(band, name, known), with bands that very many share cut into cells.  In such a band, the lines that are known to be linked
+def in_cells(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """(band, name, known) of bands that very many share, cut into cells.  In such a band, the lines that are known to be linked
     with the most others are many and need not meet; of the others, which are cut into parts like all lines, each part
     meets all lines' parts.  Where the others are most lines, all pairs of parts meet, each in one cell."""
-    if hot is None:
-        return rows
-    inside = rows.join(small(hot), "band", "left")
-    counts = inside.where("parts is not null").groupBy("band", "known").agg(F.count("*").alias("n"))
+    inside = rows.join(small(hot), "band")
+    counts = inside.groupBy("band", "known").agg(F.count("*").alias("n"))
     main = counts.groupBy("band").agg(F.sum("n").alias("n"), F.max_by("known", F.when(F.col("known") != 0, F.col("n"))).alias("main"), F.max(F.when(F.col("known") != 0, F.col("n"))).alias("most"))
     main = main.select("band", F.coalesce("main", F.lit(0)).alias("main"), (2 * F.coalesce("most", F.lit(0)) < F.col("n")).alias("all_open"), F.ceil((F.col("n") - F.coalesce("most", F.lit(0))) / PART_LINES).cast("int").alias("open_parts"))
     inside = inside.join(small(main), "band", "left")
@@ -317,15 +320,110 @@ def in_cells(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
     all_pairs = F.transform(upto(F.col("parts")), lambda o: cell(F.least(part, o), F.greatest(part, o)))
     as_any = F.transform(upto(F.col("open_parts")), lambda i: cell(i, part))
     as_open = F.when((F.col("known") == 0) | (F.col("known") != F.col("main")), F.transform(upto(F.col("parts")), lambda j: cell(mine, j))).otherwise(F.array().cast("array<bigint>"))
-    cells = F.when(F.col("parts").isNull(), F.array("band")).when(F.col("all_open"), all_pairs).otherwise(F.array_distinct(F.concat(as_any, as_open)))
+    cells = F.when(F.col("all_open"), all_pairs).otherwise(F.array_distinct(F.concat(as_any, as_open)))
     return inside.select(F.explode(cells).alias("band"), "name", "known")
 
 
+def in_blocks(distinct: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """(key, name) of the lines that share a band value, without the values in hot.  Most values are one line's, so they are
+    not dealt row by row: the values of up to BLOCK_LINES lines that fall into a bucket are one row, and a bucket, which is
+    bounded, is sorted in numpy.  key: a hash of the lines that share the value, so values with the same lines are one key;
+    with hot, the value."""
+    parts = partitions(distinct.sparkSession)
+    same, span = hot is None, BLOCK_LINES
+    buckets = parts * (1 + distinct.count() * BANDS // (parts * BUCKET_VALUES))
+
+    def blocks(name: np.ndarray, band: np.ndarray) -> pa.RecordBatch:
+        """Of lines within span numbers, a row for each bucket: values, and the lines' places behind the first."""
+        bucket = (((band.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")  # by radix, if few
+        first = run_starts(bucket[order])
+        limits = np.append(first, len(order)).astype(np.int32)
+        base = int(name[0])
+        binary = lambda x: pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(limits * np.int32(x.itemsize)), pa.py_buffer(x)])
+        columns = [pa.array(bucket[order][first]), pa.array(np.full(len(first), base)), binary(band[order]), binary((name - base).astype(np.uint16)[order])]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "base", "bands", "places"])
+
+    def dealt(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, bands, n = [], [], 0
+        for batch in rows:
+            own = batch.column(0).to_numpy()[pc.list_parent_indices(batch.column(1)).to_numpy()]
+            if n and len(own) and own[-1] - names[0][0] >= span:
+                yield from cut(np.concatenate(names), np.concatenate(bands))
+                names, bands, n = [], [], 0
+            if len(own):
+                names.append(own)
+                bands.append(pc.list_flatten(batch.column(1)).to_numpy())
+                n += len(own)
+        if n:
+            yield from cut(np.concatenate(names), np.concatenate(bands))
+
+    def cut(name: np.ndarray, band: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a = 0
+        while a < len(name):  # numbers rise within a file, and jump between two
+            far = (name[a:] < name[a]) | (name[a:] >= name[a] + span)
+            b = a + int(far.argmax()) if far.any() else len(name)
+            yield blocks(name[a:b], band[a:b])
+            a = b
+
+    def left_out(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            if batch.num_rows:
+                yield blocks(np.full(batch.num_rows, -1), batch.column(0).to_numpy())
+
+    def gathered(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, skipped = None, [], []
+
+        def several() -> pa.RecordBatch:
+            band, name = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(band)
+            band = band[order]
+            again = np.concatenate([[False], band[1:] == band[:-1], [False]])
+            many = np.flatnonzero(again[1:] | again[:-1])  # values of several lines
+            key, name = band[many], name[order[many]]
+            if same and len(many):
+                first = run_starts(key)
+                size = np.diff(np.append(first, len(key)))
+                key = np.repeat(mixed(np.add.reduceat(mixed(name.view(np.uint64)), first) + size.astype(np.uint64)).view(np.int64), size)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(name)], ["key", "name"])
+
+        for batch in rows:
+            for b, base, bands, places in zip(*(c.to_pylist() for c in batch.columns)):
+                if b != bucket:
+                    if held:
+                        yield several()
+                    bucket, held, skipped = b, [], []
+                band = np.frombuffer(bands, np.int64)
+                if base < 0:
+                    skipped.append(band)
+                    continue
+                name = base + np.frombuffer(places, np.uint16).astype(np.int64)
+                if skipped:
+                    skipped = [np.concatenate(skipped)]
+                    other = ~np.isin(band, skipped[0])
+                    band, name = band[other], name[other]
+                if len(band):
+                    held.append((band, name))
+        if held:
+            yield several()
+
+    schema = "bucket int, base long, bands binary, places binary"
+    rows = map_arrow(distinct.select("name", "bands"), dealt, schema)
+    if hot is not None:
+        rows = rows.union(map_arrow(hot.select("band"), left_out, schema))
+    return map_arrow(rows.repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", "base"), gathered, "key long, name long")
+
+
 def shared_bands(distinct: DataFrame, hot: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """(key, name, known) of the lines that share a band value; band values with the same lines are one key, and those whose
     lines are all known to be linked are none."""
-    each = distinct.select("name", F.explode("bands").alias("band"))
-    each = each.withColumn("known", F.lit(0).cast("long")) if known is None else each.join(known, "name", "left").withColumn("known", F.coalesce("known", F.lit(0)))
+    if hot is None:
+        return in_blocks(distinct).distinct().select("key", "name", F.lit(0).cast("long").alias("known"))
+
+    def linked(rows: DataFrame) -> DataFrame:
+        if known is None:
+            return rows.select("band", "name", F.lit(0).cast("long").alias("known"))
+        return rows.join(known, "name", "left").select("band", "name", F.coalesce("known", F.lit(0)).alias("known"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, enough = [], 0, 1 << 17
@@ -355,7 +453,9 @@ def shared_bands(distinct: DataFrame, hot: DataFrame | None = None, known: DataF
         if held:
             yield several(True)
 
-    rows = in_cells(each, hot).select("band", "name", "known")
+    crowded = distinct.select("name", F.explode("bands").alias("band")).join(small(hot.select("band")), "band")
+    cold = in_blocks(distinct, hot).withColumnRenamed("key", "band")
+    rows = in_cells(linked(crowded), hot).select("band", "name", "known").union(linked(cold))
     dealt = rows.repartition(partitions(distinct.sparkSession), "band").sortWithinPartitions("band")
     return map_arrow(dealt, run, "key long, name long, known long").distinct()
 
@@ -408,14 +508,15 @@ def _hashes() -> list[Column]:
 def removed_lines(texts: DataFrame, store: Store = stored) -> DataFrame:
     """(id, gone): the places of the lines to remove, over (id, text) with unique ids.  store keeps what is used several times."""
     distinct = lines_of(texts).groupBy("line").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    distinct = distinct.select(F.monotonically_increasing_id().alias("name"), "line", "first", "n")
-    distinct = store(map_arrow(distinct, _signed, "name long, line string, first long, n long, bands array<long>"), "lines", release=True)
-    joined = components(links(distinct, store), forests=True, store=store).withColumnRenamed("node", "name")
-    named = distinct.select("name", "n", "first", *_hashes())  # texts are hashed before the join, so it moves none
-    grouped = named.join(joined, "name", "left").select(F.coalesce("component", "name").alias("component"), F.col("component").isNotNull().alias("linked"), "n", "first", "h1", "h2")
-    several = grouped.where("linked or n > 1")
-    owner = several.groupBy("component").agg(F.min("first").alias("owner"))
-    several = store(several.join(owner, "component").select("h1", "h2", "component", "owner"), "several", release=True)
+    distinct = distinct.select(F.monotonically_increasing_id().alias("name"), "line", "first", "n", *_hashes())
+    distinct = store(map_arrow(distinct, _signed, "name long, line string, first long, n long, h1 long, h2 long, bands array<long>"), "lines", release=True)
+    joined = store(components(links(distinct, store), forests=True, store=store).withColumnRenamed("node", "name"), "joined")
+    named = distinct.select("name", "n", "first", "h1", "h2")  # without the texts
+    with filtered_joins(texts.sparkSession):  # most lines are neither linked nor repeated
+        linked = store(named.join(joined.where("component >= 0"), "name").select("component", "first", "h1", "h2"), "linked", release=True)
+    owner = linked.groupBy("component").agg(F.min("first").alias("owner"))
+    alone = named.where("n > 1").join(joined, "name", "left_anti").select("h1", "h2", F.col("name").alias("component"), F.col("first").alias("owner"))
+    several = store(linked.join(owner, "component").select("h1", "h2", "component", "owner").union(alone), "several", release=True)
     # several grows with the corpus; a hot line's rows are split by adaptive joins
     met = lines_of(texts).select("id", "place", *_hashes()).join(several, ["h1", "h2"]).select("id", "place", "component", "owner")
     # all lines of other documents than the component's first go; of its own, all but the first
@@ -431,16 +532,16 @@ def removed_lines(texts: DataFrame, store: Store = stored) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, text, n_lines, n_removed): row holds the columns of docs, text is what is left."""
     own, scratch = keyed(docs, id_col, text_col), Scratch()
-    gone = stored(removed_lines(own.select("id", "text"), scratch), "gone", release=True)
+    with hashed_joins(docs.sparkSession):
+        gone = stored(removed_lines(own.select("id", "text"), scratch), "gone", release=True)
     scratch.drop()  # before texts are shuffled
     # where gone is not small, texts are shuffled once, within their rows
-    out = own.select("id", "row").join(small(gone), "id", "left")
     original = F.col("row")[text_col]
-    text = F.coalesce(original, F.lit(""))
-    left = without(F.split(text, "\n"), F.col("gone"))
+    out = own.select("id", "row").join(small(gone), "id", "left").select("row", "gone", F.split(F.coalesce(original, F.lit("")), "\n").alias("lines"))
+    left = without(F.col("lines"), F.col("gone"))
     return out.select(
         "row",
         F.when(F.col("gone").isNull(), original).otherwise(F.array_join(left, "\n")).alias("text"),
-        F.when(original.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),
+        F.when(original.isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
     )
