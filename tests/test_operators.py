@@ -579,3 +579,15 @@ def test_last_pieces_get_no_tables(spark, tmp_path):
     assert LB.aligned(pieces, keep).where("book = 'b'").count() == 6
     assert [(r.book, r.k) for r in spark.read.parquet(f"file://{tmp_path}/tables0").collect()] == [("b", 0)]
     assert spark.read.parquet(f"file://{tmp_path}/heads").where("head <> ''").count() == 1
+
+
+def test_small_parts_fill_slices(spark, tmp_path):
+    """Rows in many parts of few rows are asked in as many slices as their number needs, not in one for each few parts."""
+    path = f"file://{tmp_path}/waiting"
+    slices = K.write_slices(spark.range(0, 100, 1, 20), path, 40, 40)  # 20 parts of 5 rows
+    sizes = [spark.read.parquet(*s).count() for s in slices]
+    assert max(sizes) <= 40 and sum(sizes) == 100 and len(sizes) == 3
+    asked = spark.range(0, 100, 1, 20).select(F.col("id").alias("qa_idx"), F.lit(0).cast("long").alias("mark"))
+    calls = []
+    found = runs.resumed(asked, f"file://{tmp_path}/run", "s", ["qa_idx"], "qa_idx long, mark long", lambda rows: calls.append(1) or rows, workers=2, commit=20)
+    assert len(calls) == 3 and sorted(r.qa_idx for r in found.collect()) == list(range(100))

@@ -56,9 +56,8 @@ def resumed(asked: DataFrame, folder: str, stage: str, keys: list[str], schema:
         if n:
             K.append_done(call(dealt(open_, n, workers)), folder, stage)
     elif n:
-        chunks = K.write_chunks(open_, waiting, commit)
-        for k in range(0, len(chunks), lanes):
-            rows = spark.read.schema(open_.schema).parquet(*chunks[k : k + lanes])
+        for paths in K.write_slices(open_, waiting, commit, lanes * commit):
+            rows = spark.read.schema(open_.schema).parquet(*paths)
             K.append_done(call(dealt(rows, min(n, lanes * commit), workers)), folder, stage)
         K.drop(spark, waiting)
     release(spark)

@@ -122,16 +122,35 @@ def write_audit(low: DataFrame, folder: str) -> None:
         low.select(line.alias("value")).write.mode("overwrite").text(folder)
 
 
-def write_chunks(rows: DataFrame, path: str, each: int) -> list[str]:
-    """Rows in chunks of at most ``each`` rows, where they lie: no row moves to another task.  The chunks' folders; each has one
-    file, so that reading one touches no other."""
+def _chunked(rows: DataFrame, path: str, each: int) -> None:
     at = F.monotonically_increasing_id()
     place = F.struct(F.shiftright(at, 33).alias("part"), F.floor(at.bitwiseAND((1 << 33) - 1) / each).alias("chunk"))  # a task's rows from 0
     rows.select("*", place.alias("_at")).select(*rows.columns, "_at.part", "_at.chunk").write.mode("overwrite").partitionBy("part", "chunk").parquet(path, compression="zstd")
+
+
+def write_chunks(rows: DataFrame, path: str, each: int) -> list[str]:
+    """Rows in chunks of at most ``each`` rows, where they lie: no row moves to another task.  The chunks' folders; each has one
+    file, so that reading one touches no other."""
+    _chunked(rows, path, each)
     found = rows.sparkSession.read.schema("part long, chunk long").parquet(path).distinct().orderBy("part", "chunk")
     return [f"{path}/part={r.part}/chunk={r.chunk}" for r in found.toLocalIterator()]
 
 
+def write_slices(rows: DataFrame, path: str, each: int, most: int) -> list[list[str]]:
+    """Rows in chunks, and these side by side in slices of at most ``most`` rows: a table in many small parts makes no more
+    slices than its rows need."""
+    _chunked(rows, path, each)
+    found = rows.sparkSession.read.schema("part long, chunk long").parquet(path).groupBy("part", "chunk").agg(F.count("*").alias("n"))
+    out, taken = [], most
+    for r in found.orderBy("part", "chunk").toLocalIterator():
+        if taken + r.n > most:
+            out.append([])
+            taken = 0
+        out[-1].append(f"{path}/part={r.part}/chunk={r.chunk}")
+        taken += r.n
+    return out
+
+
 def append_done(rows: DataFrame, folder: str, stage: str) -> None:
     """Finished tasks of a stage with their results; a later run leaves them out."""
     rows.write.mode("append").parquet(f"{folder}/stage={stage}", compression="zstd")
