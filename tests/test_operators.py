@@ -591,3 +591,32 @@ def test_small_parts_fill_slices(spark, tmp_path):
     calls = []
     found = runs.resumed(asked, f"file://{tmp_path}/run", "s", ["qa_idx"], "qa_idx long, mark long", lambda rows: calls.append(1) or rows, workers=2, commit=20)
     assert len(calls) == 3 and sorted(r.qa_idx for r in found.collect()) == list(range(100))
+
+
+def test_long_sentences_stay_in_pieces(spark, tmp_path, monkeypatch):
+    """Sentences over many pieces give the same groups and the same compressed text, though no row holds one."""
+    import random
+
+    from textgraph.functions.sentences import group_sentences, split_sentences
+    from textgraph.operators import longtext as L
+
+    r, chunk = random.Random(1), 30
+    words = ["one", "Two", "e.\n", "\n\n\nnew", " \n\n ", "  gap ", "[S]", "Z. ", "x" * 9]
+    rows = [(f"t{n}", k, f"[{k}] {' '.join(r.choice(words[: 9 - n % 2 * 2]) for _ in range(r.randint(0, 9)))}") for n in range(4) for k in range((1, 9, 30, 30)[n])]
+    rows += [("u", k, f"[{k}] a" + " b" * (k % 7)) for k in range(50)]  # one sentence
+    pieces = spark.createDataFrame(rows, "text_id string, k long, text string").repartition(3)
+    monkeypatch.setattr(L, "BLOCK", 16)
+    for number, separator in enumerate((" ", "\n\n")):
+        keep = lambda df, name, number=number: runs.kept(df, f"file://{tmp_path}/{number}", name)
+        whole = [(n, separator.join(x for t, _, x in rows if t == n)) for n in sorted({t for t, _, _ in rows})]
+        want = spark.createDataFrame(whole, "text_id string, text string").select("text_id", F.posexplode(group_sentences(split_sentences(F.col("text"), chunk), chunk)))
+        want = sorted(map(tuple, want.collect()))
+        monkeypatch.setattr(L, "LONG", 0)  # 2 * chunk holds
+        assert sorted(map(tuple, L.groups(pieces, separator, keep, chunk).collect())) == want
+        longest = spark.read.parquet(f"file://{tmp_path}/{number}/sentences").agg(F.max(F.length("sentence"))).first()[0]
+        assert longest <= max([4 * chunk, *(len(x) for _, _, x in rows)]) < max(len(x) for _, _, x in want) or separator == "\n\n"
+    compressed = {}
+    for long in (0, 1 << 22):
+        monkeypatch.setattr(L, "LONG", long)
+        compressed[long] = sorted(map(tuple, runs.compress(pieces, f"file://{tmp_path}/c{long}", target=50, chunk=chunk, rounds=2).collect()))
+    assert compressed[0] == compressed[1 << 22] and len(compressed[0]) == 5

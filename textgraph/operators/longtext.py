@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textgraph.functions.sentences import CHUNK, paragraphs, sentence_parts
-from textgraph.functions.text import strip
+from textgraph.functions.text import SPACES, strip
 
 #: Pieces, and sentences, of a block.
 BLOCK = 4096
+#: Characters up to which a sentence that lies in several pieces is put together; a longer one stays in them.
+LONG = 4 << 20
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
@@ -36,8 +38,9 @@ def offsets(df: DataFrame, order: list[str], block: str, **sums: str) -> DataFra
     return own.withColumns({name: F.col(name) + F.col(f"_{name}") for name in sums}).drop(*[f"_{name}" for name in sums])
 
 
-def sentences(pieces: DataFrame, separator: str, keep: Keep, chunk: int = CHUNK) -> DataFrame:
-    """(text_id, block, place, sentence, n): the sentences that the whole text would be split into, n their length."""
+def sentences(pieces: DataFrame, separator: str, keep: Keep, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame | None]:
+    """(text_id, block, place, sentence, n): the sentences that the whole text would be split into, n their length.  One of more
+    than LONG characters is null there; (text_id, s, p, k, last, text) are its pieces, None where no sentence is so long."""
     # what a sentence end needs to know of the next piece: its first two characters, without ends of their own
     ahead = pieces.select("text_id", (F.col("k") - 1).alias("k"), F.translate(F.substring("text", 1, 2), ".!?", "xxx").alias("ahead"))
     met = pieces.join(ahead, ["text_id", "k"], "left")
@@ -49,11 +52,52 @@ def sentences(pieces: DataFrame, separator: str, keep: Keep, chunk: int = CHUNK)
     part = F.when(F.col("j") == F.col("ends"), F.expr("left(part, length(part) - extra)")).otherwise(F.col("part"))
     each = each.select("text_id", (F.col("first") + F.col("j")).alias("s"), "k", part.alias("part"), ((F.col("j") > 0) & (F.col("j") < F.col("ends"))).alias("inner"))
     # only a piece's first and last part can belong to a sentence that others have parts of
-    seams = each.where("not inner").groupBy("text_id", "s").agg(F.array_sort(F.collect_list(F.struct("k", "part"))).alias("p"))
-    seams = seams.select("text_id", "s", F.array_join(F.transform("p", lambda x: x["part"]), "").alias("part"))
-    found = each.where("inner").select("text_id", "s", "part").unionByName(seams).withColumn("part", strip(F.col("part"))).where(F.length("part") > 0)
+    seams, most = each.where("not inner").drop("inner"), max(LONG, 2 * chunk)
+    long = keep(_longer(seams, ["text_id", "s"], most), "long_seams")
+    some = long.limit(1).count()
+    short = _put_together(seams.join(F.broadcast(long), ["text_id", "s"], "left_anti") if some else seams, ["text_id", "s"])
+    found = each.where("inner").select("text_id", "s", "part").unionByName(short).withColumn("part", strip(F.col("part"))).where(F.length("part") > 0)
     found = found.select("text_id", "s", F.posexplode(paragraphs(F.col("part"), chunk)).alias("p", "sentence"))
-    return found.select("text_id", F.floor(F.col("s") / BLOCK).alias("block"), F.struct("s", "p").alias("place"), "sentence", F.length("sentence").alias("n"))
+    apart = None
+    if some:
+        own = keep(_of_paragraphs(keep(seams.join(F.broadcast(long), ["text_id", "s"], "left_semi"), "long_parts")), "long_paragraphs")
+        over = keep(_longer(own, ["text_id", "s", "p"], most), "over")
+        short = _put_together(own.join(F.broadcast(over), ["text_id", "s", "p"], "left_anti"), ["text_id", "s", "p"])
+        found = found.unionByName(short.select("text_id", "s", "p", strip(F.col("part")).alias("sentence")).where(F.length("sentence") > 0))
+        found = found.unionByName(over.withColumn("sentence", F.lit(None).cast("string")))
+        apart = _trimmed(own.join(F.broadcast(over), ["text_id", "s", "p"], "left_semi"), separator)
+    return found.select("text_id", F.floor(F.col("s") / BLOCK).alias("block"), F.struct("s", "p").alias("place"), "sentence", F.coalesce(F.length("sentence"), F.lit(most + 1)).alias("n")), apart
+
+
+def _longer(parts: DataFrame, by: list[str], most: int) -> DataFrame:
+    """What has more characters than these, without white space at the ends of its parts: few rows, since each is long."""
+    return parts.groupBy(*by).agg(F.sum(F.length(strip(F.col("part"))).cast("long")).alias("size")).where(F.col("size") > most).select(*by)
+
+
+def _of_paragraphs(parts: DataFrame) -> DataFrame:
+    """(text_id, s, p, k, part): parts (text_id, s, k, part) of long sentences, cut at empty lines; p rises with the paragraphs of a text.
+    A run of line feeds lies in one part, as the next begins with something else."""
+    cut = parts.select("text_id", "s", "k", F.split("part", "\n\n").alias("own")).withColumns({"cuts": F.size("own") - 1, "part": F.floor(F.col("k") / BLOCK)})
+    before = offsets(cut.drop("own"), ["k", "s"], "part", before="cuts").select("text_id", "s", "k", "before")
+    each = cut.join(before, ["text_id", "s", "k"]).select("text_id", "s", "k", "before", F.posexplode("own").alias("i", "part"))
+    return each.select("text_id", "s", (F.col("before") + F.col("i")).cast("int").alias("p"), "k", "part")
+
+
+def _trimmed(parts: DataFrame, separator: str) -> DataFrame:
+    """(text_id, s, p, k, last, text): parts of sentences without the white space around a sentence, and without the separator that
+    ends all but the last."""
+    by = ["text_id", "s", "p"]
+    ends = parts.where(F.length(strip(F.col("part"))) > 0).groupBy(*by).agg(F.min("k").alias("first"), F.max("k").alias("last"))
+    inside = parts.join(F.broadcast(ends), by).where("k between first and last")
+    text = F.when(F.col("k") == F.col("first"), F.ltrim("part", F.lit(SPACES))).otherwise(F.col("part"))
+    text = F.when(F.col("k") == F.col("last"), F.rtrim(text, F.lit(SPACES))).otherwise(F.left(text, F.length(text) - len(separator)))
+    return inside.select(*by, "k", "last", text.alias("text"))
+
+
+def _put_together(parts: DataFrame, by: list[str]) -> DataFrame:
+    """Parts (k, part) joined in order."""
+    found = parts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("k", "part"))).alias("parts"))
+    return found.select(*by, F.array_join(F.transform("parts", lambda x: x["part"]), "").alias("part"))
 
 
 class Block:
@@ -114,7 +158,18 @@ def _entered(found: DataFrame, keep: Keep, chunk: int) -> DataFrame:
 
 def groups(pieces: DataFrame, separator: str, keep: Keep, chunk: int = CHUNK) -> DataFrame:
     """(text_id, pos, text): the groups of the whole text's sentences, from 0."""
-    found = keep(sentences(pieces, separator, keep, chunk), "sentences")
+    found, apart = groups_apart(pieces, separator, keep, chunk)
+    if apart is None:
+        return found
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), separator)
+    return found.where("text is not null").unionByName(apart.groupBy("text_id", "pos").agg(whole.alias("text")))
+
+
+def groups_apart(pieces: DataFrame, separator: str, keep: Keep, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame | None]:
+    """groups(), where the text of a group of more than LONG characters is null, and (text_id, pos, k, last, text), the pieces of
+    such groups, joined by the separator; None where there are none.  Such a group is one sentence."""
+    found, apart = sentences(pieces, separator, keep, chunk)
+    found = keep(found, "sentences")
     rows = found.join(_entered(found, keep, chunk), ["text_id", "block"]).select("text_id", "block", "place.s", "place.p", "sentence", "n", "state")
 
     def begun(table: pa.Table) -> pa.Table:
@@ -126,7 +181,36 @@ def groups(pieces: DataFrame, separator: str, keep: Keep, chunk: int = CHUNK) ->
     marked = offsets(keep(marked, "begins"), ["s", "p"], "block", earlier="begins")
     marked = marked.withColumn("pos", F.col("earlier") + F.col("begins") - 1)
     texts = marked.groupBy("text_id", "pos").agg(F.array_sort(F.collect_list(F.struct("s", "p", "sentence"))).alias("g"))
-    return texts.select("text_id", "pos", strip(F.array_join(F.transform("g", lambda x: x["sentence"]), " ")).alias("text"))
+    text = strip(F.array_join(F.transform("g", lambda x: x["sentence"]), " "))
+    if apart is None:
+        return texts.select("text_id", "pos", text.alias("text")), None
+    over = marked.where("sentence is null").select("text_id", "s", "p", "pos")
+    apart = keep(apart.join(F.broadcast(over), ["text_id", "s", "p"]).select("text_id", "pos", "k", "last", "text"), "apart")
+    return texts.select("text_id", "pos", F.when(F.get("g", F.lit(0))["sentence"].isNotNull(), text).alias("text")), apart
+
+
+def leading(apart: DataFrame, separator: str, keep: Keep, most: Callable[[int], int]) -> DataFrame:
+    """(text_id, pos, i, text): of texts in pieces (text_id, pos, k, text) the first most(size) characters, without white space at the
+    end, in pieces from 0."""
+    length = F.length("text").cast("long") + len(separator)
+    rows = apart.select("text_id", "pos", "k", "text", length.alias("n"), F.floor(F.col("k") / BLOCK).alias("block"))
+    at = keep(offsets(rows.select("text_id", "pos", "k", "n", "block"), ["k", "pos"], "block", at="n").drop("block"), "apart_at")
+    own = at.groupBy("text_id", "pos").agg(F.min("at").alias("base"), F.min("k").alias("first"), F.max(F.col("at") + F.col("n")).alias("end"))
+    limits = [(r.text_id, r.pos, r.base, r.first, most(r.end - r.base - len(separator))) for r in own.collect()]  # a row for each LONG characters at most
+    limits = apart.sparkSession.createDataFrame(limits, "text_id string, pos long, base long, first long, most long")
+    left = F.col("most") - (F.col("at") - F.col("base"))
+    kept_ = apart.join(at, ["text_id", "pos", "k"]).join(F.broadcast(limits), ["text_id", "pos"]).withColumn("left", left).where("left > 0")
+    text = F.when(F.col("n") >= F.col("left"), F.rtrim(F.left("text", F.col("left").cast("int")), F.lit(SPACES))).otherwise(F.col("text"))
+    return kept_.select("text_id", "pos", (F.col("k") - F.col("first")).alias("i"), text.alias("text"))
+
+
+def in_order(found: DataFrame, apart: DataFrame) -> DataFrame:
+    """(text_id, k, text): texts (text_id, pos, text) and such in pieces (text_id, pos, i, text) as the pieces of one text, numbered anew."""
+    counts = found.select("text_id", "pos", F.lit(1).cast("long").alias("n")).union(apart.groupBy("text_id", "pos").agg(F.count("*").alias("n")))
+    before = offsets(counts.withColumn("block", F.floor(F.col("pos") / BLOCK)), ["pos"], "block", before="n").select("text_id", "pos", "before")
+    few = F.broadcast(before.join(F.broadcast(apart.select("text_id", "pos").distinct()), ["text_id", "pos"], "left_semi"))
+    short = found.join(before, ["text_id", "pos"]).select("text_id", F.col("before").alias("k"), "text")
+    return short.union(apart.join(few, ["text_id", "pos"]).select("text_id", (F.col("before") + F.col("i")).alias("k"), "text"))
 
 
 def sizes(pieces: DataFrame, separator: str) -> DataFrame:

@@ -93,11 +93,15 @@ class OfflineModel:
         if stage == "EVIDENCE":
             return text.split("\n")[2][:80] if text.count("\n") > 1 else ""
         if stage == "COMPRESS":
-            return text.split("TEXT:\n")[-1][: max(1, len(text.split("TEXT:\n")[-1]) // 2)]
+            return text.split("TEXT:\n")[-1][: self.compressed(len(text.split("TEXT:\n")[-1]))]
         if stage in ("PREPROCESS", "POLISH"):
             return text.split("TEXT:\n")[-1]
         return re.split(r"(?<=[.!?])\s", text.split("TEXT:\n")[-1].strip(), maxsplit=1)[0]
 
+    def compressed(self, size: int) -> int:
+        """How many of a text's first characters COMPRESS keeps, for texts that are too long for a request."""
+        return max(1, size // 2)
+
 
 @dataclass
 class HttpModel:

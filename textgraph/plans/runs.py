@@ -241,7 +241,9 @@ def process(books: DataFrame, folder: str, question: str | None = None, model: C
 def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = OfflineModel, separator: str = "\n\n", target: int = 4000, chunk: int = 800, rounds: int = 10,
              workers: int = HIER_WORKERS, commit: int = COMMIT) -> DataFrame:
     """(text_id, text) of texts that lie in pieces (text_id, k, text): sentences are grouped and shortened, round by round, until a
-    text is within the target.  Texts stay in pieces until then; each round is resumed like any stage."""
+    text is within the target.  Texts stay in pieces until then; each round is resumed like any stage.  A sentence of more than
+    L.LONG characters is too long for a request: it keeps its text as after a call that fails, or what the model's compressed()
+    says, and stays in pieces too."""
     spark, finished, at = pieces.sparkSession, [], []
     schema = "text_id string, pos long, mark long, text string"
 
@@ -255,15 +257,21 @@ def compress(pieces: DataFrame, folder: str, model: Callable[[], Model] = Offlin
         long = keep(L.sizes(pieces, separator).where(F.col("size") > target), "long")
         if not long.limit(1).count():
             break
-        groups = keep(L.groups(pieces.join(long, "text_id", "left_semi"), separator, keep, chunk), "groups")
+        groups, apart = L.groups_apart(pieces.join(long, "text_id", "left_semi"), separator, keep, chunk)
+        groups = keep(groups, "groups")
         open_ = groups.groupBy("text_id").agg(F.count("*").alias("n")).join(long, "text_id").where((F.col("n") > 1) | (F.col("size") > 1.5 * target))
         open_ = keep(open_.select("text_id"), "open")
         if not open_.limit(1).count():
             break
         finished.append(keep(L.joined(pieces.join(open_, "text_id", "left_anti"), separator), "finished"))
-        asked = groups.join(open_, "text_id", "left_semi").withColumn("mark", marked("text", F.lit(identity(model))))
+        asked = groups.where("text is not null").join(open_, "text_id", "left_semi").withColumn("mark", marked("text", F.lit(identity(model))))
         done = resumed(asked, folder, f"compress{number}", ["text_id", "pos"], schema, lambda rows: mapped(rows, ask, schema, model, workers, ready=True), workers, commit)
-        pieces, separator = keep(done.select("text_id", F.col("pos").alias("k"), "text"), "pieces"), " "
+        if apart is None:
+            pieces = done.select("text_id", F.col("pos").alias("k"), "text")
+        else:
+            beyond = L.leading(apart.join(F.broadcast(open_), "text_id", "left_semi"), separator, keep, getattr(model(), "compressed", lambda size: size))
+            pieces = L.in_order(done.select("text_id", "pos", "text"), keep(beyond, "beyond"))
+        pieces, separator = keep(pieces, "pieces"), " "
     out = L.joined(pieces, separator)
     for more in finished:
         out = out.union(more)
